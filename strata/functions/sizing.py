@@ -1,0 +1,18 @@
+"""Size checks before a broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcasting only when it holds at most ``max_rows`` rows.
+
+    The check stops after ``max_rows`` + 1 rows. A larger side is returned unmarked:
+    Spark then shuffles the join, and adaptive execution splits its skewed partitions.
+    """
+    found = df.select(F.lit(1)).limit(max_rows + 1).count()
+    return F.broadcast(df) if found <= max_rows else df
