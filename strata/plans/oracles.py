@@ -1,6 +1,8 @@
 """SQL for DuckDB that computes the same results as the registered queries.
 
 Written against the test tables alone; nothing here is generated from the Spark code.
+Averages and ratios are rounded to six digits. An average over 2^n rows can end in an exact 5 after
+them, and the last bit of a sum then decides the digit; adding 1e-9 on both sides settles such ties.
 """
 
 from __future__ import annotations
@@ -150,13 +152,13 @@ _BUCKET = """CASE WHEN {h} <= 6 THEN 'early_morning' WHEN {h} <= 12 THEN 'mornin
 
 _DAILY = """
 SELECT pickup_date, count(*) AS total_trips, round(sum(total_amount), 2) AS total_revenue,
-  round(avg(total_amount), 6) AS avg_revenue_per_trip, round(avg(trip_distance), 6) AS avg_distance_per_trip,
-  round(avg(tip_amount), 6) AS avg_tip, round(sum(fare_amount), 2) AS total_fare
+  round(avg(total_amount) + 1e-9, 6) AS avg_revenue_per_trip, round(avg(trip_distance) + 1e-9, 6) AS avg_distance_per_trip,
+  round(avg(tip_amount) + 1e-9, 6) AS avg_tip, round(sum(fare_amount), 2) AS total_fare
 FROM fact {where} GROUP BY pickup_date"""
 
 _TILES = """
 SELECT count(*) AS total_trips, round(sum(total_amount), 2) AS total_revenue,
-  round(avg(total_amount), 6) AS avg_revenue_per_trip, round(avg(trip_distance), 6) AS avg_distance_per_trip
+  round(avg(total_amount) + 1e-9, 6) AS avg_revenue_per_trip, round(avg(trip_distance) + 1e-9, 6) AS avg_distance_per_trip
 FROM """
 
 _UPSERTED = """, old AS (SELECT * FROM silver WHERE pickup_date <= DATE '2024-01-20'),
@@ -165,14 +167,14 @@ SELECT * FROM old WHERE trip_id NOT IN (SELECT trip_id FROM new) UNION ALL SELEC
 
 _SPLIT = """
 SELECT {flag} AS {name}, count(*) AS trips, round(sum(total_amount), 2) AS revenue,
-  round(avg(total_amount), 6) AS avg_revenue, round(avg(trip_duration_min), 6) AS avg_duration_min
+  round(avg(total_amount) + 1e-9, 6) AS avg_revenue, round(avg(trip_duration_min) + 1e-9, 6) AS avg_duration_min
 FROM fact GROUP BY 1"""
 
 _KEY_AUDIT = """
 SELECT count(*) AS total_rows, count(*) FILTER (trip_id IS NULL) AS null_keys,
   count(*) FILTER (length(trip_id) <> 32) AS bad_length, count(DISTINCT trip_id) AS distinct_keys,
   count(*) - count(DISTINCT trip_id) AS duplicates,
-  round(count(DISTINCT trip_id) * 100.0 / count(*), 6) AS uniqueness_pct{more}
+  round(count(DISTINCT trip_id) * 100.0 / count(*) + 1e-9, 6) AS uniqueness_pct{more}
 FROM {table}"""
 
 _BREAKDOWN = """
@@ -322,7 +324,7 @@ FROM fact GROUP BY 1, 2"""
     ),
     "q_daily_trend": _with_fact(
         """
-SELECT pickup_date, total_trips, round(z, 6) AS z, coalesce(abs(z) > 2, false) AS flagged FROM (
+SELECT pickup_date, total_trips, round(z + 1e-9, 6) AS z, coalesce(abs(z) > 2, false) AS flagged FROM (
   SELECT pickup_date, total_trips,
     (total_trips - avg(total_trips) OVER ()) / nullif(stddev_samp(total_trips) OVER (), 0) AS z
   FROM (SELECT pickup_date, count(*) AS total_trips FROM fact GROUP BY 1))"""
@@ -336,9 +338,9 @@ LEFT JOIN zones z ON z.LocationID = f.pulocation_id""",
     ),
     "q_distance_fare": _with_fact(
         """
-SELECT count(*) AS trips, round(corr(fare_amount, trip_distance), 6) AS corr,
-  round(regr_slope(fare_amount, trip_distance), 6) AS slope,
-  round(regr_intercept(fare_amount, trip_distance), 6) AS intercept
+SELECT count(*) AS trips, round(corr(fare_amount, trip_distance) + 1e-9, 6) AS corr,
+  round(regr_slope(fare_amount, trip_distance) + 1e-9, 6) AS slope,
+  round(regr_intercept(fare_amount, trip_distance) + 1e-9, 6) AS intercept
 FROM fact"""
     ),
     "q_fare_outliers": _with_fact(
@@ -347,7 +349,7 @@ FROM fact"""
 ), residuals AS (
   SELECT trip_id, trip_distance, fare_amount, fare_amount - (s * trip_distance + i) AS residual FROM fact, fit
 )
-SELECT trip_id, trip_distance, fare_amount, round(residual, 6) AS residual FROM residuals
+SELECT trip_id, trip_distance, fare_amount, round(residual + 1e-9, 6) AS residual FROM residuals
 WHERE abs(residual) > 1.5 * (SELECT stddev_samp(residual) FROM residuals)"""
     ),
     "q_fare_bins": _with_fact(
@@ -357,7 +359,7 @@ SELECT CAST(floor(trip_distance) AS BIGINT) AS distance_bin, CAST(floor(fare_amo
     ),
     "q_payment_share": _with_fact(
         """
-SELECT f.payment_type, f.trips, round(f.trips * 100.0 / (SELECT count(*) FROM fact), 6) AS share_pct, p.payment_name
+SELECT f.payment_type, f.trips, round(f.trips * 100.0 / (SELECT count(*) FROM fact) + 1e-9, 6) AS share_pct, p.payment_name
 FROM (SELECT payment_type, count(*) AS trips FROM fact GROUP BY 1) f LEFT JOIN payments p USING (payment_type)""",
         _PAYMENTS,
     ),
@@ -367,8 +369,8 @@ FROM (SELECT payment_type, count(*) AS trips FROM fact GROUP BY 1) f LEFT JOIN p
 SELECT CASE WHEN trip_distance < 1 THEN '0-1' WHEN trip_distance < 3 THEN '1-3' WHEN trip_distance < 10 THEN '3-10'
     ELSE '10+' END AS distance_band, """
         + _BUCKET.format(h="pickup_hour")
-        + """ AS time_bucket, count(*) AS trips, round(avg(tip_amount), 6) AS avg_tip,
-  round(avg(tip_amount / nullif(fare_amount, 0)), 6) AS avg_tip_ratio
+        + """ AS time_bucket, count(*) AS trips, round(avg(tip_amount) + 1e-9, 6) AS avg_tip,
+  round(avg(tip_amount / nullif(fare_amount, 0)) + 1e-9, 6) AS avg_tip_ratio
 FROM fact GROUP BY 1, 2"""
     ),
     "q_rush_hour": _with_fact(
@@ -378,39 +380,39 @@ FROM fact GROUP BY 1, 2"""
         """
 SELECT f.*, a.Borough AS pickup_borough, a.Zone AS pickup_zone, d.Borough AS dropoff_borough, d.Zone AS dropoff_zone
 FROM (SELECT pulocation_id, dolocation_id, count(*) AS trips, round(sum(total_amount), 2) AS revenue,
-    round(avg(trip_distance), 6) AS avg_distance FROM fact GROUP BY 1, 2) f
+    round(avg(trip_distance) + 1e-9, 6) AS avg_distance FROM fact GROUP BY 1, 2) f
 LEFT JOIN zones a ON a.LocationID = f.pulocation_id LEFT JOIN zones d ON d.LocationID = f.dolocation_id""",
         _ZONES,
     ),
     "q_revenue_by_hour": _with_fact(
         """
 SELECT pickup_hour, count(*) AS trips, round(sum(total_amount), 2) AS revenue,
-  round(avg(total_amount), 6) AS avg_revenue FROM fact GROUP BY 1"""
+  round(avg(total_amount) + 1e-9, 6) AS avg_revenue FROM fact GROUP BY 1"""
     ),
     "q_revenue_by_location": _with_fact(
         """
 SELECT f.*, z.Borough AS pickup_borough, z.Zone AS pickup_zone
 FROM (SELECT pulocation_id, count(*) AS trips, round(sum(total_amount), 2) AS revenue,
-    round(avg(total_amount), 6) AS avg_revenue FROM fact GROUP BY 1) f
+    round(avg(total_amount) + 1e-9, 6) AS avg_revenue FROM fact GROUP BY 1) f
 LEFT JOIN zones z ON z.LocationID = f.pulocation_id""",
         _ZONES,
     ),
     "q_fare_by_date": _with_fact(
         """
-SELECT pickup_date, round(quantile_cont(fare_amount, 0.5), 6) AS median_fare, round(avg(fare_amount), 6) AS avg_fare,
+SELECT pickup_date, round(quantile_cont(fare_amount, 0.5) + 1e-9, 6) AS median_fare, round(avg(fare_amount) + 1e-9, 6) AS avg_fare,
   min(fare_amount) AS min_fare, max(fare_amount) AS max_fare FROM fact GROUP BY 1"""
     ),
     "q_efficiency": _with_silver(
         "\nSELECT "
         + _BUCKET.format(h="hour(tpep_pickup_datetime)")
-        + """ AS time_bucket, count(*) AS trips, round(avg(avg_speed_mph), 6) AS avg_speed_mph,
-  round(avg(fare_per_min), 6) AS avg_fare_per_min, round(avg(fare_per_mile), 6) AS avg_fare_per_mile
+        + """ AS time_bucket, count(*) AS trips, round(avg(avg_speed_mph) + 1e-9, 6) AS avg_speed_mph,
+  round(avg(fare_per_min) + 1e-9, 6) AS avg_fare_per_min, round(avg(fare_per_mile) + 1e-9, 6) AS avg_fare_per_mile
 FROM silver GROUP BY 1"""
     ),
     "q_tip_behavior": _with_fact(
         """
-SELECT payment_type, count(*) AS trips, round(avg(CAST(tip_amount > 0 AS INT)), 6) AS tipped_share,
-  round(avg(tip_amount), 6) AS avg_tip, round(avg(tip_amount / nullif(total_amount, 0)), 6) AS avg_tip_ratio
+SELECT payment_type, count(*) AS trips, round(avg(CAST(tip_amount > 0 AS INT)) + 1e-9, 6) AS tipped_share,
+  round(avg(tip_amount) + 1e-9, 6) AS avg_tip, round(avg(tip_amount / nullif(total_amount, 0)) + 1e-9, 6) AS avg_tip_ratio
 FROM fact GROUP BY 1"""
     ),
     "q_zone_traffic": _with_fact(
@@ -456,7 +458,7 @@ FROM parts GROUP BY run_id"""
     "q_null_fraction": _raw(
         _union(
             [
-                f"SELECT '{c}' AS column_name, round(avg(CAST({c} IS NULL AS INT)), 6) AS null_fraction FROM trips"
+                f"SELECT '{c}' AS column_name, round(avg(CAST({c} IS NULL AS INT)) + 1e-9, 6) AS null_fraction FROM trips"
                 for c in _ALL_COLUMNS
             ]
         )
@@ -480,10 +482,10 @@ FROM parts GROUP BY run_id"""
     "q_numeric_summary": _raw(
         _union(
             [
-                f"""SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean,
-  round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value,
-  round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50,
-  round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS p75 FROM trips"""
+                f"""SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}) + 1e-9, 6) AS mean,
+  round(stddev_samp({c}) + 1e-9, 6) AS std, CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.25) + 1e-9, 6) AS p25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5) + 1e-9, 6) AS p50,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.75) + 1e-9, 6) AS p75 FROM trips"""
                 for c in _NUMERIC
             ]
         )
@@ -521,15 +523,15 @@ SELECT concat('file-', p_partkey) AS path, p_size AS length FROM part WHERE p_pa
     # metric samples
     "q_rate_5m": """
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, count(*) AS samples,
-  round(count(*) / 300.0, 6) AS rate FROM events GROUP BY 1, 2""",
+  round(count(*) / 300.0 + 1e-9, 6) AS rate FROM events GROUP BY 1, 2""",
     "q_counter_rate": """
 WITH linked AS (
   SELECT ts, user_id, event_type, value,
     lag(value) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS prev FROM events
 )
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, user_id, event_type,
-  round(sum(CASE WHEN value < prev THEN value ELSE value - prev END), 6) AS increase,
-  round(sum(CASE WHEN value < prev THEN value ELSE value - prev END) / 300.0, 6) AS rate
+  round(sum(CASE WHEN value < prev THEN value ELSE value - prev END) + 1e-9, 6) AS increase,
+  round(sum(CASE WHEN value < prev THEN value ELSE value - prev END) / 300.0 + 1e-9, 6) AS rate
 FROM linked GROUP BY 1, 2, 3""",
     "q_increase_alert": """
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, count(*) AS increase
@@ -540,34 +542,34 @@ WITH marked AS (
     OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM events
 )
 SELECT user_id, min(ts) AS run_start, max(ts) AS run_end, count(*) AS run_rows,
-  round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0, 6) AS seconds
+  round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0 + 1e-9, 6) AS seconds
 FROM marked WHERE event_type = 'error' GROUP BY user_id, run
 HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= 60000000""",
     "q_ratio_band": """
 SELECT *, CASE WHEN error_pct < 18 THEN 'green' WHEN error_pct <= 22 THEN 'yellow' ELSE 'red' END AS band FROM (
   SELECT ts::DATE AS day, count(*) FILTER (event_type = 'error') AS errors, count(*) AS samples,
-    round(count(*) FILTER (event_type = 'error') * 100.0 / count(*), 6) AS error_pct
+    round(count(*) FILTER (event_type = 'error') * 100.0 / count(*) + 1e-9, 6) AS error_pct
   FROM events GROUP BY 1)""",
     "q_success_rate": _HOURS
     + """
 SELECT unit_start, coalesce(successes, 0) AS successes, coalesce(failures, 0) AS failures,
-  round(successes * 100.0 / nullif(successes + failures, 0), 6) AS success_pct
+  round(successes * 100.0 / nullif(successes + failures, 0) + 1e-9, 6) AS success_pct
 FROM hours LEFT JOIN tally USING (unit_start)""",
     "q_latest_sum": """
-SELECT event_type, count(*) AS series, round(sum(value), 6) AS total FROM (
+SELECT event_type, count(*) AS series, round(sum(value) + 1e-9, 6) AS total FROM (
   SELECT event_type, value, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) AS r
   FROM events) WHERE r = 1 GROUP BY 1""",
     "q_label_regex": """
-SELECT event_type, ts::DATE AS day, count(*) AS samples, round(sum(value), 6) AS total
+SELECT event_type, ts::DATE AS day, count(*) AS samples, round(sum(value) + 1e-9, 6) AS total
 FROM events WHERE regexp_full_match(event_type, 'err.*|purchase') GROUP BY 1, 2""",
     "q_state_breakdown": _BREAKDOWN,
     "q_heartbeat_gaps": """
-SELECT user_id, gap_start, gap_end, round((epoch_us(gap_end) - epoch_us(gap_start)) / 1000000.0, 6) AS seconds FROM (
+SELECT user_id, gap_start, gap_end, round((epoch_us(gap_end) - epoch_us(gap_start)) / 1000000.0 + 1e-9, 6) AS seconds FROM (
   SELECT user_id, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap_start, ts AS gap_end FROM events)
 WHERE epoch_us(gap_end) - epoch_us(gap_start) >= 43200000000""",
     "q_uptime": """
 SELECT user_id, min(ts) AS started,
-  round((epoch_us((SELECT max(ts) FROM events)) - epoch_us(min(ts))) / 1000000.0, 6) AS uptime_seconds
+  round((epoch_us((SELECT max(ts) FROM events)) - epoch_us(min(ts))) / 1000000.0 + 1e-9, 6) AS uptime_seconds
 FROM events GROUP BY 1""",
     "q_name_labels": """
 SELECT CASE event_type WHEN 'error' THEN 'app_errors_total' WHEN 'purchase' THEN 'app_purchases_total'
@@ -576,7 +578,7 @@ FROM events WHERE event_type IN ('error', 'purchase', 'view') GROUP BY 1, 2""",
     "q_error_rate": _HOURS
     + """
 SELECT unit_start, coalesce(requests, 0) AS requests, coalesce(failures, 0) AS errors,
-  round(coalesce(failures * 100.0 / nullif(requests, 0), 0.0), 6) AS error_pct
+  round(coalesce(failures * 100.0 / nullif(requests, 0), 0.0) + 1e-9, 6) AS error_pct
 FROM hours LEFT JOIN tally USING (unit_start)""",
     # streaming
     "q_stream_bronze": _raw(f" SELECT day AS ingestion_date, count(*) AS rows FROM {_LANDED} GROUP BY 1"),
