@@ -23,21 +23,24 @@ def rejected(df: DataFrame, rules: Sequence[Rule], reason: str = "reason") -> Da
 def reject_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Per rule: rows failing it, and rows for which it is the first failing rule.
 
-    All counters come from one scan and one map-side combined aggregate; the single
-    result row is then turned into one row per rule.
+    Each row is reduced to a text with one digit per rule (1 = failed), and rows are counted
+    per text before the shuffle. All counters follow from these few texts.
     """
-    reason = first_failure(rules)
-    flagged = df.select(reason.alias("_reason"), *((~r.passes()).alias(r.name) for r in rules))
-    counters = []
-    for rule in rules:
-        counters.append(
-            F.struct(
-                F.lit(rule.name).alias("rule"),
-                F.count_if(F.col(rule.name)).alias("failing"),
-                F.count_if(F.col("_reason").eqNullSafe(rule.name)).alias("first_failing"),
-            )
+    outcome = F.concat(*(F.when(r.passes(), "0").otherwise("1") for r in rules))
+    patterns = df.groupBy(outcome.alias("_outcome")).agg(F.count(F.lit(1)).alias("_rows"))
+    numbered = F.array(
+        *(F.struct(F.lit(r.name).alias("rule"), F.lit(i + 1).alias("_place")) for i, r in enumerate(rules))
+    )
+    failed = F.substring("_outcome", F.col("_place"), F.lit(1)) == "1"
+    first = F.instr("_outcome", "1") == F.col("_place")
+    return (
+        patterns.select("_outcome", "_rows", F.inline(numbered))
+        .groupBy("rule")
+        .agg(
+            F.coalesce(F.sum(F.when(failed, F.col("_rows"))), F.lit(0)).alias("failing"),
+            F.coalesce(F.sum(F.when(first, F.col("_rows"))), F.lit(0)).alias("first_failing"),
         )
-    return flagged.agg(F.array(*counters).alias("_rules")).select(F.inline("_rules"))
+    )
 
 
 def violations(df: DataFrame, checks: Sequence[Rule]) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from strata.functions import calendar
 from strata.functions.codes import PAYMENT_TYPES
+from strata.sources.contracts import contract
+from strata.sources.readers import literal_table
 
 
 def day_spine(bounds: DataFrame, column: str = "day") -> DataFrame:
@@ -51,7 +53,8 @@ def dim_date_for(df: DataFrame, day: str = "pickup_date") -> DataFrame:
 
 
 def dim_payment(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(PAYMENT_TYPES.items()), "payment_type bigint, payment_name string")
+    schema = contract(payment_type="long", payment_name="string")
+    return literal_table(spark, list(PAYMENT_TYPES.items()), schema)
 
 
 def dim_zone(spark: SparkSession, path: str) -> DataFrame:

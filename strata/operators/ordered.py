@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 
 SLICE = "_slice"
 # The key columns as one struct: never NULL itself, so rows with a NULL key join like any other
-# while the join still reuses the partitioning of the window.
+# while the join still reuses the partitioning of the window. Every slice finds its summary; the
+# joins are left joins only because an inner join would add NULL filters to one side and so keep
+# Spark from computing their common input once.
 KEY = "_key"
 
 
@@ -74,7 +76,7 @@ def running_sum(
     )
     return (
         rows.withColumn("_running", F.sum("_value").over(inside))
-        .join(offsets, [KEY, SLICE])
+        .join(offsets, [KEY, SLICE], "left")
         .withColumn(out, F.col("_running") + F.col("_offset"))
         .drop("_value", "_running", "_offset", KEY)
     )
@@ -100,7 +102,7 @@ def previous_row(
     previous = F.coalesce("_previous", "_carried")
     return (
         rows.withColumn("_previous", F.lag("_current").over(inside))
-        .join(carried, [KEY, SLICE])
+        .join(carried, [KEY, SLICE], "left")
         .withColumns({f"{prefix}{c}": previous[c] for c in columns})
         .drop("_current", "_previous", "_carried", KEY)
     )

@@ -20,7 +20,7 @@ from strata.operators.upsert import upsert
 from strata.plans import trips as taxi
 from strata.plans.pipeline import Layout, run_pipeline
 from strata.sources import maintenance, publish, readers, writers
-from strata.sources.contracts import RAW_TRIP
+from strata.sources.contracts import RAW_TRIP, contract
 from strata.streaming import ingest
 from strata.streaming import telemetry as streams
 
@@ -350,10 +350,8 @@ def q_wap(spark, sf_dir):
         publish.publish(part, path, ["pickup_date"], checks, run, log)
         for run, part in (("run-1", first), ("run-2", second))
     ]
-    audits = spark.createDataFrame(
-        [(r.run_id, *r.audit.values()) for r in results],
-        "run_id string, " + ", ".join(f"{c} boolean" for c in checks),
-    )
+    schema = contract(run_id="string", **{c: "boolean" for c in checks})
+    audits = readers.literal_table(spark, [(r.run_id, *r.audit.values()) for r in results], schema)
     visible = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).scalar()
     return (
         spark.read.parquet(log)

@@ -6,13 +6,15 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.config import DatasetSpec
+from strata.config import DatasetSpec, shared_dir
 from strata.functions.features import add_trip_features
 from strata.functions.keys import with_key
 from strata.functions.rules import Rule, member, non_negative, not_null, ordered, positive
 from strata.operators.clean import apply_rules, rename_columns
 from strata.operators.dedup import dedup_latest, distinct_on_key
 from strata.operators.marts import FACT_COLUMNS, fact_trips
+from strata.sources.contracts import RAW_TRIP
+from strata.sources.readers import path_exists
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
@@ -142,10 +144,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+_RAW_TABLES: dict[tuple[str, str], str] = {}
+
+
+def derive_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_TRIPS, lineitem=table(spark, sf_dir, "lineitem"))
 
 
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw trip table, derived from all of ``lineitem`` and written once per session.
+
+    Raw trips arrive as Parquet files, so queries should scan such files: filters and column
+    pruning then reach the scan. Over the derivation itself they would instead repeat its
+    arithmetic in every predicate.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir)
+    path = _RAW_TABLES.get(known)
+    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
+        path = shared_dir(spark, "raw-trips")
+        derived, cores = derive_trips(spark, sf_dir), spark.sparkContext.defaultParallelism
+        if derived.rdd.getNumPartitions() < cores:
+            derived = derived.repartition(cores)  # a small input: give every core a file to read
+        derived.write.parquet(path)
+        _RAW_TABLES[known] = path
+    return spark.read.schema(RAW_TRIP).parquet(path)
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_ZONES, region=table(spark, sf_dir, "region"))
 

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.config import shared_dir
-from strata.sources.readers import file_inventory
+from strata.sources.contracts import contract
+from strata.sources.readers import file_inventory, literal_table
+from strata.sources.writers import promote
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024  # fixed value: documented target file size
 DAYS_TO_KEEP = 30  # fixed value: documented retention
@@ -62,16 +64,7 @@ def compact(
     if rewritten != expected:
         raise RuntimeError(f"compaction of {path} staged {rewritten} of {expected} rows")
     if rewritten:
-        (
-            staged.select(*table.columns)
-            .withColumn("_file", F.col("_metadata.file_path"))
-            .repartition(*columns, "_file")
-            .drop("_file")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*columns)
-            .parquet(path)
-        )
+        promote(staged_path, table, path, columns)
     after = compaction_plan(spark, path, columns, target_bytes).select(
         *columns, F.col("files").alias("files_after"), F.col("bytes").alias("bytes_after")
     )
@@ -121,7 +114,7 @@ MODES = {
     "monthly": ("expire", "orphans"),
     "full": ("compact", "expire", "orphans"),
 }
-RESULT_SCHEMA = "step string, table_path string, ok boolean, items bigint, detail string"
+RESULT_SCHEMA = contract(step="string", table_path="string", ok="boolean", items="long", detail="string")
 
 
 def maintain(
@@ -149,7 +142,7 @@ def maintain(
                 results.append((step, table.path, True, items, None))
             except Exception as error:  # noqa: BLE001 - reported in the result
                 results.append((step, table.path, False, None, str(error).splitlines()[0]))
-    return spark.createDataFrame(results, RESULT_SCHEMA)
+    return literal_table(spark, results, RESULT_SCHEMA)
 
 
 def _run_step(

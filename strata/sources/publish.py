@@ -16,11 +16,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.audit import run_checks
-from strata.sources.readers import file_inventory
-from strata.sources.writers import replace_partitions
+from strata.sources.contracts import contract
+from strata.sources.readers import file_inventory, literal_table
+from strata.sources.writers import promote, stage
 
-LOG_SCHEMA = (
-    "table_path string, run_id string, published boolean, rows bigint, files bigint, committed_at timestamp"
+LOG_SCHEMA = contract(
+    table_path="string",
+    run_id="string",
+    published="boolean",
+    rows="long",
+    files="long",
+    committed_at="timestamp",
 )
 
 
@@ -44,20 +50,19 @@ def publish(
     spark = df.sparkSession
     staged_path = f"{path.rstrip('/')}_staging/{run_id}"
     try:
-        df.hint("rebalance", *partition_columns).write.mode("overwrite").partitionBy(
-            *partition_columns
-        ).parquet(staged_path)
-        # The declared schema keeps column types that partition discovery would re-infer,
-        # and an empty increment stays readable.
+        stage(df, staged_path, partition_columns)
+        # The declared schema keeps an empty increment readable.
         staged = spark.read.schema(df.schema).parquet(staged_path).select(*df.columns)
-        audit = run_checks(staged, checks).first().asDict()
-        passed = all(bool(v) for v in audit.values())
+        found = run_checks(staged, {**checks, "_rows": F.count(F.lit(1))}).first().asDict()
+        rows = found.pop("_rows")
+        audit = {name: bool(value) for name, value in found.items()}
+        passed = all(audit.values())
         if passed:
-            replace_partitions(staged, path, partition_columns)
+            promote(staged_path, df, path, partition_columns)
         if log_path is not None:
             stamp = committed_at or dt.datetime.now(dt.timezone.utc)
-            row = (path, run_id, passed, staged.count(), file_inventory(spark, staged_path).count(), stamp)
-            spark.createDataFrame([row], LOG_SCHEMA).write.mode("append").parquet(log_path)
+            row = (path, run_id, passed, rows, file_inventory(spark, staged_path).count(), stamp)
+            literal_table(spark, [row], LOG_SCHEMA).write.mode("append").parquet(log_path)
         if passed and manifest_path is not None:
             record_manifest(spark, path, run_id, manifest_path)
     except Exception:

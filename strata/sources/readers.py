@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +49,15 @@ def present_days(spark: SparkSession, path: str, column: str) -> DataFrame | Non
     return file_inventory(spark, path).select(column).distinct() if path_exists(spark, path) else None
 
 
+def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A few literal rows as a DataFrame, without starting Python workers."""
+    structs = [
+        F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)))
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def within(df: DataFrame, column: str, days: DateRange) -> DataFrame:
     """Rows of the inclusive day range; on a partition column Spark reads only those directories."""
     kind = df.schema[column].dataType

@@ -24,9 +24,26 @@ def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None
     The rebalance hint gathers a partition's rows to avoid small files, and lets adaptive
     execution split a partition that is too large for one task.
     """
+    _overwrite_partitions(df.hint("rebalance", *columns), path, columns)
+
+
+def promote(staged_path: str, like: DataFrame, path: str, columns: Sequence[str]) -> None:
+    """Replace partitions of a table by those of a staged copy with the columns of ``like``.
+
+    Staged files are grouped by partition already, so this step copies without a shuffle.
+    The declared schema keeps types that partition discovery would infer anew.
+    """
+    staged = like.sparkSession.read.schema(like.schema).parquet(staged_path)
+    _overwrite_partitions(staged.select(*like.columns), path, columns)
+
+
+def stage(df: DataFrame, staged_path: str, columns: Sequence[str]) -> None:
+    df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns).parquet(staged_path)
+
+
+def _overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     (
-        df.hint("rebalance", *columns)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .parquet(path)
@@ -105,15 +122,19 @@ def upsert_into(
     source = source.select(*target.columns)
     staged_path = shared_dir(spark, "upsert")
     if not key_fixes_partition:
-        upsert(target, source, keys).hint("rebalance", partition).write.parquet(staged_path)
-        spark.read.parquet(staged_path).hint("rebalance", partition).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy(partition).parquet(path)
+        stage(upsert(target, source, keys), staged_path, [partition])
+        spark.read.schema(target.schema).parquet(staged_path).select(*target.columns).write.mode(
+            "overwrite"
+        ).option("partitionOverwriteMode", "static").partitionBy(partition).parquet(path)
         return
-    touched = broadcast_if_small(source.select(partition).distinct())
+    # The source is computed once; the directories of its copy name the partitions it touches.
+    source_path = shared_dir(spark, "upsert-source")
+    stage(source, source_path, [partition])
+    increment = spark.read.schema(target.schema).parquet(source_path).select(*target.columns)
+    touched = broadcast_if_small(present_days(spark, source_path, partition))
     affected = target.join(touched, partition, "left_semi")
-    upsert(affected, source, keys).write.parquet(staged_path)
-    replace_partitions(spark.read.parquet(staged_path), path, [partition])
+    stage(upsert(affected, increment, keys), staged_path, [partition])
+    promote(staged_path, target, path, [partition])
 
 
 def backfill_column(
@@ -135,8 +156,8 @@ def backfill_column(
     affected = table.join(touched, partition, "left_semi")
     filled = affected.withColumn(column, F.coalesce(F.col(column), value(affected)))
     staged_path = shared_dir(spark, "backfill")
-    filled.write.parquet(staged_path)
-    replace_partitions(spark.read.parquet(staged_path), path, [partition])
+    stage(filled, staged_path, [partition])
+    promote(staged_path, filled, path, [partition])
     return n_nulls
 
 
