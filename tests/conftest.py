@@ -1,0 +1,38 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from strata.session import local_session
+
+    session = local_session(8, "strata-tests", memory="8g")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder(spark):
+    """A fresh shared directory per use."""
+    from strata.config import shared_dir
+
+    return lambda name="test": shared_dir(spark, name)
+
+
+def rows_of(df):
+    """Rows as a sorted list of tuples, to compare results as multisets."""
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def final_plan(df) -> str:
+    """The executed plan after running the query."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
