@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from strata.config import shared_dir
 from strata.sources.contracts import contract
 from strata.sources.readers import file_inventory, literal_table
-from strata.sources.writers import promote
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024  # fixed value: documented target file size
 DAYS_TO_KEEP = 30  # fixed value: documented retention
@@ -34,41 +33,48 @@ def compaction_plan(
 def compact(
     spark: SparkSession, path: str, partition_columns: Sequence[str], target_bytes: int = TARGET_FILE_BYTES
 ) -> DataFrame:
-    """Rewrite partitions that have more files than their size needs; rows do not change.
+    """Rewrite partitions with at least twice the files their size needs; rows do not change.
 
-    Rows of a partition are dealt out over its target files by file and row position, which
-    a retried task reproduces. So a partition with a third of all bytes is written by as
-    many tasks as it gets files. Returns files and bytes per partition before and after.
+    The affected partitions are first copied aside, so a failed rewrite loses nothing. Rows
+    of the copy are dealt out over the target files by file and row position, which a retried
+    task reproduces: a partition with a third of all bytes is written by as many tasks as it
+    gets files. Returns files and bytes per partition before and after.
     """
     columns = list(partition_columns)
-    before = compaction_plan(spark, path, columns, target_bytes)
-    work = before.where("files > target_files").select(*columns, "target_files")
-    position = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    report_path, staged_path = shared_dir(spark, "compact-report"), shared_dir(spark, "compact")
+    compaction_plan(spark, path, columns, target_bytes).write.parquet(report_path)
+    before = spark.read.parquet(report_path)
+    work = before.where(F.col("files") >= 2 * F.col("target_files")).select(*columns, "target_files")
     table = spark.read.parquet(path)
-    dealt = (
-        table.withColumn("_position", position)
-        .join(work, columns)
-        .withColumn("_file", F.pmod("_position", "target_files"))
-        .repartition(*columns, "_file")
-    )
-    staged_path = shared_dir(spark, "compact")
-    dealt.select(*table.columns).write.partitionBy(*columns).parquet(staged_path)
-    sizes_before = before.select(
-        *columns, F.col("files").alias("files_before"), F.col("bytes").alias("bytes_before")
-    )
-    report_path = shared_dir(spark, "compact-report")
-    sizes_before.write.parquet(report_path)
-    staged = spark.read.schema(table.schema).parquet(staged_path)
-    rewritten = staged.count()
-    expected = table.join(work, columns, "left_semi").count()
-    if rewritten != expected:
-        raise RuntimeError(f"compaction of {path} staged {rewritten} of {expected} rows")
-    if rewritten:
-        promote(staged_path, table, path, columns)
+    affected = table.join(work, columns)
+    affected.select(*table.columns, "target_files").write.parquet(staged_path)
+
+    staged = spark.read.parquet(staged_path)
+    per_partition = staged.groupBy(*columns, "target_files").agg(F.count(F.lit(1)).alias("rows"))
+    size = per_partition.agg(
+        F.sum("rows").alias("rows"),
+        F.sum("target_files").alias("files"),
+        F.max(F.ceil(F.col("rows") / F.col("target_files"))).alias("rows_per_file"),
+    ).first()
+    if size["rows"] is not None:
+        if size["rows"] != affected.count():
+            raise RuntimeError(f"the copy of {path} holds {size['rows']} rows, not those of the table")
+        position = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        (
+            staged.withColumn("_file", F.pmod(position, "target_files"))
+            .repartition(size["files"], *columns, "_file")
+            .select(*table.columns)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", int(size["rows_per_file"] * 1.2) + 1)
+            .partitionBy(*columns)
+            .parquet(path)
+        )
+    sizes = {"files": "files_before", "bytes": "bytes_before"}
     after = compaction_plan(spark, path, columns, target_bytes).select(
         *columns, F.col("files").alias("files_after"), F.col("bytes").alias("bytes_after")
     )
-    return spark.read.parquet(report_path).join(after, columns)
+    return before.drop("target_files").withColumnsRenamed(sizes).join(after, columns)
 
 
 def newest_versions(log: DataFrame, table: str, version: str, time: str, n: int) -> DataFrame:

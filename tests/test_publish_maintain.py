@@ -71,19 +71,23 @@ def scattered(spark, folder):
     return path
 
 
-@pytest.mark.parametrize("target", [128 * 1024 * 1024, 4096])
-def test_compaction_keeps_every_row(spark, folder, target):
+def test_compaction_keeps_every_row(spark, folder):
     path = scattered(spark, folder)
     before = rows_of(spark.read.parquet(path))
-    report = maintenance.compact(spark, path, ["day"], target).collect()
+    report = maintenance.compact(spark, path, ["day"]).collect()
     assert rows_of(spark.read.parquet(path)) == before
-    assert {r.files_before for r in report} == {8}
-    if target > 4096:
-        assert {r.files_after for r in report} == {1}
-    else:
-        wanted = {r.day: -(-r.bytes_before // target) for r in report}
-        assert all(1 <= r.files_after <= wanted[r.day] for r in report)
-        assert max(r.files_after for r in report) > 1
+    assert {(r.files_before, r.files_after) for r in report} == {(8, 1)}
+
+
+def test_compaction_splits_a_large_partition(spark, folder):
+    path = scattered(spark, folder)
+    before = rows_of(spark.read.parquet(path))
+    plan = {r.day: r for r in maintenance.compaction_plan(spark, path, ["day"]).collect()}
+    target = plan[0].bytes // 2  # day 0 holds almost half of the rows and needs two files, the others one
+    report = {r.day: r for r in maintenance.compact(spark, path, ["day"], target).collect()}
+    assert rows_of(spark.read.parquet(path)) == before
+    assert 2 <= report[0].files_after <= 3
+    assert {r.files_after for day, r in report.items() if day} == {1}
 
 
 def test_compaction_leaves_good_partitions_alone(spark, folder):
@@ -124,7 +128,7 @@ def published(spark, folder, runs):
 def test_maintenance_steps_and_isolation(spark, folder):
     good = published(spark, folder, 4)
     broken = maintenance.MaintainedTable(folder("nothing"), ("day",), folder("nothing"), folder("nothing"))
-    spark.range(3).withColumn("day", F.lit(DAY)).write.mode("append").partitionBy("day").parquet(good.path)
+    spark.range(3).coalesce(1).withColumn("day", F.lit(DAY)).write.mode("append").partitionBy("day").parquet(good.path)
     full = maintenance.maintain(spark, [broken, good], "full", as_of=NOW, retain_last=2, skip=["compact"])
     results = {(r.step, r.table_path): r for r in full.collect()}
     assert not results["expire", broken.path].ok and results["expire", broken.path].detail

@@ -176,7 +176,7 @@ def test_catalog_tables(spark, folder):
         with pytest.raises(AnalysisException):
             readers.read_table(spark, "strata_test.none")
         df.createOrReplaceTempView("ad_hoc")
-        assert spark.sql("SELECT sum(amount) FROM ad_hoc JOIN strata_test.t USING (id, day)").count() == 1
+        assert spark.sql("SELECT sum(t.amount) FROM ad_hoc JOIN strata_test.t USING (id, day)").count() == 1
         assert [r.tableName for r in catalog.list_tables(spark, "strata_test").where("NOT isTemporary").collect()] == ["t"]
         left = catalog.drop_tables(spark, ["strata_test.t", "strata_test.none"], "strata_test")
         assert left.where("NOT isTemporary").count() == 0
