@@ -14,7 +14,7 @@ from strata.operators.clean import apply_rules, rename_columns
 from strata.operators.dedup import dedup_latest, distinct_on_key
 from strata.operators.marts import FACT_COLUMNS, fact_trips
 from strata.sources.contracts import RAW_TRIP
-from strata.sources.readers import path_exists
+from strata.sources.files import path_exists
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
@@ -176,14 +176,17 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_trips(raw: DataFrame, spec: DatasetSpec = TAXI) -> DataFrame:
     """Accepted rows with key and features, under their published names."""
-    accepted = apply_rules(raw, spec.rules)
-    keyed = with_key(accepted, spec.key_columns, spec.key_name)
-    return rename_columns(add_trip_features(keyed), spec.renames)
+    return add_trip_features(_keyed(raw, spec))
 
 
 def silver_trips(raw: DataFrame, spec: DatasetSpec = TAXI) -> DataFrame:
-    """Clean trips, one row per key."""
-    return dedup_latest(clean_trips(raw, spec), [spec.key_name], spec.order, spec.tie_break)
+    """Clean trips, one row per key. Features come last, so they are neither shuffled nor sorted."""
+    return add_trip_features(dedup_latest(_keyed(raw, spec), [spec.key_name], spec.order, spec.tie_break))
+
+
+def _keyed(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
+    accepted = apply_rules(raw, spec.rules)
+    return rename_columns(with_key(accepted, spec.key_columns, spec.key_name), spec.renames)
 
 
 def trip_facts(raw: DataFrame, spec: DatasetSpec = TAXI) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from strata.config import shared_dir
 from strata.sources.contracts import contract
-from strata.sources.readers import file_inventory, literal_table
+from strata.sources.files import file_inventory
+from strata.sources.readers import literal_table
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024  # fixed value: documented target file size
 DAYS_TO_KEEP = 30  # fixed value: documented retention

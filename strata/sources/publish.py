@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from strata.operators.audit import run_checks
 from strata.sources.contracts import contract
-from strata.sources.readers import file_inventory, literal_table
+from strata.sources.files import file_inventory, remove_path
+from strata.sources.readers import literal_table
 from strata.sources.writers import promote, stage
 
 LOG_SCHEMA = contract(
@@ -78,9 +79,3 @@ def record_manifest(spark: SparkSession, path: str, run_id: str, manifest_path:
     file_inventory(spark, path).select(
         F.lit(path).alias("table_path"), F.lit(run_id).alias("run_id"), "path"
     ).write.mode("append").parquet(manifest_path)
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete one directory tree through the file system that serves it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.config import DateRange
+from strata.sources.files import file_inventory, path_exists
 
 
 def read_table(spark: SparkSession, name: str, missing_ok: bool = False) -> DataFrame | None:
@@ -18,11 +19,6 @@ def read_table(spark: SparkSession, name: str, missing_ok: bool = False) -> Data
     return spark.table(name)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def read_parquet(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame | None:
     """A Parquet directory; with ``missing_ok`` None when the path does not exist.
 
@@ -33,20 +29,14 @@ def read_parquet(spark: SparkSession, path: str, missing_ok: bool = False) -> Da
     return spark.read.parquet(path)
 
 
-def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Data files below ``path`` with size and time; partition columns included.
-
-    The binary-file source lists files without opening them as long as ``content`` is not
-    selected.
-    """
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).drop("content")
-    )
-
-
 def present_days(spark: SparkSession, path: str, column: str) -> DataFrame | None:
     """Days that have a partition directory, from the file listing alone; None without a table."""
-    return file_inventory(spark, path).select(column).distinct() if path_exists(spark, path) else None
+    if not path_exists(spark, path):
+        return None
+    listed = file_inventory(spark, path)
+    if column not in listed.columns:  # a table without files has no partitions to discover
+        return listed.select(F.lit(None).cast("date").alias(column)).limit(0)
+    return listed.select(column).distinct()
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:

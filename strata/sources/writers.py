@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import DateRange, shared_dir
 from strata.functions.sizing import broadcast_if_small
 from strata.operators.upsert import upsert
+from strata.sources.files import file_inventory, remove_path
 from strata.sources.readers import missing_days, present_days, read_parquet
 
 
@@ -89,16 +90,17 @@ def append_new_days(
     new_days = [row.day for row in candidates.join(landed, "day", "left_semi").collect()]
     if not new_days:
         return Ingested(0, days.n_days, 0)
-    seen = Observation()
     increment = (
         spark.read.parquet(landing)
         .where(F.col(landing_day).isin(new_days))
         .withColumn(bronze_day, F.col(landing_day).cast("date"))
         .drop(*({landing_day} - {bronze_day}))
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
     )
     replace_partitions(increment, bronze, [bronze_day])
-    return Ingested(len(new_days), days.n_days - len(new_days), seen.get["rows"])
+    # Counted from the footers of the new files: a counter inside the job would run twice for
+    # a task that is repeated after losing an executor.
+    rows = spark.read.parquet(bronze).where(F.col(bronze_day).isin(new_days)).count()
+    return Ingested(len(new_days), days.n_days - len(new_days), rows)
 
 
 def upsert_into(
@@ -112,8 +114,9 @@ def upsert_into(
     """Upsert ``source`` into a Parquet table partitioned by one column.
 
     If a key always stays in one partition, only the partitions named by the source are
-    read and rewritten. Otherwise every partition may hold a stale copy, so the whole
-    table is rewritten. Either way the result is staged before it replaces anything.
+    read and rewritten. Otherwise the keys are also looked up in all other partitions, and
+    those with a match are rewritten too, or removed if nothing remains. Either way the
+    result is staged before it replaces anything.
     """
     target = read_parquet(spark, path, missing_ok=True)
     if target is None:
@@ -121,20 +124,27 @@ def upsert_into(
         return
     source = source.select(*target.columns)
     staged_path = shared_dir(spark, "upsert")
-    if not key_fixes_partition:
-        stage(upsert(target, source, keys), staged_path, [partition])
-        spark.read.schema(target.schema).parquet(staged_path).select(*target.columns).write.mode(
-            "overwrite"
-        ).option("partitionOverwriteMode", "static").partitionBy(partition).parquet(path)
-        return
     # The source is computed once; the directories of its copy name the partitions it touches.
     source_path = shared_dir(spark, "upsert-source")
     stage(source, source_path, [partition])
     increment = spark.read.schema(target.schema).parquet(source_path).select(*target.columns)
-    touched = broadcast_if_small(present_days(spark, source_path, partition))
-    affected = target.join(touched, partition, "left_semi")
+    touched = present_days(spark, source_path, partition)
+    if not key_fixes_partition:
+        matched = target.join(increment.select(*keys), list(keys), "left_semi").select(partition)
+        touched_path = shared_dir(spark, "upsert-touched")
+        touched.union(matched).distinct().write.parquet(touched_path)
+        touched = spark.read.parquet(touched_path)
+    affected = target.join(broadcast_if_small(touched), partition, "left_semi")
     stage(upsert(affected, increment, keys), staged_path, [partition])
+    emptied = []
+    if not key_fixes_partition:
+        gone = touched.join(present_days(spark, staged_path, partition), partition, "left_anti")
+        directory = F.regexp_replace("path", "/[^/]*$", "").alias("directory")
+        found = file_inventory(spark, path).join(gone, partition).select(directory).distinct()
+        emptied = [row.directory for row in found.collect()]  # at most one per partition
     promote(staged_path, target, path, [partition])
+    for directory in emptied:
+        remove_path(spark, directory)
 
 
 def backfill_column(

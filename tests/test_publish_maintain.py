@@ -9,7 +9,7 @@ from strata.config import DateRange
 from strata.operators.audit import increment_checks
 from strata.plans import trips as taxi
 from strata.plans.pipeline import Layout, run_pipeline
-from strata.sources import maintenance, publish, readers, writers
+from strata.sources import files, maintenance, publish, writers
 from tests.conftest import SMALL, rows_of
 
 DAY = dt.date(2024, 1, 1)
@@ -26,12 +26,12 @@ def test_publish_and_refuse(spark, folder):
     path, log = f"{root}/t", f"{root}/log"
     checks = increment_checks("amount", "id")
     good = publish.publish(table(spark, "ab"), path, ["day"], checks, "r1", log)
-    assert good.published and not readers.path_exists(spark, good.staged_path)
+    assert good.published and not files.path_exists(spark, good.staged_path)
     doubled = publish.publish(table(spark, "aa"), path, ["day"], checks, "r2", log)
     empty = publish.publish(table(spark, "a").limit(0), path, ["day"], checks, "r3", log)
     assert doubled.audit == {"has_rows": True, "no_null_amount": True, "unique_id": False}
     assert not empty.published and not empty.audit["has_rows"]
-    assert readers.path_exists(spark, doubled.staged_path)
+    assert files.path_exists(spark, doubled.staged_path)
     assert spark.read.parquet(path).count() == 2
     entries = spark.read.parquet(log).orderBy("run_id").select("run_id", "published", "rows", "files")
     assert [tuple(r) for r in entries.collect()] == [("r1", True, 2, 1), ("r2", False, 2, 1), ("r3", False, 0, 0)]
@@ -41,7 +41,7 @@ def test_failure_removes_the_staged_copy(spark, folder):
     path = folder("wap") + "/t"
     with pytest.raises(Exception, match="no_such_column"):
         publish.publish(table(spark, "ab"), path, ["day"], {"bad": F.count("no_such_column") > 0}, "r1")
-    assert not readers.path_exists(spark, f"{path}_staging/r1")
+    assert not files.path_exists(spark, f"{path}_staging/r1")
 
 
 def test_pipeline_is_idempotent(spark, folder):
@@ -93,9 +93,9 @@ def test_compaction_splits_a_large_partition(spark, folder):
 def test_compaction_leaves_good_partitions_alone(spark, folder):
     path = scattered(spark, folder)
     maintenance.compact(spark, path, ["day"])
-    files = rows_of(readers.file_inventory(spark, path).select("path", "modificationTime"))
+    listed = rows_of(files.file_inventory(spark, path).select("path", "modificationTime"))
     maintenance.compact(spark, path, ["day"])
-    assert rows_of(readers.file_inventory(spark, path).select("path", "modificationTime")) == files
+    assert rows_of(files.file_inventory(spark, path).select("path", "modificationTime")) == listed
 
 
 def test_expiry_needs_age_and_newer_versions(spark):

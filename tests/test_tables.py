@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.config import DateRange
 from strata.functions.keys import record_key
 from strata.operators.upsert import upsert
-from strata.sources import catalog, readers, writers
+from strata.sources import catalog, files, readers, writers
 from tests.conftest import rows_of
 
 DAY = dt.date(2024, 1, 1)
@@ -37,7 +37,7 @@ def test_one_file_per_small_partition(spark, folder):
     path = folder()
     df = trips(spark, [(str(i), i % 3, 1.0) for i in range(300)]).repartition(8)
     writers.replace_partitions(df, path, ["day"])
-    assert readers.file_inventory(spark, path).count() == 3
+    assert files.file_inventory(spark, path).count() == 3
 
 
 def test_write_once_keeps_the_first_table(spark, folder):
@@ -64,6 +64,15 @@ def test_upsert_into_table_twice_equals_once(spark, folder, key_fixes_partition)
         assert content(spark, path) == [("a", 0, 1.0), ("b", 0, 9.0), ("c", 1, 1.0), ("d", 3, 9.0)]
 
 
+@pytest.mark.parametrize("key_fixes_partition", [True, False])
+def test_upsert_of_nothing_changes_nothing(spark, folder, key_fixes_partition):
+    path = folder()
+    writers.replace_partitions(trips(spark, [("a", 0, 1.0)]), path, ["day"])
+    nothing = trips(spark, [("a", 0, 2.0)]).where("amount > 5")
+    writers.upsert_into(spark, path, nothing, ["id"], "day", key_fixes_partition)
+    assert content(spark, path) == [("a", 0, 1.0)]
+
+
 def test_key_that_changes_its_partition_leaves_no_copy(spark, folder):
     path = folder()
     writers.replace_partitions(trips(spark, [("a", 0, 1.0), ("b", 1, 1.0)]), path, ["day"])
@@ -71,6 +80,14 @@ def test_key_that_changes_its_partition_leaves_no_copy(spark, folder):
     assert content(spark, path) == [("a", 1, 5.0), ("b", 1, 1.0)]
 
 
+def test_partition_that_loses_its_last_key_disappears(spark, folder):
+    path = folder()
+    writers.replace_partitions(trips(spark, [("a", 0, 1.0), ("b", 1, 1.0), ("c", 2, 1.0)]), path, ["day"])
+    new = trips(spark, [("a", 2, 5.0), ("x", 7, 5.0)])
+    writers.upsert_into(spark, path, new, ["id"], "day", key_fixes_partition=False)
+    assert content(spark, path) == [("a", 2, 5.0), ("b", 1, 1.0), ("c", 2, 1.0), ("x", 7, 5.0)]
+
+
 def test_upsert_keeps_null_keys_of_both_sides(spark):
     old, new = trips(spark, [(None, 0, 1.0), ("a", 0, 1.0)]), trips(spark, [(None, 0, 2.0), ("a", 0, 2.0)])
     assert [r[2] for r in rows_of(upsert(old, new, ["id"]))] == [2.0, 1.0, 2.0]
@@ -149,7 +166,7 @@ def test_backfill_fills_only_holes(spark, folder):
     path = folder()
     df = trips(spark, [("kept", 0, 1.0), (None, 1, 2.0), ("also", 1, 3.0)])
     writers.replace_partitions(df, path, ["day"])
-    untouched = {r.path for r in readers.file_inventory(spark, path).collect() if "day=2024-01-01" in r.path}
+    untouched = {r.path for r in files.file_inventory(spark, path).collect() if "day=2024-01-01" in r.path}
 
     def key(table):
         return record_key(table, ["amount"])
@@ -158,7 +175,7 @@ def test_backfill_fills_only_holes(spark, folder):
     assert writers.backfill_column(spark, path, "id", key, "day") == 0
     ids = {r[2]: r[0] for r in content(spark, path)}
     assert (ids[1.0], ids[3.0], len(ids[2.0])) == ("kept", "also", 32)
-    assert untouched <= {r.path for r in readers.file_inventory(spark, path).collect()}
+    assert untouched <= {r.path for r in files.file_inventory(spark, path).collect()}
     assert writers.backfill_column(spark, path, "other_id", key, "day") == 3
     assert spark.read.option("mergeSchema", "true").parquet(path).where("other_id IS NULL").count() == 0
 
