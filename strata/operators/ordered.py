@@ -1,13 +1,15 @@
 """Order-dependent operators that survive a hot key.
 
-A plain window sends all rows of a key to one task. Here each key is first cut into
-slices along its order: slice bounds are quantiles of the order column over the whole
-table, so a slice holds about 1/n of all rows, however they are spread over keys and time.
-Work runs per (key, slice); only one summary row per (key, slice) is carried across slices.
+A plain window sends all rows of a key to one task. That is fine for keys no larger than an
+average task. A larger key is cut into slices along its order; the bounds are quantiles of the
+order column over the whole table, so no slice holds more than about 1/n of all rows, however
+they are spread over keys and time. Work then runs per (key, slice), and only one summary row
+per slice of a hot key is carried across slices.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.ml.feature import QuantileDiscretizer
@@ -15,12 +17,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.config import shared_dir
+
 SLICE = "_slice"
-# The key columns as one struct: never NULL itself, so rows with a NULL key join like any other
-# while the join still reuses the partitioning of the window. Every slice finds its summary; the
-# joins are left joins only because an inner join would add NULL filters to one side and so keep
-# Spark from computing their common input once.
-KEY = "_key"
+
+
+def join_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """The key columns in a form without NULLs: value or a stand-in, and whether it is NULL.
+
+    Equality on them treats a NULL key as a group like any other, and unlike a null-safe
+    comparison it lets a join reuse the partitioning and sort order of a window.
+    """
+    stand_ins = {"string": "", "boolean": False, "date": dt.date.min, "timestamp": dt.datetime(1, 1, 1)}
+    columns = {}
+    for i, key in enumerate(keys):
+        kind = df.schema[key].dataType
+        stand_in = 0 if isinstance(kind, T.NumericType) else stand_ins.get(kind.typeName().split("_")[0])
+        if stand_in is None:
+            raise TypeError(f"{kind.simpleString()} column {key} cannot be a series key")
+        columns[f"_key{i}"] = F.coalesce(F.col(key), F.lit(stand_in).cast(kind))
+        columns[f"_null{i}"] = F.col(key).isNull()
+    return columns
 
 
 def order_value(df: DataFrame, column: str) -> Column:
@@ -31,23 +48,40 @@ def order_value(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def with_slices(df: DataFrame, column: str, n_slices: int | None = None) -> DataFrame:
-    """Add ``_slice``, which never decreases along ``column`` and has equally filled values.
+def with_slices(df: DataFrame, keys: Sequence[str], column: str, n_slices: int | None = None) -> DataFrame:
+    """Add ``_slice``: NULL for ordinary keys; for hot keys a number that never decreases along ``column``.
 
-    The bounds come from a mergeable quantile sketch (one pass over one column) and become
-    constants of the plan, so a retried task assigns the same slices. Equal order values
-    always share a slice.
+    A key is hot when it has more rows than the average of ``n_slices`` tasks, so there are fewer
+    than ``n_slices`` such keys and their list can be broadcast. It is written down and the slice
+    bounds are constants of the plan: a retried task assigns the same slices. Equal order values
+    share a slice.
     """
-    n_slices = n_slices or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    spark = df.sparkSession
+    n_slices = n_slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    rows = F.count(F.lit(1))
+    busy = df.groupBy(*keys).agg(rows.alias("_rows")).where(F.col("_rows") > df.count() / n_slices)
+    hot_path = shared_dir(spark, "hot-keys")
+    busy.select(*keys).write.parquet(hot_path)
+    hot = spark.read.schema(df.select(*keys).schema).parquet(hot_path)
+    if hot.isEmpty():
+        return df.withColumn(SLICE, F.lit(None).cast("int"))
     prepared = df.withColumn("_order", order_value(df, column))
     model = QuantileDiscretizer(
         numBuckets=n_slices,
         inputCol="_order",
-        outputCol=SLICE,
+        outputCol="_bucket",
         relativeError=min(0.01, 0.25 / n_slices),
         handleInvalid="keep",
     ).fit(prepared.select("_order"))
-    return model.transform(prepared).drop("_order").withColumn(SLICE, F.col(SLICE).cast("int"))
+    key = join_keys(df, keys)
+    marks = F.broadcast(hot.select(*(c.alias(n) for n, c in join_keys(hot, keys).items()), F.lit(True).alias("_hot")))
+    return (
+        model.transform(prepared)
+        .withColumns(key)
+        .join(marks, list(key), "left")
+        .withColumn(SLICE, F.when(F.col("_hot"), F.col("_bucket").cast("int")))
+        .drop("_order", "_bucket", "_hot", *key)
+    )
 
 
 def running_sum(
@@ -59,29 +93,35 @@ def running_sum(
     per-slice sums. ``order`` must be unique within a key. ``total`` names an optional
     column with the sum over the whole key.
     """
-    rows = sliced.withColumns({"_value": value, KEY: F.struct(*keys)})
-    inside = Window.partitionBy(KEY, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    across = Window.partitionBy(KEY)
+    key = join_keys(sliced, keys)
+    rows = sliced.withColumns({"_value": value, **key})
+    group = Window.partitionBy(*key, SLICE)
+    inside = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    across = Window.partitionBy(*key)
     before = across.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     slice_sum = F.sum("_slice_sum")
     offsets = (
-        rows.groupBy(KEY, SLICE)
+        _hot_rows(rows)
+        .groupBy(*key, SLICE)
         .agg(F.sum("_value").alias("_slice_sum"))
-        .select(
-            KEY,
-            SLICE,
-            F.coalesce(slice_sum.over(before), F.lit(0)).alias("_offset"),
-            *([slice_sum.over(across).alias(total)] if total else []),
-        )
+        .select(*key, SLICE, slice_sum.over(before).alias("_offset"), slice_sum.over(across).alias("_sum"))
     )
+    results = {out: F.col("_running") + F.coalesce("_offset", F.lit(0))}
+    if total:
+        rows = rows.withColumn("_group_sum", F.sum("_value").over(group))
+        results[total] = F.coalesce("_sum", "_group_sum")
     return (
         rows.withColumn("_running", F.sum("_value").over(inside))
-        .join(offsets, [KEY, SLICE], "left")
-        .withColumn(out, F.col("_running") + F.col("_offset"))
-        .drop("_value", "_running", "_offset", KEY)
+        .join(offsets, [*key, SLICE], "left")
+        .withColumns(results)
+        .drop("_value", "_running", "_group_sum", "_offset", "_sum", *key)
     )
 
 
+def _hot_rows(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col(SLICE).isNotNull())
+
+
 def previous_row(
     sliced: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], prefix: str = "prev_"
 ) -> DataFrame:
@@ -91,20 +131,22 @@ def previous_row(
     nearest earlier slice of that key. ``order`` must be unique within a key.
     """
     payload = [*order, *(c for c in columns if c not in order)]
-    rows = sliced.withColumns({"_current": F.struct(*payload), KEY: F.struct(*keys)})
-    inside = Window.partitionBy(KEY, SLICE).orderBy(*order)
-    across = Window.partitionBy(KEY).orderBy(SLICE)
+    key = join_keys(sliced, keys)
+    rows = sliced.withColumns({"_current": F.struct(*payload), **key})
+    inside = Window.partitionBy(*key, SLICE).orderBy(*order)
+    across = Window.partitionBy(*key).orderBy(SLICE)
     carried = (
-        rows.groupBy(KEY, SLICE)
+        _hot_rows(rows)
+        .groupBy(*key, SLICE)
         .agg(F.max("_current").alias("_last"))
-        .select(KEY, SLICE, F.lag("_last").over(across).alias("_carried"))
+        .select(*key, SLICE, F.lag("_last").over(across).alias("_carried"))
     )
     previous = F.coalesce("_previous", "_carried")
     return (
         rows.withColumn("_previous", F.lag("_current").over(inside))
-        .join(carried, [KEY, SLICE], "left")
+        .join(carried, [*key, SLICE], "left")
         .withColumns({f"{prefix}{c}": previous[c] for c in columns})
-        .drop("_current", "_previous", "_carried", KEY)
+        .drop("_current", "_previous", "_carried", *key)
     )
 
 

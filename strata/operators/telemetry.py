@@ -48,7 +48,7 @@ def counter_deltas(
     A counter that drops was restarted, so its new value is the growth. The first sample of
     a series has no growth.
     """
-    linked = previous_row(with_slices(samples, ts), series, order, [value])
+    linked = previous_row(with_slices(samples, series, ts), series, order, [value])
     grown = F.col(value) - F.col(f"prev_{value}")
     return linked.withColumn("delta", F.when(grown < 0, F.col(value)).otherwise(grown))
 
@@ -74,7 +74,7 @@ def sustained(
     samples: DataFrame, ts: str, series: Sequence[str], order: Sequence[str], condition: Column, seconds: float
 ) -> DataFrame:
     """Stretches of consecutive samples on which a condition held for at least ``seconds``."""
-    stretches = runs(with_slices(samples, ts), series, order, condition)
+    stretches = runs(with_slices(samples, series, ts), series, order, condition)
     return stretches.withColumn("seconds", seconds_between("run_start", "run_end")).where(
         F.col("seconds") >= seconds
     )

@@ -49,7 +49,7 @@ def by_key(rows):
 
 @pytest.mark.parametrize("n_slices", [2, 7, 64])
 def test_running_sum(frame, rows, n_slices):
-    sliced = ordered.with_slices(frame, "ts", n_slices)
+    sliced = ordered.with_slices(frame, ["k"], "ts", n_slices)
     found = ordered.running_sum(sliced, ["k"], ["ts", "event_id"], F.col("value"), "total", total="whole")
     expected = []
     for group in by_key(rows).values():
@@ -62,7 +62,7 @@ def test_running_sum(frame, rows, n_slices):
 
 @pytest.mark.parametrize("n_slices", [2, 64])
 def test_previous_row(frame, rows, n_slices):
-    sliced = ordered.with_slices(frame, "ts", n_slices)
+    sliced = ordered.with_slices(frame, ["k"], "ts", n_slices)
     found = ordered.previous_row(sliced, ["k"], ["ts", "event_id"], ["value", "event_id"])
     expected = []
     for group in by_key(rows).values():
@@ -86,11 +86,20 @@ def test_sustained(frame, rows):
 
 
 def test_slices_split_a_hot_key_evenly(frame):
-    sliced = ordered.with_slices(frame, "ts", 16)
+    sliced = ordered.with_slices(frame, ["k"], "ts", 16)
     largest = sliced.where("k = 0").groupBy("_slice").count().agg(F.max("count")).first()[0]
     assert largest < frame.count() / 4
 
 
+def test_ordinary_keys_need_no_slices(spark):
+    even = spark.range(800).selectExpr("id AS event_id", "id % 80 AS k", "timestamp_micros(id) AS ts", "1 AS value")
+    sliced = ordered.with_slices(even, ["k"], "ts", 8)
+    found = ordered.running_sum(sliced, ["k"], ["ts"], F.col("value"), "total")
+    plan = final_plan(found)
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    assert found.agg(F.max("total")).first()[0] == 10
+
+
 @pytest.mark.parametrize("gap", [600, 3600])
 def test_silence(frame, rows, gap):
     found = telemetry.silence(frame, "ts", ["k"], gap)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.config import DateRange
 from strata.functions.sizing import broadcast_if_small
-from strata.operators import marts
+from strata.operators import marts, ordered
 from strata.plans import trips as taxi
 from strata.plans.queries import QUERIES
 from strata.sources import readers, writers
@@ -59,17 +60,20 @@ def test_only_a_small_side_is_broadcast(spark):
         spark.conf.set(conf, before)
 
 
-def test_offsets_are_joined_without_another_shuffle_of_the_rows(spark):
+def test_offsets_of_hot_keys_cost_no_further_shuffle_of_the_rows(spark):
+    one_key = spark.range(1000).selectExpr("id AS event_id", "1 AS k", "timestamp_micros(id) AS ts", "id % 7 AS v")
     conf = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(conf)
     spark.conf.set(conf, "-1")
     try:
-        plan = final_plan(QUERIES["q_sustained"](spark, SMALL))
+        sliced = ordered.with_slices(one_key, ["k"], "ts", 8)
+        plan = final_plan(ordered.running_sum(sliced, ["k"], ["ts"], F.col("v"), "total"))
     finally:
         spark.conf.set(conf, before)
-    rows_side = plan[plan.index("SortMergeJoin") : plan.rindex("FileScan")]
-    rows_side = rows_side[: rows_side.index("FileScan")]
+    rows_side = plan[plan.index("SortMergeJoin") :]
+    rows_side = rows_side[: rows_side.index("Range")]
     assert rows_side.count("Exchange hashpartitioning") == 1
+    assert "_slice" in rows_side[rows_side.index("Exchange hashpartitioning") :].splitlines()[0]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
