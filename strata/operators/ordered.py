@@ -9,7 +9,6 @@ per slice of a hot key is carried across slices.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.ml.feature import QuantileDiscretizer
@@ -28,12 +27,16 @@ def join_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
     Equality on them treats a NULL key as a group like any other, and unlike a null-safe
     comparison it lets a join reuse the partitioning and sort order of a window.
     """
-    stand_ins = {"string": "", "boolean": False, "date": dt.date.min, "timestamp": dt.datetime(1, 1, 1)}
     columns = {}
     for i, key in enumerate(keys):
         kind = df.schema[key].dataType
-        stand_in = 0 if isinstance(kind, T.NumericType) else stand_ins.get(kind.typeName().split("_")[0])
-        if stand_in is None:
+        if isinstance(kind, T.NumericType):
+            stand_in = "0"
+        elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            stand_in = "1970-01-01"
+        elif isinstance(kind, T.StringType):
+            stand_in = ""
+        else:
             raise TypeError(f"{kind.simpleString()} column {key} cannot be a series key")
         columns[f"_key{i}"] = F.coalesce(F.col(key), F.lit(stand_in).cast(kind))
         columns[f"_null{i}"] = F.col(key).isNull()

@@ -85,6 +85,17 @@ def test_sustained(frame, rows):
     assert rows_of(found.select("k", "run_start", "run_end", "run_rows", "seconds")) == sorted(expected, key=repr)
 
 
+def test_null_keys_of_every_type_are_a_series_of_their_own(spark):
+    data = [(i, None if i % 2 else "", None if i % 2 else dt.date(1970, 1, 1), None if i % 2 else 0.0) for i in range(40)]
+    df = spark.createDataFrame(data, "n int, a string, b date, c double").withColumn("t", F.timestamp_seconds("n"))
+    df = df.withColumn("t2", F.when(F.col("n") % 2 == 0, F.timestamp_seconds(F.lit(0))))
+    keys = ["a", "b", "c", "t2"]
+    found = ordered.running_sum(ordered.with_slices(df, keys, "t", 5), keys, ["n"], F.lit(1), "seen")
+    assert rows_of(found.select("n", "seen")) == sorted(((n, n // 2 + 1) for n in range(40)), key=repr)
+    with pytest.raises(TypeError, match="cannot be a series key"):
+        ordered.join_keys(df.withColumn("x", F.array("n")), ["x"])
+
+
 def test_slices_split_a_hot_key_evenly(frame):
     sliced = ordered.with_slices(frame, ["k"], "ts", 16)
     largest = sliced.where("k = 0").groupBy("_slice").count().agg(F.max("count")).first()[0]
