@@ -14,6 +14,7 @@ from strata.functions import calendar
 from strata.functions.sizing import broadcast_if_small
 from strata.operators.quantiles import exact_quantiles
 
+# Column names of the published fact table.
 FACT_COLUMNS = (
     "trip_id",
     "pickup_date",

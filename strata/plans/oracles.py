@@ -512,6 +512,17 @@ SELECT (SELECT count(*) FROM trips) AS total_rows, count(*) AS distinct_rows,
         """
 SELECT pickup_date, count(*) AS rows, round(sum(total_amount), 2) AS revenue, CAST(8 AS BIGINT) AS files_before,
   CAST(1 AS BIGINT) AS files_after FROM fact GROUP BY 1"""
+    ),
+    "q_maintain": _with_fact(
+        """, runs AS (
+  SELECT pickup_date, row_number() OVER (ORDER BY pickup_date DESC) > 15
+    AND pickup_date < DATE '2024-02-10' - INTERVAL 20 DAY AS gone
+  FROM (SELECT DISTINCT pickup_date FROM fact)
+)
+SELECT step, true AS ok, CAST(CASE step WHEN 'compact' THEN (SELECT count(*) FROM runs)
+    WHEN 'expire' THEN (SELECT count(*) FROM runs WHERE gone) ELSE 0 END AS BIGINT) AS items,
+  (SELECT count(*) FROM runs WHERE NOT gone) AS kept_runs, (SELECT count(*) FROM fact) AS rows
+FROM (VALUES ('compact'), ('expire'), ('orphans')) AS s(step)"""
     ),
     "q_expire_select": """
 SELECT o_orderstatus AS table_path, o_orderkey AS run_id, o_orderdate AS committed_at FROM (

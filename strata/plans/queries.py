@@ -446,6 +446,29 @@ def q_compact(spark, sf_dir):
     return rounded(rows.join(files, "pickup_date"), revenue=2)
 
 
+@query
+def q_maintain(spark, sf_dir):
+    """All maintenance steps on a fact table of small files with one logged run per day."""
+    root, path = shared_dir(spark, "lake"), shared_dir(spark, "fact")
+    fact = facts(spark, sf_dir)
+    fact.repartition(8).write.partitionBy("pickup_date").parquet(path)
+    log = fact.select("pickup_date").distinct().select(
+        F.lit(path).alias("table_path"),
+        F.col("pickup_date").cast("string").alias("run_id"),
+        F.lit(True).alias("published"),
+        F.col("pickup_date").cast("timestamp").alias("committed_at"),
+    )
+    log.write.parquet(f"{root}/log")
+    publish.record_manifest(spark, path, "2024-01-31", f"{root}/manifest")
+    table = maintenance.MaintainedTable(path, ("pickup_date",), f"{root}/log", f"{root}/manifest")
+    done = maintenance.maintain(
+        spark, [table], "full", as_of=dt.datetime(2024, 2, 10, tzinfo=dt.timezone.utc), days_to_keep=20, retain_last=15
+    )
+    kept = spark.read.parquet(f"{root}/log").agg(F.count(F.lit(1)).alias("n")).scalar()
+    rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return done.select("step", "ok", "items").withColumns({"kept_runs": kept, "rows": rows})
+
+
 @query
 def q_expire_select(spark, sf_dir):
     log = taxi.table(spark, sf_dir, "orders").select(

@@ -15,6 +15,7 @@ from strata.operators.dedup import dedup_latest, distinct_on_key
 from strata.operators.marts import FACT_COLUMNS, fact_trips
 from strata.sources.contracts import RAW_TRIP
 from strata.sources.files import path_exists
+from strata.sources.readers import read_contract
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
@@ -167,7 +168,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             derived = derived.repartition(cores)  # a small input: give every core a file to read
         derived.write.parquet(path)
         _RAW_TABLES[known] = path
-    return spark.read.schema(RAW_TRIP).parquet(path)
+    return read_contract(spark, path, RAW_TRIP)
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:

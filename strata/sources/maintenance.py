@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strata.config import shared_dir
 from strata.sources.contracts import contract
 from strata.sources.files import file_inventory
+from strata.sources.publish import record_manifest
 from strata.sources.readers import literal_table
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024  # fixed value: documented target file size
@@ -136,7 +137,8 @@ def maintain(
     """Run the steps of ``mode`` on every table; one failing table does not stop the rest.
 
     ``skip`` applies to mode ``full``. ``items`` counts rewritten partitions, expired runs
-    and orphan files. Orphan files are reported, not deleted: a file of a write still in
+    and orphan files. The run that readers see never expires, and compaction adds its files to
+    the manifest of that run. Orphan files are reported, not deleted: a file of a write still in
     progress is not in any manifest either.
     """
     steps = [s for s in MODES[mode] if mode != "full" or s not in skip]
@@ -155,17 +157,24 @@ def maintain(
 def _run_step(
     spark: SparkSession, step: str, table: MaintainedTable, now: dt.datetime, days: int, retain: int
 ) -> int:
+    if table.log_path is not None:
+        log = spark.read.parquet(table.log_path).where(F.col("table_path") == table.path)
+        visible = newest_versions(log.where("published"), "table_path", "run_id", "committed_at", 1)
+        visible_run = visible.select("table_path", "run_id").first()
     if step == "compact":
-        report = compact(spark, table.path, table.partition_columns)
-        return report.where("files_after < files_before").count()
-    log = spark.read.parquet(table.log_path).where(F.col("table_path") == table.path)
+        rewritten = compact(spark, table.path, table.partition_columns)
+        n = rewritten.where("files_after < files_before").count()
+        if n and table.manifest_path is not None:
+            record_manifest(spark, table.path, visible_run.run_id, table.manifest_path)
+        return n
+    if visible_run is None:
+        raise ValueError(f"no published run of {table.path} is known")
+    is_visible = F.col("run_id") == visible_run.run_id
     if step == "expire":
         expired = expire_candidates(log, F.lit(now), days_to_keep=days, retain_last=retain)
-        return drop_runs(spark, table, expired)
+        return drop_runs(spark, table, expired.where(~is_visible))
     manifest = spark.read.parquet(table.manifest_path).where(F.col("table_path") == table.path)
-    last_run = newest_versions(log.where("published"), "table_path", "run_id", "committed_at", 1)
-    live = manifest.join(last_run, ["table_path", "run_id"], "left_semi")
-    return orphans(file_inventory(spark, table.path), live).count()
+    return orphans(file_inventory(spark, table.path), manifest.where(is_visible)).count()
 
 
 def drop_runs(spark: SparkSession, table: MaintainedTable, expired: DataFrame) -> int:

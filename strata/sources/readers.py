@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.config import DateRange
+from strata.sources.contracts import require_contract
 from strata.sources.files import file_inventory, path_exists
 
 
@@ -29,6 +30,11 @@ def read_parquet(spark: SparkSession, path: str, missing_ok: bool = False) -> Da
     return spark.read.parquet(path)
 
 
+def read_contract(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Raw files whose own schema is checked against the declared one before anything is read."""
+    return require_contract(spark.read.parquet(path), schema)
+
+
 def present_days(spark: SparkSession, path: str, column: str) -> DataFrame | None:
     """Days that have a partition directory, from the file listing alone; None without a table."""
     if not path_exists(spark, path):

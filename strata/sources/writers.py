@@ -171,13 +171,13 @@ def backfill_column(
     return n_nulls
 
 
-def rewrite_table(df: DataFrame, path: str) -> str:
-    """Replace an unpartitioned table as a whole; returns the path of the staged copy.
+def rewrite_table(df: DataFrame, path: str, backup_path: str) -> None:
+    """Replace an unpartitioned table as a whole, after copying the old one to ``backup_path``.
 
     ``df`` may read ``path`` itself: it is computed completely before the old files go.
     """
     spark = df.sparkSession
     staged_path = shared_dir(spark, "rewrite")
+    spark.read.parquet(path).write.mode("error").parquet(backup_path)
     df.write.parquet(staged_path)
     spark.read.parquet(staged_path).write.mode("overwrite").parquet(path)
-    return staged_path

@@ -138,6 +138,23 @@ def test_maintenance_steps_and_isolation(spark, folder):
     assert rows_of(spark.read.parquet(good.manifest_path).select("run_id").distinct()) == [("run-02",), ("run-03",)]
 
 
+def test_compacted_files_are_no_orphans(spark, folder):
+    spec = published(spark, folder, 2)
+    table(spark, [str(i) for i in range(50)], day=1).repartition(5).write.mode("append").partitionBy("day").parquet(spec.path)
+    publish.record_manifest(spark, spec.path, "run-01", spec.manifest_path)
+    done = {r.step: r.items for r in maintenance.maintain(spark, [spec], as_of=NOW, retain_last=5).collect()}
+    assert done == {"compact": 1, "expire": 0, "orphans": 0}
+
+
+def test_the_visible_run_outlives_failed_ones(spark, folder):
+    spec = published(spark, folder, 1)
+    for i in range(3):
+        refused = {"never": F.count(F.lit(1)) < 0}
+        publish.publish(table(spark, "c"), spec.path, ["day"], refused, f"refused-{i}", spec.log_path, spec.manifest_path, NOW)
+    done = {r.step: r for r in maintenance.maintain(spark, [spec], "monthly", as_of=NOW, retain_last=2).collect()}
+    assert (done["expire"].items, done["orphans"].items) == (0, 0)
+
+
 def test_maintenance_modes(spark, folder):
     spec = published(spark, folder, 1)
 
