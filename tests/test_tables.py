@@ -40,6 +40,21 @@ def test_one_file_per_small_partition(spark, folder):
     assert files.file_inventory(spark, path).count() == 3
 
 
+def test_a_hot_partition_is_written_by_several_tasks(spark, folder):
+    path, conf = folder(), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "64KB")
+    try:
+        rows = spark.range(0, 60000, 1, 8).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).alias("day"), F.rand(1).alias("x")
+        )
+        writers.replace_partitions(rows, path, ["day"])
+    finally:
+        spark.conf.set(conf, before)
+    files_per_day = dict(rows_of(files.file_inventory(spark, path).groupBy("day").count()))
+    assert files_per_day[0] >= 4 and spark.read.parquet(path).count() == 60000
+
+
 def test_write_once_keeps_the_first_table(spark, folder):
     path = folder()
     writers.write_once(trips(spark, [("a", 0, 1.0)]), path)
