@@ -88,13 +88,20 @@ def with_slices(df: DataFrame, keys: Sequence[str], column: str, n_slices: int |
 
 
 def running_sum(
-    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, total: str | None = None
+    sliced: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: Column,
+    out: str,
+    total: str | None = None,
+    all_sliced: bool = False,
 ) -> DataFrame:
     """Running total of ``value`` per key up to and including the current row.
 
     Inside a slice a window does it; the total of all earlier slices is added from the
     per-slice sums. ``order`` must be unique within a key. ``total`` names an optional
-    column with the sum over the whole key.
+    column with the sum over the whole key. ``all_sliced`` says that no slice is NULL: both
+    sides of the join then share one shuffle of their input.
     """
     key = join_keys(sliced, keys)
     rows = sliced.withColumns({"_value": value, **key})
@@ -104,7 +111,7 @@ def running_sum(
     before = across.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     slice_sum = F.sum("_slice_sum")
     offsets = (
-        _hot_rows(rows)
+        (rows if all_sliced else _hot_rows(rows))
         .groupBy(*key, SLICE)
         .agg(F.sum("_value").alias("_slice_sum"))
         .select(*key, SLICE, slice_sum.over(before).alias("_offset"), slice_sum.over(across).alias("_sum"))

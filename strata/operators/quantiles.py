@@ -42,7 +42,7 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn(SLICE, value_bin(F.col("_v")))
     )
-    placed = running_sum(counts, groups, ["_v"], F.col("_n"), "_upto", total="_total")
+    placed = running_sum(counts, groups, ["_v"], F.col("_n"), "_upto", "_total", all_sliced=True)
 
     def value_at(rank):
         covers = (F.col("_upto") - F.col("_n") < rank) & (rank <= F.col("_upto"))

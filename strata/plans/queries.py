@@ -306,8 +306,8 @@ def q_landing_split(spark, sf_dir):
 @query
 def q_bronze_incremental(spark, sf_dir):
     landing, bronze = _land(spark, sf_dir), shared_dir(spark, "bronze")
-    writers.append_new_days(spark, landing, bronze, DateRange.of("2024-01-01", "2024-01-10"))
-    writers.append_new_days(spark, landing, bronze, DateRange.of("2024-01-05", "2024-01-15"))
+    writers.append_new_days(spark, landing, bronze, DateRange.of("2024-01-01", "2024-01-20"))
+    writers.append_new_days(spark, landing, bronze, DateRange.of("2024-01-10", "2024-01-31"))
     return spark.read.parquet(bronze).groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -382,7 +382,7 @@ def q_backfill(spark, sf_dir):
 def q_pipeline(spark, sf_dir):
     """Landing to gold for two overlapping ranges; the daily summary that readers see."""
     layout, landing = Layout(shared_dir(spark, "lake")), _land(spark, sf_dir)
-    for run, days in enumerate((("2024-01-01", "2024-01-12"), ("2024-01-10", "2024-01-20"))):
+    for run, days in enumerate((("2024-01-01", "2024-01-20"), ("2024-01-15", "2024-01-31"))):
         result = run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of(*days), f"run-{run}")
         if not result.published:
             raise RuntimeError(f"audit failed: {result}")
