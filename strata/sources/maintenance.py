@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.config import shared_dir
 from strata.sources.contracts import contract
-from strata.sources.files import file_inventory
+from strata.sources.files import file_inventory, remove_path
 from strata.sources.publish import record_manifest
 from strata.sources.readers import literal_table
 
@@ -72,6 +72,7 @@ def compact(
             .partitionBy(*columns)
             .parquet(path)
         )
+    remove_path(spark, staged_path)
     sizes = {"files": "files_before", "bytes": "bytes_before"}
     after = compaction_plan(spark, path, columns, target_bytes).select(
         *columns, F.col("files").alias("files_after"), F.col("bytes").alias("bytes_after")
@@ -191,4 +192,6 @@ def drop_runs(spark: SparkSession, table: MaintainedTable, expired: DataFrame) -
             staged_path = shared_dir(spark, "log")
             spark.read.parquet(path).join(gone, keys, "left_anti").write.parquet(staged_path)
             spark.read.parquet(staged_path).write.mode("overwrite").parquet(path)
+            remove_path(spark, staged_path)
+    remove_path(spark, expired_path)
     return count

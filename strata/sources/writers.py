@@ -1,7 +1,8 @@
 """Writing partitioned tables.
 
 All writers replace whole partitions and can be repeated after a failure: a second run
-writes the same partitions again.
+writes the same partitions again. A staged copy is removed once it is in place; after a
+failure it stays.
 """
 
 from __future__ import annotations
@@ -143,7 +144,7 @@ def upsert_into(
         found = file_inventory(spark, path).join(gone, partition).select(directory).distinct()
         emptied = [row.directory for row in found.collect()]  # at most one per partition
     promote(staged_path, target, path, [partition])
-    for directory in emptied:
+    for directory in (*emptied, staged_path, source_path):
         remove_path(spark, directory)
 
 
@@ -168,6 +169,7 @@ def backfill_column(
     staged_path = shared_dir(spark, "backfill")
     stage(filled, staged_path, [partition])
     promote(staged_path, filled, path, [partition])
+    remove_path(spark, staged_path)
     return n_nulls
 
 
@@ -181,3 +183,4 @@ def rewrite_table(df: DataFrame, path: str, backup_path: str) -> None:
     spark.read.parquet(path).write.mode("error").parquet(backup_path)
     df.write.parquet(staged_path)
     spark.read.parquet(staged_path).write.mode("overwrite").parquet(path)
+    remove_path(spark, staged_path)
