@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -16,3 +17,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     """
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(source, allowMissingColumns=False)
+
+
+def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once; rows with a NULL in the key never match and do not count."""
+    return (
+        source.select(*keys)
+        .dropna()
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where("rows > 1")
+    )

@@ -181,6 +181,25 @@ _BREAKDOWN = """
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS samples
 FROM events GROUP BY ALL"""
 
+_RATE = """
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, count(*) AS samples,
+  round(count(*) / 300.0 + 1e-9, 6) AS rate FROM events GROUP BY 1, 2"""
+
+_GAPS = """
+SELECT user_id, gap_start, gap_end, round((epoch_us(gap_end) - epoch_us(gap_start)) / 1000000.0 + 1e-9, 6) AS seconds FROM (
+  SELECT user_id, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap_start, ts AS gap_end FROM events)
+WHERE epoch_us(gap_end) - epoch_us(gap_start) >= 43200000000"""
+
+_SESSIONS = """
+WITH marked AS (
+  SELECT user_id, ts, CASE WHEN ts > lag(ts) OVER w + INTERVAL {minutes} MINUTE THEN 1 ELSE 0 END AS fresh
+  FROM events {where} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+), numbered AS (
+  SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM marked
+)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL {minutes} MINUTE AS session_end, count(*) AS samples
+FROM numbered GROUP BY user_id, s"""
+
 _HOURS = """
 WITH hours AS (
   SELECT unnest(generate_series(date_trunc('hour', min(ts)), date_trunc('hour', max(ts)), INTERVAL 1 HOUR)) AS unit_start
@@ -532,9 +551,7 @@ WHERE r > 10 AND o_orderdate < (SELECT max(o_orderdate) FROM orders) - INTERVAL
 SELECT concat('file-', p_partkey) AS path, p_size AS length FROM part WHERE p_partkey NOT IN (
   SELECT l_partkey FROM lineitem WHERE l_shipdate >= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 30 DAY)""",
     # metric samples
-    "q_rate_5m": """
-SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, count(*) AS samples,
-  round(count(*) / 300.0 + 1e-9, 6) AS rate FROM events GROUP BY 1, 2""",
+    "q_rate_5m": _RATE,
     "q_counter_rate": """
 WITH linked AS (
   SELECT ts, user_id, event_type, value,
@@ -574,10 +591,7 @@ SELECT event_type, count(*) AS series, round(sum(value) + 1e-9, 6) AS total FROM
 SELECT event_type, ts::DATE AS day, count(*) AS samples, round(sum(value) + 1e-9, 6) AS total
 FROM events WHERE regexp_full_match(event_type, 'err.*|purchase') GROUP BY 1, 2""",
     "q_state_breakdown": _BREAKDOWN,
-    "q_heartbeat_gaps": """
-SELECT user_id, gap_start, gap_end, round((epoch_us(gap_end) - epoch_us(gap_start)) / 1000000.0 + 1e-9, 6) AS seconds FROM (
-  SELECT user_id, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap_start, ts AS gap_end FROM events)
-WHERE epoch_us(gap_end) - epoch_us(gap_start) >= 43200000000""",
+    "q_heartbeat_gaps": _GAPS,
     "q_uptime": """
 SELECT user_id, min(ts) AS started,
   round((epoch_us((SELECT max(ts) FROM events)) - epoch_us(min(ts))) / 1000000.0 + 1e-9, 6) AS uptime_seconds
@@ -594,13 +608,8 @@ FROM hours LEFT JOIN tally USING (unit_start)""",
     # streaming
     "q_stream_bronze": _raw(f" SELECT day AS ingestion_date, count(*) AS rows FROM {_LANDED} GROUP BY 1"),
     "q_stream_state_breakdown": _BREAKDOWN,
-    "q_stream_sessions": """
-WITH marked AS (
-  SELECT user_id, ts, CASE WHEN ts > lag(ts) OVER w + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh
-  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
-), numbered AS (
-  SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM marked
-)
-SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS samples
-FROM numbered GROUP BY user_id, s""",
+    "q_stream_rate": _RATE,
+    "q_stream_sessions": _SESSIONS.format(minutes=30, where=""),
+    "q_stream_error_sessions": _SESSIONS.format(minutes=360, where="WHERE event_type = 'error'"),
+    "q_stream_silence": _GAPS,
 }

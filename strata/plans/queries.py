@@ -609,19 +609,40 @@ def _event_stream(spark, sf_dir):
     return streams.stream_samples(spark, sf_dir, files="events.parquet")
 
 
-@query
-def q_stream_state_breakdown(spark, sf_dir):
+def _streamed(spark, result: DataFrame) -> DataFrame:
+    """Run a streaming result to the end; its table with timestamps as in the input."""
     root = shared_dir(spark, "stream")
-    result = telemetry.state_breakdown(_event_stream(spark, sf_dir), "ts", ["event_type"], "1 hour")
     streams.run_to_table(result, f"{root}/table", f"{root}/checkpoint", "complete")
-    return spark.read.parquet(f"{root}/table").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    found = spark.read.parquet(f"{root}/table")
+    stamps = [f.name for f in found.schema.fields if f.dataType.typeName() == "timestamp"]
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
 
 
 @query
-def q_stream_sessions(spark, sf_dir):
-    root = shared_dir(spark, "stream")
-    result = streams.sessions(_event_stream(spark, sf_dir), "ts", ["user_id"], "30 minutes")
-    streams.run_to_table(result, f"{root}/table", f"{root}/checkpoint", "complete")
-    return spark.read.parquet(f"{root}/table").withColumns(
-        {c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")}
+def q_stream_state_breakdown(spark, sf_dir):
+    return _streamed(
+        spark, telemetry.state_breakdown(_event_stream(spark, sf_dir), "ts", ["event_type"], "1 hour")
     )
+
+
+@query
+def q_stream_rate(spark, sf_dir):
+    return rounded(_streamed(spark, telemetry.event_rate(_event_stream(spark, sf_dir), "ts", ["event_type"])))
+
+
+@query
+def q_stream_sessions(spark, sf_dir):
+    return _streamed(spark, streams.sessions(_event_stream(spark, sf_dir), "ts", ["user_id"], "30 minutes"))
+
+
+@query
+def q_stream_error_sessions(spark, sf_dir):
+    """Stretches of errors of a user; unlike ``q_sustained`` other events do not end them."""
+    errors = _event_stream(spark, sf_dir).where(F.col("event_type") == "error")
+    return _streamed(spark, streams.sessions(errors, "ts", ["user_id"], "6 hours"))
+
+
+@query
+def q_stream_silence(spark, sf_dir):
+    sessions = _streamed(spark, streams.sessions(_event_stream(spark, sf_dir), "ts", ["user_id"], "12 hours"))
+    return rounded(streams.silence_between(sessions, ["user_id"], 12 * 3600))

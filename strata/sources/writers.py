@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.config import DateRange, shared_dir
 from strata.functions.sizing import broadcast_if_small
-from strata.operators.upsert import upsert
+from strata.operators.upsert import repeated_keys, upsert
 from strata.sources.files import file_inventory, remove_path
 from strata.sources.readers import missing_days, present_days, read_parquet
 
@@ -117,7 +117,8 @@ def upsert_into(
     If a key always stays in one partition, only the partitions named by the source are
     read and rewritten. Otherwise the keys are also looked up in all other partitions, and
     those with a match are rewritten too, or removed if nothing remains. Either way the
-    result is staged before it replaces anything.
+    result is staged before it replaces anything. A source with two rows for one key is
+    refused, because either could win.
     """
     target = read_parquet(spark, path, missing_ok=True)
     if target is None:
@@ -129,6 +130,9 @@ def upsert_into(
     source_path = shared_dir(spark, "upsert-source")
     stage(source, source_path, [partition])
     increment = spark.read.schema(target.schema).parquet(source_path).select(*target.columns)
+    if not repeated_keys(increment, keys).isEmpty():
+        remove_path(spark, source_path)
+        raise ValueError(f"the source of an upsert repeats a key of {list(keys)}")
     touched = present_days(spark, source_path, partition)
     if not key_fixes_partition:
         matched = target.join(increment.select(*keys), list(keys), "left_semi").select(partition)

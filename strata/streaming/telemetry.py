@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.telemetry import state_breakdown
+from strata.operators.telemetry import seconds_between, state_breakdown
 from strata.sources.contracts import SAMPLES
 
 def stream_samples(
@@ -46,6 +46,25 @@ def sessions(stream: DataFrame, ts: str, series: Sequence[str], gap: str) -> Dat
     )
 
 
+def silence_between(found: DataFrame, series: Sequence[str], gap_seconds: int) -> DataFrame:
+    """Silent stretches between the stored sessions of a series.
+
+    A session ends one gap after its last sample. Sessions of a series are at least that
+    far apart, so the window sees few rows however many samples there were.
+    """
+    following = Window.partitionBy(*series).orderBy("session_start")
+    last_sample = F.col("session_end") - F.make_dt_interval(secs=F.lit(gap_seconds))
+    return (
+        found.select(
+            *series,
+            last_sample.alias("gap_start"),
+            F.lead("session_start").over(following).alias("gap_end"),
+        )
+        .where(F.col("gap_end").isNotNull())
+        .withColumn("seconds", seconds_between("gap_start", "gap_end"))
+    )
+
+
 def run_to_table(result: DataFrame, path: str, checkpoint: str, mode: str) -> None:
     """Process everything that is available and stop.
 

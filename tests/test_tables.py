@@ -90,6 +90,15 @@ def test_upsert_of_nothing_changes_nothing(spark, folder, key_fixes_partition):
     assert content(spark, path) == [("a", 0, 1.0)]
 
 
+def test_upsert_refuses_a_source_that_repeats_a_key(spark, folder):
+    path = folder()
+    writers.replace_partitions(trips(spark, [("a", 0, 1.0)]), path, ["day"])
+    with pytest.raises(ValueError, match="repeats a key"):
+        writers.upsert_into(spark, path, trips(spark, [("b", 0, 1.0), ("b", 0, 2.0)]), ["id"], "day")
+    writers.upsert_into(spark, path, trips(spark, [(None, 0, 3.0), (None, 0, 4.0)]), ["id"], "day")
+    assert [r[2] for r in content(spark, path)] == [3.0, 4.0, 1.0]
+
+
 def test_key_that_changes_its_partition_leaves_no_copy(spark, folder):
     path = folder()
     writers.replace_partitions(trips(spark, [("a", 0, 1.0), ("b", 1, 1.0)]), path, ["day"])
