@@ -9,7 +9,6 @@ from strata.config import DateRange
 from strata.functions.sizing import broadcast_if_small
 from strata.operators import marts, ordered
 from strata.plans import trips as taxi
-from strata.plans.queries import QUERIES
 from strata.sources import readers, writers
 from tests.conftest import SMALL, final_plan
 
@@ -74,10 +73,3 @@ def test_offsets_of_hot_keys_cost_no_further_shuffle_of_the_rows(spark):
     rows_side = rows_side[: rows_side.index("Range")]
     assert rows_side.count("Exchange hashpartitioning") == 1
     assert "_slice" in rows_side[rows_side.index("Exchange hashpartitioning") :].splitlines()[0]
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_and_no_cross_join_in_a_plan(spark, name):
-    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-    for node in ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert node not in plan
