@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from strata.plans.oracles import ORACLES
+from strata.plans.queries import QUERIES
 from tests.compare import differences, oracle_connection
 from tests.conftest import SMALL
 
@@ -17,17 +19,17 @@ def connection():
 SLOW_NODES = ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, connection, name):
-    result = queries()[name](spark, SMALL)
-    problems, _, _ = differences(spark, name, lambda *_: result, oracle_sql()[name], SMALL, connection)
+    result = QUERIES[name](spark, SMALL)
+    problems, _, _ = differences(spark, name, lambda *_: result, ORACLES[name], SMALL, connection)
     assert problems == []
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert [node for node in SLOW_NODES if node in plan] == []
 
 
 def test_every_oracle_belongs_to_a_query():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
