@@ -5,17 +5,34 @@ from __future__ import annotations
 from strata.llm.common import table
 from strata.llm.exact_dedup import exact_groups
 from strata.llm.mixing import mixed
+from strata.llm.packing import packed, piece_digests
+from strata.llm.simhash import near_groups
 
 
 def op4_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_pack_curve(spark, sf_dir):
+    return piece_digests(packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
+
+
+def op6_simhash(spark, sf_dir):
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark, sf_dir):
     return mixed(table(spark, sf_dir, "documents")).drop("document")
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op9_mix_sources)}
+QUERIES = {f.__name__: f for f in (op3_pack_curve, op4_exact_dedup, op6_simhash, op9_mix_sources)}
 
 ORACLES = {
     "op4_exact_dedup": """
