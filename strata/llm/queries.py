@@ -6,7 +6,9 @@ from strata.llm.common import table
 from strata.llm.exact_dedup import exact_groups
 from strata.llm.mixing import mixed
 from strata.llm.packing import packed, piece_digests
+from strata.llm.quality import quality
 from strata.llm.simhash import near_groups
+from strata.llm.toxicity import toxicity
 
 
 def op4_exact_dedup(spark, sf_dir):
@@ -24,6 +26,10 @@ def op3_pack_curve(spark, sf_dir):
     return piece_digests(packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
 
 
+def op5_quality(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark, sf_dir):
     return near_groups(table(spark, sf_dir, "documents"))
 
@@ -32,7 +38,11 @@ def op9_mix_sources(spark, sf_dir):
     return mixed(table(spark, sf_dir, "documents")).drop("document")
 
 
-QUERIES = {f.__name__: f for f in (op3_pack_curve, op4_exact_dedup, op6_simhash, op9_mix_sources)}
+def op10_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op3_pack_curve, op4_exact_dedup, op5_quality, op6_simhash, op9_mix_sources, op10_toxicity)}
 
 ORACLES = {
     "op4_exact_dedup": """
