@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from strata.llm.common import table
 from strata.llm.exact_dedup import exact_groups
+from strata.llm.license_scan import license_scan
 from strata.llm.mixing import mixed
 from strata.llm.packing import packed, piece_digests
+from strata.llm.private_data import personal_data
 from strata.llm.quality import quality
 from strata.llm.simhash import near_groups
+from strata.llm.token_counts import token_counts
+from strata.llm.topk import top_k
 from strata.llm.toxicity import toxicity
 
 
@@ -22,6 +26,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
+def op2_personal_data(spark, sf_dir):
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_pack_curve(spark, sf_dir):
     return piece_digests(packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
 
@@ -34,6 +46,15 @@ def op6_simhash(spark, sf_dir):
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op8_license_scan(spark, sf_dir):
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark, sf_dir):
     return mixed(table(spark, sf_dir, "documents")).drop("document")
 
@@ -42,13 +63,38 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_pack_curve, op4_exact_dedup, op5_quality, op6_simhash, op9_mix_sources, op10_toxicity)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_personal_data,
+        op3_pack_curve,
+        op4_exact_dedup,
+        op5_quality,
+        op6_simhash,
+        op7_top_k,
+        op8_license_scan,
+        op9_mix_sources,
+        op10_toxicity,
+    )
+}
 
 ORACLES = {
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
           doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW w AS (PARTITION BY t)""",
+    "op7_top_k": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+          WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+        ), r AS (
+          SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+        )
+        SELECT * FROM r WHERE rank <= 5""",
     "op9_mix_sources": r"""
         WITH RECURSIVE d AS (
           SELECT doc_id, coalesce('0' || source, '1') AS src, md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')) AS k,
