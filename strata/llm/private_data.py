@@ -97,12 +97,13 @@ NUMBERS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five
 ODD = re.compile("[%s]" % re.escape("".join(CHARACTERS)))
 NUMBER = "(?:%s)" % "|".join(NUMBERS)
 SPELLED = re.compile(rf"\b{NUMBER}(?:[\s,.-]+{NUMBER}){{2,}}\b", re.I)
-BRACKETED = r"\s*[\[({{<]\s*(?:{})\s*[\])}}>]\s*"
-DOT = rf"(?:{BRACKETED.format(r'dot|\.')}|\s+dot\s+)"
+# Blanks are read from the begin of their run only, so long runs are read once.
+BRACKETED = r"(?<!\s)\s*[\[({{<]\s*(?:{})\s*[\])}}>]\s*"
+DOT = rf"(?:{BRACKETED.format(r'dot|\.')}|(?<!\s)\s+dot\s+)"
 SIGNED = re.compile(rf"{BRACKETED.format('at|@|dot|\\.')}|\sdot\s", re.I)
 #: What the transducer rewrites, tried in this order at every place.
 REWRITE = re.compile(
-    rf"(?P<at>{BRACKETED.format('at|@')}|\s+at\s+(?=[a-z0-9.-]+{DOT}[a-z0-9-]))"
+    rf"(?P<at>{BRACKETED.format('at|@')}|(?<=[a-z0-9])\s+at\s+(?=[a-z0-9.-]+{DOT}[a-z0-9-]))"
     rf"|(?P<dot>{DOT})"
     rf"|(?P<plus>\bplus\s+(?=[0-9]|{NUMBER}\b))"
     rf"|(?P<number>\b{NUMBER}\b(?P<gap>[\s,-]+(?={NUMBER}\b))?)"
@@ -111,6 +112,9 @@ REWRITE = re.compile(
 )
 
 
+NAMED = re.compile(r"\.[A-Za-z]{2,}\Z")
+
+
 def is_disguised(text: str) -> bool:
     """Whether anything in the text could be a disguise; plain prose ends here."""
     if not text.isascii() and ODD.search(text):
@@ -164,9 +168,6 @@ class Rewritten:
         origin, stop = self.sources[last]
         if stop is None:
             stop = origin + end - self.outs[last]
-        else:
-            # A number's match may hold the gap to the next one, which belongs to neither.
-            pass
         changed = any(self.sources[k][1] is not None for k in range(first, last + 1))
         hidden = any(
             a[1] != b[0] if a[1] is not None else a[0] + (self.outs[k + 1] - self.outs[k]) != b[0]
@@ -186,6 +187,8 @@ def disguised_spans(text: str, clear: list[tuple[int, int, int]]) -> list[tuple[
             begin, end, changed = rewritten.source(*span)
             while end > begin and text[end - 1].isspace():
                 end -= 1
+            if kind == 0 and not NAMED.search(rewritten.text, *span):
+                continue  # a spelled-out address names its top domain
             if changed and not any(a <= begin and end <= b for a, b in known):
                 added.add((begin, kind, end))
     return sorted(added)

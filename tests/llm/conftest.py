@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import pytest
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, "
+    "size string, row string, key string, label string, copies string, n string, fp string, target string, document string"
+)
+EXTRA = ("x",) * 9
+
+LONG = ("one two three four five six seven eight nine ten " * 4000) + "mail a.b@example.com end"
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    """Nulls in every column, empty and very long texts, ties, repeated rows, columns with clashing names."""
+    rows = [
+        (1, "The same words here, and a few more of them.", "en", "a", 10),
+        (2, "The same words here, and a few more of them.", "en", "b", 10),
+        (3, "The same words here, and a few more of them.", None, None, None),
+        (3, "The same words here, and a few more of them.", None, None, None),
+        (None, "The same words here, and a few more of them.", "en", "a", 10),
+        (None, None, None, None, None),
+        (4, None, "de", "a", 0),
+        (5, "", "de", "a", 0),
+        (6, " \t\n\r\x0b\x0c ", "de", "b", 6),
+        (7, "Word", "fr", "b", 4),
+        (7, "Another text under an id that repeats", "fr", "b", 36),
+        (8, LONG, "en", "c", len(LONG)),
+        (9, "x" * 8_000, "en", "c", 8_000),
+        (10, "ΣΑΣ ß İ \U0001f600 漢字 <|endoftext|> it's 12½ é", "xx", "", 40),
+    ]
+    return [row + EXTRA for row in rows]
+
+
+@pytest.fixture
+def odd(spark, odd_rows):
+    return spark.createDataFrame(odd_rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture
+def documents(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+@pytest.fixture
+def labels(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+
+
+@pytest.fixture
+def no_labels(spark):
+    return spark.createDataFrame([], "doc_id long, quality int, toxic int")
+
+
+def text_pairs(df):
+    """(doc_id, text) of every row, null as empty."""
+    return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]

@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm.exact_dedup import exact_groups, filter_rows, merge_filters, repeated_fingerprints, without_copies
+from tests.conftest import rows_of
+from tests.llm.conftest import text_pairs
+
+
+def expected(pairs):
+    groups = defaultdict(list)
+    for doc_id, text in pairs:
+        groups[text].append(doc_id)
+    out = []
+    for doc_id, text in pairs:
+        ids = [i for i in groups[text] if i is not None]
+        keep = max(ids) if ids else None
+        out.append((doc_id, keep, len(groups[text]), doc_id == keep, hashlib.sha256(text.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("name", ["odd", "documents"])
+def test_groups_equal_brute_force(request, name):
+    docs = request.getfixturevalue(name)
+    assert rows_of(exact_groups(docs)) == expected(text_pairs(docs))
+
+
+def test_empty_table(empty):
+    assert exact_groups(empty).collect() == []
+    assert without_copies(empty).columns == empty.columns
+    assert without_copies(empty).collect() == []
+
+
+def test_one_row_of_each_text_stays_with_all_columns(odd):
+    kept = without_copies(odd)
+    assert kept.columns == odd.columns
+    texts = Counter(text for _, text in text_pairs(kept))
+    assert set(texts) == {text for _, text in text_pairs(odd)}
+    assert set(texts.values()) == {1}
+
+
+def test_filters_of_partitions_merge_without_loss():
+    random = np.random.default_rng(1)
+    values = random.integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2)
+    stream = np.concatenate([values, values[:90], values[:7], np.full(1000, values[3])])
+    random.shuffle(stream)
+    filters = [filter_rows(part, 4) for part in np.array_split(stream, 7)]
+    rows = sorted((row for f in filters for row in zip(*(c.to_pylist() for c in f.columns))), key=lambda r: r[0])
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["q", "r", "c"]
+    )
+    merged = {int(np.int64(v).view(np.uint64)): n for b in merge_filters(4)([batch]) for v, n in zip(*(c.to_pylist() for c in b.columns))}
+    assert merged == {v: n for v, n in Counter(stream.tolist()).items() if n > 1}
+
+
+def test_counts_are_exact_for_a_hot_fingerprint(spark):
+    values = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(-5)).otherwise(F.col("id")).alias("v"))
+    assert rows_of(repeated_fingerprints(values.repartition(5))) == [(-5, 1000)]

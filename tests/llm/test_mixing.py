@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+
+from strata.llm.mixing import mixed, mixed_documents, source_targets
+from tests.conftest import final_plan, rows_of
+from tests.llm.conftest import text_pairs
+
+
+def targets_by_rounds(sizes, weights=(5, 2, 1), most=3):
+    """Share by weight, cap, and share the excess again until no source is above its cap."""
+    order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    capped = set()
+    while True:
+        left = sum(sizes.values()) - sum(most * sizes[s] for s in capped)
+        free = sum(weight[s] for s in order if s not in capped)
+        above = {s for s in order if s not in capped and left * weight[s] > most * sizes[s] * free}
+        if not above:
+            return {s: most * sizes[s] if s in capped else left * weight[s] / free for s in order}
+        capped |= above
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {"a": 100, "b": 100, "c": 100},
+        {"a": 1, "b": 1000, "c": 10},
+        {"a": 3, "b": 2, "c": 1, "d": 5000, None: 4},
+        {"a": 0, "b": 7},
+        {"z": 10, "é": 1, "Z": 1, None: 900},
+    ],
+)
+def test_targets_equal_resharing_in_rounds(spark, sizes):
+    rows = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size long")
+    found = {r.source: r.target for r in source_targets(rows).collect()}
+    assert found == pytest.approx(targets_by_rounds(sizes))
+
+
+@pytest.mark.parametrize("name", ["odd", "documents"])
+def test_each_source_meets_its_budget_to_the_word(request, name):
+    docs = request.getfixturevalue(name)
+    rows = mixed(docs).select("doc_id", "size", "source_size", "target", "taken", "document.source").collect()
+    assert Counter((r.doc_id, r.size) for r in rows) == Counter(
+        (i, len(re.findall(r"[^\x20\x09-\x0D]+", t))) for i, t in text_pairs(docs)
+    )
+    taken, target = Counter(), {}
+    for r in rows:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert 0 <= r.taken <= 3 * r.size
+    assert {s: int(t) for s, t in target.items()} == dict(taken)
+    sizes = Counter()
+    for r in rows:
+        sizes[r.source] += r.size
+    assert target == pytest.approx(targets_by_rounds(sizes))
+
+
+def test_reruns_and_layouts_agree(documents):
+    first = rows_of(mixed(documents).drop("document"))
+    assert first == rows_of(mixed(documents.repartition(7, "lang")).drop("document"))
+
+
+def test_documents_come_whole_and_as_often_as_taken(odd):
+    rows = mixed_documents(odd)
+    assert rows.columns == odd.columns
+    texts = {text for _, text in text_pairs(odd)}
+    assert all(text in texts for _, text in text_pairs(rows))
+    assert {i for i, t in text_pairs(odd) if not t.split()} <= {i for i, _ in text_pairs(rows)}
+
+
+def test_empty_table(empty):
+    assert mixed(empty).collect() == []
+    assert mixed_documents(empty).columns == empty.columns
+
+
+def test_main_path_is_native(documents):
+    plan = final_plan(mixed(documents).drop("document"))
+    assert not [node for node in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop") if node in plan]

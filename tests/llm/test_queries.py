@@ -1,0 +1,30 @@
+from __future__ import annotations
+
+import pytest
+
+from strata.llm.queries import ORACLES, QUERIES
+from tests.compare import differences, oracle_connection
+from tests.conftest import SMALL
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_equals_oracle(spark, name):
+    problems, rows, _ = differences(spark, name, QUERIES[name], ORACLES[name], SMALL, oracle_connection(SMALL))
+    assert problems == [] and rows > 0
+
+
+COLUMNS = {
+    "op2_personal_data": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+    "op3_pack_curve": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+    "op4_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+    "op6_simhash": ["doc_id", "fingerprint", "component_id"],
+    "op7_top_k": ["query_id", "rank", "vec_id", "score"],
+    "op8_license_scan": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
+    "op9_mix_sources": ["doc_id", "size", "source_size", "target", "taken"],
+    "op10_toxicity": ["doc_id", "held_out", "score", "predicted"],
+}
+
+
+@pytest.mark.parametrize("name", list(COLUMNS))
+def test_query_returns_the_columns(spark, name):
+    assert QUERIES[name](spark, SMALL).columns[: len(COLUMNS[name])] == COLUMNS[name]
