@@ -129,6 +129,7 @@ def fit(
     The same rows in the same order give the same model.
     """
     random = np.random.default_rng(SEED)
+    batch = max(8, min(batch, len(rows) // 16))  # small samples need steps, too
     share = np.clip(labels.mean() if len(labels) else 0.5, 1e-3, 1 - 1e-3)
     model = Factorization(
         float(np.log(share / (1 - share))),
