@@ -28,17 +28,24 @@ LENGTH = 4096
 END = 2
 #: Dimensions of the curve and bits of each; their product is the length of the index.
 DIMENSIONS, BITS = 4, 8
+#: Length of the hashed document vectors that are projected.
+BUCKETS = 1024
 TOKENS_SCHEMA = "row long, doc_id long, curve long, n long, ids binary"
 PIECES_SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def hashed_signs(n_ids: int) -> np.ndarray:
-    """Rows of +1 and -1 per token id, from the bits of a mixed hash of the id."""
-    x = np.arange(n_ids, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+def mixed_bits(values: np.ndarray) -> np.ndarray:
+    """A hash of integers whose bits are all usable."""
+    x = values.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    bits = (x[:, None] >> np.arange(DIMENSIONS, dtype=np.uint64)) & np.uint64(1)
-    return (2 * bits.astype(np.int64) - 1).astype(np.float32)
+    return x
+
+
+def hashed_signs() -> np.ndarray:
+    """Rows of +1 and -1 per bucket of the document vectors, one column per dimension of the curve."""
+    bits = mixed_bits(np.arange(BUCKETS))[:, None] >> np.arange(DIMENSIONS, dtype=np.uint64)
+    return 2.0 * (bits & np.uint64(1)).astype(np.float64) - 1
 
 
 def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -78,20 +85,17 @@ def place_on_curve(counted: np.ndarray, norms: np.ndarray) -> np.ndarray:
 
 def _tokenised(vocabulary: str):
     def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = word_tokens(vocabulary), zstandard.ZstdCompressor(level=1)
-        signs = hashed_signs(words.tokenizer.get_vocab_size())
+        words, packer, signs = word_tokens(vocabulary), zstandard.ZstdCompressor(level=1), hashed_signs()
+        bucket = (mixed_bits(np.arange(1 << 16)) >> np.uint64(32)).astype(np.int64) % BUCKETS
         end, row = np.array([END], "<u2").tobytes(), TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in pieces(batch, 4 << 20):
                 n, packed = [], []
-                sums, norms = np.zeros((part.num_rows, DIMENSIONS), np.float32), np.zeros(part.num_rows)
+                vectors = np.zeros((part.num_rows, BUCKETS), np.float32)
                 for k, text in enumerate(part.column("text").to_pylist()):
                     ids = words.ids(text) + end
                     values = np.frombuffer(ids, "<u2")
-                    counts = np.bincount(values)
-                    used = np.flatnonzero(counts)
-                    weights = counts[used].astype(np.float32)
-                    sums[k], norms[k] = weights @ signs[used], np.sqrt((weights * weights).sum())
+                    vectors[k] = np.bincount(bucket[values], minlength=BUCKETS)
                     n.append(len(values))
                     packed.append(packer.compress(ids))
                 rows = np.arange(row, row + part.num_rows)
@@ -100,7 +104,7 @@ def _tokenised(vocabulary: str):
                     [
                         pa.array(rows),
                         part.column("doc_id"),
-                        pa.array(place_on_curve(sums, norms)),
+                        pa.array(place_on_curve(vectors @ signs, np.sqrt((vectors**2).sum(1)))),
                         pa.array(n, pa.int64()),
                         pa.array(packed, pa.binary()),
                     ],

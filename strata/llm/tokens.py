@@ -10,13 +10,14 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 
 import numpy as np
 
-#: Words a worker remembers.
-REMEMBERED = 400_000
+#: Words a worker remembers, twice, and the longest of them.
+REMEMBERED, LONGEST = 300_000, 64
 #: The vocabulary's rule for cutting words, over lower-case plain text.
-PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+PIECE = re.compile(r"[a-zß-öø-ÿ]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 #: Characters that normalisation leaves alone but for plain lower-casing.
 PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
 CHUNK = re.compile(r"[^ \t\n\r]+")
@@ -29,6 +30,25 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+class _Known(dict):
+    """Ids by word: computed where missing; when full, words not met since the last time are dropped."""
+
+    def __init__(self, compute) -> None:
+        super().__init__()
+        self.compute, self.older = compute, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.compute(word)
+        if len(word) <= LONGEST:
+            self[word] = ids
+        return ids
+
+
 class WordTokens:
     """Ids as little-endian 16-bit integers; the vocabulary must have fewer than 65,536 entries."""
 
@@ -40,22 +60,14 @@ class WordTokens:
         if self.tokenizer.get_vocab_size() >= 1 << 16:
             raise ValueError("ids of this vocabulary do not fit into 16 bits")
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self._word)
 
     def _word(self, piece: str) -> bytes:
-        spelled = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u2").tobytes()
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("H", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
 
     def _plain(self, text: str) -> bytes:
-        cut = PIECE.findall(text.lower())
-        known = self.known
-        missing = set(cut).difference(known)
-        if len(known) + len(missing) > REMEMBERED:
-            known.clear()
-            missing = set(cut)
-        for piece in missing:
-            known[piece] = self._word(piece)
-        return b"".join(map(known.__getitem__, cut))
+        return b"".join(map(self.known.__getitem__, PIECE.findall(text.lower())))
 
     def _other(self, chunk: str) -> bytes:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u2").tobytes()
