@@ -182,6 +182,8 @@ def near_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     ids = nodes.join(named, "fp", "left").select(
         "fp", F.when(F.col("linked"), F.col("linked_id")).otherwise(F.col("first_id")).alias("component_id")
     )
+    # Written, so that the join below reads two plain shuffles and a hot fingerprint can be split.
+    ids = stored(ids, "simhash-ids")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(ids, "fp").select("doc_id", text.alias("fingerprint"), "component_id")
 
