@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from strata.llm.queries import ORACLES, QUERIES
-from tests.compare import differences, oracle_connection
+from strata.plans.compare import differences, oracle_connection
 from tests.conftest import SMALL
 
 
