@@ -14,8 +14,14 @@ from strata.sources.readers import literal_table
 
 
 def day_spine(bounds: DataFrame, column: str = "day") -> DataFrame:
-    """All days between the two dates of a one-row table (first_day, last_day)."""
-    return bounds.select(F.explode(F.sequence("first_day", "last_day")).alias(column))
+    """All days between the two dates of a one-row table (first_day, last_day).
+
+    First one row per year, then its days: no list is longer than a year, whatever the range.
+    """
+    years = bounds.select("*", F.explode(F.sequence(F.year("first_day"), F.year("last_day"))).alias("_year"))
+    first = F.greatest("first_day", F.make_date("_year", F.lit(1), F.lit(1)))
+    last = F.least("last_day", F.make_date("_year", F.lit(12), F.lit(31)))
+    return years.select(F.explode(F.sequence(first, last)).alias(column))
 
 
 def date_bounds(df: DataFrame, day: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Every mart takes the fact (or the daily summary) and returns a small aggregate. Sums and
 averages are combined before the shuffle, so a day, zone or payment type with a large
-share of the trips does not overload a task. Lookups are joined after aggregating.
+share of the trips does not overload a task. Lookups are joined after aggregating, without a hint:
+adaptive execution broadcasts a side whose measured bytes allow it and splits skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -10,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.config import stored
 from strata.functions import calendar
-from strata.functions.sizing import broadcast_if_small
 from strata.operators.quantiles import exact_quantiles
 
 # Column names of the published fact table.
@@ -44,6 +45,7 @@ def trips() -> Column:
 
 
 def daily_summary(fact: DataFrame) -> DataFrame:
+    # Column names of the published daily summary.
     return fact.groupBy("pickup_date").agg(
         F.count(F.lit(1)).alias("total_trips"),
         F.sum("total_amount").alias("total_revenue"),
@@ -78,11 +80,11 @@ def kpi_tiles_from_daily(daily: DataFrame) -> DataFrame:
 
 def with_date(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Fact with calendar columns; the date dimension has one row per day *and* hour."""
-    return fact.join(broadcast_if_small(dates), ["pickup_date", "pickup_hour"])
+    return fact.join(dates, ["pickup_date", "pickup_hour"])
 
 
 def with_payment(fact: DataFrame, payments: DataFrame) -> DataFrame:
-    return fact.join(broadcast_if_small(payments), "payment_type", "left")
+    return fact.join(payments, "payment_type", "left")
 
 
 def with_zone(df: DataFrame, zones: DataFrame, id_column: str, prefix: str) -> DataFrame:
@@ -92,7 +94,7 @@ def with_zone(df: DataFrame, zones: DataFrame, id_column: str, prefix: str) -> D
         F.col("Borough").alias(f"{prefix}_borough"),
         F.col("Zone").alias(f"{prefix}_zone"),
     )
-    return df.join(broadcast_if_small(named), id_column, "left")
+    return df.join(named, id_column, "left")
 
 
 def sliced(
@@ -159,8 +161,10 @@ def fare_outliers(fact: DataFrame, limit: float = OUTLIER_LIMIT) -> DataFrame:
     """Trips whose fare is far from the fitted line of fare over distance.
 
     Slope, intercept and the residual's deviation all follow from one aggregate: the sum of
-    squared residuals of a least-squares line is syy - sxy^2 / sxx.
+    squared residuals of a least-squares line is syy - sxy^2 / sxx. The fit and the trips read one
+    written copy of the three columns, so the fact is computed once.
     """
+    fact = stored(fact.select("trip_id", "trip_distance", "fare_amount"), "fares")
     fare, distance = F.col("fare_amount"), F.col("trip_distance")
     fit = fact.agg(
         F.regr_slope(fare, distance).alias("slope"),
@@ -176,10 +180,7 @@ def fare_outliers(fact: DataFrame, limit: float = OUTLIER_LIMIT) -> DataFrame:
     )
     line = fit.select(F.struct("slope", "intercept", "spread").alias("line")).scalar()
     residual = fare - (line["slope"] * distance + line["intercept"])
-    return (
-        fact.select("trip_id", "trip_distance", "fare_amount", residual.alias("residual"))
-        .where(F.abs(residual) > line["spread"] * F.lit(limit))
-    )
+    return fact.withColumn("residual", residual).where(F.abs("residual") > line["spread"] * F.lit(limit))
 
 
 def binned_distance_fare(fact: DataFrame, width: float = 1.0) -> DataFrame:

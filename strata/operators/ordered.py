@@ -1,22 +1,20 @@
 """Order-dependent operators that survive a hot key.
 
 A plain window sends all rows of a key to one task. That is fine for keys no larger than an
-average task. A larger key is cut into slices along its order; the bounds are quantiles of the
-order column over the whole table, so no slice holds more than about 1/n of all rows, however
-they are spread over keys and time. Work then runs per (key, slice), and only one summary row
-per slice of a hot key is carried across slices.
+average task. The rows of a larger key are cut into slices by a range partitioning on their full
+order, ties included, so a slice holds about 1/n of them however they are spread over time. Work
+then runs per (key, slice), and only one summary row per slice of a hot key is carried across slices.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.config import shared_dir
+from strata.config import stored
 
 SLICE = "_slice"
 
@@ -43,48 +41,36 @@ def join_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
     return columns
 
 
-def order_value(df: DataFrame, column: str) -> Column:
-    """Order column as a double; microseconds of a timestamp fit without loss."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    return F.col(column).cast("double")
+def cut(df: DataFrame, order: Sequence[str], n_slices: int | None = None, name: str = "slices") -> DataFrame:
+    """Add ``_slice``, a number that never decreases along ``order``, by range partitions of equal size.
+
+    The rows are written with their slice: every later reader, and a task that is run again, sees the
+    same cut. NULLs come first, as in an ascending window; NaN comes last.
+    """
+    dealt = df.repartitionByRange(n_slices, *order) if n_slices else df.repartitionByRange(*order)
+    return stored(dealt.withColumn(SLICE, F.spark_partition_id()), name)
 
 
-def with_slices(df: DataFrame, keys: Sequence[str], column: str, n_slices: int | None = None) -> DataFrame:
-    """Add ``_slice``: NULL for ordinary keys; for hot keys a number that never decreases along ``column``.
+def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], n_slices: int | None = None) -> DataFrame:
+    """Add ``_slice``: NULL for ordinary keys; for hot keys a number that never decreases along ``order``.
 
     A key is hot when it has more rows than the average of ``n_slices`` tasks, so there are fewer
-    than ``n_slices`` such keys and their list can be broadcast. It is written down and the slice
-    bounds are constants of the plan: a retried task assigns the same slices. Equal order values
-    share a slice.
+    than ``n_slices`` such keys and their list can be broadcast. ``order`` must be unique within a key;
+    rows whose time is NULL come first, for hot and ordinary keys alike.
     """
     spark = df.sparkSession
     n_slices = n_slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
-    rows = F.count(F.lit(1))
-    busy = df.groupBy(*keys).agg(rows.alias("_rows")).where(F.col("_rows") > df.count() / n_slices)
-    hot_path = shared_dir(spark, "hot-keys")
-    busy.select(*keys).write.parquet(hot_path)
-    hot = spark.read.schema(df.select(*keys).schema).parquet(hot_path)
+    sizes = stored(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key-sizes")
+    average = sizes.agg(F.sum("_rows") / n_slices).first()[0]
+    hot = sizes.where(F.col("_rows") > F.lit(average))
     if hot.isEmpty():
         return df.withColumn(SLICE, F.lit(None).cast("int"))
-    prepared = df.withColumn("_order", order_value(df, column))
-    model = QuantileDiscretizer(
-        numBuckets=n_slices,
-        inputCol="_order",
-        outputCol="_bucket",
-        relativeError=min(0.01, 0.25 / n_slices),
-        handleInvalid="keep",
-    ).fit(prepared.select("_order"))
     key = join_keys(df, keys)
     marks = F.broadcast(hot.select(*(c.alias(n) for n, c in join_keys(hot, keys).items()), F.lit(True).alias("_hot")))
-    return (
-        model.transform(prepared)
-        .withColumns(key)
-        .join(marks, list(key), "left")
-        .withColumn(SLICE, F.when(F.col("_hot"), F.col("_bucket").cast("int")))
-        .drop("_order", "_bucket", "_hot", *key)
-    )
+    marked = df.withColumns(key).join(marks, list(key), "left").drop(*key)
+    sliced = cut(marked.where("_hot").drop("_hot"), [*keys, *order], n_slices)
+    ordinary = marked.where("_hot IS NULL").drop("_hot").withColumn(SLICE, F.lit(None).cast("int"))
+    return ordinary.unionByName(sliced)
 
 
 def running_sum(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.quantiles import exact_quantiles
+from strata.operators.quantiles import exact_quantiles, moments
 
 
 def null_fraction(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -36,28 +36,23 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum of each numeric column."""
+    """Count, mean, sample deviation, minimum, quartiles and maximum of each numeric column.
+
+    Everything follows from the frequencies of the values, so the table is read once.
+    """
     columns = list(columns or numeric_columns(df))
     numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    moments = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.count(c).alias("n"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).alias("min_value"),
-            F.max(c).alias("max_value"),
-        )
-        for c in columns
-    ]
-    quartiles = exact_quantiles(
+    summary = exact_quantiles(
         numbers.unpivot([], columns, "column_name", "value"),
         ["column_name"],
         "value",
         {"p25": 0.25, "p50": 0.5, "p75": 0.75},
+        extra=moments(),
     )
-    summary = numbers.agg(F.array(*moments).alias("_all")).select(F.inline("_all"))
-    return summary.join(quartiles, "column_name", "left")
+    named = F.explode(F.array(*map(F.lit, columns))).alias("column_name")
+    listed = df.sparkSession.range(1).select(named)  # a column of NULLs has no frequencies but a row
+    found = listed.join(summary, "column_name", "left").fillna(0, ["n"])
+    return found.select("column_name", "n", "mean", "std", "min_value", "max_value", "p25", "p50", "p75")
 
 
 def rows_per_day(df: DataFrame, timestamp: str, day: str = "day") -> DataFrame:

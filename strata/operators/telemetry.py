@@ -12,6 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.config import stored
 from strata.operators.ordered import previous_row, runs, with_slices
 
 RATE_WINDOW = "5 minutes"
@@ -40,6 +41,14 @@ def increase_above(
     return counted.where(F.col("samples") > threshold).withColumnRenamed("samples", "increase")
 
 
+def counter_increase_above(
+    samples: DataFrame, ts: str, series: Sequence[str], order: Sequence[str], value: str, threshold: float, minutes: int = 5
+) -> DataFrame:
+    """Windows in which a counter grew by more than ``threshold``, restarts of the counter included."""
+    grown = counter_rate(samples, ts, series, order, value, minutes)
+    return grown.where(F.col("increase") > threshold).drop("rate")
+
+
 def counter_deltas(
     samples: DataFrame, ts: str, series: Sequence[str], order: Sequence[str], value: str
 ) -> DataFrame:
@@ -48,7 +57,7 @@ def counter_deltas(
     A counter that drops was restarted, so its new value is the growth. The first sample of
     a series has no growth.
     """
-    linked = previous_row(with_slices(samples, series, ts), series, order, [value])
+    linked = previous_row(with_slices(samples, series, order), series, order, [value])
     grown = F.col(value) - F.col(f"prev_{value}")
     return linked.withColumn("delta", F.when(grown < 0, F.col(value)).otherwise(grown))
 
@@ -74,7 +83,7 @@ def sustained(
     samples: DataFrame, ts: str, series: Sequence[str], order: Sequence[str], condition: Column, seconds: float
 ) -> DataFrame:
     """Stretches of consecutive samples on which a condition held for at least ``seconds``."""
-    stretches = runs(with_slices(samples, series, ts), series, order, condition)
+    stretches = runs(with_slices(samples, series, order), series, order, condition)
     return stretches.withColumn("seconds", seconds_between("run_start", "run_end")).where(
         F.col("seconds") >= seconds
     )
@@ -127,32 +136,36 @@ def success_rate(samples: DataFrame, ts: str, kind: str, success: str, failure:
 
     With neither successes nor failures the percentage is NULL.
     """
-    tally = samples.groupBy(F.date_trunc(unit, ts).cast("timestamp_ntz").alias("unit_start")).agg(
-        F.count_if(F.col(kind) == success).alias("successes"),
-        F.count_if(F.col(kind) == failure).alias("failures"),
-    )
-    full = time_spine(samples, ts, unit).join(tally, "unit_start", "left").fillna(0, ["successes", "failures"])
-    return full.withColumn(
+    counts = {"successes": F.count_if(F.col(kind) == success), "failures": F.count_if(F.col(kind) == failure)}
+    return per_unit(samples, ts, unit, counts).withColumn(
         "success_pct", share_percent(F.col("successes"), F.col("successes") + F.col("failures"))
     )
 
 
 def error_rate(samples: DataFrame, ts: str, kind: str, failure: str, unit: str = "hour") -> DataFrame:
     """Error percentage for every time unit in the span, 0 where nothing happened."""
-    tally = samples.groupBy(F.date_trunc(unit, ts).cast("timestamp_ntz").alias("unit_start")).agg(
-        F.count(F.lit(1)).alias("requests"), F.count_if(F.col(kind) == failure).alias("errors")
+    counts = {"requests": F.count(F.lit(1)), "errors": F.count_if(F.col(kind) == failure)}
+    return per_unit(samples, ts, unit, counts).withColumn(
+        "error_pct", F.coalesce(share_percent(F.col("errors"), F.col("requests")), F.lit(0.0))
     )
-    full = time_spine(samples, ts, unit).join(tally, "unit_start", "left").fillna(0, ["requests", "errors"])
-    return full.withColumn("error_pct", F.coalesce(share_percent(F.col("errors"), F.col("requests")), F.lit(0.0)))
 
 
-def time_spine(samples: DataFrame, ts: str, unit: str) -> DataFrame:
-    """Every hour (or day, minute) from the first to the last sample."""
-    ends = samples.agg(
-        F.date_trunc(unit, F.min(ts)).cast("timestamp_ntz").alias("first"),
-        F.date_trunc(unit, F.max(ts)).cast("timestamp_ntz").alias("last"),
+def per_unit(samples: DataFrame, ts: str, unit: str, counts: dict[str, Column]) -> DataFrame:
+    """Counts for every time unit from the first to the last sample, 0 where there is none.
+
+    The samples are read once: each unit with samples fills the empty units up to the next one, so no
+    list of all units is built. Samples without a time count nowhere.
+    """
+    start = F.date_trunc(unit, ts).cast("timestamp_ntz").alias("unit_start")
+    tally = samples.where(F.col(ts).isNotNull()).groupBy(start).agg(*(c.alias(n) for n, c in counts.items()))
+    following = F.lead("unit_start").over(Window.orderBy("unit_start"))
+    step = F.expr(f"interval 1 {unit}")
+    last = F.coalesce(following - step, F.col("unit_start"))
+    filled = tally.withColumn("_last", last).withColumn("_unit", F.explode(F.sequence("unit_start", "_last", step)))
+    is_own = F.col("_unit") == F.col("unit_start")
+    return filled.select(
+        F.col("_unit").alias("unit_start"), *(F.when(is_own, F.col(n)).otherwise(0).alias(n) for n in counts)
     )
-    return ends.select(F.explode(F.expr(f"sequence(first, last, interval 1 {unit})")).alias("unit_start"))
 
 
 def latest_per_series(samples: DataFrame, series: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
@@ -174,14 +187,14 @@ def label_matches(samples: DataFrame, label: str, pattern: str) -> DataFrame:
 
 
 def uptime(samples: DataFrame, ts: str, series: Sequence[str]) -> DataFrame:
-    """Seconds from a series' first sample to the newest sample of the table."""
-    as_of = samples.agg(F.max(ts).alias("as_of")).scalar()
-    return (
-        samples.groupBy(*series)
-        .agg(F.min(ts).alias("started"))
-        .withColumn("_now", as_of)
-        .withColumn("uptime_seconds", seconds_between("started", "_now"))
-        .drop("_now")
+    """Seconds from a series' first sample to the newest sample of the table.
+
+    The newest sample follows from the newest of each series, so the samples are read once.
+    """
+    ends = stored(samples.groupBy(*series).agg(F.min(ts).alias("started"), F.max(ts).alias("_last")), "series-ends")
+    newest = ends.agg(F.max("_last").alias("as_of")).scalar()
+    return ends.withColumn("_now", newest).withColumn("uptime_seconds", seconds_between("started", "_now")).drop(
+        "_now", "_last"
     )
 
 

@@ -470,9 +470,37 @@ FROM parts GROUP BY run_id"""
     "q_backfill": _with_silver(
         _KEY_AUDIT.format(table="silver", more=", min(trip_id) AS lowest_key, max(trip_id) AS highest_key")
     ),
+    "q_upsert_null_partition": _with_silver(
+        """ SELECT * REPLACE (CASE WHEN pickup_date = DATE '2024-01-20' AND vendor_id = 1 THEN extra + 1 ELSE extra END AS extra,
+  CASE WHEN pickup_date <> DATE '2024-01-20' THEN pickup_date END AS pickup_date) FROM silver"""
+    ),
+    "q_backfill_new_column": _with_silver(
+        """ SELECT trip_id, CASE WHEN pickup_date <> DATE '2024-01-20' THEN pickup_date END AS pickup_date, total_amount FROM silver"""
+    ),
+    "q_rewrite_table": _with_fact(
+        """ SELECT version, pickup_date, count(*) AS trips, round(sum(total_amount * factor), 2) AS revenue
+FROM fact, (VALUES ('fact', 2), ('backup', 1)) AS v(version, factor) GROUP BY 1, 2"""
+    ),
+    "q_single_day": _raw(
+        f" SELECT VendorID, tpep_pickup_datetime, total_amount FROM {_LANDED} WHERE day = DATE '2024-01-12'"
+    ),
     "q_pipeline": _with_fact(
         _DAILY.format(where="WHERE pickup_date >= DATE '2024-01-01'")
     ),
+    "q_pipeline_late": _with_fact(
+        _DAILY.format(where="WHERE pickup_date >= DATE '2024-01-01'")
+    ),
+    "q_pipeline_dims": _with_fact(
+        """
+SELECT d.year, d.month, d.is_weekend, d.time_bucket, p.payment_name, z.Borough AS pickup_borough, count(*) AS trips,
+  round(sum(f.total_amount), 2) AS revenue
+FROM fact f JOIN dates d USING (pickup_date, pickup_hour) LEFT JOIN payments p USING (payment_type)
+  LEFT JOIN zones z ON z.LocationID = f.pulocation_id
+WHERE f.pickup_date >= DATE '2024-01-01' GROUP BY ALL""",
+        _DATES,
+        _PAYMENTS,
+        _ZONES,
+    ),
     # profiling
     "q_null_fraction": _raw(
         _union(
@@ -539,9 +567,9 @@ SELECT pickup_date, count(*) AS rows, round(sum(total_amount), 2) AS revenue, CA
   FROM (SELECT DISTINCT pickup_date FROM fact)
 )
 SELECT step, true AS ok, CAST(CASE step WHEN 'compact' THEN (SELECT count(*) FROM runs)
-    WHEN 'expire' THEN (SELECT count(*) FROM runs WHERE gone) ELSE 0 END AS BIGINT) AS items,
+    WHEN 'expire' THEN (SELECT count(*) FROM runs WHERE gone) WHEN 'after' THEN 0 ELSE 1 END AS BIGINT) AS items,
   (SELECT count(*) FROM runs WHERE NOT gone) AS kept_runs, (SELECT count(*) FROM fact) AS rows
-FROM (VALUES ('compact'), ('expire'), ('orphans')) AS s(step)"""
+FROM (VALUES ('compact'), ('expire'), ('orphans'), ('remove'), ('after')) AS s(step)"""
     ),
     "q_expire_select": """
 SELECT o_orderstatus AS table_path, o_orderkey AS run_id, o_orderdate AS committed_at FROM (
@@ -561,6 +589,14 @@ SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, user_id, event_type,
   round(sum(CASE WHEN value < prev THEN value ELSE value - prev END) + 1e-9, 6) AS increase,
   round(sum(CASE WHEN value < prev THEN value ELSE value - prev END) / 300.0 + 1e-9, 6) AS rate
 FROM linked GROUP BY 1, 2, 3""",
+    "q_counter_increase_alert": """
+WITH linked AS (
+  SELECT ts, user_id, event_type, value,
+    lag(value) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS prev FROM events
+)
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, user_id, event_type,
+  round(sum(CASE WHEN value < prev THEN value ELSE value - prev END) + 1e-9, 6) AS increase
+FROM linked GROUP BY 1, 2, 3 HAVING sum(CASE WHEN value < prev THEN value ELSE value - prev END) > 50""",
     "q_increase_alert": """
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, count(*) AS increase
 FROM events GROUP BY 1, 2 HAVING count(*) > 2""",

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.config import DatasetSpec, DateRange
+from strata.config import DatasetSpec, DateRange, shared_dir
+from strata.operators import dims
 from strata.operators.audit import increment_checks
 from strata.operators.marts import daily_summary, fact_trips
+from strata.operators.upsert import upsert
 from strata.plans.trips import silver_trips
+from strata.sources.files import remove_path
 from strata.sources.publish import PublishResult, publish
-from strata.sources.readers import read_parquet, read_range_or_none, within
-from strata.sources.writers import Ingested, append_new_days
-from strata.operators.upsert import upsert
+from strata.sources.readers import in_partitions, read_parquet, read_range_or_none
+from strata.sources.writers import Ingested, append_new_days, stage, write_once
 
 
 @dataclass(frozen=True)
@@ -47,12 +51,20 @@ class PipelineResult:
 
 
 def run_pipeline(
-    spark: SparkSession, spec: DatasetSpec, layout: Layout, landing: str, days: DateRange, run_id: str
+    spark: SparkSession,
+    spec: DatasetSpec,
+    layout: Layout,
+    landing: str,
+    days: DateRange,
+    run_id: str,
+    zones_csv: str | None = None,
 ) -> PipelineResult:
     """Ingest, clean, upsert and publish one range of days; repeating a range changes nothing.
 
-    Landing days follow from the event time, and the event time is part of the key. So a key
-    never moves to another day, and silver and gold rewrite only the days of the range.
+    A row that landed in the range may belong to any day of the event time. So the increment is written
+    first, silver is merged on the days the increment really touches, and gold is rebuilt for exactly
+    those days. Dimensions are written once: payment types, the calendar of each year that occurs (a year
+    is added when its first day is published), and zones when ``zones_csv`` names their lookup.
     """
     bronze_path, silver_path = layout.path("bronze"), layout.path("silver")
     ingested = append_new_days(spark, landing, bronze_path, days, spec.landing_day, spec.bronze_day)
@@ -60,8 +72,16 @@ def run_pipeline(
     if bronze is None:
         return PipelineResult(ingested, None, {})
 
-    increment = silver_trips(bronze, spec)
-    merged = _merge_days(spark, silver_path, increment, spec, days)
+    increment_path = shared_dir(spark, "silver-increment")
+    computed = silver_trips(bronze, spec)
+    stage(computed, increment_path, [spec.silver_day])
+    increment = spark.read.schema(computed.schema).parquet(increment_path).select(*computed.columns)
+    touched = increment.select(spec.silver_day).distinct()
+    existing = read_parquet(spark, silver_path, missing_ok=True)
+    merged = increment
+    if existing is not None:
+        kept = in_partitions(existing, spec.silver_day, touched)
+        merged = upsert(kept, increment.select(*existing.columns), [spec.key_name])
     silver = publish(
         merged,
         silver_path,
@@ -72,10 +92,10 @@ def run_pipeline(
         layout.manifest,
     )
     if not silver.published:
+        remove_path(spark, increment_path)
         return PipelineResult(ingested, silver, {})
 
-    published = within(spark.read.parquet(silver_path), spec.silver_day, days)
-    fact = fact_trips(published)
+    fact = fact_trips(in_partitions(spark.read.parquet(silver_path), spec.silver_day, touched))
     gold = {}
     for name, table, checks in (
         ("fact_trips", fact, increment_checks(spec.silver_day, spec.key_name)),
@@ -90,15 +110,17 @@ def run_pipeline(
             layout.log,
             layout.manifest,
         )
+    _dimensions(spark, layout, touched, spec.silver_day, zones_csv)
+    remove_path(spark, increment_path)
     return PipelineResult(ingested, silver, gold)
 
 
-def _merge_days(
-    spark: SparkSession, path: str, increment: DataFrame, spec: DatasetSpec, days: DateRange
-) -> DataFrame:
-    existing = read_parquet(spark, path, missing_ok=True)
-    if existing is None:
-        return increment
-    return upsert(
-        within(existing, spec.silver_day, days), increment.select(*existing.columns), [spec.key_name]
-    )
+def _dimensions(spark: SparkSession, layout: Layout, touched: DataFrame, day: str, zones_csv: str | None) -> None:
+    """Write what is not there yet; existing dimension rows are never rewritten."""
+    write_once(dims.dim_payment(spark), layout.path("dim_payment"))
+    if zones_csv is not None:
+        write_once(dims.dim_zone(spark, zones_csv), layout.path("dim_zone"))
+    for row in touched.where(F.col(day).isNotNull()).select(F.year(day).alias("year")).distinct().orderBy("year").collect():
+        calendar = dims.dim_date(spark, dt.date(row.year, 1, 1), dt.date(row.year, 12, 31))
+        # Each year is a directory of its own, so adding one leaves the others alone.
+        write_once(calendar.drop("year"), f"{layout.path('dim_date')}/year={row.year}")

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.config import DateRange, shared_dir
+from strata.config import DateRange, shared_dir, stored
 from strata.functions import codes
 from strata.functions.keys import record_key, with_key
 from strata.operators import audit, clean, dedup, dims, marts, profile, telemetry
@@ -84,7 +85,7 @@ def q_dedup(spark, sf_dir):
 
 
 def _old_and_new(spark, sf_dir):
-    silver = taxi.silver_trips(raw(spark, sf_dir))
+    silver = stored(taxi.silver_trips(raw(spark, sf_dir)), "silver")  # read as target and as source
     old = silver.where(F.col("pickup_date") <= dt.date(2024, 1, 20))
     new = silver.where(F.col("pickup_date") >= dt.date(2024, 1, 15)).withColumn("extra", F.col("extra") + 1)
     return old, new
@@ -292,8 +293,10 @@ def q_zone_traffic(spark, sf_dir):
 
 
 def _land(spark, sf_dir) -> str:
-    landing = shared_dir(spark, "landing")
-    writers.split_by_day(raw(spark, sf_dir), landing, taxi.PICKUP, "date", taxi.TAXI.landing_from)
+    """All days in two parts, as two deliveries would land them."""
+    landing, middle = shared_dir(spark, "landing"), F.lit(dt.datetime(2024, 1, 11)).cast("timestamp_ntz")
+    for part in (F.col(taxi.PICKUP) < middle, F.col(taxi.PICKUP) >= middle):
+        writers.split_by_day(raw(spark, sf_dir).where(part), landing, taxi.PICKUP, "date", taxi.TAXI.landing_from)
     return landing
 
 
@@ -390,6 +393,94 @@ def q_pipeline(spark, sf_dir):
     return rounded(daily, total_revenue=2, total_fare=2)
 
 
+def _nulls_at(df, day, column="pickup_date"):
+    return df.withColumn(column, F.when(F.col(column) != dt.date(2024, 1, day), F.col(column)))
+
+
+@query
+def q_upsert_null_partition(spark, sf_dir):
+    """A table whose 20 January stands in the NULL partition; half of that is updated."""
+    path = shared_dir(spark, "silver")
+    silver = _nulls_at(taxi.silver_trips(raw(spark, sf_dir)), 20)
+    writers.replace_partitions(silver, path, ["pickup_date"])
+    half = silver.where("pickup_date IS NULL AND vendor_id = 1").withColumn("extra", F.col("extra") + 1)
+    writers.upsert_into(spark, path, half, ["trip_id"], "pickup_date")
+    return spark.read.parquet(path).select(*silver.columns)
+
+
+@query
+def q_backfill_new_column(spark, sf_dir):
+    """A key column that the table lacks altogether, NULL partition included."""
+    path = shared_dir(spark, "silver")
+    silver = _nulls_at(taxi.silver_trips(raw(spark, sf_dir)), 20)
+    writers.replace_partitions(silver.drop("trip_id"), path, ["pickup_date"])
+    columns = [taxi.RENAMES.get(c, c) for c in taxi.KEY_COLUMNS]
+    writers.backfill_column(spark, path, "trip_id", lambda df: record_key(df, columns), "pickup_date")
+    return spark.read.parquet(path).select("trip_id", "pickup_date", "total_amount")
+
+
+@query
+def q_rewrite_table(spark, sf_dir):
+    """A whole table replaced by a computation on itself; the backup keeps the old amounts."""
+    root = shared_dir(spark, "rewrite")
+    facts(spark, sf_dir).write.parquet(f"{root}/fact")
+    doubled = spark.read.parquet(f"{root}/fact").withColumn("total_amount", F.col("total_amount") * 2)
+    writers.rewrite_table(doubled, f"{root}/fact", f"{root}/backup")
+    both = [spark.read.parquet(f"{root}/{t}").withColumn("version", F.lit(t)) for t in ("fact", "backup")]
+    return rounded(
+        both[0].unionByName(both[1]).groupBy("version", "pickup_date").agg(
+            marts.trips(), F.sum("total_amount").alias("revenue")
+        ),
+        revenue=2,
+    )
+
+
+@query
+def q_single_day(spark, sf_dir):
+    """One day of landing, read by its partition."""
+    day = readers.read_day(spark, _land(spark, sf_dir), "date", "2024-01-12")
+    return day.select("VendorID", taxi.PICKUP, "total_amount")
+
+
+@query
+def q_pipeline_late(spark, sf_dir):
+    """Half of the trips land two days after their pickup day, so days that are published already grow."""
+    layout, landing = Layout(shared_dir(spark, "lake")), shared_dir(spark, "landing")
+    late = F.pmod(F.col("PULocationID"), F.lit(2)) == 1
+    landed_on = F.when(late, F.date_add(F.to_date(taxi.PICKUP), 2)).otherwise(F.to_date(taxi.PICKUP))
+    trips = raw(spark, sf_dir).where(F.col(taxi.PICKUP) >= F.lit(taxi.TAXI.landing_from)).withColumn("date", landed_on)
+    writers.replace_partitions(trips, landing, ["date"])
+    for run, days in enumerate((("2024-01-01", "2024-01-12"), ("2024-01-13", "2024-01-24"), ("2024-01-25", "2024-02-05"))):
+        run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of(*days), f"run-{run}")
+    daily = spark.read.parquet(layout.path("agg_daily_summary"))
+    return rounded(daily, total_revenue=2, total_fare=2)
+
+
+@query
+def q_pipeline_dims(spark, sf_dir):
+    """Fact, calendar, payment types and CSV zones as published; a second run leaves the dimensions alone."""
+    layout, landing = Layout(shared_dir(spark, "lake")), _land(spark, sf_dir)
+    zones, renamed = taxi.zones(spark, sf_dir), F.lit("changed after the first run")
+    for run, days in enumerate((("2024-01-01", "2024-01-20"), ("2024-01-15", "2024-01-31"))):
+        lookup = shared_dir(spark, "zones-csv")
+        (zones.withColumn("Borough", renamed) if run else zones).write.option("header", "true").csv(lookup)
+        run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of(*days), f"run-{run}", lookup)
+    fact, dates, payments, zone = (
+        spark.read.parquet(layout.path(t)) for t in ("fact_trips", "dim_date", "dim_payment", "dim_zone")
+    )
+    dated = marts.with_date(fact.select("pickup_date", "pickup_hour", "payment_type", "pulocation_id", "total_amount"), dates)
+    totals = dated.groupBy("year", "month", "is_weekend", "time_bucket", "payment_type", "pulocation_id").agg(
+        marts.trips(), F.sum("total_amount").alias("revenue")
+    )
+    named = marts.with_zone(marts.with_payment(totals, payments), zone, "pulocation_id", "pickup")
+    return rounded(
+        named.groupBy("year", "month", "is_weekend", "time_bucket", "payment_name", "pickup_borough").agg(
+            F.sum("trips").alias("trips"), F.sum("revenue").alias("revenue")
+        ),
+        revenue=2,
+    )
+
+
 # --- profiling ---------------------------------------------------------------------------
 
 
@@ -458,13 +549,20 @@ def q_maintain(spark, sf_dir):
         F.lit(True).alias("published"),
         F.col("pickup_date").cast("timestamp").alias("committed_at"),
     )
-    log.write.parquet(f"{root}/log")
+    publish.write_log(log, f"{root}/log")
     publish.record_manifest(spark, path, "2024-01-31", f"{root}/manifest")
     table = maintenance.MaintainedTable(path, ("pickup_date",), f"{root}/log", f"{root}/manifest")
-    done = maintenance.maintain(
-        spark, [table], "full", as_of=dt.datetime(2024, 2, 10, tzinfo=dt.timezone.utc), days_to_keep=20, retain_last=15
-    )
-    kept = spark.read.parquet(f"{root}/log").agg(F.count(F.lit(1)).alias("n")).scalar()
+    compacted = maintenance.maintain(spark, [table], "weekly")
+    # A writer that died left a file that no run knows: too young to go at first, then removed.
+    stray = spark.read.parquet(path).drop("pickup_date").coalesce(1)
+    stray.write.mode("append").parquet(f"{path}/pickup_date=2024-01-10")
+    then, later = dt.datetime(2024, 2, 10, tzinfo=dt.timezone.utc), dt.datetime(2100, 1, 1, tzinfo=dt.timezone.utc)
+    found = maintenance.maintain(spark, [table], "monthly", (), then, days_to_keep=20, retain_last=15, remove_after_days=3)
+    removed = maintenance.maintain(spark, [table], "full", ("compact", "expire"), later, remove_after_days=3)
+    left = maintenance.maintain(spark, [table], "full", ("compact", "expire"), later)
+    steps = [compacted, found, *(d.withColumn("step", F.lit(s)) for s, d in (("remove", removed), ("after", left)))]
+    done = reduce(DataFrame.unionByName, steps)
+    kept = publish.read_log(spark, f"{root}/log").agg(F.count(F.lit(1)).alias("n")).scalar()
     rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).scalar()
     return done.select("step", "ok", "items").withColumns({"kept_runs": kept, "rows": rows})
 
@@ -512,6 +610,13 @@ def q_counter_rate(spark, sf_dir):
     )
 
 
+@query
+def q_counter_increase_alert(spark, sf_dir):
+    """Five-minute windows in which a counter grew by more than 50, restarts included."""
+    series = ["user_id", "event_type"]
+    return rounded(telemetry.counter_increase_above(events(spark, sf_dir), "ts", series, ORDER, "value", 50))
+
+
 @query
 def q_increase_alert(spark, sf_dir):
     return telemetry.increase_above(events(spark, sf_dir), "ts", ["event_type"], 2)
@@ -597,11 +702,12 @@ def q_error_rate(spark, sf_dir):
 
 @query
 def q_stream_bronze(spark, sf_dir):
-    """Two runs of the same stream: the second finds nothing new."""
-    landing, root = _land(spark, sf_dir), shared_dir(spark, "stream")
+    """Two runs of the same stream; in between all days land again under new file names."""
+    landing, root = shared_dir(spark, "landing"), shared_dir(spark, "stream")
     for _ in range(2):
+        writers.split_by_day(raw(spark, sf_dir), landing, taxi.PICKUP, "date", taxi.TAXI.landing_from)
         stream = ingest.stream_landing(spark, landing, RAW_TRIP)
-        ingest.write_bronze(stream, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
+        ingest.write_bronze(stream, landing, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/bronze").groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -16,12 +20,72 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Data files below ``path`` with size and time; partition columns included.
+def remove_older(spark: SparkSession, path: str, cutoff: dt.datetime) -> None:
+    """Delete entries of a folder that were last changed before ``cutoff``; a missing folder is empty."""
+    if path_exists(spark, path):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in system.listStatus(folder):
+            if status.getModificationTime() < cutoff.timestamp() * 1000:
+                system.delete(status.getPath(), True)
+
+
+def leaf_directories(spark: SparkSession, path: str) -> list[str]:
+    """Partition directories below ``path`` that hold data files, relative to it."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, todo = [], [""]
+    while todo:
+        name = todo.pop()
+        inside = list(system.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}" if name else path)))
+        below = [s.getPath().getName() for s in inside if s.isDirectory() and "=" in s.getPath().getName()]
+        todo += [f"{name}/{b}" if name else b for b in below]
+        if name and any(s.isFile() and s.getPath().getName().endswith(".parquet") for s in inside):
+            found.append(name)
+    return sorted(found)
+
+
+def move_partitions(spark: SparkSession, staged_path: str, path: str) -> list[str]:
+    """Put the partition directories of a staged copy in place of those of a table; returns their names.
+
+    A replaced directory steps aside under a name that readers skip and is deleted after its successor is
+    there. If that is interrupted, the staged copy still holds what was not moved, so a repeated run completes it.
+    """
+    base, staged = path.rstrip("/"), staged_path.rstrip("/")
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    system = make(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(make(base))
+    names = leaf_directories(spark, staged)
+    for name in names:
+        target, aside = make(f"{base}/{name}"), make(f"{base}/_replaced/{name}")
+        system.mkdirs(target.getParent())
+        if system.exists(target):
+            system.delete(aside, True)
+            system.mkdirs(aside.getParent())
+            _rename(system, target, aside)
+        _rename(system, make(f"{staged}/{name}"), target)
+    system.delete(make(f"{base}/_replaced"), True)
+    return names
+
+
+def _rename(system, source, target) -> None:
+    if not system.rename(source, target):
+        raise OSError(f"{source} cannot be moved to {target}")
+
+
+def partition_directories(df: DataFrame, column: str) -> set[str]:
+    """Names of the directories, one per partition of ``column``, that hold the rows of a file table."""
+    name = F.regexp_extract("_metadata.file_path", f"({column}=[^/]*)/[^/]*$", 1)
+    # The path is written as an address, in which special signs of the name are escaped once more.
+    return {unquote(row.name) for row in df.select(name.alias("name")).distinct().collect()}
+
+
+def file_inventory(spark: SparkSession, path: str, directories: list[str] | None = None) -> DataFrame:
+    """Data files below ``path``, or only in some of its directories, with size and time.
 
-    The binary-file source lists files without opening them as long as ``content`` is not
-    selected.
+    Partition columns are included. The binary-file source lists files without opening them as long as
+    ``content`` is not selected.
     """
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).drop("content")
-    )
+    base = path.rstrip("/")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("basePath", base)
+    return reader.load(base if directories is None else [f"{base}/{d}" for d in directories]).drop("content")

@@ -5,14 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.config import shared_dir
+from strata.config import shared_dir, stored
 from strata.sources.contracts import contract
-from strata.sources.files import file_inventory, remove_path
-from strata.sources.publish import record_manifest
+from strata.sources.files import file_inventory, move_partitions, remove_older, remove_path
+from strata.sources.publish import add_to_manifest, read_log, read_manifest
 from strata.sources.readers import literal_table
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024  # fixed value: documented target file size
@@ -37,47 +40,50 @@ def compact(
 ) -> DataFrame:
     """Rewrite partitions with at least twice the files their size needs; rows do not change.
 
-    The affected partitions are first copied aside, so a failed rewrite loses nothing. Rows
-    of the copy are dealt out over the target files by file and row position, which a retried
-    task reproduces: a partition with a third of all bytes is written by as many tasks as it
-    gets files. Returns files and bytes per partition before and after.
+    The new files are written aside and counted before their directories take the place of the old ones: a
+    run that fails earlier changes nothing, and one that fails while moving is completed by the next. Rows
+    are dealt out over the target files by file and row position, which a retried task reproduces: a
+    partition with a third of all bytes is written by as many tasks as it gets files. NULL is a partition
+    like any other. Returns files and bytes per partition before and after.
     """
     columns = list(partition_columns)
-    report_path, staged_path = shared_dir(spark, "compact-report"), shared_dir(spark, "compact")
-    compaction_plan(spark, path, columns, target_bytes).write.parquet(report_path)
-    before = spark.read.parquet(report_path)
-    work = before.where(F.col("files") >= 2 * F.col("target_files")).select(*columns, "target_files")
+    before = stored(compaction_plan(spark, path, columns, target_bytes), "compact-report")
+    work = before.where(F.col("files") >= 2 * F.col("target_files"))
     table = spark.read.parquet(path)
-    affected = table.join(work, columns)
-    affected.select(*table.columns, "target_files").write.parquet(staged_path)
-
-    staged = spark.read.parquet(staged_path)
-    per_partition = staged.groupBy(*columns, "target_files").agg(F.count(F.lit(1)).alias("rows"))
-    size = per_partition.agg(
+    position = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    placed = table.select("*", position.alias("_position"))
+    renamed = work.select(*(F.col(c).alias(f"_{c}") for c in columns), "target_files")
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns))
+    affected = placed.join(renamed, same)
+    sizes = affected.groupBy(*columns, "target_files").agg(F.count(F.lit(1)).alias("rows")).agg(
         F.sum("rows").alias("rows"),
         F.sum("target_files").alias("files"),
         F.max(F.ceil(F.col("rows") / F.col("target_files"))).alias("rows_per_file"),
-    ).first()
+    )
+    size = sizes.first()
     if size["rows"] is not None:
-        if size["rows"] != affected.count():
-            raise RuntimeError(f"the copy of {path} holds {size['rows']} rows, not those of the table")
-        position = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        staged_path = shared_dir(spark, "compact")
         (
-            staged.withColumn("_file", F.pmod(position, "target_files"))
+            affected.withColumn("_file", F.pmod("_position", "target_files"))
             .repartition(size["files"], *columns, "_file")
             .select(*table.columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", int(size["rows_per_file"] * 1.2) + 1)
+            .write.option("maxRecordsPerFile", int(size["rows_per_file"] * 1.2) + 1)
             .partitionBy(*columns)
-            .parquet(path)
+            .parquet(staged_path)
         )
-    remove_path(spark, staged_path)
+        written = spark.read.schema(table.schema).parquet(staged_path).count()
+        if written != size["rows"]:
+            raise RuntimeError(f"the new files of {path} hold {written} rows, the old ones {size['rows']}")
+        move_partitions(spark, staged_path, path)
+        remove_path(spark, staged_path)
     sizes = {"files": "files_before", "bytes": "bytes_before"}
     after = compaction_plan(spark, path, columns, target_bytes).select(
-        *columns, F.col("files").alias("files_after"), F.col("bytes").alias("bytes_after")
+        *(F.col(c).alias(f"_{c}") for c in columns),
+        F.col("files").alias("files_after"),
+        F.col("bytes").alias("bytes_after"),
     )
-    return before.drop("target_files").withColumnsRenamed(sizes).join(after, columns)
+    report = before.drop("target_files").withColumnsRenamed(sizes).join(after, same)
+    return report.drop(*(f"_{c}" for c in columns))
 
 
 def newest_versions(log: DataFrame, table: str, version: str, time: str, n: int) -> DataFrame:
@@ -134,13 +140,14 @@ def maintain(
     as_of: dt.datetime | None = None,
     days_to_keep: int = DAYS_TO_KEEP,
     retain_last: int = RETAIN_LAST,
+    remove_after_days: int | None = None,
 ) -> DataFrame:
     """Run the steps of ``mode`` on every table; one failing table does not stop the rest.
 
     ``skip`` applies to mode ``full``. ``items`` counts rewritten partitions, expired runs
-    and orphan files. The run that readers see never expires, and compaction adds its files to
-    the manifest of that run. Orphan files are reported, not deleted: a file of a write still in
-    progress is not in any manifest either.
+    and orphan files. The run that readers see never expires. Orphan files are only reported, because a
+    file of a write still in progress is not in any manifest either; with ``remove_after_days`` those that
+    are older than that go, and staged copies of refused runs of the same age with them.
     """
     steps = [s for s in MODES[mode] if mode != "full" or s not in skip]
     now = as_of or dt.datetime.now(dt.timezone.utc)
@@ -148,50 +155,75 @@ def maintain(
     for step in steps:
         for table in tables:
             try:
-                items = _run_step(spark, step, table, now, days_to_keep, retain_last)
+                items = _run_step(spark, step, table, now, days_to_keep, retain_last, remove_after_days)
                 results.append((step, table.path, True, items, None))
             except Exception as error:  # noqa: BLE001 - reported in the result
-                results.append((step, table.path, False, None, str(error).splitlines()[0]))
+                said = str(error).splitlines() or [type(error).__name__]
+                results.append((step, table.path, False, None, said[0]))
     return literal_table(spark, results, RESULT_SCHEMA)
 
 
 def _run_step(
-    spark: SparkSession, step: str, table: MaintainedTable, now: dt.datetime, days: int, retain: int
+    spark: SparkSession, step: str, table: MaintainedTable, now: dt.datetime, days: int, retain: int, remove: int | None
 ) -> int:
+    visible_run = None
     if table.log_path is not None:
-        log = spark.read.parquet(table.log_path).where(F.col("table_path") == table.path)
+        log = read_log(spark, table.log_path).where(F.col("table_path") == table.path)
         visible = newest_versions(log.where("published"), "table_path", "run_id", "committed_at", 1)
         visible_run = visible.select("table_path", "run_id").first()
+    if visible_run is None and (step != "compact" or table.manifest_path is not None):
+        raise ValueError(f"no published run of {table.path} is known")  # before anything is rewritten
     if step == "compact":
         rewritten = compact(spark, table.path, table.partition_columns)
         n = rewritten.where("files_after < files_before").count()
         if n and table.manifest_path is not None:
-            record_manifest(spark, table.path, visible_run.run_id, table.manifest_path)
+            new = orphans(file_inventory(spark, table.path), _manifest(spark, table))
+            entries = new.select(
+                F.lit(table.path).alias("table_path"), F.lit(visible_run.run_id).alias("run_id"), "path"
+            )
+            add_to_manifest(entries, table.manifest_path)
         return n
-    if visible_run is None:
-        raise ValueError(f"no published run of {table.path} is known")
-    is_visible = F.col("run_id") == visible_run.run_id
     if step == "expire":
         expired = expire_candidates(log, F.lit(now), days_to_keep=days, retain_last=retain)
-        return drop_runs(spark, table, expired.where(~is_visible))
-    manifest = spark.read.parquet(table.manifest_path).where(F.col("table_path") == table.path)
-    return orphans(file_inventory(spark, table.path), manifest.where(is_visible)).count()
+        return drop_runs(spark, table, expired.where(F.col("run_id") != visible_run.run_id), visible_run.run_id)
+    found = stored(
+        orphans(file_inventory(spark, table.path), _manifest(spark, table)).select("path", "modificationTime"), "orphans"
+    )
+    if remove is not None:
+        cutoff = now - dt.timedelta(days=remove)
+        for row in found.where(F.col("modificationTime") < F.lit(cutoff)).select("path").toLocalIterator():
+            remove_path(spark, row.path)
+        remove_older(spark, f"{table.path.rstrip('/')}_staging", cutoff)
+    return found.count()
+
+
+def _manifest(spark: SparkSession, table: MaintainedTable) -> DataFrame:
+    return read_manifest(spark, table.manifest_path).where(F.col("table_path") == table.path)
 
 
-def drop_runs(spark: SparkSession, table: MaintainedTable, expired: DataFrame) -> int:
-    """Remove expired runs from the publish log and the manifest; returns how many runs went."""
-    keys = ["table_path", "run_id"]
-    expired_path = shared_dir(spark, "expired")
-    expired.select(*keys).write.parquet(expired_path)
-    gone = spark.read.parquet(expired_path)
+def drop_runs(spark: SparkSession, table: MaintainedTable, expired: DataFrame, heir: str) -> int:
+    """Remove expired runs from the publish log and the manifest; returns how many runs went.
+
+    Files of an expired run that still exist belong to partitions no later run has replaced; their entries
+    pass on to ``heir``. Only the directories of expired runs are touched, so entries that are being added
+    meanwhile are safe, and an interrupted removal is completed by the next.
+    """
+    gone = stored(expired.select("table_path", "run_id").distinct(), "expired")
     count = gone.count()
     if count:
-        for path in (table.log_path, table.manifest_path):
-            if path is None:
-                continue
-            staged_path = shared_dir(spark, "log")
-            spark.read.parquet(path).join(gone, keys, "left_anti").write.parquet(staged_path)
-            spark.read.parquet(staged_path).write.mode("overwrite").parquet(path)
-            remove_path(spark, staged_path)
-    remove_path(spark, expired_path)
+        runs = [row.run_id for row in gone.select("run_id").collect()]  # one name per expired run
+        if table.manifest_path is not None:
+            old = _manifest(spark, table).where(F.col("run_id").isin(runs))
+            alive = old.join(file_inventory(spark, table.path).select("path"), "path", "left_semi")
+            inherited = alive.select("table_path", F.lit(heir).alias("run_id"), "path").distinct()
+            add_to_manifest(stored(inherited, "inherited"), table.manifest_path)
+            _drop_directories(spark, old, table.manifest_path)
+        log = read_log(spark, table.log_path).where((F.col("table_path") == table.path) & F.col("run_id").isin(runs))
+        _drop_directories(spark, log, table.log_path)
     return count
+
+
+def _drop_directories(spark: SparkSession, entries: DataFrame, path: str) -> None:
+    directory = F.regexp_extract("_metadata.file_path", "(table_path=[^/]*/run_id=[^/]*)/[^/]*$", 1)
+    for row in entries.select(directory.alias("name")).distinct().collect():
+        remove_path(spark, f"{path.rstrip('/')}/{unquote(row.name)}")

@@ -1,8 +1,8 @@
 """Write-audit-publish over Parquet directories.
 
 An increment is written to a staging directory, audited there, and only then moves into
-the table by replacing its partitions. A failed audit leaves the staged copy for
-inspection; an exception removes it. Publishing is atomic per partition directory at
+the table: its partition directories take the place of the old ones, so rows are written
+once. A failed audit leaves the staged copy for inspection; an exception removes it. Publishing is atomic per partition directory at
 best: readers of several tables can see one published before the other.
 """
 
@@ -29,6 +29,7 @@ LOG_SCHEMA = contract(
     files="long",
     committed_at="timestamp",
 )
+MANIFEST_SCHEMA = contract(table_path="string", run_id="string", path="string")
 
 
 class PublishResult(NamedTuple):
@@ -50,22 +51,21 @@ def publish(
 ) -> PublishResult:
     spark = df.sparkSession
     staged_path = f"{path.rstrip('/')}_staging/{run_id}"
+    stamp = committed_at or dt.datetime.now(dt.timezone.utc)
     try:
         stage(df, staged_path, partition_columns)
         # The declared schema keeps an empty increment readable.
         staged = spark.read.schema(df.schema).parquet(staged_path).select(*df.columns)
         found = run_checks(staged, {**checks, "_rows": F.count(F.lit(1))}).first().asDict()
-        rows = found.pop("_rows")
+        rows, files = found.pop("_rows"), file_inventory(spark, staged_path).count()
         audit = {name: bool(value) for name, value in found.items()}
         passed = all(audit.values())
-        if passed:
-            promote(staged_path, df, path, partition_columns)
+        touched = promote(spark, staged_path, path) if passed else []
+        if touched and manifest_path is not None:
+            record_manifest(spark, path, run_id, manifest_path, touched)
         if log_path is not None:
-            stamp = committed_at or dt.datetime.now(dt.timezone.utc)
-            row = (path, run_id, passed, rows, file_inventory(spark, staged_path).count(), stamp)
-            literal_table(spark, [row], LOG_SCHEMA).write.mode("append").parquet(log_path)
-        if passed and manifest_path is not None:
-            record_manifest(spark, path, run_id, manifest_path)
+            row = (path, run_id, passed, rows, files, stamp)
+            write_log(literal_table(spark, [row], LOG_SCHEMA), log_path)
     except Exception:
         remove_path(spark, staged_path)
         raise
@@ -74,8 +74,33 @@ def publish(
     return PublishResult(run_id, passed, audit, staged_path)
 
 
-def record_manifest(spark: SparkSession, path: str, run_id: str, manifest_path: str) -> None:
-    """Note which files make up the table after a run."""
-    file_inventory(spark, path).select(
-        F.lit(path).alias("table_path"), F.lit(run_id).alias("run_id"), "path"
-    ).write.mode("append").parquet(manifest_path)
+def write_log(entries: DataFrame, log_path: str) -> None:
+    """One directory per table and run, so a repeated run replaces its entry and tables never meet."""
+    _by_run(entries, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(log_path)
+
+
+def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    return spark.read.schema(LOG_SCHEMA).parquet(log_path)
+
+
+def record_manifest(
+    spark: SparkSession, path: str, run_id: str, manifest_path: str, directories: list[str] | None = None
+) -> None:
+    """Note the files that a run put in place: those of the given partitions, or of the whole table.
+
+    A file stays on the list for as long as it exists, so the lists of all runs together name every live file.
+    """
+    files = file_inventory(spark, path, directories)
+    add_to_manifest(files.select(F.lit(path).alias("table_path"), F.lit(run_id).alias("run_id"), "path"), manifest_path)
+
+
+def add_to_manifest(entries: DataFrame, manifest_path: str) -> None:
+    _by_run(entries, "append").parquet(manifest_path)
+
+
+def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path)
+
+
+def _by_run(entries: DataFrame, mode: str):
+    return entries.write.mode(mode).partitionBy("table_path", "run_id")

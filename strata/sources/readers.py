@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,23 @@ def read_contract(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return require_contract(spark.read.parquet(path), schema)
 
 
+def in_partitions(df: DataFrame, column: str, touched: DataFrame) -> DataFrame:
+    """Rows of the partitions that ``touched`` names in its only column, the NULL partition included.
+
+    At most one value per partition is collected; as a literal filter it reads only those directories.
+    """
+    values = [row[0] for row in touched.distinct().collect()]
+    kind = df.schema[column].dataType
+    wanted = F.col(column).isin([F.lit(v).cast(kind) for v in values if v is not None])
+    return df.where(wanted | F.col(column).isNull() if None in values else wanted)
+
+
+def listed_days(spark: SparkSession, path: str, column: str, days: DateRange) -> list[dt.date]:
+    """Days of the range that have a partition directory; other directories are not listed."""
+    each = (days.start + dt.timedelta(days=n) for n in range(days.n_days))
+    return [day for day in each if path_exists(spark, f"{path.rstrip('/')}/{column}={day.isoformat()}")]
+
+
 def present_days(spark: SparkSession, path: str, column: str) -> DataFrame | None:
     """Days that have a partition directory, from the file listing alone; None without a table."""
     if not path_exists(spark, path):
@@ -69,8 +87,11 @@ def read_range(spark: SparkSession, path: str, column: str, days: DateRange) ->
 
 
 def read_range_or_none(spark: SparkSession, path: str, column: str, days: DateRange) -> DataFrame | None:
-    """Like ``read_range``, but None when the range holds no row."""
-    found = read_range(spark, path, column, days)
+    """Like ``read_range``, but None when the range holds no row or the table does not exist."""
+    table = read_parquet(spark, path, missing_ok=True)
+    if table is None:
+        return None
+    found = within(table, column, days)
     return None if found.isEmpty() else found
 
 

@@ -14,10 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import DateRange, shared_dir
-from strata.functions.sizing import broadcast_if_small
 from strata.operators.upsert import repeated_keys, upsert
-from strata.sources.files import file_inventory, remove_path
-from strata.sources.readers import missing_days, present_days, read_parquet
+from strata.sources.files import move_partitions, partition_directories, remove_path
+from strata.sources.readers import in_partitions, listed_days, read_parquet
 
 
 def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -29,14 +28,9 @@ def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None
     _overwrite_partitions(df.hint("rebalance", *columns), path, columns)
 
 
-def promote(staged_path: str, like: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Replace partitions of a table by those of a staged copy with the columns of ``like``.
-
-    Staged files are grouped by partition already, so this step copies without a shuffle.
-    The declared schema keeps types that partition discovery would infer anew.
-    """
-    staged = like.sparkSession.read.schema(like.schema).parquet(staged_path)
-    _overwrite_partitions(staged.select(*like.columns), path, columns)
+def promote(spark: SparkSession, staged_path: str, path: str) -> list[str]:
+    """Replace partitions of a table by those of a staged copy, by moving directories; returns their names."""
+    return move_partitions(spark, staged_path, path)
 
 
 def stage(df: DataFrame, staged_path: str, columns: Sequence[str]) -> None:
@@ -58,12 +52,15 @@ def write_once(df: DataFrame, path: str) -> None:
 
 
 def split_by_day(df: DataFrame, path: str, timestamp: str, column: str = "date", first_day=None) -> None:
-    """One directory per day of ``timestamp``; rows without one, or before ``first_day``, are left out."""
+    """One directory per day of ``timestamp``; rows without one, or before ``first_day``, are left out.
+
+    Only the days that occur are replaced, so later parts of a month can follow earlier ones.
+    """
     dated = df.withColumn(column, F.to_date(timestamp))
     kept = dated.where(F.col(column).isNotNull())
     if first_day is not None:
         kept = kept.where(F.col(column) >= F.lit(first_day))
-    kept.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(path)
+    replace_partitions(kept, path, [column])
 
 
 class Ingested(NamedTuple):
@@ -82,13 +79,12 @@ def append_new_days(
 ) -> Ingested:
     """Load the days of the range that landed and are not in bronze yet.
 
-    A day that is missing in landing or already present in bronze is skipped and counted.
-    The list of new days is at most as long as the requested range; it becomes a literal
-    filter, so only those landing directories are read, in one job for all days.
+    A day that is missing in landing or already present in bronze is skipped and counted; so are all
+    days while there is no landing folder. Only directories of the range are looked up. The list of new
+    days becomes a literal filter, so only those landing directories are read, in one job for all days.
     """
-    landed = present_days(spark, landing, landing_day).select(F.col(landing_day).cast("date").alias("day"))
-    candidates = missing_days(spark, days, present_days(spark, bronze, bronze_day), bronze_day)
-    new_days = [row.day for row in candidates.join(landed, "day", "left_semi").collect()]
+    known = set(listed_days(spark, bronze, bronze_day, days))
+    new_days = [day for day in listed_days(spark, landing, landing_day, days) if day not in known]
     if not new_days:
         return Ingested(0, days.n_days, 0)
     increment = (
@@ -118,37 +114,33 @@ def upsert_into(
     read and rewritten. Otherwise the keys are also looked up in all other partitions, and
     those with a match are rewritten too, or removed if nothing remains. Either way the
     result is staged before it replaces anything. A source with two rows for one key is
-    refused, because either could win.
+    refused, because either could win. NULL is a partition like any other.
     """
     target = read_parquet(spark, path, missing_ok=True)
-    if target is None:
-        replace_partitions(source, path, [partition])
-        return
-    source = source.select(*target.columns)
-    staged_path = shared_dir(spark, "upsert")
+    like = source if target is None else target
     # The source is computed once; the directories of its copy name the partitions it touches.
     source_path = shared_dir(spark, "upsert-source")
-    stage(source, source_path, [partition])
-    increment = spark.read.schema(target.schema).parquet(source_path).select(*target.columns)
+    stage(source.select(*like.columns), source_path, [partition])
+    increment = spark.read.schema(like.schema).parquet(source_path).select(*like.columns)
     if not repeated_keys(increment, keys).isEmpty():
         remove_path(spark, source_path)
         raise ValueError(f"the source of an upsert repeats a key of {list(keys)}")
-    touched = present_days(spark, source_path, partition)
+    if target is None:
+        promote(spark, source_path, path)
+        remove_path(spark, source_path)
+        return
+    touched = increment.select(partition)
     if not key_fixes_partition:
-        matched = target.join(increment.select(*keys), list(keys), "left_semi").select(partition)
-        touched_path = shared_dir(spark, "upsert-touched")
-        touched.union(matched).distinct().write.parquet(touched_path)
-        touched = spark.read.parquet(touched_path)
-    affected = target.join(broadcast_if_small(touched), partition, "left_semi")
+        touched = touched.union(target.join(increment.select(*keys), list(keys), "left_semi").select(partition))
+    affected = in_partitions(target, partition, touched)
+    staged_path = shared_dir(spark, "upsert")
     stage(upsert(affected, increment, keys), staged_path, [partition])
     emptied = []
     if not key_fixes_partition:
-        gone = touched.join(present_days(spark, staged_path, partition), partition, "left_anti")
-        directory = F.regexp_replace("path", "/[^/]*$", "").alias("directory")
-        found = file_inventory(spark, path).join(gone, partition).select(directory).distinct()
-        emptied = [row.directory for row in found.collect()]  # at most one per partition
-    promote(staged_path, target, path, [partition])
-    for directory in (*emptied, staged_path, source_path):
+        staged = spark.read.schema(like.schema).parquet(staged_path)
+        emptied = partition_directories(affected, partition) - partition_directories(staged, partition)
+    promote(spark, staged_path, path)
+    for directory in (*(f"{path.rstrip('/')}/{name}" for name in sorted(emptied)), staged_path, source_path):
         remove_path(spark, directory)
 
 
@@ -167,12 +159,11 @@ def backfill_column(
     n_nulls = holes.agg(F.coalesce(F.sum("_nulls"), F.lit(0)).alias("n")).first()["n"]
     if n_nulls == 0:
         return 0
-    touched = broadcast_if_small(holes.where("_nulls > 0").select(partition))
-    affected = table.join(touched, partition, "left_semi")
+    affected = in_partitions(table, partition, holes.where("_nulls > 0").select(partition))
     filled = affected.withColumn(column, F.coalesce(F.col(column), value(affected)))
     staged_path = shared_dir(spark, "backfill")
     stage(filled, staged_path, [partition])
-    promote(staged_path, filled, path, [partition])
+    promote(spark, staged_path, path)
     remove_path(spark, staged_path)
     return n_nulls
 

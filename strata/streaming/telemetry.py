@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.telemetry import seconds_between, state_breakdown
+from strata.operators.telemetry import event_rate, seconds_between, state_breakdown
 from strata.sources.contracts import SAMPLES
 
 def stream_samples(
@@ -32,6 +32,30 @@ def watermarked_breakdown(
     return state_breakdown(stream.withWatermark(ts, lateness), ts, labels, width)
 
 
+def watermarked_rate(
+    stream: DataFrame, ts: str, series: Sequence[str], lateness: str, minutes: int = 5
+) -> DataFrame:
+    """Events per second and window with bounded state: a window is given once the watermark has passed it."""
+    return event_rate(stream.withWatermark(ts, lateness), ts, series, minutes)
+
+
+def watermarked_sessions(stream: DataFrame, ts: str, series: Sequence[str], gap: str, lateness: str) -> DataFrame:
+    """Activity sessions with bounded state: a session is given once it can no longer grow."""
+    return sessions(stream.withWatermark(ts, lateness), ts, series, gap)
+
+
+def silence_alerts(stream: DataFrame, ts: str, series: Sequence[str], gap_seconds: int, lateness: str) -> DataFrame:
+    """Series that have been silent for ``gap_seconds``, as soon as the watermark proves it; bounded state.
+
+    A closed session is followed by silence, so each gives one row: from its last sample on. State holds
+    open sessions only. A series that never speaks again is reported as well, which a pair of sessions
+    could not do.
+    """
+    closed = watermarked_sessions(stream, ts, series, f"{gap_seconds} seconds", lateness)
+    last_sample = F.col("session_end") - F.make_dt_interval(secs=F.lit(gap_seconds))
+    return closed.select(*series, last_sample.alias("silent_since"), F.col("session_end").alias("silent_until_at_least"))
+
+
 def sessions(stream: DataFrame, ts: str, series: Sequence[str], gap: str) -> DataFrame:
     """Activity sessions: a series that stays silent for ``gap`` starts a new one; batch or stream."""
     return (

@@ -49,7 +49,7 @@ def by_key(rows):
 
 @pytest.mark.parametrize("n_slices", [2, 7, 64])
 def test_running_sum(frame, rows, n_slices):
-    sliced = ordered.with_slices(frame, ["k"], "ts", n_slices)
+    sliced = ordered.with_slices(frame, ["k"], ["ts", "event_id"], n_slices)
     found = ordered.running_sum(sliced, ["k"], ["ts", "event_id"], F.col("value"), "total", total="whole")
     expected = []
     for group in by_key(rows).values():
@@ -62,7 +62,7 @@ def test_running_sum(frame, rows, n_slices):
 
 @pytest.mark.parametrize("n_slices", [2, 64])
 def test_previous_row(frame, rows, n_slices):
-    sliced = ordered.with_slices(frame, ["k"], "ts", n_slices)
+    sliced = ordered.with_slices(frame, ["k"], ["ts", "event_id"], n_slices)
     found = ordered.previous_row(sliced, ["k"], ["ts", "event_id"], ["value", "event_id"])
     expected = []
     for group in by_key(rows).values():
@@ -90,21 +90,40 @@ def test_null_keys_of_every_type_are_a_series_of_their_own(spark):
     df = spark.createDataFrame(data, "n int, a string, b date, c double").withColumn("t", F.timestamp_seconds("n"))
     df = df.withColumn("t2", F.when(F.col("n") % 2 == 0, F.timestamp_seconds(F.lit(0))))
     keys = ["a", "b", "c", "t2"]
-    found = ordered.running_sum(ordered.with_slices(df, keys, "t", 5), keys, ["n"], F.lit(1), "seen")
+    found = ordered.running_sum(ordered.with_slices(df, keys, ["n"], 5), keys, ["n"], F.lit(1), "seen")
     assert rows_of(found.select("n", "seen")) == sorted(((n, n // 2 + 1) for n in range(40)), key=repr)
     with pytest.raises(TypeError, match="cannot be a series key"):
         ordered.join_keys(df.withColumn("x", F.array("n")), ["x"])
 
 
+@pytest.mark.parametrize("n_slices", [2, 5, 16])
+def test_missing_and_equal_times_make_no_difference(spark, n_slices):
+    """Hot keys with NULL times, and one whose rows all have the same time, equal a plain window."""
+    data = [(i, None if i % 9 == 0 else START + dt.timedelta(seconds=i % 50), 0, float(i % 7)) for i in range(300)]
+    data += [(i, START, 1, float(i % 5)) for i in range(300, 600)] + [(i, None, i % 30, 1.0) for i in range(600, 660)]
+    df = spark.createDataFrame(data, "event_id bigint, ts timestamp_ntz, k bigint, value double").repartition(5)
+    order, plain = ["ts", "event_id"], df.withColumn(ordered.SLICE, F.lit(None).cast("int"))
+    sliced = ordered.with_slices(df, ["k"], order, n_slices)
+    if n_slices > 2:
+        per_slice = sliced.where("k = 1").groupBy(ordered.SLICE).count().collect()
+        assert len(per_slice) > 1  # one timestamp is no obstacle
+    for operator in (
+        lambda s: ordered.running_sum(s, ["k"], order, F.col("value"), "total", "whole").select("event_id", "total", "whole"),
+        lambda s: ordered.previous_row(s, ["k"], order, ["value"]).select("event_id", "prev_value"),
+        lambda s: ordered.runs(s, ["k"], order, F.col("value") < 4),
+    ):
+        assert rows_of(operator(sliced)) == rows_of(operator(plain))
+
+
 def test_slices_split_a_hot_key_evenly(frame):
-    sliced = ordered.with_slices(frame, ["k"], "ts", 16)
+    sliced = ordered.with_slices(frame, ["k"], ["ts", "event_id"], 16)
     largest = sliced.where("k = 0").groupBy("_slice").count().agg(F.max("count")).first()[0]
     assert largest < frame.count() / 4
 
 
 def test_ordinary_keys_need_no_slices(spark):
     even = spark.range(800).selectExpr("id AS event_id", "id % 80 AS k", "timestamp_micros(id) AS ts", "1 AS value")
-    sliced = ordered.with_slices(even, ["k"], "ts", 8)
+    sliced = ordered.with_slices(even, ["k"], ["ts"], 8)
     found = ordered.running_sum(sliced, ["k"], ["ts"], F.col("value"), "total")
     plan = final_plan(found)
     assert "Join" not in plan and plan.count("Exchange") == 1
@@ -150,6 +169,33 @@ def test_exact_quantiles(spark):
             assert found[g][name] == pytest.approx(float(np.quantile(values, p)), rel=1e-12, abs=1e-12)
 
 
+def test_quantiles_rank_nan_last_as_percentile_does(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [("a", v) for v in (1.0, 2.0, 3.0, nan, nan)] + [("b", v) for v in (-inf, inf, inf, 0.0)] + [("c", nan)]
+    df = spark.createDataFrame(data, "g string, v double")
+    found = quantiles.exact_quantiles(df, ["g"], "v", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    expected = df.groupBy("g").agg(*(F.percentile("v", p).alias(n) for n, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))))
+    assert str(rows_of(found)) == str(rows_of(expected))
+
+
+@pytest.mark.parametrize("span", [(1_000_000.0, 100.0), (0.0, 0.001), (-1e9, 2e9)])
+def test_any_distribution_is_cut_into_even_ranges(spark, span):
+    low, width = span
+    values = spark.range(20_000).select((F.lit(low) + F.rand(3) * width).alias("v"))
+    cut = ordered.cut(values, ["v"], 16)
+    sizes = [r["count"] for r in cut.groupBy(ordered.SLICE).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * 20_000 / 16
+
+
+def test_moments_come_from_the_frequencies(spark):
+    values = [1e9 + x for x in (1.0, 2.0, 2.0, 4.0, 8.5)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    row = profile.numeric_summary(df).first()
+    assert row.std == pytest.approx(np.std(values, ddof=1), rel=1e-9)
+    assert (row.n, row.min_value, row.max_value) == (5, min(values), max(values))
+    assert profile.numeric_summary(df.limit(1)).first().std is None
+
+
 def test_numeric_summary_of_a_column_of_nulls(spark):
     df = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
     found = {r.column_name: r for r in profile.numeric_summary(df).collect()}

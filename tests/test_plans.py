@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.config import DateRange
-from strata.functions.sizing import broadcast_if_small
 from strata.operators import marts, ordered
 from strata.plans import trips as taxi
+from strata.plans.queries import QUERIES
 from strata.sources import readers, writers
 from tests.conftest import SMALL, final_plan
 
@@ -47,16 +47,35 @@ def test_top_zones_join_after_the_limit(raw, spark):
     assert plan.index("BroadcastHashJoin") < plan.index("TakeOrderedAndProject")
 
 
-def test_only_a_small_side_is_broadcast(spark):
-    small, large = spark.range(10), spark.range(1000)
-    assert "BroadcastHashJoin" in final_plan(large.join(broadcast_if_small(small, 10), "id"))
-    conf = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, "-1")
+def jobs_of(spark, build):
+    """Jobs that building a query starts."""
+    tracker, group = spark.sparkContext.statusTracker(), f"build-{build.__name__}"
+    spark.sparkContext.setJobGroup(group, group)
     try:
-        assert "SortMergeJoin" in final_plan(large.join(broadcast_if_small(small, 9), "id"))
+        build(spark, SMALL)
+        return len(tracker.getJobIdsForGroup(group))
     finally:
-        spark.conf.set(conf, before)
+        spark.sparkContext.setJobGroup("tests", "tests")
+
+
+@pytest.mark.parametrize(
+    "name", ["q_od_pairs", "q_kpi_sliced", "q_calendar_revenue", "q_top_zones", "q_dim_zone", "q_payment_share", "q_success_rate"]
+)
+def test_building_a_query_reads_no_data(spark, raw, name):
+    plain = jobs_of(spark, QUERIES["q_rate_5m"])  # reads one schema
+    assert jobs_of(spark, QUERIES[name]) <= 2 * max(plain, 1)
+
+
+@pytest.mark.parametrize(
+    ("name", "reads"),
+    [("q_success_rate", 1), ("q_error_rate", 1), ("q_upsert", 3), ("q_numeric_summary", 3), ("q_uptime", 2), ("q_fare_outliers", 2)],
+)
+def test_inputs_are_read_once(spark, raw, name, reads):
+    """Queries with more than one scan read what they wrote from one pass over the input, not the input."""
+    plan = final_plan(QUERIES[name](spark, SMALL))
+    assert plan.count("FileScan parquet") <= reads
+    if reads > 1:
+        assert "raw-trips" not in plan and "events.parquet" not in plan
 
 
 def test_offsets_of_hot_keys_cost_no_further_shuffle_of_the_rows(spark):
@@ -65,11 +84,11 @@ def test_offsets_of_hot_keys_cost_no_further_shuffle_of_the_rows(spark):
     before = spark.conf.get(conf)
     spark.conf.set(conf, "-1")
     try:
-        sliced = ordered.with_slices(one_key, ["k"], "ts", 8)
-        plan = final_plan(ordered.running_sum(sliced, ["k"], ["ts"], F.col("v"), "total"))
+        sliced = ordered.cut(one_key, ["k", "ts"], 8)
+        plan = final_plan(ordered.running_sum(sliced, ["k"], ["ts"], F.col("v"), "total", all_sliced=True))
     finally:
         spark.conf.set(conf, before)
     rows_side = plan[plan.index("SortMergeJoin") :]
-    rows_side = rows_side[: rows_side.index("Range")]
+    rows_side = rows_side[: rows_side.index("FileScan")]
     assert rows_side.count("Exchange hashpartitioning") == 1
     assert "_slice" in rows_side[rows_side.index("Exchange hashpartitioning") :].splitlines()[0]

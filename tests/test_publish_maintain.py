@@ -60,6 +60,90 @@ def test_pipeline_is_idempotent(spark, folder):
     assert not run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of("2030-01-01"), "d").published
 
 
+def test_pipeline_keeps_days_that_grow_later(spark, folder):
+    """Trips picked up on 3 January that land on the 5th join what the 3rd holds already."""
+    layout, landing = Layout(folder("lake")), folder("landing")
+    raw = taxi.raw_trips(spark, SMALL).where("tpep_pickup_datetime >= '2024-01-03' AND tpep_pickup_datetime < '2024-01-04'")
+    late = F.col("PULocationID") % 2 == 0
+    day = F.when(late, F.lit(dt.date(2024, 1, 5))).otherwise(F.lit(dt.date(2024, 1, 3)))
+    writers.replace_partitions(raw.withColumn("date", day), landing, ["date"])
+    none = run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of("2024-02-01"), "none")
+    assert (none.published, none.bronze.skipped_days) == (False, 1)
+    run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of("2024-01-03"), "a")
+    early = spark.read.parquet(layout.path("silver")).count()
+    run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of("2024-01-05"), "b")
+    expected = taxi.silver_trips(raw).count()
+    assert 0 < early < expected
+    for table in ("silver", "fact_trips"):
+        assert spark.read.parquet(layout.path(table)).count() == expected
+    assert spark.read.parquet(layout.path("agg_daily_summary")).first().total_trips == expected
+
+
+def test_manifest_grows_with_what_runs_touch(spark, folder):
+    spec = published(spark, folder, 6)
+    assert publish.read_manifest(spark, spec.manifest_path).count() == 6
+    assert files.file_inventory(spark, spec.path).count() == 6
+
+
+def test_a_repeated_run_has_one_log_entry(spark, folder):
+    spec = published(spark, folder, 1)
+    for amount in (2.0, 3.0):
+        publish.publish(table(spark, "ab", amount=amount), spec.path, ["day"], {}, "again", spec.log_path, spec.manifest_path)
+    log = publish.read_log(spark, spec.log_path)
+    assert rows_of(log.groupBy("run_id").count()) == [("again", 1), ("run-00", 1)]
+
+
+def test_files_of_expired_runs_that_are_still_read_are_no_orphans(spark, folder):
+    spec = published(spark, folder, 5)
+    done = {r.step: r.items for r in maintenance.maintain(spark, [spec], "monthly", as_of=NOW, retain_last=1).collect()}
+    assert done == {"expire": 4, "orphans": 0}
+    assert spark.read.parquet(spec.path).count() == 10
+    again = {r.step: r.items for r in maintenance.maintain(spark, [spec], "monthly", as_of=NOW, retain_last=1).collect()}
+    assert again == {"expire": 0, "orphans": 0}
+
+
+def test_tables_sharing_a_log_do_not_meet(spark, folder):
+    one, other = published(spark, folder, 3), published(spark, folder, 3)
+    shared = maintenance.MaintainedTable(other.path, other.partition_columns, one.log_path, one.manifest_path)
+    publish.publish(table(spark, "z", day=9), other.path, ["day"], {}, "run-00", one.log_path, one.manifest_path, NOW)
+    maintenance.maintain(spark, [one], "monthly", as_of=NOW, retain_last=1)
+    log = publish.read_log(spark, one.log_path)
+    assert rows_of(log.select("table_path", "run_id")) == sorted([(one.path, "run-02"), (shared.path, "run-00")])
+
+
+def test_errors_without_text_and_tables_without_log_stop_nothing(spark, folder, monkeypatch):
+    good, bare = published(spark, folder, 1), maintenance.MaintainedTable(scattered(spark, folder), ("day",))
+    unpublished = maintenance.MaintainedTable(scattered(spark, folder), ("day",), good.log_path, good.manifest_path)
+    before = rows_of(files.file_inventory(spark, unpublished.path).select("path"))
+    done = {(r.step, r.table_path): r for r in maintenance.maintain(spark, [bare, unpublished, good], as_of=NOW).collect()}
+    assert done["compact", bare.path].ok and not done["expire", bare.path].ok
+    assert not done["compact", unpublished.path].ok
+    assert rows_of(files.file_inventory(spark, unpublished.path).select("path")) == before  # nothing was rewritten
+    assert all(done[step, good.path].ok for step in ("compact", "expire", "orphans"))
+
+    def broken(*_):
+        raise RuntimeError
+
+    monkeypatch.setattr(maintenance, "compact", broken)
+    found = {r.table_path: r for r in maintenance.maintain(spark, [bare, good], "weekly", as_of=NOW).collect()}
+    assert {r.detail for r in found.values()} == {"RuntimeError"}
+
+
+def test_only_old_orphans_and_old_refused_copies_are_removed(spark, folder):
+    spec = published(spark, folder, 2)
+    publish.publish(table(spark, "q"), spec.path, ["day"], {"never": F.count(F.lit(1)) < 0}, "refused", spec.log_path)
+    stray = table(spark, "xyz").drop("day").coalesce(1)
+    stray.write.mode("append").parquet(f"{spec.path}/day=2024-01-01")
+    staged, now = f"{spec.path}_staging/refused", dt.datetime.now(dt.timezone.utc)
+
+    def orphans(as_of):
+        return maintenance.maintain(spark, [spec], "full", ["compact", "expire"], as_of, remove_after_days=3).first().items
+
+    assert orphans(now) == 1 and files.path_exists(spark, staged)
+    assert orphans(now + dt.timedelta(days=9)) == 1 and not files.path_exists(spark, staged)
+    assert orphans(now) == 0 and spark.read.parquet(spec.path).count() == 4
+
+
 def scattered(spark, folder):
     path = folder("small-files")
     rows = spark.range(4000).select(
@@ -79,6 +163,16 @@ def test_compaction_keeps_every_row(spark, folder):
     assert {(r.files_before, r.files_after) for r in report} == {(8, 1)}
 
 
+def test_compaction_reaches_the_null_partition(spark, folder):
+    path = folder("small-files")
+    rows = spark.range(900).select(F.col("id"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).cast("int").alias("day"))
+    rows.repartition(6).write.partitionBy("day").parquet(path)
+    before = rows_of(spark.read.parquet(path))
+    report = {r.day: (r.files_before, r.files_after) for r in maintenance.compact(spark, path, ["day"]).collect()}
+    assert report == {None: (6, 1), 1: (6, 1), 2: (6, 1)}
+    assert rows_of(spark.read.parquet(path)) == before
+
+
 def test_compaction_splits_a_large_partition(spark, folder):
     path = scattered(spark, folder)
     before = rows_of(spark.read.parquet(path))
@@ -134,8 +228,9 @@ def test_maintenance_steps_and_isolation(spark, folder):
     assert not results["expire", broken.path].ok and results["expire", broken.path].detail
     assert results["expire", good.path].items == 2
     assert results["orphans", good.path].items == 1
-    assert rows_of(spark.read.parquet(good.log_path).select("run_id")) == [("run-02",), ("run-03",)]
-    assert rows_of(spark.read.parquet(good.manifest_path).select("run_id").distinct()) == [("run-02",), ("run-03",)]
+    assert rows_of(publish.read_log(spark, good.log_path).select("run_id")) == [("run-02",), ("run-03",)]
+    manifest = publish.read_manifest(spark, good.manifest_path)
+    assert rows_of(manifest.groupBy("run_id").count()) == [("run-02", 1), ("run-03", 3)]
 
 
 def test_compacted_files_are_no_orphans(spark, folder):

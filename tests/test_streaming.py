@@ -63,22 +63,66 @@ def test_rows_behind_the_watermark_are_dropped(spark, folder):
     assert [(r[0].hour * 60 + r[0].minute, r[2]) for r in found] == [(0, 2), (10, 1), (40, 1), (60, 1)]
 
 
-def test_bronze_stream_reads_each_file_once(spark, folder):
+def arrivals(spark, folder, form):
+    """A function that lets samples at some minutes arrive and returns all rows given so far."""
+    source, root = folder("samples"), folder("stream")
+
+    def arrive(*minutes):
+        data = [(m, START + dt.timedelta(minutes=m), u, "a", 1.0, "") for m, u in minutes]
+        spark.createDataFrame(data, SAMPLES).coalesce(1).write.mode("append").parquet(source)
+        streams.run_to_table(form(streams.stream_samples(spark, source)), f"{root}/table", f"{root}/checkpoint", "append")
+        found = spark.read.parquet(f"{root}/table")
+        minute = lambda t: (t - START).total_seconds() / 60
+        return sorted(tuple(minute(v) if isinstance(v, dt.datetime) else v for v in r) for r in found.collect())
+
+    return arrive
+
+
+def test_late_rows_of_a_bounded_rate(spark, folder):
+    arrive = arrivals(spark, folder, lambda s: streams.watermarked_rate(s, "ts", ["user_id"], "10 minutes"))
+    arrive((1, 7), (2, 7))
+    arrive((4, 7), (30, 7))  # 00:04 is in time; the watermark moves to 00:20
+    found = arrive((3, 7), (60, 7))  # 00:03 comes after its window was given
+    assert (0.0, 7, 3, 3 / 300) in found and len([r for r in found if r[0] == 0]) == 1
+
+
+def test_late_rows_of_bounded_sessions(spark, folder):
+    form = lambda s: streams.watermarked_sessions(s, "ts", ["user_id"], "5 minutes", "10 minutes")
+    arrive = arrivals(spark, folder, form)
+    arrive((1, 7), (12, 7))
+    arrive((4, 7), (40, 7))  # joins the first session; the watermark moves to 00:30
+    found = arrive((2, 7), (90, 7))  # too late
+    assert found[:2] == [(7, 1.0, 9.0, 2), (7, 12.0, 17.0, 1)]
+
+
+def test_silence_is_reported_for_series_that_never_return(spark, folder):
+    arrive = arrivals(spark, folder, lambda s: streams.silence_alerts(s, "ts", ["user_id"], 600, "5 minutes"))
+    arrive((1, 7), (3, 7), (2, 8))
+    arrive((40, 8), (6, 7))  # in time for user 7
+    found = arrive((5, 7), (41, 8))  # too late
+    assert found == [(7, 6.0, 16.0), (8, 2.0, 12.0)]
+
+
+def test_bronze_stream_holds_each_day_once(spark, folder):
     landing, root = folder("landing"), folder("stream")
     schema = contract(n="long")
 
-    def land(day, n):
-        spark.range(n).select(F.col("id").alias("n"), F.lit(day).alias("date")).write.mode("append").partitionBy(
-            "date"
-        ).parquet(landing)
+    def land(day, n, mode="append"):
+        rows = spark.range(n).select(F.col("id").alias("n"), F.lit(day).alias("date"))
+        writer = rows.repartition(3).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("date").parquet(landing)
 
     def run():
         stream = ingest.stream_landing(spark, landing, schema, files_per_trigger=1)
-        ingest.write_bronze(stream, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
+        ingest.write_bronze(stream, landing, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
         found = spark.read.parquet(f"{root}/bronze").groupBy("ingestion_date").count()
         return [(r[0].day, r[1]) for r in rows_of(found)]
 
     land(dt.date(2024, 1, 1), 5)
     assert run() == [(1, 5)]
-    land(dt.date(2024, 1, 2), 3)
-    assert run() == run() == [(1, 5), (2, 3)]
+    land(dt.date(2024, 1, 2), 30)
+    assert run() == run() == [(1, 5), (2, 30)]
+    land(dt.date(2024, 1, 2), 30, "overwrite")  # the same day again, under new names
+    assert run() == [(1, 5), (2, 30)]
+    land(dt.date(2024, 1, 1), 2)  # more of a known day
+    assert run() == [(1, 7), (2, 30)]

@@ -114,6 +114,71 @@ def test_partition_that_loses_its_last_key_disappears(spark, folder):
     assert content(spark, path) == [("a", 2, 5.0), ("b", 1, 1.0), ("c", 2, 1.0), ("x", 7, 5.0)]
 
 
+def parts(spark, rows):
+    """(id, day number or None, amount)"""
+    data = [(i, None if d is None else DAY + dt.timedelta(days=d), a) for i, d, a in rows]
+    return spark.createDataFrame(data, "id string, day date, amount double")
+
+
+@pytest.mark.parametrize("key_fixes_partition", [True, False])
+def test_the_null_partition_is_upserted_like_any_other(spark, folder, key_fixes_partition):
+    path = folder()
+    writers.replace_partitions(parts(spark, [("1", 0, 1.0), ("2", None, 1.0), ("3", None, 1.0)]), path, ["day"])
+    writers.upsert_into(spark, path, parts(spark, [("2", None, 5.0)]), ["id"], "day", key_fixes_partition)
+    found = [(r.id, r.day is None, r.amount) for r in spark.read.parquet(path).orderBy("id").collect()]
+    assert found == [("1", False, 1.0), ("2", True, 5.0), ("3", True, 1.0)]
+
+
+def test_a_null_partition_that_loses_its_last_key_disappears(spark, folder):
+    path = folder()
+    writers.replace_partitions(parts(spark, [("a", None, 1.0), ("b", 1, 1.0)]), path, ["day"])
+    writers.upsert_into(spark, path, parts(spark, [("a", 1, 5.0)]), ["id"], "day", key_fixes_partition=False)
+    assert content(spark, path) == [("a", 1, 5.0), ("b", 1, 1.0)]
+
+
+def test_partition_names_with_special_signs(spark, folder):
+    path, names = folder(), ["a b", "c/d", "e=f", "007", "ü%20"]
+    rows = [(str(i), n, 1.0) for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "id string, place string, amount double")
+    writers.upsert_into(spark, path, df, ["id"], "place")
+    moved = spark.createDataFrame([("0", "007", 2.0), ("1", "c/d", 2.0)], df.schema)
+    writers.upsert_into(spark, path, moved, ["id"], "place", key_fixes_partition=False)
+    found = spark.read.schema(df.schema).parquet(path)
+    assert rows_of(found.select("id", "place", "amount")) == [
+        ("0", "007", 2.0), ("1", "c/d", 2.0), ("2", "e=f", 1.0), ("3", "007", 1.0), ("4", "ü%20", 1.0),
+    ]
+
+
+def test_the_first_upsert_refuses_repeated_keys_too(spark, folder):
+    path = folder()
+    with pytest.raises(ValueError, match="repeats a key"):
+        writers.upsert_into(spark, path, trips(spark, [("b", 0, 1.0), ("b", 0, 2.0)]), ["id"], "day")
+    assert not files.path_exists(spark, path)
+
+
+def test_backfill_fills_the_null_partition(spark, folder):
+    path = folder()
+    writers.replace_partitions(parts(spark, [(None, None, 1.0), ("x", 0, 2.0), (None, 0, 3.0)]), path, ["day"])
+    assert writers.backfill_column(spark, path, "id", lambda df: F.lit("filled"), "day") == 2
+    assert spark.read.parquet(path).where("id IS NULL").count() == 0
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_an_interrupted_move_is_completed_by_the_next(spark, folder):
+    path, staged = folder("table"), folder("staged")
+    writers.replace_partitions(trips(spark, [("a", 0, 1.0), ("b", 1, 1.0)]), path, ["day"])
+    writers.stage(trips(spark, [("a", 0, 2.0), ("b", 1, 2.0)]), staged, ["day"])
+    first = files.leaf_directories(spark, staged)[0]
+    make, system = spark._jvm.org.apache.hadoop.fs.Path, None
+    system = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(make(f"{path}/_replaced"))
+    system.rename(make(f"{path}/{first}"), make(f"{path}/_replaced/{first}"))  # and then the job died
+    assert content(spark, path) == [("b", 1, 1.0)]
+    assert writers.promote(spark, staged, path) == ["day=2024-01-01", "day=2024-01-02"]
+    assert content(spark, path) == [("a", 0, 2.0), ("b", 1, 2.0)]
+    assert not files.path_exists(spark, f"{path}/_replaced")
+
+
 def test_upsert_keeps_null_keys_of_both_sides(spark):
     old, new = trips(spark, [(None, 0, 1.0), ("a", 0, 1.0)]), trips(spark, [(None, 0, 2.0), ("a", 0, 2.0)])
     assert [r[2] for r in rows_of(upsert(old, new, ["id"]))] == [2.0, 1.0, 2.0]
@@ -152,6 +217,20 @@ def test_ingestion_skips_known_and_missing_days(spark, folder):
     assert [(r[0].day, r[1]) for r in rows_of(counts)] == [(1, 1), (2, 2), (4, 4), (5, 5)]
 
 
+def test_ingestion_without_a_landing_folder_skips_all_days(spark, folder):
+    assert writers.append_new_days(spark, folder("none"), folder("bronze"), DateRange.of("2024-01-01", "2024-01-03")) == (0, 3, 0)
+
+
+def test_landing_in_parts_keeps_earlier_days(spark, folder):
+    path = folder()
+    data = [(d, dt.datetime(2024, 1, d)) for d in range(1, 7)]
+    df = spark.createDataFrame(data, "n int, ts timestamp_ntz")
+    writers.split_by_day(df.where("n <= 3"), path, "ts")
+    writers.split_by_day(df.where("n > 3"), path, "ts")
+    writers.split_by_day(df.where("n = 2"), path, "ts")
+    assert [r.n for r in spark.read.parquet(path).orderBy("n").collect()] == [1, 2, 3, 4, 5, 6]
+
+
 def test_missing_days(spark, folder):
     days = DateRange.of("2024-01-01", "2024-01-06")
     present = spark.read.parquet(landing(spark, folder, [0, 2, 9]))
@@ -174,6 +253,7 @@ def test_range_reads(spark, folder):
     assert readers.read_range(spark, path, "date", DateRange.of("2024-01-02", "2024-01-03")).count() == 5
     assert readers.read_day(spark, path, "date", "2024-01-01").count() == 1
     assert readers.read_range_or_none(spark, path, "date", DateRange.of("2025-01-01")) is None
+    assert readers.read_range_or_none(spark, folder("none"), "date", DateRange.of("2025-01-01")) is None
     assert readers.latest_partition(spark.read.parquet(path), "date").first()[0] == dt.date(2024, 1, 3)
 
 
