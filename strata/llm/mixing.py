@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import whole_text
+from strata.llm.common import stored, whole_text
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: The sources' weights in turn, by code point of the source.
@@ -80,7 +80,8 @@ def mixed(docs: DataFrame) -> DataFrame:
         tie.alias("tie"),
         F.struct(*docs.columns).alias("document"),
     )
-    sums = sized.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+    # Used twice below: written once, so that the texts are counted once for it.
+    sums = stored(sized.groupBy("source", "range").agg(F.sum("size").alias("range_size")), "range-sizes")
     along = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     targets = source_targets(sums.groupBy("source").agg(F.sum("range_size").alias("source_size")))
     ranges = sums.select(
