@@ -28,3 +28,8 @@ def is_rush_hour(hour: Column) -> Column:
 
 def is_weekend(day: Column) -> Column:
     return F.dayofweek(day).isin(*WEEKEND_DAYS)
+
+
+def parse_timestamp(text: Column, *formats: str) -> Column:
+    """The time that a text states in the first format that fits; NULL where none does."""
+    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in formats)).cast("timestamp_ntz")

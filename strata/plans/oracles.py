@@ -291,6 +291,12 @@ FROM trips"""
         f" SELECT * FROM (SELECT *, {_first_failure()} AS reason FROM trips) WHERE reason IS NOT NULL"
     ),
     # dimensions
+    "q_parse_times": """
+SELECT stamp::DATE AS day, count(*) AS samples, min(stamp) AS first_at, max(stamp) AS last_at FROM (
+  SELECT CASE WHEN event_id % 10 = 0 THEN NULL WHEN event_id % 10 < 5 THEN date_trunc('minute', ts) ELSE date_trunc('second', ts) END AS stamp
+  FROM events) GROUP BY 1""",
+    "q_sample_rows": """
+SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice LIMIT 20""",
     "q_dim_date": _raw(" SELECT * FROM dates", _DATES),
     "q_dim_zone": _with_fact(
         """

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import DateRange, shared_dir, stored
-from strata.functions import codes
+from strata.functions import calendar, codes
 from strata.functions.keys import record_key, with_key
 from strata.operators import audit, clean, dedup, dims, marts, profile, telemetry
 from strata.operators.upsert import upsert
@@ -127,6 +127,27 @@ def q_rejected_rows(spark, sf_dir):
     return clean.rejected(raw(spark, sf_dir), taxi.RULES)
 
 
+@query
+def q_parse_times(spark, sf_dir):
+    """Times written as text in two formats, some of them broken: what is read back per day."""
+    number = F.col("event_id") % 10
+    text = F.when(number == 0, "n/a").when(number < 5, F.date_format("ts", "dd/MM/yyyy HH:mm")).otherwise(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    )
+    parsed = calendar.parse_timestamp(text, "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm")
+    read = events(spark, sf_dir).select(parsed.alias("at"))
+    return read.groupBy(F.to_date("at").alias("day")).agg(
+        F.count(F.lit(1)).alias("samples"), F.min("at").alias("first_at"), F.max("at").alias("last_at")
+    )
+
+
+@query
+def q_sample_rows(spark, sf_dir):
+    """Twenty rows to look at, the same ones every time."""
+    items = taxi.table(spark, sf_dir, "lineitem")
+    return profile.sample_rows(items, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], 20)
+
+
 # --- dimensions --------------------------------------------------------------------------
 
 
