@@ -100,10 +100,11 @@ SPELLED = re.compile(rf"\b{NUMBER}(?:[\s,.-]+{NUMBER}){{2,}}\b", re.I)
 # Blanks are read from the begin of their run only, so long runs are read once.
 BRACKETED = r"(?<!\s)\s*[\[({{<]\s*(?:{})\s*[\])}}>]\s*"
 DOT = rf"(?:{BRACKETED.format(r'dot|\.')}|(?<!\s)\s+dot\s+)"
-SIGNED = re.compile(rf"{BRACKETED.format('at|@|dot|\\.')}|\sdot\s", re.I)
+SIGNED = re.compile(rf"{BRACKETED.format('at|@|dot|\\.')}|\sdot\s|\s@\s", re.I)
 #: What the transducer rewrites, tried in this order at every place.
 REWRITE = re.compile(
-    rf"(?P<at>{BRACKETED.format('at|@')}|(?<=[a-z0-9])\s+at\s+(?=[a-z0-9.-]+{DOT}[a-z0-9-]))"
+    rf"(?P<at>{BRACKETED.format('at|@')}|(?<=[a-z0-9])\s+at\s+(?=[a-z0-9.-]+{DOT}[a-z0-9-])"
+    rf"|(?<=[a-z0-9])\s+@\s+(?=[a-z0-9-]+(?:\.|{DOT})[a-z]{{2}}))"
     rf"|(?P<dot>{DOT})"
     rf"|(?P<plus>\bplus\s+(?=[0-9]|{NUMBER}\b))"
     rf"|(?P<number>\b{NUMBER}\b(?P<gap>[\s,-]+(?={NUMBER}\b))?)"
@@ -120,7 +121,7 @@ def is_disguised(text: str) -> bool:
     if not text.isascii() and ODD.search(text):
         return True
     low = text.lower()
-    if ("dot" in low or "at" in low or "[.]" in low or "(.)" in low) and SIGNED.search(low):
+    if any(sign in low for sign in ("dot", "at", ".]", ".)", "@")) and SIGNED.search(low):
         return True
     return any(f"{n} " in low or f"{n}-" in low for n in NUMBERS) and bool(SPELLED.search(low))
 

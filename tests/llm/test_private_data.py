@@ -60,6 +60,10 @@ def test_clear_spans_of_joined_parts(parts):
         ("card four one one one one one one one one one one one one one one one end", "card", "four one one one one one one one one one one one one one one one"),
         ("at 10 dot 0 dot 0 dot 1 end", "ip", "10 dot 0 dot 0 dot 1"),
         ("４１１１ １１１１ １１１１ １１１１", "card", "４１１１ １１１１ １１１１ １１１１"),
+        ("reach john.doe @ example dot com today", "email", "john.doe @ example dot com"),
+        ("reach john @ example.com today", "email", "john @ example.com"),
+        ("one nine two dot one six eight dot one dot one", "ip", "one nine two dot one six eight dot one dot one"),
+        ("a@b[.]com", "email", "a@b[.]com"),
         ("ab​c@d.com x", "email", "ab​c@d.com"),
     ],
 )
@@ -79,6 +83,8 @@ def test_disguises_map_back_to_the_source(text, kind, span):
         "one of the two at the dots in three four five words",
         "a.b@c.de and 1.2.3.4",
         "plain text without anything",
+        "two for @ 5 . and then . so on",
+        "ends here . Another one @ last",
         "",
     ],
 )
