@@ -91,6 +91,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/strata/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def beside(path: str, name: str) -> str:
+    """A fresh directory next to a table, in the same file system, so that its parts can be moved into the table."""
+    return f"{path.rstrip('/')}_staging/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: computed once, and safe when executors are lost."""
     path = shared_dir(df.sparkSession, name)

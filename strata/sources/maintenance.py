@@ -12,7 +12,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.config import shared_dir, stored
+from strata.config import beside, stored
 from strata.sources.contracts import contract
 from strata.sources.files import file_inventory, move_partitions, remove_older, remove_path
 from strata.sources.publish import add_to_manifest, read_log, read_manifest
@@ -62,7 +62,7 @@ def compact(
     )
     size = sizes.first()
     if size["rows"] is not None:
-        staged_path = shared_dir(spark, "compact")
+        staged_path = beside(path, "compact")
         (
             affected.withColumn("_file", F.pmod("_position", "target_files"))
             .repartition(size["files"], *columns, "_file")

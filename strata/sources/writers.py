@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.config import DateRange, shared_dir
+from strata.config import DateRange, beside, shared_dir
 from strata.operators.upsert import repeated_keys, upsert
 from strata.sources.files import move_partitions, partition_directories, remove_path
 from strata.sources.readers import in_partitions, listed_days, read_parquet
@@ -119,7 +119,7 @@ def upsert_into(
     target = read_parquet(spark, path, missing_ok=True)
     like = source if target is None else target
     # The source is computed once; the directories of its copy name the partitions it touches.
-    source_path = shared_dir(spark, "upsert-source")
+    source_path = beside(path, "upsert-source")
     stage(source.select(*like.columns), source_path, [partition])
     increment = spark.read.schema(like.schema).parquet(source_path).select(*like.columns)
     if not repeated_keys(increment, keys).isEmpty():
@@ -133,7 +133,7 @@ def upsert_into(
     if not key_fixes_partition:
         touched = touched.union(target.join(increment.select(*keys), list(keys), "left_semi").select(partition))
     affected = in_partitions(target, partition, touched)
-    staged_path = shared_dir(spark, "upsert")
+    staged_path = beside(path, "upsert")
     stage(upsert(affected, increment, keys), staged_path, [partition])
     emptied = []
     if not key_fixes_partition:
@@ -161,7 +161,7 @@ def backfill_column(
         return 0
     affected = in_partitions(table, partition, holes.where("_nulls > 0").select(partition))
     filled = affected.withColumn(column, F.coalesce(F.col(column), value(affected)))
-    staged_path = shared_dir(spark, "backfill")
+    staged_path = beside(path, "backfill")
     stage(filled, staged_path, [partition])
     promote(spark, staged_path, path)
     remove_path(spark, staged_path)
