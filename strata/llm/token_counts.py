@@ -105,12 +105,12 @@ def word_counts(words: list[bytes], match: LongestMatch, known: dict[bytes, int]
     if len(known) + len(missing) > REMEMBERED:
         known.clear()
         missing = set(words)
-    found = {word: match.count(marker + word) for word in missing}
-    if found:
-        known.update((w, c) for w, c in found.items() if len(w) <= LONGEST)
-        if len(found) and max(map(len, found)) > LONGEST:
-            return [known[w] if w in known else found[w] for w in words]
-    return list(map(known.__getitem__, words))
+    known.update((word, match.count(marker + word)) for word in missing)
+    counts = list(map(known.__getitem__, words))
+    for word in missing:
+        if len(word) > LONGEST:
+            del known[word]
+    return counts
 
 
 def _counted(path: str, marker: bytes):
