@@ -130,9 +130,22 @@ def exact_groups(docs: DataFrame, quotient_bits: int = 12) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; of rows repeating id and text one stays."""
+    """The documents that stay, with all their columns.
+
+    Of rows repeating the id that stays together with its text, the one whose JSON form comes first stays.
+    Which groups have such rows is found from ids and digests alone; usually none, and then whole rows are
+    shuffled once, to meet their groups.
+    """
     rows = docs.select("doc_id", F.sha2(whole_text(), 256).alias("text_sha256"), F.struct(*docs.columns).alias("row"))
-    joined = rows.join(repeated_texts(docs), "text_sha256", "left")
-    single = joined.where("group_size IS NULL")
-    stay = joined.where(F.col("group_size").isNotNull() & F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    return single.unionByName(stay.dropDuplicates(["doc_id", "text_sha256"])).select("row.*")
+    groups = stored(repeated_texts(docs), "dedup-groups")
+    is_kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    kept = rows.select("doc_id", "text_sha256").join(groups, "text_sha256").where(is_kept)
+    per_group = kept.groupBy("text_sha256", "keep_id").agg(F.count(F.lit(1)).alias("rows"))
+    # Written, so that its size is known before the rows are joined to it.
+    several = stored(per_group.where("rows > 1").select("text_sha256", "keep_id"), "dedup-repeated-ids")
+    marked = groups.join(several.select("text_sha256", F.lit(True).alias("several")), "text_sha256", "left")
+    joined = rows.join(marked, "text_sha256", "left")
+    once = joined.where(F.col("group_size").isNull() | (is_kept & F.col("several").isNull())).select("row")
+    repeats = rows.join(several, "text_sha256").where(is_kept)
+    first = repeats.groupBy("text_sha256").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
+    return once.unionByName(first).select("row.*")
