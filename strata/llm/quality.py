@@ -34,7 +34,7 @@ ROUNDS, CERTAIN = 3, 0.97
 #: Of the labelled rows, one in so many calibrates.
 CALIBRATE = 4
 THRESHOLD = 0.5
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 LETTERS = bytes([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
 UPPER, DIGITS, BLANKS = bytes(range(0x41, 0x5B)), bytes(range(0x30, 0x3A)), b" \t\n\r\x0b\x0c"

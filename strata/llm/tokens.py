@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 
 #: Words a worker remembers, twice, and the longest of them.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 200_000, 64
 #: The vocabulary's rule for cutting words, over lower-case plain text.
 PIECE = re.compile(r"[a-zß-öø-ÿ]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 #: Characters that normalisation leaves alone but for plain lower-casing.
