@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm.common import stored, table
 from strata.llm.exact_dedup import without_copies
 from strata.llm.mixing import mixed_documents
+from strata.llm.near_copies import without_similar
 from strata.llm.packing import packed, piece_digests
 from strata.llm.quality import good_documents
 from strata.llm.queries import vocabulary
-from strata.llm.simhash import without_near_copies
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_near_copies(docs)
+    return without_similar(docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
