@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strata.llm.private_data import KINDS, clear_spans, disguised_spans, joined, personal_data, redact
+from strata.llm.private_data import KINDS, REWRITE, clear_spans, disguised_spans, is_disguised, joined, personal_data, redact
 from tests.conftest import rows_of
 from tests.llm.conftest import text_pairs
 
@@ -120,3 +120,27 @@ def test_documents_equal_the_patterns(request, name):
 
 def test_empty_table(empty):
     assert personal_data(empty).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("call plus 1 415 555 0100", "phone", "plus 1 415 555 0100"),
+        ("card four,one,one,one,one,one,one,one,one,one,one,one,one,one,one,one end", "card", "four,one,one,one,one,one,one,one,one,one,one,one,one,one,one,one"),
+        ("card four\n" + "\t".join(["one"] * 15), "card", "four\n" + "\t".join(["one"] * 15)),
+        ("card 4111 1111 1111 11 one one end", "card", "4111 1111 1111 11 one one"),
+        ("fıve five five ſix", None, None),
+    ],
+)
+def test_a_disguise_is_found_on_its_own(text, kind, span):
+    found = [(KINDS[k], text[a:b]) for a, k, b in disguised_spans(text, clear_spans(text))]
+    assert found == ([(kind, span)] if kind else [])
+    beside = text + " ; [.]"
+    assert [(KINDS[k], beside[a:b]) for a, k, b in disguised_spans(beside, clear_spans(beside))] == found
+
+
+@settings(max_examples=2000, deadline=None)
+@given(st.lists(st.sampled_from(["one", "ſix", "FİVE", "plus", "at", "dot", "DOT", "@", ".", "[", ")", "x", " ", "\n", ",", "-", "1", "е", "K"]), max_size=7))
+def test_the_quick_look_asks_for_no_more_than_the_transducer(parts):
+    text = "".join(parts)
+    assert is_disguised(text) == (REWRITE.search(text) is not None)
