@@ -9,6 +9,7 @@ be extended are chained, in the order of both text and passage, into spans that
 from __future__ import annotations
 
 import functools
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -21,6 +22,9 @@ from strata.llm.license_texts import PASSAGES, PHRASES
 
 #: Words of a match that may become part of a chain, and the share of a passage that a chain must cover.
 LEAST_WORDS, LEAST_COVER = 5, 0.5
+#: Lengths of the passage that a chain may leave out of the text between two matches. From one copy into the next
+#: is at least one, so a chain stays within a copy.
+MOST_GAP = 1
 
 #: Lower-cases A-Z and turns every other ASCII character but letters and digits into a blank.
 WORDS = bytes(
@@ -152,7 +156,7 @@ class LicenseScanner:
         return result
 
     def _chains(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, str, float]]:
-        """(start, end, label, share of the passage) of the best chain per passage, where it covers enough."""
+        """(start, end, label, share of the passage) of all chains that cover enough of a passage."""
         by_passage: dict[int, list[tuple[int, int, int]]] = {}
         for start, end, state in matches:
             for number, stop in self.automaton.ends[state]:
@@ -161,29 +165,46 @@ class LicenseScanner:
         spans = []
         for number, found in sorted(by_passage.items()):
             label, size = self.passages[number]
-            covered, begin, end = best_chain(found, size)
-            if covered >= LEAST_COVER * size:
-                spans.append((begin, end, label, covered / size))
+            waiting = [found]
+            while waiting:
+                rest = waiting.pop()
+                covered, begin, end = best_chain(rest, size, MOST_GAP * size)
+                if covered and covered >= LEAST_COVER * size:
+                    spans.append((begin, end, label, covered / size))
+                    waiting += [cut(rest, 0, begin), cut(rest, end, None)]
         return spans
 
 
-def best_chain(found: list[tuple[int, int, int]], size: int) -> tuple[int, int, int]:
+def cut(found: list[tuple[int, int, int]], begin: int, end: int | None) -> list[tuple[int, int, int]]:
+    """The parts of matches inside a stretch of the text that still are long enough."""
+    parts = [(max(a, begin), b if end is None else min(b, end), b, stop) for a, b, stop in found]
+    return [(a, b, stop - (was - b)) for a, b, was, stop in parts if b - a >= LEAST_WORDS]
+
+
+def best_chain(found: list[tuple[int, int, int]], size: int, gap: int | None = None) -> tuple[int, int, int]:
     """(words covered, start, end) of the heaviest chain of (start, end, end in the passage).
 
-    Matches of a chain follow each other without overlap in text and passage. ``best`` holds, per place of
-    the passage, the heaviest chain that ends there among matches that end before the current one begins.
+    Matches of a chain follow each other without overlap in text and passage, and with less than ``gap`` words
+    of text between them. ``best`` holds, per place of the passage, the chains that end there among matches
+    that end before the current one begins: heavier ones first, and after them lighter ones that end later.
     """
-    best: list[tuple[int, int, int]] = [(0, -1, -1)] * (size + 1)
+    best: list[deque[tuple[int, int, int]]] = [deque() for _ in range(size + 1)]
     waiting: list[tuple[int, int, tuple[int, int, int]]] = []
     top = (0, -1, -1)
     ready = 0
     for start, end, stop in sorted(found, key=lambda m: (m[1], m[0], m[2])):
         while ready < len(waiting) and waiting[ready][0] <= start:
             _, place, chain = waiting[ready]
-            if chain[0] > best[place][0]:
-                best[place] = chain
+            while best[place] and best[place][-1][:2] <= chain[:2]:
+                best[place].pop()
+            best[place].append(chain)
             ready += 1
-        before = max(best[: max(0, stop - (end - start)) + 1], key=lambda c: (c[0], c[1]))
+        before = (0, -1, -1)
+        for chains in best[: max(0, stop - (end - start)) + 1]:
+            while gap is not None and chains and start - chains[0][2] >= gap:
+                chains.popleft()
+            if chains and chains[0][:2] > before[:2]:
+                before = chains[0]
         chain = (before[0] + end - start, before[1] if before[0] else start, end)
         waiting.append((end, stop, chain))
         if chain[0] > top[0]:
@@ -235,7 +256,8 @@ def license_scan(docs: DataFrame) -> DataFrame:
 
     n_base, first_word, last_word and base_labels tell where the phrases of PHRASES stand; labels adds the
     passages of which a chain of matches covers at least LEAST_COVER, ``spans`` says where (label:start:end,
-    end exclusive), and score is the largest share covered, 1 for a phrase. Null counts as empty and gives
+    end exclusive, every copy of a passage on its own, less than MOST_GAP passages of other text between matches),
+    and score is the largest share covered, 1 for a phrase. Null counts as empty and gives
     zeros, null positions and empty labels; repeated rows give repeated results; rows without an id keep
     it null; an empty table gives an empty result; columns other than doc_id and text are not read.
     """

@@ -91,3 +91,22 @@ def test_chain_keeps_the_order_of_text_and_passage():
 
 def test_empty_table(empty):
     assert license_scan(empty).collect() == []
+
+
+@pytest.mark.parametrize("label", list(PASSAGES))
+def test_every_copy_of_a_passage_has_its_span(label):
+    passage = PASSAGES[label].split()
+    size = len(words_of(PASSAGES[label].encode()))
+    first, second = list(passage), list(passage)
+    first[len(passage) * 3 // 4], second[len(passage) // 4] = "edited", "edited"
+    for between in ([], ["filler"] * 400):
+        scan = default_scanner().scan(" ".join([*first, *between, *second, *between, *passage]).encode())
+        spans = sorted((a, b) for a, b, name, _ in scan.spans if name == label)
+        assert len(spans) == 3 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        assert all(b - a <= size + 2 for a, b in spans)
+
+
+def test_scattered_fragments_make_no_span():
+    words = words_of(PASSAGES["isc"].encode())
+    parts = [words[k : k + 5] + [b"filler"] * 1000 for k in range(0, len(words) - 4, 5)]
+    assert default_scanner().scan(b" ".join(w for p in parts for w in p)).spans == []
