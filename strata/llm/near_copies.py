@@ -31,6 +31,8 @@ WORDS_PER_SHINGLE = 5
 SIMILARITY = (4, 5)
 #: One of so many texts is in the sample that tells common shingles, and so many of these are remembered.
 SAMPLE, COMMON = 50, 50_000
+#: Bits of the sketch that rules out most candidates before their sets are read.
+SKETCH = 512
 #: Pairs a task remembers not to hand on again.
 REMEMBERED = 1 << 20
 
@@ -209,6 +211,25 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _handed_on(found())
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per bit whether an odd number of shingles falls on it: sketches differ in no more bits than sets in shingles."""
+    for batch in batches:
+        sets = [np.frombuffer(s, np.uint64) for s in batch.column("shingles").to_pylist()]
+        bits = [np.packbits(np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1).tobytes() for s in sets]
+        sizes = pa.array([len(s) for s in sets], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("node"), sizes, pa.array(bits, pa.binary())], names=["node", "size", "bits"])
+
+
+def _not_ruled_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    top, bottom = SIMILARITY
+    for batch in batches:
+        left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64) for c in ("ba", "bb"))
+        differ = np.bitwise_count(left ^ right).reshape(-1, SKETCH // 64).sum(1, dtype=np.int64)
+        sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+        keep = (top + bottom) * differ <= (bottom - top) * sizes
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())
@@ -226,9 +247,12 @@ def similar_links(sets: DataFrame, known: DataFrame) -> DataFrame:
     shared = stored(lists.select("members").mapInArrow(_exploded, ", ".join(f"{n} long" for n in MEMBER[:4])), "shared")
     ids = stored(shared.select("node").distinct(), "shared-nodes")
     needed = stored(sets.join(ids, "node", "left_semi"), "shared-sets")
+    sketches = stored(needed.mapInArrow(_sketches, "node long, size long, bits binary"), "shared-sketches")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = stored(pairs.distinct(), f"{name}-candidates")
+        small = [sketches.toDF(c, f"n{c}", f"b{c}") for c in "ab"]
+        pairs = pairs.distinct().join(small[0], "a").join(small[1], "b").select("a", "b", "na", "nb", "ba", "bb")
+        pairs = stored(pairs.mapInArrow(_not_ruled_out, "a long, b long"), f"{name}-candidates")
         ends = [needed.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab"]
         both = pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "sa", "sb")
         return stored(both.mapInArrow(_verified, "a long, b long"), name)
