@@ -9,6 +9,7 @@ from strata.llm.mixing import mixed
 from strata.llm.packing import packed, piece_digests
 from strata.llm.private_data import personal_data
 from strata.llm.quality import quality
+from strata.llm.resampling import resampled
 from strata.llm.simhash import near_groups
 from strata.llm.token_counts import token_counts
 from strata.llm.topk import top_k
@@ -63,6 +64,10 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_resample(spark, sf_dir):
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,10 +81,51 @@ QUERIES = {
         op8_license_scan,
         op9_mix_sources,
         op10_toxicity,
+        op13_resample,
     )
 }
 
+#: CRC-32 of a blob's bytes, each as two hex digits, with the table computed from the polynomial.
+CRC32 = """
+        crc_table AS MATERIALIZED (
+          SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+        ), crc AS MATERIALIZED (
+          SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(hex(encode(w))), 2),
+            lambda i: CAST('0x' || substr(hex(encode(w)), CAST(i AS BIGINT) + 1, 2) AS BIGINT))),
+            lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) AS h
+          FROM (SELECT DISTINCT w FROM crc_of), crc_table
+        )"""
+
 ORACLES = {
+    "op13_resample": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+        ), b AS (
+          SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+        ), u AS MATERIALIZED (SELECT r, unnest(words) AS w FROM d
+        ), crc_of AS (SELECT w FROM u UNION SELECT w FROM b
+        ), {crc}, x AS (SELECT w, h % 10000 AS k FROM crc
+        ), s AS (SELECT k, count(*) AS n FROM u JOIN x USING (w) GROUP BY k
+        ), t AS (SELECT k, count(*) AS n FROM b JOIN x USING (w) GROUP BY k
+        ), g AS (
+          SELECT k, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)
+            / (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)))) AS BIGINT) AS gain
+          FROM s FULL JOIN t USING (k)
+        ), weights AS (SELECT r, sum(gain) AS weight FROM u JOIN x USING (w) JOIN g USING (k) GROUP BY r
+        ), scored AS (
+          SELECT r, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+            (coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+              + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+          FROM d LEFT JOIN weights USING (r)
+        ), ranked AS (
+          SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, n_features, weight) AS k, count(*) OVER () AS n
+          FROM scored WHERE n_features >= 20
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN k <= 10 * n // 100 THEN k END AS rank
+        FROM scored LEFT JOIN ranked USING (r)""".replace("{crc}", CRC32.strip()).replace("\\\\", "\\"),
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
           doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
