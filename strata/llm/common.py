@@ -39,3 +39,22 @@ def pieces(batch: pa.RecordBatch, byte_limit: int = 8 << 20, column: str = "text
     rows = max(1, batch.num_rows * byte_limit // max(1, batch.column(column).nbytes))
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str, out: str = "place") -> DataFrame:
+    """The rows with their place, from 1, along ``order``, which should be total so that equal rows can be parted.
+
+    Range partitions are sorted and written with the number of each row in its partition; the rows of all
+    earlier partitions are then added from one count per partition, of which there are as many as tasks.
+    """
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = stored(dealt.withColumn("_at", F.monotonically_increasing_id()), name)
+    # The number has the partition above 33 bits and the row below.
+    split = dealt.withColumn("_part", F.shiftright("_at", 33)).withColumn("_nth", F.col("_at").bitwiseAND((1 << 33) - 1))
+    before, starts = 0, []
+    for part, size in sorted(map(tuple, split.groupBy("_part").count().collect())):
+        starts.append((part, before))
+        before += size
+    starts = F.broadcast(rows.sparkSession.createDataFrame(starts, "_part long, _before long"))
+    place = (F.col("_before") + F.col("_nth") + 1).cast("long")
+    return split.join(starts, "_part").withColumn(out, place).drop("_at", "_part", "_nth", "_before")

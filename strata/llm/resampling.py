@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from strata.llm.common import pieces, stored, utf8, whole_text
+from strata.llm.common import numbered, pieces, stored, utf8, whole_text
 
 #: Feature buckets, seed of the draw, words of the least document, and percent drawn.
 BUCKETS, SEED, LEAST_WORDS, PERCENT = 10_000, 2024, 20, 10
@@ -108,27 +108,6 @@ def _order() -> list[Column]:
     return [F.desc("score"), F.asc_nulls_first("doc_id"), F.asc("n_features"), F.asc("weight"), F.asc("_row")]
 
 
-def ordered(rows: DataFrame, name: str) -> DataFrame:
-    """The rows with their place, from 1, in the order of a draw.
-
-    Range partitions are sorted and written with the number of each row in its partition; the rows of all
-    earlier partitions are then added from one count per partition.
-    """
-    number = F.monotonically_increasing_id()  # partition above 33 bits, row of the sorted partition below
-    dealt = rows.repartitionByRange(*_order()).sortWithinPartitions(*_order())
-    dealt = stored(dealt.withColumn("_at", number), f"{name}-sorted")
-    split = dealt.withColumn("_part", F.shiftright("_at", 33)).withColumn("_nth", F.col("_at").bitwiseAND((1 << 33) - 1))
-    sizes = sorted(map(tuple, split.groupBy("_part").count().collect()))  # one row per range partition
-    before, parts = 0, []
-    for part, size in sizes:
-        parts.append((part, before))
-        before += size
-    starts = rows.sparkSession.createDataFrame(parts, "_part long, _before long")
-    # As many rows as there were range partitions.
-    placed = split.join(F.broadcast(starts), "_part")
-    return placed.withColumn("place", F.col("_before") + F.col("_nth") + 1).drop("_at", "_part", "_nth", "_before")
-
-
 def bracket(scores: DataFrame, wanted: int, rows: int, margin: float = MARGIN) -> tuple[int, int, int]:
     """Scores low and high around the ``wanted``-th highest, and how many lie above high.
 
@@ -155,7 +134,7 @@ def bracket(scores: DataFrame, wanted: int, rows: int, margin: float = MARGIN) -
 def cutoff(eligible: DataFrame, wanted: int, rows: int) -> Row:
     """The last row that is drawn."""
     low, high, above = bracket(eligible, wanted, rows)
-    inside = ordered(eligible.where(F.col("score").between(low, high)), "bracket")
+    inside = numbered(eligible.where(F.col("score").between(low, high)), _order(), "bracket")
     return inside.where(F.col("place") == wanted - above).first()
 
 
@@ -188,12 +167,12 @@ def resampled(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_
     eligible = scored.where(enough)
     rows = eligible.count()
     wanted = percent * rows // 100
-    unranked = scored.withColumn("rank", F.lit(None).cast("long"))
     results = ["doc_id", "n_features", "weight", "score", "rank"]
+    unranked = scored.withColumn("rank", F.lit(None).cast("long"))
     if not wanted:
         return unranked.select(results)
     chosen = enough & _drawn(cutoff(eligible, wanted, rows))
-    ranked = ordered(scored.where(chosen), "drawn").withColumn("rank", F.col("place").cast("long"))
+    ranked = numbered(scored.where(chosen), _order(), "drawn", "rank")
     return unranked.where(~chosen).select(results).unionByName(ranked.select(results))
 
 

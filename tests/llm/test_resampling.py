@@ -9,7 +9,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm.resampling import bracket, bucket_counts, drawn_documents, ordered, resampled
+from strata.llm.common import numbered
+from strata.llm.resampling import bracket, bucket_counts, drawn_documents, resampled
 from tests.conftest import SMALL
 from tests.llm.conftest import EXTRA, SCHEMA
 
@@ -83,11 +84,9 @@ def test_a_bracket_that_misses_is_widened(spark):
         assert above == 10 * (999 - high)
 
 
-def test_ordered_places_are_the_ranks(spark):
-    rows = spark.range(1000).select(
-        (F.col("id") % 7).alias("score"), F.col("id").alias("doc_id"), F.lit(1).alias("n_features"), F.lit(1).alias("weight"), F.col("id").alias("_row")
-    )
-    places = [r.doc_id for r in ordered(rows, "test").orderBy("place").collect()]
+def test_places_follow_the_order(spark):
+    rows = spark.range(1000).select((F.col("id") % 7).alias("score"), "id")
+    places = [r.id for r in numbered(rows, [F.desc("score"), F.asc("id")], "test").orderBy("place").collect()]
     assert places == sorted(range(1000), key=lambda k: (-(k % 7), k))
 
 
