@@ -8,7 +8,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.config import shared_dir
+from strata.config import stored
+from strata.sources.files import remove_path
+
+__all__ = ["forget", "numbered", "pieces", "stored", "table", "utf8", "whole_text"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +23,11 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the session's shared folder and read back: a cut in lineage that outlives executors."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def forget(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` wrote, once nothing reads them any more."""
+    for written in tables:
+        for file in written.inputFiles()[:1]:
+            remove_path(written.sparkSession, file.rsplit("/", 1)[0])
 
 
 def utf8(column: pa.Array) -> list[bytes]:

@@ -7,10 +7,12 @@ from strata.llm.exact_dedup import exact_groups
 from strata.llm.license_scan import license_scan
 from strata.llm.mixing import mixed
 from strata.llm.packing import packed, piece_digests
+from strata.llm.prefix_trie import prefix_trie
 from strata.llm.private_data import personal_data
 from strata.llm.quality import quality
 from strata.llm.resampling import resampled
 from strata.llm.simhash import near_groups
+from strata.llm.suffix_family import repeats
 from strata.llm.token_counts import token_counts
 from strata.llm.topk import top_k
 from strata.llm.toxicity import toxicity
@@ -64,6 +66,14 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_suffix_dedup(spark, sf_dir):
+    return repeats(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_resample(spark, sf_dir):
     return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -81,6 +91,8 @@ QUERIES = {
         op8_license_scan,
         op9_mix_sources,
         op10_toxicity,
+        op11_suffix_dedup,
+        op12_prefix_trie,
         op13_resample,
     )
 }
@@ -98,6 +110,30 @@ CRC32 = """
         )"""
 
 ORACLES = {
+    "op12_prefix_trie": """
+        WITH crc_of AS (SELECT CAST(conv_id AS VARCHAR) AS w FROM conversations WHERE conv_id IS NOT NULL
+        ), {crc}, o AS (
+          SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+            {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS x FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (SELECT conv_id, list(x ORDER BY k) AS xs FROM o GROUP BY conv_id
+        ), r AS (
+          SELECT a.conv_id, list_concat(coalesce(b.xs[1:h % 6], []), a.xs[h % 6 + 1:]) AS xs
+          FROM own a JOIN crc ON w = CAST(a.conv_id AS VARCHAR) LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100
+        ), q AS (SELECT conv_id, depth, len(xs) = depth AS ends, xs[1:depth] AS path FROM (SELECT conv_id, xs, unnest(range(0, len(xs) + 1)) AS depth FROM r)
+        ), n AS (
+          SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ids
+          FROM q GROUP BY depth, path
+        ), kids AS (SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL
+        ), v AS (
+          SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.depth > 0 THEN (n_convs - 1) * length(n.path[n.depth].text) ELSE 0 END AS saved
+          FROM n LEFT JOIN kids USING (depth, path)
+        ), sub AS (
+          SELECT q.depth, q.path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+          FROM v JOIN q ON q.conv_id = v.conv_id AND q.depth <= v.depth GROUP BY q.depth, q.path
+        )
+        SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+          CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(v.ids, '')) AS ends_sha256
+        FROM v JOIN sub USING (depth, path) LEFT JOIN n p ON p.depth = v.depth - 1 AND p.path = v.path[1:v.depth - 1]""".replace("{crc}", CRC32.strip()),
     "op13_resample": r"""
         WITH d AS (
           SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import prefix_trie as module
+from strata.llm.prefix_trie import list_ranks, prefix_trie
+from tests.conftest import SMALL
+
+SCHEMA = "conv_id long, turn long, role string, text string, depth string, place string, prefix string, first string, id string"
+EXTRA = ("x",) * 5
+
+
+def brute_force(rows):
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    built = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        first = c - (c % 100 if c >= 0 else -(-c % 100))
+        built[c] = own.get(first, [])[:h] + turns[h:]
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in sorted(built.items()):
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+        ends[tuple(turns)].append(c)
+    children = Counter(path[:-1] for path in members if path)
+    leaves, saved = Counter(), Counter()
+    for path, m in members.items():
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += not children[path]
+            saved[path[:d]] += (len(m) - 1) * len(path[-1][1]) if path else 0
+    return Counter(
+        (m[0], len(p), members[p[:-1]][0] if p else None, len(m), children[p], leaves[p], saved[p], hashlib.sha256(",".join(map(str, ends[p])).encode()).hexdigest())
+        for p, m in members.items()
+    )
+
+
+def found(df, **how):
+    return Counter(map(tuple, prefix_trie(df, **how).collect()))
+
+
+def plain(df):
+    return [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()]
+
+
+def test_conversations(spark):
+    table = spark.read.parquet(f"{SMALL}/conversations.parquet")
+    assert found(table, few=16) == brute_force(plain(table))
+
+
+@pytest.fixture
+def odd_turns(spark):
+    """Nulls in every column, ties, repeated rows, a conversation that holds a third, families with and without a first."""
+    rng = random.Random(5)
+    texts = ["", "hello", "hello", "ΣΑΣ ß \U0001f600", None, "x" * 3000]
+    rows = [(c, t, rng.choice(["user", "bot", None]), rng.choice(texts)) for c in [*range(0, 130), *range(200, 230), 305, 399, -7, -100, -150] for t in range(rng.randrange(1, 8))]
+    rows += [(0, k, "user", f"turn {k % 3}") for k in range(len(rows) // 2)]
+    rows += [(100, None, None, None), (100, None, None, None), (101, 0, "user", "hello"), (101, 0, "user", "hello")]
+    rows += [(None, 1, "user", "lost"), (None, None, None, None)]
+    return spark.createDataFrame([r + EXTRA for r in rows], SCHEMA).repartition(4)
+
+
+def test_odd_turns(odd_turns):
+    assert found(odd_turns, few=8) == brute_force(plain(odd_turns))
+
+
+def test_one_first_turn_for_all(spark):
+    rows = [(c, t, "user", "the same" if t == 0 else f"{c % 7} {t}") for c in range(300) for t in range(1 + c % 4)]
+    table = spark.createDataFrame([r + EXTRA for r in rows], SCHEMA)
+    assert found(table, few=64) == brute_force(rows)
+
+
+def test_a_list_of_ids_in_several_pieces(spark, monkeypatch):
+    rows = [(c, 0, "user", "the same") for c in range(1000, 1400)]
+    table = spark.createDataFrame([r + EXTRA for r in rows], SCHEMA).repartition(7)
+    assert found(table) == brute_force(rows)
+
+
+def test_few_rows_and_none(spark):
+    assert found(spark.createDataFrame([], SCHEMA)) == Counter()
+    assert found(spark.createDataFrame([(None, 1, "user", "lost") + EXTRA], SCHEMA)) == Counter()
+    for rows in ([(5, 0, "user", "a")], [(c, 0, None, None) for c in (1, 2, 3, 7)]):
+        assert found(spark.createDataFrame([r + EXTRA for r in rows], SCHEMA)) == brute_force(rows)
+
+
+@pytest.mark.parametrize("few", [1, 10, 5000])
+def test_ranks_of_a_shuffled_list(spark, few):
+    n = 2000
+    names = random.Random(3).sample(range(10 * n), n)
+    rows = [(names[k], names[k - 1] if k else None, names[k + 1] if k + 1 < n else None, 1) for k in range(n)]
+    ranks = list_ranks(spark.createDataFrame(rows, "id long, prev long, next long, w long").repartition(5), few=max(few, 2))
+    assert {r.id: r.rank for r in ranks.collect()} == {name: k for k, name in enumerate(names)}
+
+
+def test_sums_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK", 8)
+    rows = [(c, t, "user", f"{c % 5} {t}") for c in range(60) for t in range(1 + c % 6)]
+    assert found(spark.createDataFrame([r + EXTRA for r in rows], SCHEMA)) == brute_force(rows)
+
+
+def test_hashes_depend_on_the_place(spark):
+    rows = spark.createDataFrame([(1, "user", "a"), (2, "user", "a"), (1, "a", "user")], "depth long, role string, text string")
+    assert rows.select(F.countDistinct(module.turn_hash())).first()[0] == 3

@@ -22,6 +22,9 @@ COLUMNS = {
     "op8_license_scan": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
     "op9_mix_sources": ["doc_id", "size", "source_size", "target", "taken"],
     "op10_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op11_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op12_prefix_trie": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    "op13_resample": ["doc_id", "n_features", "weight", "score", "rank"],
 }
 
 
