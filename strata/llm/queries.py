@@ -59,7 +59,7 @@ def op8_license_scan(spark, sf_dir):
 
 
 def op9_mix_sources(spark, sf_dir):
-    return mixed(table(spark, sf_dir, "documents")).drop("document")
+    return mixed(table(spark, sf_dir, "documents")).drop("source")
 
 
 def op10_toxicity(spark, sf_dir):

@@ -5,7 +5,8 @@ from collections import Counter
 
 import pytest
 
-from strata.llm.mixing import mixed, mixed_documents, source_targets
+from strata.llm import mixing
+from strata.llm.mixing import dealt, mixed, mixed_documents, source_targets
 from tests.conftest import final_plan, rows_of
 from tests.llm.conftest import text_pairs
 
@@ -43,7 +44,7 @@ def test_targets_equal_resharing_in_rounds(spark, sizes):
 @pytest.mark.parametrize("name", ["odd", "documents"])
 def test_each_source_meets_its_budget_to_the_word(request, name):
     docs = request.getfixturevalue(name)
-    rows = mixed(docs).select("doc_id", "size", "source_size", "target", "taken", "document.source").collect()
+    rows = mixed(docs).select("doc_id", "size", "source_size", "target", "taken", "source").collect()
     assert Counter((r.doc_id, r.size) for r in rows) == Counter(
         (i, len(re.findall(r"[^\x20\x09-\x0D]+", t))) for i, t in text_pairs(docs)
     )
@@ -60,8 +61,8 @@ def test_each_source_meets_its_budget_to_the_word(request, name):
 
 
 def test_reruns_and_layouts_agree(documents):
-    first = rows_of(mixed(documents).drop("document"))
-    assert first == rows_of(mixed(documents.repartition(7, "lang")).drop("document"))
+    first = rows_of(mixed(documents))
+    assert first == rows_of(mixed(documents.repartition(7, "lang")))
 
 
 def test_documents_come_whole_and_as_often_as_taken(odd):
@@ -72,11 +73,40 @@ def test_documents_come_whole_and_as_often_as_taken(odd):
     assert {i for i, t in text_pairs(odd) if not t.split()} <= {i for i, _ in text_pairs(rows)}
 
 
+def test_equal_rows_fill_many_ranges(spark):
+    """A third of the rows is one row without an id: its copies lie in as many ranges as they need."""
+    rows = [(None, "the same words", "a")] * 3000 + [(k, f"word {k}", "a" if k % 2 else "b") for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    ranges = dealt(docs, 30).where("doc_id IS NULL").groupBy("range").count().collect()
+    assert len(ranges) >= 8 and max(r["count"] for r in ranges) < 900
+    found = mixed(docs).groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+    assert all(r["sum(taken)"] == int(r["max(target)"]) for r in found)
+
+
+def test_whole_documents_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    rows = [(1, "one two three", "b", k) for k in range(50)] + [(k, f"w{k} x", "a", 0) for k in range(2, 40)] + [(None, None, None, 5)] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, key long").repartition(3)
+    expected = Counter()
+    for r in mixed(docs).collect():
+        expected[r.doc_id] += 1 if r.size == 0 else int(r.taken / r.size + 0.5)
+    found = mixed_documents(docs)
+    assert found.columns == docs.columns
+    assert Counter(r.doc_id for r in found.collect()) == +expected
+    assert {r.key for r in found.where("doc_id = 1").collect()} <= {0}
+
+
+def test_sums_beyond_a_long(spark):
+    sizes = {f"s{k:04d}": 10**15 + k for k in range(900)}
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    assert {r.source: r.target for r in source_targets(rows).collect()} == pytest.approx(targets_by_rounds(sizes))
+
+
 def test_empty_table(empty):
     assert mixed(empty).collect() == []
     assert mixed_documents(empty).columns == empty.columns
 
 
 def test_main_path_is_native(documents):
-    plan = final_plan(mixed(documents).drop("document"))
+    plan = final_plan(mixed(documents))
     assert not [node for node in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop") if node in plan]
