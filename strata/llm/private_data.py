@@ -3,7 +3,9 @@
 The clear kinds are found by their patterns. For disguised ones a transducer rewrites the text: look-alike
 letters and foreign digits become plain ones, invisible characters vanish, spelled digits become digits,
 and spelled or bracketed "at" and "dot" become signs. It remembers for every stretch of its output where it
-came from, so what the same patterns find in the output maps back to spans of the source.
+came from, so what the same patterns find in the output maps back to spans of the source. Only stretches
+round something to rewrite are read by it: they end where no pattern can go on, so the result is that of the
+whole text.
 """
 
 from __future__ import annotations
@@ -92,7 +94,14 @@ INVISIBLE = "​‌‍⁠﻿­"
 FULLWIDTH = {chr(0xFF01 + k): chr(0x21 + k) for k in range(94)}
 FOREIGN_DIGITS = {chr(zero + d): str(d) for zero in (0x660, 0x6F0, 0x966, 0x9E6, 0x1D7CE, 0x1D7EC) for d in range(10)}
 CHARACTERS = dict(zip(LOOKALIKE, PLAINFORM)) | dict.fromkeys(INVISIBLE, "") | FULLWIDTH | FOREIGN_DIGITS
-NUMBERS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+#: Spelled digits in English, German, French and Spanish, from 0 to 9.
+SPELLED = (
+    "zero one two three four five six seven eight nine",
+    "null eins zwei drei vier fünf sechs sieben acht neun",
+    "zéro un deux trois quatre cinq six sept huit neuf",
+    "cero uno dos tres cuatro cinco seis siete ocho nueve",
+)
+NUMBERS = {word: str(digit) for words in SPELLED for digit, word in enumerate(words.split())}
 
 ODD = re.compile("[%s]" % re.escape("".join(CHARACTERS)))
 NUMBER = "(?:%s)" % "|".join(NUMBERS)
@@ -100,8 +109,14 @@ NUMBER = "(?:%s)" % "|".join(NUMBERS)
 BRACKETED = r"(?<!\s)\s*[\[({{<]\s*(?:{})\s*[\])}}>]\s*"
 DOT = rf"(?:{BRACKETED.format(r'dot|\.')}|(?<!\s)\s+dot\s+)"
 SIGNED = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]|\s@\s", re.I)
-#: Parts of which every other match of REWRITE holds one; re.I also takes the long s and the i's without or with a dot.
-PARTS, FOLDED = ("dot", "plus", *NUMBERS), str.maketrans("ſıİ", "sii")
+#: Words that the transducer may rewrite; re.I also takes the long s and the i's without or with a dot.
+WORDS, FOLDED = ("dot", "plus", *NUMBERS), str.maketrans("ſıİ", "sii")
+UNICODE_WORD = re.compile(r"[^\W\d_]+")
+#: Words that go on to what stands before and after them.
+LINKS = frozenset(("at", *WORDS))
+LAST_WORD, FIRST_WORD = re.compile(r"[^\W\d_]{2,8}\Z"), re.compile(r"[^\W\d_]{2,8}(?![^\W\d_])")
+#: Characters after or before which a pattern may go on through blanks: always, or if both sides are such.
+SIGNS, NUMERIC = frozenset("[](){}<>@"), frozenset("0123456789().-+,") | CHARACTERS.keys()
 #: What the transducer rewrites, tried in this order at every place.
 REWRITE = re.compile(
     rf"(?P<at>{BRACKETED.format('at|@')}|(?<=[a-z0-9])\s+at\s+(?=[a-z0-9.-]+{DOT}[a-z0-9-])"
@@ -109,7 +124,7 @@ REWRITE = re.compile(
     rf"|(?P<dot>{DOT})"
     rf"|(?P<plus>\bplus\s+(?=[0-9]|{NUMBER}\b))"
     rf"|(?P<number>\b{NUMBER}\b(?P<gap>[\s,-]+(?={NUMBER}\b))?)"
-    rf"|(?P<odd>{ODD.pattern})",
+    rf"|(?P<odd>(?-i:{ODD.pattern}))",
     re.I,
 )
 
@@ -118,22 +133,105 @@ NAMED = re.compile(r"\.[A-Za-z]{2,}\Z")
 
 
 def is_disguised(text: str) -> bool:
-    """Whether the transducer would rewrite anything; a quick look at parts of its rules spares it most plain prose."""
-    low = text.translate(FOLDED).lower() if not text.isascii() else text.lower()
-    if any(part in low for part in PARTS) or SIGNED.search(text) or (not text.isascii() and ODD.search(text)):
-        return REWRITE.search(text) is not None
-    return False
+    """Whether the transducer would rewrite anything."""
+    return any(REWRITE.search(text, *window) for window in windows(text))
+
+
+def anchors(text: str) -> list[int]:
+    """Places of all that the transducer may rewrite, in order: whole words, signs and odd characters."""
+    places, words = [], _words(text)
+    low = text.translate(FOLDED).lower() if words else ""
+    for word in words:
+        at = low.find(word)
+        while at >= 0:
+            if not _in_word(text, at - 1) and not _in_word(text, at + len(word)):
+                places.append(at)
+            at = low.find(word, at + len(word))
+    if "@" in text or any(map(text.__contains__, "[({<")):
+        places += [found.start() for found in SIGNED.finditer(text)]
+    if not text.isascii():
+        places += [found.start() for found in ODD.finditer(text)]
+    return sorted(places)
+
+
+#: Lower-cases A-Z and turns every other ASCII character that no word holds into a blank.
+PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or b == 95 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+ENCODED, REWRITTEN = {word.encode(): word for word in WORDS}, frozenset(WORDS)
+
+
+def _words(text: str) -> set[str]:
+    """Which of the words stand in a text as words of their own, or a few more."""
+    words = set(text.encode("utf-8", "surrogatepass").translate(PLAIN).split())
+    found = {ENCODED[w] for w in ENCODED.keys() & words}
+    if not text.isascii():
+        odd = b" ".join(w for w in words if not w.isascii())
+        found |= REWRITTEN.intersection(UNICODE_WORD.findall(odd.decode("utf-8", "surrogatepass").translate(FOLDED).lower()))
+    return found
+
+
+def _in_word(text: str, at: int) -> bool:
+    return 0 <= at < len(text) and (text[at].isalnum() or text[at] == "_")
+
+
+def windows(text: str) -> Iterator[Span]:
+    """Stretches between blanks that no pattern crosses, each with something to rewrite, in order."""
+    done = 0
+    for place in anchors(text):
+        if place >= done:
+            begin = end = place
+            while begin := _token_begin(text, begin):
+                before = begin
+                while before and text[before - 1].isspace():
+                    before -= 1
+                if not before:
+                    begin = 0
+                elif not _goes_on(text, before, begin):
+                    break
+                else:
+                    begin = before
+            while (end := _token_end(text, end)) < len(text):
+                after = end
+                while after < len(text) and text[after].isspace():
+                    after += 1
+                if after < len(text) and not _goes_on(text, end, after):
+                    break
+                end = after
+            yield begin, end
+            done = end
+
+
+def _token_begin(text: str, at: int) -> int:
+    while at and not text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def _token_end(text: str, at: int) -> int:
+    while at < len(text) and not text[at].isspace():
+        at += 1
+    return at
+
+
+def _goes_on(text: str, end: int, begin: int) -> bool:
+    """Whether a pattern may go on from the token that ends at ``end`` to the one that begins at ``begin``."""
+    left, right = text[end - 1], text[begin]
+    if left in SIGNS or right in SIGNS or (left in NUMERIC and right in NUMERIC):
+        return True
+    # Of a word that stands at the joint, with at most one sign between.
+    last = LAST_WORD.search(text, max(0, end - 12), end if left.isalpha() else end - 1)
+    first = FIRST_WORD.match(text, begin if right.isalpha() else begin + 1, begin + 12)
+    return any(found is not None and found[0].translate(FOLDED).lower() in LINKS for found in (last, first))
 
 
 class Rewritten:
     """Output of the transducer and where its stretches came from."""
 
-    def __init__(self, text: str) -> None:
+    def __init__(self, text: str, begin: int = 0, end: int | None = None) -> None:
         parts: list[str] = []
         # Output and source positions at which stretches begin; rewritten stretches also keep their source end.
         self.outs: list[int] = []
         self.sources: list[tuple[int, int | None]] = []
-        size = done = 0
+        size, done, end = 0, begin, len(text) if end is None else end
 
         def put(part: str, source: int, end: int | None) -> None:
             nonlocal size
@@ -143,18 +241,18 @@ class Rewritten:
                 parts.append(part)
                 size += len(part)
 
-        for found in REWRITE.finditer(text):
+        for found in REWRITE.finditer(text, begin, end):
             put(text[done : found.start()], done, None)
             put(self._form(found), *found.span())
             done = found.end()
-        put(text[done:], done, None)
+        put(text[done:end], done, None)
         self.text = "".join(parts)
 
     @staticmethod
     def _form(found: re.Match) -> str:
         kind = found.lastgroup if found.lastgroup != "gap" else "number"
         if kind == "number":
-            return NUMBERS[re.match(r"[a-z]+", found["number"].translate(FOLDED).lower())[0]]
+            return NUMBERS[re.match(r"[^\W\d_]+", found["number"].translate(FOLDED).lower())[0]]
         if kind == "odd":
             return CHARACTERS.get(found[0], found[0])
         return {"at": "@", "dot": ".", "plus": "+"}[kind]
@@ -178,19 +276,19 @@ class Rewritten:
 
 def disguised_spans(text: str, clear: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of what only the rewritten text shows; parts of clear spans are left out."""
-    if not is_disguised(text):
-        return []
-    rewritten, added = Rewritten(text), set()
-    for kind, name in enumerate(KINDS):
-        known = [(a, b) for a, k, b in clear if k == kind]
-        for span in FINDERS[name](rewritten.text):
-            begin, end, changed = rewritten.source(*span)
-            while end > begin and text[end - 1].isspace():
-                end -= 1
-            if kind == 0 and not NAMED.search(rewritten.text, *span):
-                continue  # a spelled-out address names its top domain
-            if changed and not any(a <= begin and end <= b for a, b in known):
-                added.add((begin, kind, end))
+    added: set[tuple[int, int, int]] = set()
+    for window in windows(text):
+        rewritten = Rewritten(text, *window)
+        for kind, name in enumerate(KINDS):
+            found = [(*rewritten.source(*span), span) for span in FINDERS[name](rewritten.text)]
+            known = [(a, b) for a, k, b in clear if k == kind and a < window[1] and b > window[0]] if found else []
+            for begin, end, changed, span in found:
+                while end > begin and text[end - 1].isspace():
+                    end -= 1
+                if kind == 0 and not NAMED.search(rewritten.text, *span):
+                    continue  # a spelled-out address names its top domain
+                if changed and not any(a <= begin and end <= b for a, b in known):
+                    added.add((begin, kind, end))
     return sorted(added)
 
 

@@ -7,7 +7,19 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strata.llm.private_data import KINDS, REWRITE, clear_spans, disguised_spans, is_disguised, joined, personal_data, redact
+from strata.llm.private_data import (
+    FINDERS,
+    KINDS,
+    NAMED,
+    REWRITE,
+    Rewritten,
+    clear_spans,
+    disguised_spans,
+    is_disguised,
+    joined,
+    personal_data,
+    redact,
+)
 from tests.conftest import rows_of
 from tests.llm.conftest import text_pairs
 
@@ -144,3 +156,52 @@ def test_a_disguise_is_found_on_its_own(text, kind, span):
 def test_the_quick_look_asks_for_no_more_than_the_transducer(parts):
     text = "".join(parts)
     assert is_disguised(text) == (REWRITE.search(text) is not None)
+
+
+def spans_of_the_whole(text, clear):
+    """The transducer over the whole text at once."""
+    rewritten, added = Rewritten(text), set()
+    for kind, name in enumerate(KINDS):
+        for span in FINDERS[name](rewritten.text):
+            begin, end, changed = rewritten.source(*span)
+            while end > begin and text[end - 1].isspace():
+                end -= 1
+            named = kind > 0 or NAMED.search(rewritten.text, *span)
+            if changed and named and not any(k == kind and a <= begin and end <= b for a, k, b in clear):
+                added.add((begin, kind, end))
+    return sorted(added)
+
+
+PARTS = ["one", "ſix", "FİVE", "fünf", "zéro", "uno", "plus", "at", "dot", "DOT", "@", ".", "[", "]", "(", ")", "x", "ab", "word", " ", "  ", "\n", ",", "-", "+", "1", "41", "4111 1111", "е", "K", "é", "com", "a@b.c", "1.2.3", "\u200b", "_"]
+
+
+@settings(max_examples=4000, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=30))
+def test_windows_give_what_the_whole_text_gives(parts):
+    text = "".join(parts)
+    assert disguised_spans(text, clear_spans(text)) == spans_of_the_whole(text, clear_spans(text))
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from([*PARTS, "four one one one", "example dot com", "one nine two dot one", "john at", "+ 1 (555)", "plus one five five five"]), max_size=25))
+def test_windows_of_spaced_parts(parts):
+    text = " ".join(parts)
+    assert disguised_spans(text, clear_spans(text)) == spans_of_the_whole(text, clear_spans(text))
+
+
+@pytest.mark.parametrize(
+    "digits",
+    [
+        "vier eins eins eins eins eins eins eins eins eins eins eins eins eins eins eins",
+        "quatre un un un un un un un un un un un un un un un",
+        "cuatro uno uno uno uno uno uno uno uno uno uno uno uno uno uno uno",
+    ],
+)
+def test_spelled_digits_of_other_languages(digits):
+    text = f"so {digits} da"
+    assert [(KINDS[k], text[a:b]) for a, k, b in disguised_spans(text, [])] == [("card", digits)]
+
+
+def test_documents_give_what_the_whole_text_gives(documents):
+    for _, text in text_pairs(documents):
+        assert disguised_spans(text, clear_spans(text)) == spans_of_the_whole(text, clear_spans(text))
