@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +40,8 @@ from strata.sources.files import remove_path
 LENGTH, HEAD = 200, 40
 #: Batches into which documents fall by a hash of their text.
 BATCHES = 4
-#: Bytes hashed at once; a longer text is hashed in overlapping parts.
-BLOCK = 1 << 20
+#: Bytes hashed at once, so that running sums stay in a processor's cache; a longer text is hashed in overlapping parts.
+BLOCK = 1 << 17
 #: Different segments of one beginning that a task compares; of a beginning with more, every string is a row.
 GROUP = 64
 
@@ -199,7 +200,10 @@ class Family:
 
     def add(self, texts: DataFrame) -> DataFrame:
         """Take up a batch (text): beginnings (key, least, most) that occur twice in it, or in it and a level."""
-        entries = texts.select(whole_text().alias("text")).mapInArrow(_entries(self.length), "key long, digest long")
+        return self.add_suffixes(texts.select(whole_text().alias("text")).mapInArrow(_entries(self.length), "key long, digest long"))
+
+    def add_suffixes(self, entries: DataFrame) -> DataFrame:
+        """The same for the kept suffixes (key, digest) of a batch."""
         rows = entries.groupBy("key").agg(
             F.min("digest").alias("least"), F.max("digest").alias("_most"), (F.count(F.lit(1)) > 1).alias("again")
         )
@@ -230,11 +234,13 @@ def _merged(a: Level, b: Level, how: str) -> DataFrame:
     return left.join(right, "key", how).select("key", least.alias("least"), most, (again | both).alias("again"))
 
 
-def repeated_beginnings(texts: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
-    """(key, differ) of all beginnings that occur more than once, and whether their segments differ."""
-    family = Family(length)
-    batch = F.pmod(F.xxhash64("text"), F.lit(batches))
-    matches = [family.add(texts.where(batch == k)) for k in range(batches)]
+def repeated_beginnings(suffixes: DataFrame, batches: int) -> DataFrame:
+    """(key, differ) of all beginnings that occur more than once, and whether their segments differ.
+
+    ``suffixes`` has key, digest and the number of its batch.
+    """
+    family = Family()
+    matches = [family.add_suffixes(suffixes.where(F.col("batch") == k).select("key", "digest")) for k in range(batches)]
     rows = functools.reduce(DataFrame.unionByName, matches)
     found = rows.groupBy("key").agg(F.min("least").alias("least"), F.max(F.coalesce("most", "least")).alias("most"))
     found = stored(found.select("key", (F.col("least") != F.col("most")).alias("differ")), "beginnings")
@@ -254,16 +260,26 @@ def _named(texts: list[bytes]) -> list[pa.Array]:
 def _located(length: int):
     def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, 4 << 20):
                 texts = utf8(part.column("text"))
                 found, names = segments(texts, length), _named(texts)
                 owner = pa.array(found["owner"])
-                columns = [pa.array(found["key"]), *(n.take(owner) for n in names), pa.array(found["start"]), pa.array(found["strings"].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "t1", "t2", "start", "strings"])
+                columns = [part.column("batch").take(owner), *(n.take(owner) for n in names)]
+                columns += [pa.array(found[c]) for c in ("key", "digest")] + [pa.array(found[c].astype(np.int32)) for c in ("start", "strings")]
+                yield pa.RecordBatch.from_arrays(columns, names=["batch", "t1", "t2", "key", "digest", "start", "strings"])
 
     return located
 
 
+def suffixes_of(texts: DataFrame, length: int, batches: int) -> DataFrame:
+    """All kept suffixes with the names of their texts, written by batch: a text falls into one by its hash."""
+    batch = F.pmod(F.xxhash64("text"), F.lit(batches)).cast("int").alias("batch")
+    schema = "batch int, t1 long, t2 long, key long, digest long, start int, strings int"
+    path = shared_dir(texts.sparkSession, "suffixes")
+    texts.select("text", batch).mapInArrow(_located(length), schema).write.partitionBy("batch").parquet(path)
+    return texts.sparkSession.read.schema(schema).parquet(path)
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1)
     for batch in batches:
@@ -275,7 +291,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 PACKED = "doc_id long, t1 long, t2 long, n_bytes long, packed binary"
 #: Runs of starting places of repeated strings: first place and number.
-RUNS = "array<struct<start: long, strings: int>>"
+RUNS = "array<struct<start: int, strings: int>>"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -284,16 +300,15 @@ def _unpacked(packed: pa.Array) -> Iterator[bytes]:
     return (unpack.decompress(value.as_py()) for value in packed)
 
 
-def removed(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
+def removed(starts: np.ndarray, strings: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Maximal runs of bytes (start, end) covered by strings that start in the given runs of places."""
-    spans: list[tuple[int, int]] = []
-    for start, strings in sorted(runs):
-        end = start + strings - 1 + length
-        if spans and start <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
-        else:
-            spans.append((start, end))
-    return spans
+    if not len(starts):
+        return []
+    order = np.argsort(starts, kind="stable")
+    starts = starts[order].astype(np.int64)
+    ends = np.maximum.accumulate(starts + strings[order] - 1 + length)
+    new = np.flatnonzero(np.r_[True, starts[1:] > ends[:-1]])
+    return list(zip(starts[new].tolist(), ends[np.r_[new[1:], len(ends)] - 1].tolist()))
 
 
 def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -306,12 +321,14 @@ def _finished(length: int, keep_text: bool):
 
     def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, column="packed"):
-                rows = []
-                for text, runs in zip(_unpacked(part.column("packed")), part.column("runs").to_pylist()):
-                    spans = removed([(r["start"], r["strings"]) for r in runs or ()], length)
+            for part in pieces(batch, 1 << 20, "packed"):
+                rows, runs = [], part.column("runs").fill_null([])
+                starts, strings = (np.asarray(c) for c in runs.flatten().flatten())
+                ends = np.cumsum(np.asarray(pc.list_value_length(runs)))
+                for text, a, b in zip(_unpacked(part.column("packed")), np.r_[0, ends[:-1]], ends):
+                    spans = removed(starts[a:b], strings[a:b], length)
                     kept = without(text, spans)
-                    rows.append((len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
+                    rows.append((len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
                 columns = [list(c) for c in zip(*rows)]
                 arrays = [part.column("doc_id"), part.column("n_bytes"), *map(pa.array, columns[:3])]
                 names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
@@ -333,8 +350,9 @@ def _contexts(length: int, with_bytes: bool):
             for part in pieces(batch, 1 << 20, "packed"):
                 texts = list(_unpacked(part.column("packed")))
                 found = segments(texts, length)
-                wanted = [set(o) for o in part.column("open").to_pylist()]
-                which = [k for k, (o, s) in enumerate(zip(found["owner"].tolist(), found["start"].tolist())) if s in wanted[o]]
+                wanted = np.repeat(np.arange(len(texts)), np.asarray(pc.list_value_length(part.column("open")))) << 32
+                wanted |= np.asarray(part.column("open").flatten())
+                which = np.isin(found["owner"] << 32 | found["start"], wanted)
                 found = {name: values[which] for name, values in found.items()}
                 columns = [pa.array(found["key"]), pa.array(found["digest"]), pa.array(found["strings"].astype(np.int32))]
                 if with_bytes:
@@ -344,7 +362,7 @@ def _contexts(length: int, with_bytes: bool):
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(cut, pa.binary())], names=names)
                 else:
                     owner = pa.array(found["owner"])
-                    columns = [*columns[:2], part.column("t1").take(owner), part.column("t2").take(owner), pa.array(found["start"])]
+                    columns = [*columns[:2], part.column("t1").take(owner), part.column("t2").take(owner), pa.array(found["start"].astype(np.int32))]
                     yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "t1", "t2", "start"])
 
     return contexts
@@ -361,7 +379,7 @@ def _runs(places: list[int]) -> list[dict[str, int]]:
 
 
 RESOLVED = f"key long, digest long, runs {RUNS}"
-RUNS_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("strings", pa.int32())]))
+RUNS_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("strings", pa.int32())]))
 
 
 def _resolved(rows: list[tuple[int, int, list[int]]]) -> pa.RecordBatch:
@@ -406,7 +424,7 @@ def _strings(length: int):
                 owner = pa.array(np.repeat(np.arange(len(sizes)), sizes))
                 cut = [b[k : k + length] for b, n in zip(part.column("bytes").to_pylist(), sizes.tolist()) for k in range(n)]
                 place = np.concatenate([np.arange(n, dtype=np.int64) for n in sizes])
-                columns = [*(part.column(c).take(owner) for c in ("key", "digest", "n")), pa.array(place), *_named(cut)]
+                columns = [*(part.column(c).take(owner) for c in ("key", "digest", "n")), pa.array(place.astype(np.int32)), *_named(cut)]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "n", "place", "w1", "w2"])
 
     return strings
@@ -421,7 +439,7 @@ def compared(contexts: DataFrame, length: int, group: int = GROUP) -> DataFrame:
     busy = stored(contexts.groupBy("key").count().where(F.col("count") > group).select("key"), "busy-beginnings")
     few = contexts.join(busy, "key", "left_anti").repartition("key").sortWithinPartitions("key", "digest")
     found = few.mapInArrow(_compared(length), RESOLVED)
-    schema = "key long, digest long, n long, place long, w1 long, w2 long"
+    schema = "key long, digest long, n long, place int, w1 long, w2 long"
     many = contexts.join(busy, "key", "left_semi").mapInArrow(_strings(length), schema)
     again = many.groupBy("key", "w1", "w2").agg(F.sum("n").alias("all")).where(F.col("all") > 1)
     taken = many.join(again, ["key", "w1", "w2"], "left_semi")
@@ -439,17 +457,18 @@ def repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, keep_
     told apart by 128 bits of hashes.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    beginnings = repeated_beginnings(texts.select("text"), length, batches)
-    located = texts.select("text").mapInArrow(_located(length), "key long, t1 long, t2 long, start long, strings int")
+    suffixes = suffixes_of(texts, length, batches)
+    beginnings = repeated_beginnings(suffixes, batches)
     # A set: all copies of a text name the same segments.
-    flagged = located.join(beginnings, "key").groupBy("t1", "t2").agg(
+    flagged = suffixes.drop("batch", "digest").join(beginnings, "key").groupBy("t1", "t2").agg(
         F.collect_set(F.when(~F.col("differ"), F.struct("start", "strings"))).alias("runs"),
         F.collect_set(F.when(F.col("differ"), F.col("start"))).alias("open"),
     )
     flagged = stored(flagged, "flagged")
+    forget(beginnings)
     rows = texts.mapInArrow(_packed, PACKED).join(flagged, ["t1", "t2"], "left")
-    rows = stored(rows.withColumn("open", F.coalesce("open", F.array().cast("array<long>"))), "repeat-rows")
-    forget(flagged, beginnings)
+    rows = stored(rows.withColumn("open", F.coalesce("open", F.array().cast("array<int>"))), "repeat-rows")
+    forget(flagged)
     closed, pending = rows.where(F.size("open") == 0), rows.where(F.size("open") > 0)
     contexts = pending.select("packed", "open").mapInArrow(_contexts(length, True), "key long, digest long, strings int, bytes binary")
     contexts = contexts.groupBy("key", "digest").agg(
@@ -458,7 +477,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, keep_
     contexts = stored(contexts, "contexts")
     resolved = stored(compared(contexts, length, group), "resolved")
     forget(contexts)
-    places = pending.select("t1", "t2", "packed", "open").mapInArrow(_contexts(length, False), "key long, digest long, t1 long, t2 long, start long")
+    places = pending.select("t1", "t2", "packed", "open").mapInArrow(_contexts(length, False), "key long, digest long, t1 long, t2 long, start int")
     moved = F.transform("runs", lambda r: F.struct((r["start"] + F.col("start")).alias("start"), r["strings"].alias("strings")))
     more = places.join(resolved, ["key", "digest"]).groupBy("t1", "t2").agg(F.flatten(F.collect_set(moved)).alias("more"))
     joined = pending.join(more, ["t1", "t2"], "left")

@@ -136,5 +136,6 @@ def test_parts():
     values = np.random.default_rng(0).integers(0, 1 << 60, 57).astype(np.uint64)
     for width in (1, 5, 57):
         assert sliding_min(values, width).tolist() == [min(values[k : k + width].tolist()) for k in range(58 - width)]
-    assert removed([(30, 5), (0, 2), (10, 1), (3, 1)], 10) == [(0, 20), (30, 44)]
+    assert removed(np.array([30, 0, 10, 3]), np.array([5, 2, 1, 1]), 10) == [(0, 20), (30, 44)]
+    assert removed(np.array([], int), np.array([], int), 10) == []
     assert without(b"0123456789", [(2, 4), (9, 10)]) == b"0145678"
