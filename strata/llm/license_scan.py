@@ -165,34 +165,81 @@ class LicenseScanner:
         spans = []
         for number, found in sorted(by_passage.items()):
             label, size = self.passages[number]
-            waiting = [found]
-            while waiting:
-                rest = waiting.pop()
-                covered, begin, end = best_chain(rest, size, MOST_GAP * size)
-                if covered and covered >= LEAST_COVER * size:
-                    spans.append((begin, end, label, covered / size))
-                    waiting += [cut(rest, 0, begin), cut(rest, end, None)]
+            spans += [(begin, end, label, covered / size) for covered, begin, end in all_chains(found, size, MOST_GAP * size, LEAST_COVER * size)]
         return spans
 
 
-def cut(found: list[tuple[int, int, int]], begin: int, end: int | None) -> list[tuple[int, int, int]]:
+Match = tuple[int, int, int]
+Chain = tuple[int, int, int]
+
+
+def by_end(found: list[Match]) -> list[Match]:
+    return sorted(found, key=lambda m: (m[1], m[0], m[2]))
+
+
+def cut(found: list[Match], begin: int, end: int) -> list[Match]:
     """The parts of matches inside a stretch of the text that still are long enough."""
-    parts = [(max(a, begin), b if end is None else min(b, end), b, stop) for a, b, stop in found]
+    parts = [(max(a, begin), min(b, end), b, stop) for a, b, stop in found]
     return [(a, b, stop - (was - b)) for a, b, was, stop in parts if b - a >= LEAST_WORDS]
 
 
-def best_chain(found: list[tuple[int, int, int]], size: int, gap: int | None = None) -> tuple[int, int, int]:
+def all_chains(found: list[Match], size: int, gap: int, least: float) -> list[Chain]:
+    """(words covered, start, end) of chains of at least ``least`` words: the heaviest, then the heaviest before and after it.
+
+    A text is read once from left to right: a chain is settled as soon as no match to come can join a
+    chain that overlaps it, which is a bounded stretch behind it, however many copies the text has.
+    """
+    chains, waiting = [], [by_end(found)]
+    while waiting:
+        rest = waiting.pop()
+        soonest = [m[0] for m in rest]  # the first start from a match on
+        for k in range(len(rest) - 2, -1, -1):
+            soonest[k] = min(soonest[k], soonest[k + 1])
+        first = after = 0
+        while first < len(rest):
+            (covered, begin, end), read = _heaviest(rest, soonest, first, after, size, gap)
+            if not covered:
+                break
+            if covered >= least:
+                chains.append((covered, begin, end))
+                before = cut(rest[first:read], after, begin)
+                if before:
+                    waiting.append(by_end(before))
+            after = end
+            while first < len(rest) and rest[first][1] <= after:
+                first += 1
+    return chains
+
+
+def best_chain(found: list[Match], size: int, gap: int | None = None) -> Chain:
     """(words covered, start, end) of the heaviest chain of (start, end, end in the passage).
 
     Matches of a chain follow each other without overlap in text and passage, and with less than ``gap`` words
-    of text between them. ``best`` holds, per place of the passage, the chains that end there among matches
-    that end before the current one begins: heavier ones first, and after them lighter ones that end later.
+    of text between them.
     """
-    best: list[deque[tuple[int, int, int]]] = [deque() for _ in range(size + 1)]
-    waiting: list[tuple[int, int, tuple[int, int, int]]] = []
-    top = (0, -1, -1)
-    ready = 0
-    for start, end, stop in sorted(found, key=lambda m: (m[1], m[0], m[2])):
+    rest, endless = by_end(found), [-1] * len(found)
+    return _heaviest(rest, endless, 0, 0, size, gap)[0]
+
+
+def _heaviest(rest: list[Match], soonest: list[int], first: int, after: int, size: int, gap: int | None) -> tuple[Chain, int]:
+    """The heaviest chain among matches from ``first`` on, read from ``after`` on until it is settled, and how many were read.
+
+    ``best`` holds, per place of the passage, the chains that end there among matches that end before the
+    current one begins: heavier ones first, and after them lighter ones that end later.
+    """
+    best: list[deque[Chain]] = [deque() for _ in range(size + 1)]
+    waiting: list[tuple[int, int, Chain]] = []
+    top, ready = (0, -1, -1), 0
+    #: Where no chain so far can be carried on any more, and no chain that overlaps the heaviest one.
+    everything = overlapping = 0
+    for k in range(first, len(rest)):
+        if top[0] and gap is not None and (top[0] == size or max(after, soonest[k]) >= overlapping):
+            return top, k
+        start, end, stop = rest[k]
+        if start < after:
+            start = after
+            if end - start < LEAST_WORDS:
+                continue
         while ready < len(waiting) and waiting[ready][0] <= start:
             _, place, chain = waiting[ready]
             while best[place] and best[place][-1][:2] <= chain[:2]:
@@ -207,9 +254,13 @@ def best_chain(found: list[tuple[int, int, int]], size: int, gap: int | None = N
                 before = chains[0]
         chain = (before[0] + end - start, before[1] if before[0] else start, end)
         waiting.append((end, stop, chain))
+        expires = end + (gap or 0) if stop + LEAST_WORDS <= size else end
+        everything = max(everything, expires)
         if chain[0] > top[0]:
-            top = chain
-    return top
+            top, overlapping = chain, everything
+        elif chain[1] < top[2]:
+            overlapping = max(overlapping, expires)
+    return top, len(rest)
 
 
 @functools.cache

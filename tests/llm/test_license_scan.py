@@ -2,12 +2,23 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strata.llm.license_scan import LicenseScanner, SuffixAutomaton, best_chain, default_scanner, license_scan, words_of
+from strata.llm.license_scan import (
+    LEAST_WORDS,
+    LicenseScanner,
+    SuffixAutomaton,
+    all_chains,
+    best_chain,
+    cut,
+    default_scanner,
+    license_scan,
+    words_of,
+)
 from strata.llm.license_texts import PASSAGES, PHRASES
 from tests.conftest import rows_of
 from tests.llm.conftest import text_pairs
@@ -110,3 +121,42 @@ def test_scattered_fragments_make_no_span():
     words = words_of(PASSAGES["isc"].encode())
     parts = [words[k : k + 5] + [b"filler"] * 1000 for k in range(0, len(words) - 4, 5)]
     assert default_scanner().scan(b" ".join(w for p in parts for w in p)).spans == []
+
+
+def one_after_another(found, size, gap, least):
+    """The heaviest chain of the whole text, then the same before and after it."""
+    covered, begin, end = best_chain(found, size, gap)
+    if not covered or covered < least:
+        return []
+    last = max(b for _, b, _ in found)
+    return [(covered, begin, end), *one_after_another(cut(found, 0, begin), size, gap, least), *one_after_another(cut(found, end, last), size, gap, least)]
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_chains_settled_on_the_way_are_the_heaviest_one_after_another(seed):
+    """Copies of a passage with words left out, changed, moved or repeated, side by side or far apart."""
+    draw = random.Random(seed)
+    size, text, found, at = draw.randrange(12, 60), [], [], 0
+    for _ in range(draw.randrange(1, 9)):
+        a, at = 0, at + draw.choice((0, 0, 1, 3, size // 2, size, 2 * size))
+        while a < size:
+            n = draw.randrange(1, 25)
+            b = min(size, a + n)
+            if b - a >= LEAST_WORDS and draw.random() < 0.9:
+                found.append((at, at + b - a, b))
+            at += b - a + draw.choice((0, 1, 1, 4))
+            a = b + draw.choice((0, 1, 1, 4, -3 if b < size else 0))
+    expected = one_after_another(found, size, size, 0.5 * size)
+    assert sorted(all_chains(found, size, size, 0.5 * size)) == sorted(expected)
+
+
+@pytest.mark.parametrize("label", list(PASSAGES))
+def test_many_copies_take_time_in_proportion(label):
+    words = words_of(PASSAGES[label].encode())
+    edited = [w if k % 13 else b"edited" for k, w in enumerate(words, 1)]
+    for copy in (words, edited):
+        text = b" ".join(copy * (400_000 // len(words)))
+        started = time.perf_counter()
+        spans = [s for s in default_scanner().scan(text).spans if s[2] == label]
+        assert time.perf_counter() - started < 60
+        assert len(spans) == 400_000 // len(words)
