@@ -8,6 +8,9 @@ same pairs. Candidates are verified by their whole sets.
 
 Texts that share a shingle are first linked along a chain, as their sizes follow each other. Then all
 pairs that are not yet connected are verified, so a group of near copies costs links in proportion to its size.
+
+Sets of shingles take more room than the texts, so they are never written as a whole: they are made again from
+the texts of candidates that a short sketch per text could not rule out.
 """
 
 from __future__ import annotations
@@ -18,11 +21,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from strata.llm.common import pieces, stored, utf8, whole_text
+from strata.llm.common import forget, pieces, stored, utf8, whole_text
 from strata.llm.components import components
 from strata.llm.simhash import SEED, STRIP, TILE, fingerprint, links_within
 
@@ -33,7 +36,7 @@ SIMILARITY = (4, 5)
 SAMPLE, COMMON = 50, 50_000
 #: Bits of the sketch that rules out most candidates before their sets are read.
 SKETCH = 512
-#: Pairs a task remembers not to hand on again.
+#: Pairs and texts a task remembers not to hand on again.
 REMEMBERED = 1 << 20
 
 
@@ -52,28 +55,54 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return bottom * common >= top * (len(a) + len(b) - common)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def node_of(values: np.ndarray) -> int:
+    """Number that stands for a set of shingles."""
+    return xxh64_intdigest(values.tobytes(), SEED)
+
+
+def sketch(values: np.ndarray) -> bytes:
+    """Per bit whether an odd number of shingles falls on it: sketches differ in no more bits than sets in shingles."""
+    places = (values % np.uint64(SKETCH)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=SKETCH) & 1).tobytes()
+
+
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in pieces(batch):
             texts = utf8(part.column("text"))
             prints = np.fromiter(map(fingerprint, texts), np.uint64, len(texts)).view(np.int64)
-            sets = [shingles(text).tobytes() for text in texts]
-            nodes = np.fromiter((xxh64_intdigest(s, SEED) for s in sets), np.uint64, len(sets)).view(np.int64)
+            rows = [(node_of(values), len(values), sketch(values)) for values in map(shingles, texts)]
+            nodes, sizes, bits = zip(*rows)
+            columns = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("name"), pa.array(prints), *columns],
+                names=["doc_id", "name", "fp", "node", "size", "bits"],
+            )
+
+
+DESCRIBED = "doc_id long, name binary, fp long, node long, size long, bits binary"
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in pieces(batch):
+            sets = [shingles(text) for text in utf8(part.column("text"))]
+            nodes = np.array(list(map(node_of, sets)), np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(prints), pa.array(nodes), pa.array(sets, pa.binary())],
-                names=["doc_id", "fp", "node", "shingles"],
+                [pa.array(nodes), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"]
             )
 
 
 def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for value in batch.column(0).to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(value, np.int64))], names=["shingle"])
+        for part in pieces(batch):
+            for text in utf8(part.column("text")):
+                yield pa.RecordBatch.from_arrays([pa.array(shingles(text).view(np.int64))], names=["shingle"])
 
 
-def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles of a sample in order, and how many of its texts hold them."""
-    sample = sets.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0).select("shingles")
+    sample = texts.where(F.pmod(F.xxhash64("name"), F.lit(SAMPLE)) == 0).select("text")
     counts = sample.mapInArrow(_single, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     found = counts.where("n > 2").orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
     values = np.array([r.shingle for r in found], np.int64).view(np.uint64)
@@ -93,22 +122,33 @@ def _prefixes(common: np.ndarray, counts: np.ndarray):
         return values[np.argsort(weight, kind="stable")[:size]]
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for part in pieces(batch, column="shingles"):
-                sets = [np.frombuffer(s, np.uint64) for s in part.column("shingles").to_pylist()]
-                firsts = [prefix(s) if len(s) else s for s in sets]
-                sizes = [len(f) for f in firsts]
-                nodes = np.repeat(part.column("node").to_numpy(), sizes)
-                places = np.concatenate([np.arange(n) for n in sizes])
-                columns = [np.concatenate(firsts).view(np.int64), np.repeat([len(s) for s in sets], sizes), nodes, places, nodes]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=MEMBER)
+            for part in pieces(batch):
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                nodes, sizes, firsts = [], [], []
+                for values in map(shingles, utf8(part.column("text"))):
+                    node = node_of(values)
+                    if len(values) and node not in seen:  # of many equal sets a task hands on one
+                        seen.add(node)
+                        nodes.append(node)
+                        sizes.append(len(values))
+                        firsts.append(prefix(values))
+                if not nodes:
+                    continue
+                taken = [len(f) for f in firsts]
+                nodes = np.repeat(np.array(nodes, np.uint64).view(np.int64), taken)
+                places = np.concatenate([np.arange(n) for n in taken])
+                columns = [np.concatenate(firsts).view(np.int64), np.repeat(sizes, taken), nodes, places]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=MEMBER[:4])
 
     return prefixes
 
 
 #: A text in the list of a shingle: size of its set, node, place of the shingle in the prefix, component so far.
 MEMBER = ["shingle", "size", "node", "place", "root"]
-MEMBERS = ", ".join(f"{name} long" for name in MEMBER)
+MEMBERS = ", ".join(f"{name} long" for name in MEMBER[:4])
 
 
 def _lists(size: int):
@@ -127,6 +167,8 @@ def _lists(size: int):
             rows = np.concatenate([held, rows])
             if not len(rows):
                 continue
+            new = (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 2] != rows[:-1, 2])
+            rows = rows[np.r_[True, new]]  # tasks may hand on the same text
             starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
             ends, out = np.r_[starts[1:], len(rows)], []
             for k in np.flatnonzero((ends - starts > 1) | ((starts == 0) & cut)):
@@ -211,15 +253,6 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _handed_on(found())
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per bit whether an odd number of shingles falls on it: sketches differ in no more bits than sets in shingles."""
-    for batch in batches:
-        sets = [np.frombuffer(s, np.uint64) for s in batch.column("shingles").to_pylist()]
-        bits = [np.packbits(np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1).tobytes() for s in sets]
-        sizes = pa.array([len(s) for s in sets], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("node"), sizes, pa.array(bits, pa.binary())], names=["node", "size", "bits"])
-
-
 def _not_ruled_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     top, bottom = SIMILARITY
     for batch in batches:
@@ -232,35 +265,40 @@ def _not_ruled_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())
-        keep = [similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in sets]
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for part in pieces(batch, column="sa"):  # similar sets are about as large as each other
+            sets = zip(part.column("sa"), part.column("sb"))
+            keep = [similar(*(np.frombuffer(s.as_buffer(), np.uint64) for s in pair)) for pair in sets]
+            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def similar_links(sets: DataFrame, known: DataFrame) -> DataFrame:
+def similar_links(texts: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
     """Links (a, b) of nodes that, with the known ones, connect what all pairs of similar sets connect.
 
-    ``sets`` holds every node once with its shingles.
+    ``texts`` has name and text of all rows; ``nodes`` has every set once: node, size, bits and the name of a text.
     """
-    members = stored(sets.mapInArrow(_prefixes(*common_shingles(sets)), MEMBERS), "prefixes")
+    members = texts.mapInArrow(_prefixes(*common_shingles(texts)), MEMBERS).withColumn("root", F.col("node"))
     lists = lists_of(members, "prefix-lists")
-    shared = stored(lists.select("members").mapInArrow(_exploded, ", ".join(f"{n} long" for n in MEMBER[:4])), "shared")
-    ids = stored(shared.select("node").distinct(), "shared-nodes")
-    needed = stored(sets.join(ids, "node", "left_semi"), "shared-sets")
-    sketches = stored(needed.mapInArrow(_sketches, "node long, size long, bits binary"), "shared-sketches")
+    shared = lists.select("members").mapInArrow(_exploded, MEMBERS)
+    small = [nodes.select(F.col("node").alias(c), F.col("size").alias(f"n{c}"), F.col("bits").alias(f"b{c}")) for c in "ab"]
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        small = [sketches.toDF(c, f"n{c}", f"b{c}") for c in "ab"]
         pairs = pairs.distinct().join(small[0], "a").join(small[1], "b").select("a", "b", "na", "nb", "ba", "bb")
         pairs = stored(pairs.mapInArrow(_not_ruled_out, "a long, b long"), f"{name}-candidates")
-        ends = [needed.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab"]
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes, "node").select("name")
+        sets = texts.join(stored(wanted, f"{name}-names"), "name", "left_semi").select("text")
+        sets = sets.mapInArrow(_sets, "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
+        sets = stored(sets, f"{name}-sets")
+        ends = [sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab"]
         both = pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "sa", "sb")
-        return stored(both.mapInArrow(_verified, "a long, b long"), name)
+        links = stored(both.mapInArrow(_verified, "a long, b long"), name)
+        forget(pairs, sets)
+        return links
 
     chained = verified(lists.select("members").mapInArrow(_chained, "a long, b long"), "chained")
     roots = stored(components(known.unionByName(chained)), "chained-roots")
     rooted = shared.join(roots, "node", "left").select(*MEMBER[:4], F.coalesce("root", "node").alias("root"))
-    lists = lists_of(rooted, "rooted-lists")
+    first, lists = lists, lists_of(rooted, "rooted-lists")
+    forget(first)
     others = lists.toDF("shingle", "low_b", "high_b", "first_b", "b")
     top, bottom = SIMILARITY
     # A list lies in tiles in the order of sizes and nodes.
@@ -269,42 +307,58 @@ def similar_links(sets: DataFrame, known: DataFrame) -> DataFrame:
     )
     tiles = tiles.select(F.col("members").alias("a"), "b", F.expr("low = low_b AND first = first_b").alias("same"))
     paired = verified(tiles.mapInArrow(_paired, "a long, b long"), "paired")
+    forget(lists)
     return chained.unionByName(paired)
 
 
-def near_copy_groups(docs: DataFrame) -> DataFrame:
-    """doc_id and component_id (smallest doc_id reachable by links of either kind) for every row.
-
-    Null and wordless texts are near copies of each other. Rows with a null doc_id take part in linking but
-    never name a component; a component without any id has a null component_id. Repeated rows give repeated
-    results. An empty table gives an empty result. Columns other than doc_id and text are not read.
-    """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    rows = stored(texts.mapInArrow(_sets, "doc_id long, fp long, node long, shingles binary"), "near-sets")
+def _rooted(docs: DataFrame) -> DataFrame:
+    """doc_id, name of the text and root for every row; equal roots are near copies."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_name().alias("name"), whole_text().alias("text"))
+    rows = stored(texts.mapInArrow(_described, DESCRIBED), "near-rows")
+    nodes = rows.groupBy("node").agg(*(F.min(c).alias(c) for c in ("size", "bits", "name")))
+    nodes = stored(nodes, "near-nodes")
     prints = stored(rows.select("fp", "node").distinct(), "near-prints")
     first = stored(prints.groupBy("fp").agg(F.min("node").alias("first")), "near-first")
     same = prints.join(first, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
     ends = [first.select(F.col("fp").alias(c), F.col("first").alias(f"first_{c}")) for c in "ab"]
     within = links_within(first.select("fp")).join(ends[0], "a").join(ends[1], "b")
     known = stored(same.unionByName(within.select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))), "near-known")
-    # Sets are shuffled only where several rows have the same one.
-    repeats = stored(rows.groupBy("node").count().where("count > 1").select("node"), "near-repeats")
-    several = rows.join(repeats, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    sets = rows.join(repeats, "node", "left_anti").select("node", "shingles").unionByName(several)
-    links = known.unionByName(similar_links(sets, known))
+    links = known.unionByName(similar_links(texts.select("name", "text"), nodes, known))
     roots = stored(components(links), "near-roots")
-    ids = rows.select("doc_id", "node").join(roots, "node", "left")
-    ids = stored(ids.select("doc_id", F.coalesce("root", "node").alias("root")), "near-ids")
+    ids = rows.select("doc_id", "name", "node").join(roots, "node", "left")
+    return stored(ids.select("doc_id", "name", F.coalesce("root", "node").alias("root")), "near-ids")
+
+
+def text_name() -> Column:
+    """128 bits that name a whole text."""
+    return F.unhex(F.md5(whole_text()))
+
+
+def near_copy_groups(docs: DataFrame) -> DataFrame:
+    """doc_id and component_id (smallest doc_id reachable by links of either kind) for every row.
+
+    Null and wordless texts are near copies of each other. Rows with a null doc_id take part in linking but
+    never name a component; a component without any id has a null component_id. Repeated rows give repeated
+    results. An empty table gives an empty result. Columns other than doc_id and text are not read.
+    """
+    ids = _rooted(docs)
     smallest = stored(ids.groupBy("root").agg(F.min("doc_id").alias("component_id")), "near-names")
     return ids.join(smallest, "root").select("doc_id", "component_id")
 
 
 def without_similar(docs: DataFrame) -> DataFrame:
-    """Documents whose id is the smallest of their group, with all their columns.
+    """One row of each group, with all its columns: the one with the smallest id, rows without an id coming last.
 
-    Rows repeating an id share its fate: they go only if no row of that id names its group. Rows without
-    an id cannot be named in a group and stay.
+    Among rows of that id, or without any, the text that comes first by its name stays, and among rows equal in both
+    the one whose columns come first. Names are 128-bit hashes.
     """
-    ids = near_copy_groups(docs).groupBy("doc_id").agg(F.max(F.expr("doc_id = component_id")).alias("stays"))
-    gone = stored(ids.where("NOT stays").select(F.col("doc_id").alias("gone_id")), "near-copies")
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    ids = _rooted(docs)
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "name")
+    # Counted, because only rows equal in id and text leave a choice.
+    rows = ids.groupBy("root", "doc_id", "name").agg(F.count(F.lit(1)).alias("copies"))
+    chosen = rows.groupBy("root").agg(F.min_by(F.struct("doc_id", "name", "copies"), row).alias("row")).select("row.*")
+    chosen = stored(chosen.toDF("chosen_id", "chosen_name", "copies"), "near-chosen")
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), text_name().alias("name"))
+    kept = whole.join(chosen, (F.col("name") == F.col("chosen_name")) & F.col("id").eqNullSafe(F.col("chosen_id")))
+    several = kept.where("copies > 1").groupBy("id", "name").agg(F.min("row").alias("row"))
+    return kept.where("copies = 1").select("row").unionByName(several.select("row")).select("row.*")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
@@ -21,7 +22,8 @@ def slow_shingles(text):
     return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
 
 
-def brute_force(pairs):
+def groups_of(pairs):
+    """A number per text; equal numbers are linked."""
     sets, prints = [slow_shingles(t) for _, t in pairs], [slow_fingerprint(t) for _, t in pairs]
     group = list(range(len(pairs)))
     for a in range(len(pairs)):
@@ -30,7 +32,11 @@ def brute_force(pairs):
             alike = 5 * common >= 4 * (len(sets[a]) + len(sets[b]) - common)
             if group[a] != group[b] and (alike or (prints[a] ^ prints[b]).bit_count() <= RADIUS):
                 group = [group[b] if g == group[a] else g for g in group]
-    names = {}
+    return group
+
+
+def brute_force(pairs):
+    group, names = groups_of(pairs), {}
     for g, (doc_id, _) in zip(group, pairs):
         if doc_id is not None:
             names[g] = min(doc_id, names.get(g, doc_id))
@@ -79,3 +85,32 @@ def test_groups_equal_brute_force(request, name):
 
 def test_empty_table(empty):
     assert near_copy_groups(empty).collect() == []
+    assert near_copies.without_similar(empty).collect() == []
+
+
+def test_one_row_of_each_group_stays_without_ids_or_under_one_id(spark):
+    """Copies without an id, under one id, and a row whose id names another group too."""
+    line = " ".join(f"w{k}" for k in range(60))
+    near, other = line + " more", " ".join(f"v{k}" for k in range(60))
+    rows = [(None, line, 1), (None, near, 2), (None, line, 3), (7, other, 1), (7, other + " x", 2), (7, other, 0), (9, other, 5), (7, "alone", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long").repartition(3)
+    kept = sorted(map(tuple, near_copies.without_similar(docs).collect()), key=repr)
+    assert kept == sorted(one_of_each(rows), key=repr)
+
+
+def one_of_each(rows):
+    """Of each group the row with the least id, nulls last, then name of the text, then other columns."""
+    groups, best = groups_of([(r[0], r[1] or "") for r in rows]), {}
+    for g, row in zip(groups, rows):
+        rank = (row[0] is None, row[0] or 0, hashlib.md5((row[1] or "").encode()).digest(), [(v is not None, v or "") for v in row])
+        if g not in best or rank < best[g][0]:
+            best[g] = (rank, row)
+    return [tuple(row) for _, row in best.values()]
+
+
+def test_rows_of_many_equal_texts_are_handed_on_once(spark):
+    rows = [(k, " ".join(f"w{j}" for j in range(40))) for k in range(500)] + [(900, " ".join(f"w{j}" for j in range(1, 41)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    members = docs.mapInArrow(near_copies._prefixes(*near_copies.common_shingles(docs.withColumn("name", near_copies.text_name()))), near_copies.MEMBERS)
+    assert members.count() <= 5 * 8
+    assert near_copies.without_similar(docs).select("doc_id").collect() == [(0,)]
