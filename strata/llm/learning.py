@@ -1,7 +1,7 @@
 """Small models over hashed terms, fitted on a bounded sample of labelled rows.
 
-The sample's features are computed by Spark tasks and only they reach the driver; at most ``ROWS`` labelled
-rows (and as many unlabelled ones where asked for) are taken, by a hash of their id, whatever the input.
+The sample's features are computed by Spark tasks and only they reach the driver: at most ``ROWS`` labelled
+rows and ``SAMPLE_BYTES`` bytes of features, in the order of a hash of their id, whatever the input.
 """
 
 from __future__ import annotations
@@ -9,15 +9,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import whole_text
+from strata.llm.common import forget, stored, whole_text
 
 #: Rows of a fold that are never learned from: crc32 of the id as text, modulo FOLDS.
 FOLDS, HELD_OUT = 4, 2
-#: Bound of a sample.
-ROWS = 6000
+#: Bounds of a sample: labelled rows, and bytes of their features.
+ROWS, SAMPLE_BYTES = 6000, 64 << 20
 SEED = 7
 
 
@@ -27,28 +27,49 @@ def held_out(column: str = "doc_id") -> Column:
     return F.coalesce(fold == HELD_OUT, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = ROWS, unlabelled: int = 0) -> DataFrame:
-    """At most ``rows`` labelled and ``unlabelled`` other documents: doc_id, label, text, lang, source, n_chars.
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of the rows that may be learned from.
 
     Labels other than 0 and 1 and rows of the held-out fold are left out; repeated labels of an id count
-    as their largest, repeated documents as their smallest row. Null ids never match.
+    as their largest. Null ids never match.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-    known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    if unlabelled:
-        others = docs.where(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id")
-        others = others.orderBy(F.xxhash64(F.lit("other"), "doc_id"), "doc_id").limit(unlabelled).distinct()
-        chosen = chosen.unionByName(others.withColumn("label", F.lit(None).cast("int")))
-        chosen = chosen.groupBy("doc_id").agg(F.max("label").alias("label"))
-    fields = [whole_text().alias("text"), "lang", "source", "n_chars"]
-    # The ids are bounded by the two parameters, so this side is small whatever the input.
-    matched = docs.select("doc_id", F.struct(*fields).alias("row")).join(F.broadcast(chosen), "doc_id")
-    return matched.groupBy("doc_id").agg(F.first("label").alias("label"), F.min("row").alias("row")).select(
-        "doc_id", "label", "row.*"
+    return known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+
+
+def by_hash(rows: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` rows, by a hash of their id; every layout of the table gives the same ones."""
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+
+
+def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = ROWS) -> DataFrame:
+    """At most ``rows`` labelled documents: doc_id, label, text, lang, source, n_chars; labels without one do not count."""
+    known = known_labels(labels, label).join(docs.select("doc_id"), "doc_id", "left_semi")
+    return whole_rows(docs, by_hash(known, rows))
+
+
+def whole_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """What a model reads of the documents with the chosen ids, few by a bound; repeated ones as their smallest row."""
+    fields = F.struct(whole_text().alias("text"), "lang", "source", "n_chars")
+    matched = docs.select("doc_id", fields.alias("row")).join(F.broadcast(chosen), "doc_id")
+    others = [c for c in chosen.columns if c != "doc_id"]
+    return matched.groupBy("doc_id").agg(*(F.first(c).alias(c) for c in others), F.min("row").alias("row")).select(
+        "doc_id", *others, "row.*"
     )
 
 
+def bounded(featured: DataFrame, features: list[str], most: int = SAMPLE_BYTES) -> list[Row]:
+    """Rows by the hash of their id until their features reach ``most`` bytes, in the order of ids."""
+    featured = stored(featured, "sample-features")
+    size = sum((F.octet_length(c).cast("long") for c in features), F.lit(0).cast("long"))
+    # Ids and sizes of a sample whose rows are bounded.
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fits = featured.select("doc_id", F.sum(size).over(order).alias("so_far")).where(F.col("so_far") <= most)
+    found = featured.join(F.broadcast(fits.select("doc_id")), "doc_id").collect()
+    forget(featured)
+    return sorted(found, key=lambda r: r.doc_id)
+
+
 @dataclass
 class Rows:
     """Sparse rows: the entries of row k are at start[k] to start[k + 1]."""
@@ -75,6 +96,9 @@ class Rows:
         bounds = [(self.start[k], self.start[k + 1]) for k in which]
         return Rows.of([(self.index[a:b], self.value[a:b]) for a, b in bounds])
 
+    def and_also(self, other: Rows) -> Rows:
+        starts = np.concatenate([self.start, other.start[1:] + self.start[-1]])
+        return Rows(np.concatenate([self.index, other.index]), np.concatenate([self.value, other.value]), starts)
 
     def only(self, wanted: np.ndarray) -> Rows:
         """The entries whose index is wanted."""
