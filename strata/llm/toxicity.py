@@ -2,7 +2,8 @@
 
 Terms are the words of a text and their beginnings, so inflected forms share evidence. Besides a weight per
 term the model has a short factor per term; the inner product of two factors is the weight of the pair, so
-an insult next to a group mention can count for more than both alone.
+an insult next to a group mention can count for more than both alone. A term is learned if it differs between
+the classes, or if a pair with it explains labels that the terms on their own leave unexplained.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
 
 from strata.llm.common import pieces, utf8, whole_text
-from strata.llm.learning import Factorization, Rows, fit, held_out, sample, screened, sigmoid
+from strata.llm.learning import Factorization, Rows, bounded, fit, held_out, sample, screened, sigmoid
 
 #: Hashed term buckets and factors of each.
 BUCKETS, FACTORS = 1 << 16, 4
@@ -28,6 +29,9 @@ ROWS = 12000
 THRESHOLD = 0.3
 #: Standard errors by which a term must differ between the classes to be learned.
 LEAST_ERRORS = 3.0
+#: Most frequent terms whose pairs are tested; the standard errors by which the labels of a pair's rows must differ from
+#: what is expected of them, and in how many rows of the sample it must stand.
+PAIRED, PAIR_ERRORS, PAIR_ROWS = 2048, 6.0, 10
 #: Passes over the sample, and the step size.
 EPOCHS, RATE = 30, 0.2
 #: Toxic rows are few: how often each counts in learning.
@@ -78,26 +82,58 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Factorization:
     """The model of ``labels.toxic``; without labels of both kinds it scores every text alike."""
     featured = sample(docs, labels, "toxic", rows).select("doc_id", "label", "text")
-    found = sorted(featured.mapInArrow(_featured, "doc_id long, label int, terms binary").collect())
+    found = bounded(featured.mapInArrow(_featured, "doc_id long, label int, terms binary"), ["terms"])
     return learn([np.frombuffer(r.terms, np.int32) for r in found], np.array([r.label for r in found], float))
 
 
 def learn(index: list[np.ndarray], labels: np.ndarray) -> Factorization:
-    """Fit on terms that differ between the classes; all others keep weight and factors of zero."""
+    """Fit on terms that differ between the classes, and then on those that do in pairs; all others count nothing."""
     rows = Rows.of([(i, np.ones(len(i))) for i in index])
     wanted = screened(rows, labels, BUCKETS, LEAST_ERRORS)
+    model = _fitted(rows, labels, wanted)
+    paired = paired_terms(rows, labels, sigmoid(model.raw(rows))) & ~wanted
+    return _fitted(rows, labels, wanted | paired) if paired.any() else model
+
+
+def _fitted(rows: Rows, labels: np.ndarray, wanted: np.ndarray) -> Factorization:
     model = fit(rows.only(wanted), labels, BUCKETS, FACTORS, epochs=EPOCHS, rate=RATE, emphasis=EMPHASIS)
     model.weights[~wanted] = 0
     model.factors[~wanted] = 0
     return model
 
 
+def paired_terms(rows: Rows, labels: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """Terms of the pairs whose rows have labels unlike what is expected of them."""
+    found = np.zeros(BUCKETS, bool)
+    counts = np.bincount(rows.index, minlength=BUCKETS)
+    often = np.argsort(-counts, kind="stable")[:PAIRED]
+    often = often[counts[often] >= PAIR_ROWS]
+    if not len(often) or not 0 < labels.mean() < 1:
+        return found
+    place = np.full(BUCKETS, -1)
+    place[often] = np.arange(len(often))
+    owner = np.repeat(np.arange(len(rows)), np.diff(rows.start))
+    column, wrong, share = place[rows.index], (labels - expected).astype(np.float32), labels.mean()
+    shift, there = (np.zeros((len(often), len(often)), np.float32) for _ in range(2))
+    for first in range(0, len(rows), PAIRED):
+        here = (owner >= first) & (owner < first + PAIRED) & (column >= 0)
+        x = np.zeros((min(PAIRED, len(rows) - first), len(often)), np.float32)
+        x[owner[here] - first, column[here]] = 1
+        shift += (x * wrong[first : first + PAIRED, None]).T @ x
+        there += x.T @ x
+    errors = np.abs(shift) / np.sqrt(np.maximum(there, 1) * share * (1 - share))
+    odd = (errors >= PAIR_ERRORS) & (there >= PAIR_ROWS)
+    np.fill_diagonal(odd, False)
+    found[often[odd.any(axis=1)]] = True
+    return found
+
+
 def _scored(model: Factorization):
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
                 found = map(terms, utf8(part.column("text")))
-                raw = np.fromiter((model.raw_one(i, np.ones(len(i))) for i in found), float, part.num_rows)
+                raw = model.raw(Rows.of([(i, np.ones(len(i))) for i in found]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(sigmoid(raw))],
                     names=["doc_id", "held_out", "score"],

@@ -6,11 +6,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm.learning import Factorization, Rows, calibration, fit, held_out, sample, screened, sigmoid
-from strata.llm.quality import co_train, good_documents, meta_view, quality, text_view
-from strata.llm.toxicity import terms, toxicity
+from strata.llm.learning import Factorization, Rows, bounded, calibration, fit, held_out, sample, screened, sigmoid
+from strata.llm.quality import certain_documents, co_train, good_documents, meta_view, quality, text_view, train
+from strata.llm.toxicity import learn, terms, toxicity
+from strata.llm.toxicity import train as train_toxicity
 from tests.conftest import rows_of
 from tests.llm.conftest import text_pairs
+from tests.llm.plain import by_hash_of, plain_quality, plain_scores
 
 LARGER = "/root/testdata/sf0.1"
 
@@ -21,12 +23,29 @@ def test_held_out_fold_is_the_crc_of_the_id(spark):
 
 
 def test_sample_is_bounded_and_never_from_the_held_out_fold(spark, documents, labels):
-    rows = sample(documents, labels.union(labels), "toxic", rows=20, unlabelled=10).collect()
-    assert sum(r.label is not None for r in rows) == 20 and len(rows) <= 30
-    assert len({r.doc_id for r in rows}) == len(rows)
+    rows = sample(documents, labels.union(labels), "toxic", rows=20).collect()
+    assert len({r.doc_id for r in rows}) == len(rows) == 20
     assert not any(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows)
 
 
+def test_labels_of_absent_documents_do_not_use_up_the_bound(spark, documents, labels):
+    absent = spark.range(10**6, 10**6 + 5000).selectExpr("id AS doc_id", "1 AS quality", "1 AS toxic")
+    few = sample(documents, labels.unionByName(absent), "toxic", rows=20)
+    assert rows_of(few) == rows_of(sample(documents, labels, "toxic", rows=20))
+
+
+def test_features_are_bounded_in_bytes(documents, labels):
+    def featured(most):
+        rows = sample(documents, labels, "quality").select("doc_id", F.col("text").cast("binary").alias("f"))
+        return bounded(rows, ["f"], most)
+
+    everything = featured(1 << 30)
+    order = sorted(everything, key=lambda r: by_hash_of(r.doc_id))
+    size = sum(len(r.f) for r in order[:9])
+    assert [r.doc_id for r in featured(size)] == sorted(r.doc_id for r in order[:9])
+    assert [r.doc_id for r in everything] == sorted(r.doc_id for r in everything)
+
+
 def test_odd_labels_are_left_out(spark, documents):
     odd = spark.createDataFrame(
         [(0, None, 1), (1, 3, 2), (None, 1, 1), (3, 1, 0), (3, 0, 0), (10**9, 1, 1)], "doc_id long, quality int, toxic int"
@@ -87,6 +106,56 @@ def test_views_teach_each_other():
     assert right > 0.95 > alone
 
 
+@pytest.mark.parametrize("handed_on", [3, 1000])
+def test_training_and_scores_equal_a_version_on_plain_lists(spark, handed_on):
+    docs, labels = (spark.read.parquet(f"{LARGER}/{t}.parquet").where("doc_id < 1500") for t in ("documents", "labels"))
+    rows, given = ([tuple(r) for r in t.collect()] for t in (docs, labels.select("doc_id", "quality")))
+    expected, taught = plain_quality(rows, given, handed_on)
+    model = train(docs, labels, handed_on=handed_on)
+    for own, other in zip(model.models, expected.models):
+        assert own.bias == pytest.approx(other.bias) and own.weights == pytest.approx(other.weights, abs=1e-9)
+    assert len(taught) == 2 and all(len(t) > 3 for t in taught)
+    if handed_on == 1000:
+        found = {r.doc_id: r.score for r in quality(docs, labels).collect()}
+        assert found == pytest.approx(plain_scores(expected, rows), abs=1e-6)
+
+
+def test_candidates_come_from_the_whole_corpus(documents, labels):
+    """A view that is sure of everything hands on the rows that come first by hash, from all unlabelled ones."""
+    sure = [fit(Rows.of([]), np.zeros(0), size) for size in (1 << 14, 1 << 10)]
+    for model in sure:
+        model.bias = 9.0
+    ids = {r.doc_id for r in documents.collect()} - {r.doc_id for r in labels.where("quality IN (0, 1)").collect()}
+    ids = sorted((i for i in ids if zlib.crc32(str(i).encode()) % 4 != 2), key=by_hash_of)
+    found = certain_documents(documents, labels, tuple(sure), 9).collect()
+    assert {r.doc_id for r in found} == set(ids[:9])
+
+
+def test_toxicity_scores_equal_sums_over_pairs(spark):
+    docs, labels = (spark.read.parquet(f"{LARGER}/{t}.parquet") for t in ("documents", "labels"))
+    model = train_toxicity(docs, labels)
+    short = docs.where("length(text) < 300 AND doc_id < 3000").limit(60)
+    found = {r.doc_id: r.score for r in toxicity(docs, labels).join(short.select("doc_id"), "doc_id").collect()}
+    for doc_id, text in text_pairs(short):
+        index = terms(text.encode())
+        raw = model.bias + sum(model.weights[i] for i in index)
+        raw += sum(float(model.factors[a] @ model.factors[b]) for k, a in enumerate(index) for b in index[:k])
+        assert found[doc_id] == pytest.approx(float(sigmoid(raw)), abs=1e-9)
+
+
+def test_a_pair_of_words_that_look_alike_to_each_class_is_learned():
+    """Neither word tells the classes apart; both together, or none of them, do."""
+    random = np.random.default_rng(0)
+    both = random.integers(0, 2, (1200, 2))
+    noise = random.integers(100, 400, (1200, 6))
+    index = [np.unique(np.r_[np.flatnonzero(b), 50, n]).astype(np.int32) for b, n in zip(both, noise)]
+    labels = (both[:, 0] == both[:, 1]).astype(float)
+    model = learn(index[:800], labels[:800])
+    raw = model.raw(Rows.of([(i, np.ones(len(i))) for i in index[800:]]))
+    assert ((sigmoid(raw) >= 0.5) == labels[800:]).mean() > 0.97
+    assert not model.factors[450:].any()
+
+
 @pytest.mark.parametrize(("score", "label", "least"), [(quality, "quality", 0.97), (toxicity, "toxic", 0.95)])
 def test_held_out_accuracy(spark, score, label, least):
     docs, labels = (spark.read.parquet(f"{LARGER}/{t}.parquet") for t in ("documents", "labels"))

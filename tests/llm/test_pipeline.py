@@ -8,12 +8,10 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from strata.llm.mixing import mixed
 from strata.llm.packing import packed, piece_digests
-from strata.llm.quality import quality
 from tests.conftest import SMALL, rows_of
 from tests.llm.conftest import text_pairs
-from tests.llm.test_simhash import brute_force
+from tests.llm.plain import plain_copies, plain_exact, plain_good, plain_near
 
 
 def rows(df):
@@ -22,7 +20,13 @@ def rows(df):
 
 @pytest.fixture(params=["documents", "odd"])
 def docs(request):
-    return request.getfixturevalue(request.param)
+    found = request.getfixturevalue(request.param)
+    return found.where("length(text) < 4000") if request.param == "documents" else found
+
+
+@pytest.fixture
+def given(labels):
+    return [(r.doc_id, r.quality) for r in labels.collect()]
 
 
 STAGES = dict(corpus_pipeline.STAGES)
@@ -34,52 +38,32 @@ def test_stages_keep_the_columns_and_call_the_operators(spark, docs):
         assert STAGES[name](spark, docs, SMALL).columns == docs.columns
 
 
-def test_quality_drops_what_scores_low(spark, docs):
+def test_quality_drops_what_scores_low(spark, docs, given):
     kept = rows(STAGES["quality"](spark, docs, SMALL))
-    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
-    scored = Counter(r.doc_id for r in quality(docs, labels).where("predicted = 1").collect())
-    assert Counter(r[0] for r in kept.elements()) == scored
-    assert not kept - rows(docs)
+    assert kept == Counter(plain_good([tuple(r) for r in docs.collect()], given))
 
 
 def test_exact_dedup_keeps_the_largest_id_of_each_text(spark, docs):
-    best = {}
-    for doc_id, text in text_pairs(docs):
-        best[text] = max(best.get(text, -1), -1 if doc_id is None else doc_id)
     kept = text_pairs(STAGES["exact_dedup"](spark, docs, SMALL))
-    assert Counter((-1 if i is None else i, t) for i, t in kept) == Counter((i, t) for t, i in best.items())
+    assert Counter(kept) == Counter((r[0], r[1] or "") for r in plain_exact([tuple(r) for r in docs.collect()]))
 
 
-def test_near_dedup_keeps_the_smallest_id_of_each_group(spark, docs):
-    pairs = text_pairs(docs)
-    if len(pairs) > 50:
-        docs = docs.where("length(text) < 4000")
-        pairs = text_pairs(docs)
-    groups = brute_force(pairs)
-    stays = {i for i, _, c in groups if i == c}
-    kept = Counter(i for i, _ in text_pairs(STAGES["near_dedup"](spark, docs, SMALL)))
-    assert kept == Counter(i for i, _ in pairs if i is None or i in stays)
+def test_near_dedup_keeps_one_row_of_each_group(spark, docs):
+    kept = rows(STAGES["near_dedup"](spark, docs, SMALL))
+    assert kept == Counter(plain_near([tuple(r) for r in docs.collect()]))
 
 
 def test_mix_repeats_whole_documents(spark, docs):
-    copies = Counter()
-    for r in mixed(docs).select("document.*", "size", "taken").collect() if "size" not in docs.columns else []:
-        *row, size, taken = tuple(r)
-        copies[tuple(row)] += 1 if size == 0 else int(taken / size + 0.5)
-    found = rows(STAGES["mix_sources"](spark, docs, SMALL))
-    if copies:
-        assert found == +copies
-    assert not set(found) - set(rows(docs))
-
-
-def test_run_is_its_stages_one_after_another(spark):
-    result = corpus_pipeline.run(spark, SMALL)
+    assert rows(STAGES["mix_sources"](spark, docs, SMALL)) == plain_copies([tuple(r) for r in docs.collect()])
+
+
+def test_run_makes_the_decisions_of_plain_lists(spark, given):
+    """The pieces of what the five decisions leave of the whole table."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, SMALL).persist()
-        assert docs.count() > 0
-    expected = piece_digests(packed(docs, public_tokenizers.path("word_bpe_49k.json")))
-    assert rows_of(result) == rows_of(expected)
+    left = plain_near(plain_exact(plain_good([tuple(r) for r in docs.collect()], given)))
+    left = spark.createDataFrame(list(plain_copies(left).elements()), docs.schema)
+    expected = piece_digests(packed(left, public_tokenizers.path("word_bpe_49k.json")))
+    assert rows_of(corpus_pipeline.run(spark, SMALL)) == rows_of(expected)
     assert corpus_pipeline.ORACLE_SQL is None
 
 
