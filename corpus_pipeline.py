@@ -47,7 +47,7 @@ STAGES = [
     ("pack", pack_stage),
 ]
 
-#: The classifier and the fingerprints cannot be written in SQL; a brute-force version is in the tests.
+#: Classifier and fingerprints are beyond SQL; tests/llm/test_pipeline.py makes all decisions on plain lists.
 ORACLE_SQL = None
 
 
