@@ -42,8 +42,10 @@ LENGTH, HEAD = 200, 40
 BATCHES = 4
 #: Bytes hashed at once, so that running sums stay in a processor's cache; a longer text is hashed in overlapping parts.
 BLOCK = 1 << 17
-#: Different segments of one beginning that a task compares; of a beginning with more, every string is a row.
+#: Different segments of one beginning that a task compares; those of a beginning with more are taken apart.
 GROUP = 64
+#: Neighbouring strings that a busy beginning's segments are first compared by.
+STEP = 16
 
 #: Odd multipliers of the two running hashes, and of the last mixing step.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -354,11 +356,11 @@ def _contexts(length: int, with_bytes: bool):
                 wanted |= np.asarray(part.column("open").flatten())
                 which = np.isin(found["owner"] << 32 | found["start"], wanted)
                 found = {name: values[which] for name, values in found.items()}
-                columns = [pa.array(found["key"]), pa.array(found["digest"]), pa.array(found["strings"].astype(np.int32))]
+                columns = [pa.array(found["key"]), pa.array(found["digest"]), *(pa.array(found[c].astype(np.int32)) for c in ("strings", "offset"))]
                 if with_bytes:
                     ends = found["start"] + found["strings"] - 1 + length
                     cut = [texts[o][a:b] for o, a, b in zip(found["owner"].tolist(), found["start"].tolist(), ends.tolist())]
-                    names = ["key", "digest", "strings", "bytes"]
+                    names = ["key", "digest", "strings", "offset", "bytes"]
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(cut, pa.binary())], names=names)
                 else:
                     owner = pa.array(found["owner"])
@@ -414,37 +416,89 @@ def _compared(length: int):
     return compared
 
 
+def _blocks(length: int):
+    """The strings of segments in blocks of ``STEP``, counted from the suffix, so that they lie alike in all segments of a
+    key. A block has a hash of all its bytes and one of its core, which every string of a whole block holds."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, 1 << 18, "bytes"):
+                owners, places, alls, cores = [], [], [], []
+                for owner, (text, strings, offset) in enumerate(zip(*(part.column(c).to_pylist() for c in ("bytes", "strings", "offset")))):
+                    number = (offset - np.arange(strings)) // STEP
+                    firsts = np.flatnonzero(np.diff(number, prepend=-1))
+                    for first, last in zip(firsts.tolist(), [*(firsts[1:] - 1).tolist(), strings - 1]):
+                        block = int(number[first])
+                        core = offset - block * STEP
+                        owners.append(owner)
+                        places.append((block, first, last - first + 1))
+                        alls.append(text[first : last + length])
+                        cores.append(text[core : core - STEP + 1 + length])
+                columns = [part.column(c).take(pa.array(owners, pa.int64())) for c in ("key", "digest", "n")]
+                columns += [pa.array(c, pa.int32()) for c in zip(*places)] + _named(alls) + _named(cores)
+                yield pa.RecordBatch.from_arrays(columns, names=BLOCK_NAMES)
+
+    return blocks
+
+
+BLOCK_NAMES = ["key", "digest", "n", "block", "start", "strings", "b1", "b2", "c1", "c2"]
+BLOCKS = "key long, digest long, n long, block int, start int, strings int, b1 long, b2 long, c1 long, c2 long"
+#: What equal blocks have in common.
+SAME = ["key", "block", "strings", "b1", "b2"]
+
+
 def _strings(length: int):
-    """Every string of a segment with a 128-bit hash."""
+    """Every string of the wanted blocks of a segment with a 128-bit hash."""
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, 1 << 16, "bytes"):
                 sizes = part.column("strings").to_numpy()
                 owner = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-                cut = [b[k : k + length] for b, n in zip(part.column("bytes").to_pylist(), sizes.tolist()) for k in range(n)]
-                place = np.concatenate([np.arange(n, dtype=np.int64) for n in sizes])
-                columns = [*(part.column(c).take(owner) for c in ("key", "digest", "n")), pa.array(place.astype(np.int32)), *_named(cut)]
+                places = np.concatenate([np.arange(a, a + n, dtype=np.int32) for a, n in zip(part.column("start").to_pylist(), sizes)])
+                texts = part.column("bytes").to_pylist()
+                cut = [texts[k][a : a + length] for k, a in zip(owner.to_pylist(), places.tolist())]
+                columns = [*(part.column(c).take(owner) for c in ("key", "digest", "n")), pa.array(places), *_named(cut)]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "n", "place", "w1", "w2"])
 
     return strings
 
 
+def _busy(contexts: DataFrame, length: int) -> DataFrame:
+    """(key, digest, start, strings) of repeated strings among the segments of busy keys, however many a key has.
+
+    Equal blocks repeat as a whole. Of blocks that differ, only those whose core another one shares can have a common
+    string; each is taken apart once, for all the segments that hold it.
+    """
+    blocks = stored(contexts.mapInArrow(_blocks(length), BLOCKS), "busy-blocks")
+    once = blocks.groupBy(*SAME, "c1", "c2").agg(
+        F.sum("n").alias("n"), F.min(F.struct("digest", "start")).alias("at")
+    )
+    once = stored(once.select(*SAME, "c1", "c2", "n", "at.digest", "at.start"), "busy-once")
+    whole = once.where("n > 1").select(*SAME)
+    found = blocks.join(whole, SAME, "left_semi").select("key", "digest", "start", "strings")
+    cores = once.groupBy("key", "block", "c1", "c2").count().where("count > 1").drop("count")
+    wanted = once.join(cores, ["key", "block", "c1", "c2"], "left_semi").select("key", "digest", "start", "strings", "n")
+    apart = wanted.join(contexts.select("key", "digest", "bytes"), ["key", "digest"])
+    apart = apart.mapInArrow(_strings(length), "key long, digest long, n long, place int, w1 long, w2 long")
+    again = apart.groupBy("key", "w1", "w2").agg(F.sum("n").alias("all")).where(F.col("all") > 1)
+    # A block that stands alone belongs to one segment; the others are whole.
+    single = apart.where("n = 1").join(again, ["key", "w1", "w2"], "left_semi")
+    return found.unionByName(single.select("key", "digest", F.col("place").alias("start"), F.lit(1).alias("strings")))
+
+
 def compared(contexts: DataFrame, length: int, group: int = GROUP) -> DataFrame:
     """(key, digest, runs): the strings of each differing segment that occur in another place.
 
-    ``contexts`` holds every different segment once: key, digest, strings, bytes, n. The few segments of an
-    ordinary key meet in a task. Those of a busy key are taken apart: all their strings are counted by their hash.
+    ``contexts`` holds every different segment once: key, digest, strings, offset, bytes, n. The few segments of an
+    ordinary key meet in a task.
     """
     busy = stored(contexts.groupBy("key").count().where(F.col("count") > group).select("key"), "busy-beginnings")
     few = contexts.join(busy, "key", "left_anti").repartition("key").sortWithinPartitions("key", "digest")
     found = few.mapInArrow(_compared(length), RESOLVED)
-    schema = "key long, digest long, n long, place int, w1 long, w2 long"
-    many = contexts.join(busy, "key", "left_semi").mapInArrow(_strings(length), schema)
-    again = many.groupBy("key", "w1", "w2").agg(F.sum("n").alias("all")).where(F.col("all") > 1)
-    taken = many.join(again, ["key", "w1", "w2"], "left_semi")
-    one = F.struct(F.col("place").alias("start"), F.lit(1).alias("strings"))
-    return found.unionByName(taken.groupBy("key", "digest").agg(F.sort_array(F.collect_list(one)).alias("runs")))
+    many = _busy(contexts.join(busy, "key", "left_semi"), length)
+    run = F.struct("start", "strings")
+    return found.unionByName(many.groupBy("key", "digest").agg(F.sort_array(F.collect_list(run)).alias("runs")))
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, keep_text: bool = False, group: int = GROUP) -> DataFrame:
@@ -470,9 +524,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, keep_
     rows = stored(rows.withColumn("open", F.coalesce("open", F.array().cast("array<int>"))), "repeat-rows")
     forget(flagged)
     closed, pending = rows.where(F.size("open") == 0), rows.where(F.size("open") > 0)
-    contexts = pending.select("packed", "open").mapInArrow(_contexts(length, True), "key long, digest long, strings int, bytes binary")
+    contexts = pending.select("packed", "open").mapInArrow(_contexts(length, True), "key long, digest long, strings int, offset int, bytes binary")
     contexts = contexts.groupBy("key", "digest").agg(
-        F.first("strings").alias("strings"), F.first("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")
+        F.first("strings").alias("strings"), F.first("offset").alias("offset"), F.first("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")
     )
     contexts = stored(contexts, "contexts")
     resolved = stored(compared(contexts, length, group), "resolved")
