@@ -34,7 +34,8 @@ WORDS_PER_SHINGLE = 5
 SIMILARITY = (4, 5)
 #: One of so many texts is in the sample that tells common shingles, and so many of these are remembered.
 SAMPLE, COMMON = 50, 50_000
-#: Bits of the sketch that rules out most candidates before their sets are read.
+#: Bits, at least, of the sketch that rules out most candidates before their sets are made again. Larger sets have
+#: larger sketches, of half their size or more: with fewer bits two unlike sets would differ in too few of them.
 SKETCH = 512
 #: Pairs and texts a task remembers not to hand on again.
 REMEMBERED = 1 << 20
@@ -62,8 +63,19 @@ def node_of(values: np.ndarray) -> int:
 
 def sketch(values: np.ndarray) -> bytes:
     """Per bit whether an odd number of shingles falls on it: sketches differ in no more bits than sets in shingles."""
-    places = (values % np.uint64(SKETCH)).astype(np.int64)
-    return np.packbits(np.bincount(places, minlength=SKETCH) & 1).tobytes()
+    size = max(SKETCH, 1 << max(0, (len(values) - 1).bit_length() - 1))
+    places = (values % np.uint64(size)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=size) & 1).tobytes()
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ; the longer one is folded, its size being a power of two times the other's."""
+    left, right = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(left) > len(right):
+        left = left[: len(left) // 2] ^ left[len(left) // 2 :]
+    while len(right) > len(left):
+        right = right[: len(right) // 2] ^ right[len(right) // 2 :]
+    return int(np.bitwise_count(left ^ right).sum(dtype=np.int64))
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,11 +268,11 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _not_ruled_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     top, bottom = SIMILARITY
     for batch in batches:
-        left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64) for c in ("ba", "bb"))
-        differ = np.bitwise_count(left ^ right).reshape(-1, SKETCH // 64).sum(1, dtype=np.int64)
-        sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-        keep = (top + bottom) * differ <= (bottom - top) * sizes
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for part in pieces(batch, column="ba"):
+            differ = map(differing_bits, part.column("ba").to_pylist(), part.column("bb").to_pylist())
+            sizes = part.column("na").to_numpy() + part.column("nb").to_numpy()
+            keep = (top + bottom) * np.fromiter(differ, np.int64, part.num_rows) <= (bottom - top) * sizes
+            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

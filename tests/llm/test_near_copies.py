@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +115,16 @@ def test_rows_of_many_equal_texts_are_handed_on_once(spark):
     members = docs.mapInArrow(near_copies._prefixes(*near_copies.common_shingles(docs.withColumn("name", near_copies.text_name()))), near_copies.MEMBERS)
     assert members.count() <= 5 * 8
     assert near_copies.without_similar(docs).select("doc_id").collect() == [(0,)]
+
+
+@pytest.mark.parametrize("size", [3, 511, 600, 1400, 2048, 9000])
+def test_sketches_differ_in_no_more_bits_than_sets_in_shingles(size):
+    random = np.random.default_rng(size)
+    a = random.integers(0, 1 << 63, size).astype(np.uint64)
+    unlike = random.integers(0, 1 << 63, max(1, size * 9 // 10)).astype(np.uint64)
+    for b in (a, a[: size * 4 // 5], np.concatenate([a[: size // 2], unlike]), unlike):
+        apart = len(np.setxor1d(a, b))
+        found = near_copies.differing_bits(near_copies.sketch(a), near_copies.sketch(b))
+        assert found <= apart and (found - apart) % 2 == 0
+        if b is unlike and size > 500:
+            assert 9 * found > len(a) + len(b)  # ruled out
