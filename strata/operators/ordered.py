@@ -32,8 +32,10 @@ def join_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
             stand_in = "0"
         elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             stand_in = "1970-01-01"
-        elif isinstance(kind, T.StringType):
+        elif isinstance(kind, (T.StringType, T.BinaryType)):
             stand_in = ""
+        elif isinstance(kind, T.BooleanType):
+            stand_in = "false"
         else:
             raise TypeError(f"{kind.simpleString()} column {key} cannot be a series key")
         columns[f"_key{i}"] = F.coalesce(F.col(key), F.lit(stand_in).cast(kind))
@@ -59,13 +61,13 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], n_slic
     rows whose time is NULL come first, for hot and ordinary keys alike.
     """
     spark = df.sparkSession
+    key = join_keys(df, keys)  # refuses keys of other types before anything runs
     n_slices = n_slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
     sizes = stored(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key-sizes")
     average = sizes.agg(F.sum("_rows") / n_slices).first()[0]
     hot = sizes.where(F.col("_rows") > F.lit(average))
     if hot.isEmpty():
         return df.withColumn(SLICE, F.lit(None).cast("int"))
-    key = join_keys(df, keys)
     marks = F.broadcast(hot.select(*(c.alias(n) for n, c in join_keys(hot, keys).items()), F.lit(True).alias("_hot")))
     marked = df.withColumns(key).join(marks, list(key), "left").drop(*key)
     sliced = cut(marked.where("_hot").drop("_hot"), [*keys, *order], n_slices)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.config import beside, stored
 from strata.sources.contracts import contract
-from strata.sources.files import file_inventory, move_partitions, remove_older, remove_path
+from strata.sources.files import file_inventory, move_partitions, remove_older, remove_path, restore_partitions
 from strata.sources.publish import add_to_manifest, read_log, read_manifest
 from strata.sources.readers import literal_table
 
@@ -41,12 +41,14 @@ def compact(
     """Rewrite partitions with at least twice the files their size needs; rows do not change.
 
     The new files are written aside and counted before their directories take the place of the old ones: a
-    run that fails earlier changes nothing, and one that fails while moving is completed by the next. Rows
+    run that fails earlier changes nothing, and one that fails while moving is completed by the next, which first
+    puts back what had stepped aside. Rows
     are dealt out over the target files by file and row position, which a retried task reproduces: a
     partition with a third of all bytes is written by as many tasks as it gets files. NULL is a partition
     like any other. Returns files and bytes per partition before and after.
     """
     columns = list(partition_columns)
+    restore_partitions(spark, path)
     before = stored(compaction_plan(spark, path, columns, target_bytes), "compact-report")
     work = before.where(F.col("files") >= 2 * F.col("target_files"))
     table = spark.read.parquet(path)

@@ -2,8 +2,10 @@
 
 An increment is written to a staging directory, audited there, and only then moves into
 the table: its partition directories take the place of the old ones, so rows are written
-once. A failed audit leaves the staged copy for inspection; an exception removes it. Publishing is atomic per partition directory at
-best: readers of several tables can see one published before the other.
+once. A failed audit leaves the staged copy for inspection. An exception before the move removes it; from
+then on it stays until everything is in place, so that a failure never takes the only copy of a row.
+Publishing is atomic per partition directory at best: readers of several tables can see one published
+before the other.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.audit import run_checks
 from strata.sources.contracts import contract
-from strata.sources.files import file_inventory, remove_path
+from strata.sources.files import data_file_counts, file_inventory, remove_path, restore_partitions
 from strata.sources.readers import literal_table
 from strata.sources.writers import promote, stage
 
@@ -52,23 +54,24 @@ def publish(
     spark = df.sparkSession
     staged_path = f"{path.rstrip('/')}_staging/{run_id}"
     stamp = committed_at or dt.datetime.now(dt.timezone.utc)
+    restore_partitions(spark, path)
     try:
         stage(df, staged_path, partition_columns)
         # The declared schema keeps an empty increment readable.
         staged = spark.read.schema(df.schema).parquet(staged_path).select(*df.columns)
         found = run_checks(staged, {**checks, "_rows": F.count(F.lit(1))}).first().asDict()
-        rows, files = found.pop("_rows"), file_inventory(spark, staged_path).count()
+        rows, files = found.pop("_rows"), sum(data_file_counts(spark, staged_path).values())
         audit = {name: bool(value) for name, value in found.items()}
         passed = all(audit.values())
-        touched = promote(spark, staged_path, path) if passed else []
-        if touched and manifest_path is not None:
-            record_manifest(spark, path, run_id, manifest_path, touched)
-        if log_path is not None:
-            row = (path, run_id, passed, rows, files, stamp)
-            write_log(literal_table(spark, [row], LOG_SCHEMA), log_path)
     except Exception:
         remove_path(spark, staged_path)
         raise
+    touched = promote(spark, staged_path, path) if passed else []
+    if touched and manifest_path is not None:
+        record_manifest(spark, path, run_id, manifest_path, touched)
+    if log_path is not None:
+        row = (path, run_id, passed, rows, files, stamp)
+        write_log(literal_table(spark, [row], LOG_SCHEMA), log_path)
     if passed:
         remove_path(spark, staged_path)
     return PublishResult(run_id, passed, audit, staged_path)

@@ -1,8 +1,8 @@
 """Writing partitioned tables.
 
-All writers replace whole partitions and can be repeated after a failure: a second run
-writes the same partitions again. A staged copy is removed once it is in place; after a
-failure it stays.
+All writers replace whole partitions and can be repeated after a failure: a second run first puts back
+what the first one had set aside and then writes the same partitions again. A staged copy is removed once
+it is in place; after a failure it stays.
 """
 
 from __future__ import annotations
@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.config import DateRange, beside, shared_dir
+from strata.config import DateRange, beside, shared_dir, stored
 from strata.operators.upsert import repeated_keys, upsert
-from strata.sources.files import move_partitions, partition_directories, remove_path
+from strata.sources.files import move_partitions, partition_directories, remove_path, restore_partitions
+from strata.sources.key_index import index_keys, may_hold
 from strata.sources.readers import in_partitions, listed_days, read_parquet
 
 
@@ -28,6 +29,23 @@ def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None
     _overwrite_partitions(df.hint("rebalance", *columns), path, columns)
 
 
+class WriteCount(NamedTuple):
+    observed: int
+    in_footers: int
+
+
+def replace_partitions_counted(df: DataFrame, path: str, columns: Sequence[str]) -> WriteCount:
+    """The same, with the rows counted twice: while they are written, and from the footers of what was written.
+
+    The first number costs nothing and the second one job over footers; they differ if a task that was
+    repeated counted its rows again, so only the second one may decide.
+    """
+    spark, seen = df.sparkSession, Observation()
+    replace_partitions(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, columns)
+    touched = in_partitions(spark.read.parquet(path), columns[0], df.select(columns[0]))
+    return WriteCount(seen.get["rows"], touched.count())
+
+
 def promote(spark: SparkSession, staged_path: str, path: str) -> list[str]:
     """Replace partitions of a table by those of a staged copy, by moving directories; returns their names."""
     return move_partitions(spark, staged_path, path)
@@ -107,15 +125,18 @@ def upsert_into(
     keys: Sequence[str],
     partition: str,
     key_fixes_partition: bool = True,
+    index_path: str | None = None,
 ) -> None:
     """Upsert ``source`` into a Parquet table partitioned by one column.
 
     If a key always stays in one partition, only the partitions named by the source are
-    read and rewritten. Otherwise the keys are also looked up in all other partitions, and
+    read and rewritten. Otherwise the keys are also looked up in all other partitions, or with ``index_path`` (see
+    ``key_index``, which is then kept up) in those that may hold one, and
     those with a match are rewritten too, or removed if nothing remains. Either way the
     result is staged before it replaces anything. A source with two rows for one key is
     refused, because either could win. NULL is a partition like any other.
     """
+    restore_partitions(spark, path)
     target = read_parquet(spark, path, missing_ok=True)
     like = source if target is None else target
     # The source is computed once; the directories of its copy name the partitions it touches.
@@ -128,10 +149,16 @@ def upsert_into(
     if target is None:
         promote(spark, source_path, path)
         remove_path(spark, source_path)
+        if index_path is not None:
+            index_keys(spark, path, index_path, keys, partition)
         return
-    touched = increment.select(partition)
+    touched = stored(increment.select(partition).distinct(), "touched")
     if not key_fixes_partition:
-        touched = touched.union(target.join(increment.select(*keys), list(keys), "left_semi").select(partition))
+        searched = target
+        if index_path is not None:
+            searched = in_partitions(target, partition, may_hold(spark, path, index_path, increment, keys, partition))
+        touched = touched.union(searched.join(increment.select(*keys), list(keys), "left_semi").select(partition))
+        touched = stored(touched.distinct(), "touched")
     affected = in_partitions(target, partition, touched)
     staged_path = beside(path, "upsert")
     stage(upsert(affected, increment, keys), staged_path, [partition])
@@ -142,6 +169,8 @@ def upsert_into(
     promote(spark, staged_path, path)
     for directory in (*(f"{path.rstrip('/')}/{name}" for name in sorted(emptied)), staged_path, source_path):
         remove_path(spark, directory)
+    if index_path is not None:
+        index_keys(spark, path, index_path, keys, partition, touched)
 
 
 def backfill_column(
@@ -152,6 +181,7 @@ def backfill_column(
     Only partitions that hold such rows are rewritten. ``value`` maps the DataFrame to the
     replacement Column. A table without the column gets it.
     """
+    restore_partitions(spark, path)
     table = spark.read.parquet(path)
     if column not in table.columns:
         table = table.withColumn(column, F.lit(None).cast("string"))

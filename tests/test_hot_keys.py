@@ -257,3 +257,22 @@ def test_samples_and_distinct_values_are_stable(frame, rows):
     assert [r.event_id for r in profile.sample_rows(frame, ["event_id"], 3).collect()] == [0, 1, 2]
     assert [r.kind for r in profile.distinct_values(frame, "kind", limit=2).collect()] == ["a", "b"]
     assert profile.distinct_values(frame, "k").count() == len(by_key(rows))
+
+
+@pytest.mark.parametrize("n_slices", [3, 100])
+def test_boolean_and_binary_series_are_treated_alike_hot_or_not(spark, n_slices):
+    df = spark.range(60).select(
+        F.col("id").alias("n"),
+        F.when(F.col("id") % 3 != 0, F.col("id") % 3 == 1).alias("flag"),
+        F.when(F.col("id") % 2 == 0, F.encode(F.lit("x"), "utf-8")).alias("raw"),
+    )
+    keys = ["flag", "raw"]
+    found = ordered.running_sum(ordered.with_slices(df, keys, ["n"], n_slices), keys, ["n"], F.lit(1), "seen")
+    expected = [(n, 1 + sum(k % 6 == n % 6 for k in range(n))) for n in range(60)]
+    assert rows_of(found.select("n", "seen")) == sorted(expected, key=repr)
+
+
+def test_other_series_are_refused_before_anything_runs(spark):
+    df = spark.range(10).select("id", F.array("id").alias("k"))
+    with pytest.raises(TypeError, match="cannot be a series key"):
+        ordered.with_slices(df, ["k"], ["id"], 100)
