@@ -8,6 +8,8 @@ adaptive execution broadcasts a side whose measured bytes allow it and splits sk
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,8 +109,9 @@ def sliced(
 ) -> DataFrame:
     """Dashboard slicers: days of the month, payment types and day parts.
 
-    The calendar slicers filter the dimension before the join, so only matching hours are
-    broadcast and other days of the fact are pruned.
+    The calendar slicers filter the dimension before the join. Where the fact is a table partitioned by day, the
+    days that are left prune its directories while the query runs (``published_fact``); a fact that is computed
+    from raw rows is filtered by the join alone.
     """
     wanted = dates.where(
         F.col("day_of_month").between(first_day, last_day) & F.col("time_bucket").isin(buckets)
@@ -116,6 +119,21 @@ def sliced(
     return with_date(fact.where(F.col("payment_type").isin(payment_types)), wanted)
 
 
+def kpi_cube(fact: DataFrame, slicers: Sequence[str]) -> DataFrame:
+    """The tiles for every combination of slicers and all totals, from one pass over the fact.
+
+    ``totals`` has a bit per slicer, the last one lowest, that is set where the row is a total over it. It tells the
+    total from the trips whose slicer is NULL.
+    """
+    return fact.cube(*slicers).agg(
+        F.grouping_id().alias("totals"),
+        F.count(F.lit(1)).alias("total_trips"),
+        F.sum("total_amount").alias("total_revenue"),
+        F.avg("total_amount").alias("avg_revenue_per_trip"),
+        F.avg("trip_distance").alias("avg_distance_per_trip"),
+    )
+
+
 def heatmap(fact: DataFrame) -> DataFrame:
     return fact.groupBy(F.dayofweek("pickup_date").alias("pickup_weekday"), "pickup_hour").agg(trips())
 

@@ -7,13 +7,16 @@ that only count or sum per time window accept a streaming DataFrame as well.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.config import stored
 from strata.operators.ordered import previous_row, runs, with_slices
+from strata.sources.contracts import contract
 
 RATE_WINDOW = "5 minutes"
 
@@ -199,33 +202,76 @@ def uptime(samples: DataFrame, ts: str, series: Sequence[str]) -> DataFrame:
 
 
 class NameMapping(NamedTuple):
-    """Maps dotted names such as ``app.*.*`` to a metric; each ``*`` is one part of the name."""
+    """Maps dotted names such as ``app.*.*`` to a metric; each ``*`` is one whole, non-empty part of the name."""
 
     pattern: str
     metric: str
     labels: tuple[str, ...]
 
-    def regex(self) -> str:
-        return "^" + self.pattern.replace(".", r"\.").replace("*", r"([^.]+)") + "$"
+    def parts(self) -> list[str]:
+        found = self.pattern.split(".")
+        if any("*" in part and part != "*" for part in found):
+            raise ValueError(f"a * in {self.pattern} is not a part of its own")
+        return found
+
+
+def _trie(mappings: Sequence[NameMapping]) -> tuple[list[list[tuple[int, str, int]]], list[tuple[int, int]]]:
+    """Edges (node, part, child) per level, and (node, number) of the first mapping that ends at a node."""
+    child: dict[tuple[int, str], int] = {}
+    levels: list[list[tuple[int, str, int]]] = []
+    ends: dict[int, int] = {}
+    for number, mapping in enumerate(mappings):
+        node = 0
+        for level, part in enumerate(mapping.parts()):
+            if level == len(levels):
+                levels.append([])
+            if (node, part) not in child:
+                child[node, part] = len(child) + 1
+                levels[level].append((node, part, child[node, part]))
+            node = child[node, part]
+        ends.setdefault(node, number)
+    return levels, sorted(ends.items())
 
 
 def name_labels(df: DataFrame, name: str, mappings: Sequence[NameMapping]) -> DataFrame:
     """Metric name and label columns for dotted names.
 
     The first matching mapping decides, names that match none are dropped, and labels a
-    mapping does not define are NULL.
+    mapping does not define are NULL. All mappings form one trie of name parts. Distinct names walk down it level by
+    level, along the edge of their part and along a ``*``, so the work per name depends on its parts and not on
+    how many mappings there are.
     """
+    spark = df.sparkSession
+    levels, ends = _trie(mappings)
+    edge = contract(_node="integer", _part="string", _child="integer")
+    last = spark.createDataFrame(ends, contract(_node="integer", _number="integer"))
+    at = df.select(F.col(name).alias("_name")).distinct().withColumns({"_parts": F.split("_name", r"\."), "_node": F.lit(0)})
+    found = []
+    for level, edges in enumerate(levels):
+        here = at.where(F.size("_parts") > level).withColumn("_part", F.col("_parts")[level])
+        steps = []
+        if exact := [e for e in edges if e[1] != "*"]:
+            steps.append(here.join(spark.createDataFrame(exact, edge), ["_node", "_part"]))
+        if wild := [e for e in edges if e[1] == "*"]:
+            any_part = spark.createDataFrame(wild, edge).select("_node", "_child")
+            steps.append(here.where("_part <> ''").join(any_part, "_node"))
+        at = reduce(DataFrame.unionByName, (s.select("_name", "_parts", F.col("_child").alias("_node")) for s in steps))
+        found.append(at.where(F.size("_parts") == level + 1).join(last, "_node").select("_name", "_parts", "_number"))
+    decided = reduce(DataFrame.unionByName, found).groupBy("_name", "_parts").agg(F.min("_number").alias("_number"))
+    rows = [
+        (k, m.metric, dict(zip(m.labels, (p + 1 for p, part in enumerate(m.parts()) if part == "*")))) for k, m in enumerate(mappings)
+    ]
+    chosen = _mapping_table(spark, rows)
     every_label = list(dict.fromkeys(label for m in mappings for label in m.labels))
-    metric = F.coalesce(*(F.when(F.col(name).rlike(m.regex()), m.metric) for m in mappings))
-    columns = {"metric": metric}
-    for label in every_label:
-        value = F.lit(None).cast("string")
-        for m in reversed(mappings):
-            found = (
-                F.regexp_extract(name, m.regex(), m.labels.index(label) + 1)
-                if label in m.labels
-                else F.lit(None).cast("string")
-            )
-            value = F.when(F.col(name).rlike(m.regex()), found).otherwise(value)
-        columns[label] = value
-    return df.withColumns(columns).where(F.col("metric").isNotNull())
+    labelled = decided.join(chosen, "_number").select(
+        "_name", "metric", *(F.try_element_at("_parts", F.col("_places")[label]).alias(label) for label in every_label)
+    )
+    return df.join(labelled, df[name] == labelled["_name"]).drop("_name")
+
+
+def _mapping_table(spark: SparkSession, rows: Sequence[tuple[int, str, dict[str, int]]]) -> DataFrame:
+    """Number, metric and the place of each label in a name, of every mapping."""
+    schema = contract(_number="integer", metric="string")
+    schema = schema.add("_labels", T.ArrayType(T.StringType())).add("_at", T.ArrayType(T.IntegerType()))
+    table = spark.createDataFrame([(k, metric, list(places), list(places.values())) for k, metric, places in rows], schema)
+    return table.select("_number", "metric", F.map_from_arrays("_labels", "_at").alias("_places"))

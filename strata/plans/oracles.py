@@ -260,6 +260,46 @@ def _first_failure() -> str:
 
 _LANDED = "(SELECT *, tpep_pickup_datetime::DATE AS day FROM trips WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-01')"
 
+_SLIDING = """
+WITH steps AS (
+  SELECT DISTINCT event_type, time_bucket(INTERVAL 1 MINUTE, ts) + to_minutes(i) AS range_end
+  FROM events, (SELECT unnest(range(1, 6)) AS i)
+), ranges AS (
+  SELECT s.range_end, s.event_type, count(*) AS increase FROM steps s JOIN events e
+    ON e.event_type = s.event_type AND e.ts >= s.range_end - INTERVAL 5 MINUTE AND e.ts < s.range_end
+  GROUP BY ALL
+)"""
+
+_MARTS = """
+, marts(mart, key, trips, first_value, second_value) AS (
+SELECT 'daily_summary', CAST(pickup_date AS VARCHAR), count(*), sum(total_amount), avg(tip_amount) FROM kept GROUP BY pickup_date
+UNION ALL SELECT 'revenue_by_hour', CAST(pickup_hour AS VARCHAR), count(*), sum(total_amount), avg(total_amount) FROM kept GROUP BY pickup_hour
+UNION ALL SELECT 'weekly_revenue', CAST(CAST(date_trunc('week', pickup_date) AS DATE) AS VARCHAR), count(*), sum(total_amount), stddev_samp(total_amount)
+  FROM kept GROUP BY date_trunc('week', pickup_date)
+UNION ALL SELECT 'weekend_split', CAST(dayofweek(pickup_date) IN (0, 6) AS VARCHAR), count(*), sum(total_amount), avg(trip_duration_min)
+  FROM kept GROUP BY dayofweek(pickup_date) IN (0, 6)
+UNION ALL SELECT 'rush_hour_split', CAST(pickup_hour BETWEEN 7 AND 9 OR pickup_hour BETWEEN 16 AND 19 AS VARCHAR), count(*), sum(total_amount),
+  avg(trip_duration_min) FROM kept GROUP BY (pickup_hour BETWEEN 7 AND 9 OR pickup_hour BETWEEN 16 AND 19)
+UNION ALL SELECT 'od_pairs', concat_ws('-', any_value(a.Zone), any_value(d.Zone), pulocation_id, dolocation_id), count(*), sum(total_amount),
+  avg(trip_distance) FROM kept LEFT JOIN zones a ON a.LocationID = pulocation_id LEFT JOIN zones d ON d.LocationID = dolocation_id
+  GROUP BY pulocation_id, dolocation_id
+UNION ALL SELECT 'revenue_by_location', CAST(pulocation_id AS VARCHAR), count(*), sum(total_amount), avg(total_amount) FROM kept GROUP BY pulocation_id
+UNION ALL SELECT 'zone_traffic', CAST(z AS VARCHAR), count(*), sum(p), sum(1 - p) FROM (
+  SELECT pulocation_id AS z, 1 AS p FROM kept UNION ALL SELECT dolocation_id, 0 FROM kept) GROUP BY z
+UNION ALL SELECT 'tip_behavior', CAST(payment_type AS VARCHAR), count(*), avg(CAST(tip_amount > 0 AS INT)), avg(tip_amount / nullif(total_amount, 0))
+  FROM kept GROUP BY payment_type
+UNION ALL SELECT 'tip_by_band', concat_ws('/', band, bucket), count(*), avg(tip_amount), avg(tip_amount / nullif(fare_amount, 0)) FROM (
+  SELECT *, CASE WHEN trip_distance < 1 THEN '0-1' WHEN trip_distance < 3 THEN '1-3' WHEN trip_distance < 10 THEN '3-10' ELSE '10+' END AS band,
+    CASE WHEN pickup_hour <= 6 THEN 'early_morning' WHEN pickup_hour <= 12 THEN 'morning' WHEN pickup_hour <= 18 THEN 'afternoon' ELSE 'evening' END AS bucket
+  FROM kept) GROUP BY band, bucket
+UNION ALL SELECT 'efficiency', bucket, count(*), avg(trip_distance * 60 / nullif(trip_duration_min, 0)), avg(total_amount / nullif(trip_distance, 0)) FROM (
+  SELECT *, CASE WHEN pickup_hour <= 6 THEN 'early_morning' WHEN pickup_hour <= 12 THEN 'morning' WHEN pickup_hour <= 18 THEN 'afternoon' ELSE 'evening' END AS bucket
+  FROM kept) GROUP BY bucket
+UNION ALL SELECT 'fare_by_date', CAST(pickup_date AS VARCHAR), 0, quantile_cont(fare_amount, 0.5), avg(fare_amount) FROM kept GROUP BY pickup_date
+)
+SELECT mart, key, CAST(trips AS BIGINT) AS trips, round(CAST(first_value AS DOUBLE), 2) AS first_value,
+  round(CAST(second_value AS DOUBLE) + 1e-9, 6) AS second_value FROM marts"""
+
 ORACLES: dict[str, str] = {
     # cleaning, features, keys
     "q_daily_summary": _with_fact(_DAILY.format(where="")),
@@ -330,6 +370,38 @@ FROM trips t LEFT JOIN payments p ON p.payment_type = t.payment_type GROUP BY 1,
         _TILES
         + """fact WHERE day(pickup_date) BETWEEN 1 AND 15 AND payment_type IN (1, 2) AND pickup_hour BETWEEN 7 AND 12"""
     ),
+    "q_kpi_sliced_published": _with_fact(
+        _TILES
+        + """fact WHERE day(pickup_date) BETWEEN 1 AND 15 AND payment_type IN (1, 2) AND pickup_hour BETWEEN 7 AND 12"""
+    ),
+    "q_kpi_cube": _with_fact(
+        """
+SELECT is_weekend, time_bucket, payment_type, grouping_id(is_weekend, time_bucket, payment_type) AS totals,
+  count(*) AS total_trips, round(sum(total_amount), 2) AS total_revenue,
+  round(avg(total_amount) + 1e-9, 6) AS avg_revenue_per_trip, round(avg(trip_distance) + 1e-9, 6) AS avg_distance_per_trip
+FROM (SELECT dayofweek(pickup_date) IN (0, 6) AS is_weekend, """
+        + _BUCKET.format(h="pickup_hour")
+        + """ AS time_bucket, nullif(payment_type, 3) AS payment_type, total_amount, trip_distance FROM fact)
+GROUP BY CUBE (is_weekend, time_bucket, payment_type)"""
+    ),
+    "q_distinct_sketches": _with_clean(
+        """
+SELECT CAST(date_trunc('week', tpep_pickup_datetime) AS DATE) AS week, count(*) AS rows,
+  count(DISTINCT concat_ws('-', PULocationID, DOLocationID, VendorID)) AS distinct_routes, true AS within_error
+FROM clean GROUP BY 1"""
+    ),
+    "q_shared_routes": _with_clean(
+        """
+SELECT count(*) FILTER (a) AS first_routes, count(*) FILTER (b) AS second_routes, count(*) FILTER (a AND b) AS shared_routes,
+  true AS within_error
+FROM (SELECT bool_or(tpep_pickup_datetime < TIMESTAMP '2024-01-16') AS a, bool_or(tpep_pickup_datetime >= TIMESTAMP '2024-01-16') AS b
+  FROM clean GROUP BY PULocationID, DOLocationID, VendorID)"""
+    ),
+    "q_weekly_percentiles": _with_clean(
+        """
+SELECT CAST(date_trunc('week', tpep_pickup_datetime) AS DATE) AS week, count(*) AS rows, true AS within_error
+FROM clean GROUP BY 1"""
+    ),
     "q_calendar_revenue": _with_fact(
         """
 SELECT year, quarter, month, is_weekend, time_bucket, is_rush_hour, count(*) AS trips,
@@ -483,6 +555,12 @@ FROM parts GROUP BY run_id"""
     "q_backfill_new_column": _with_silver(
         """ SELECT trip_id, CASE WHEN pickup_date <> DATE '2024-01-20' THEN pickup_date END AS pickup_date, total_amount FROM silver"""
     ),
+    "q_upsert_indexed": _with_silver(
+        """
+SELECT trip_id, CAST(pickup_date + CASE WHEN pickup_date = DATE '2024-01-09' AND pulocation_id <= 40 THEN CAST(pulocation_id % 3 AS INT) ELSE 0 END AS DATE) AS pickup_date,
+  pulocation_id, total_amount FROM silver"""
+    ),
+    "q_evolved_schema": _with_silver(" SELECT trip_id, payment_type, pickup_date, total_amount FROM silver"),
     "q_rewrite_table": _with_fact(
         """ SELECT version, pickup_date, count(*) AS trips, round(sum(total_amount * factor), 2) AS revenue
 FROM fact, (VALUES ('fact', 2), ('backup', 1)) AS v(version, factor) GROUP BY 1, 2"""
@@ -496,6 +574,9 @@ FROM fact, (VALUES ('fact', 2), ('backup', 1)) AS v(version, factor) GROUP BY 1,
     "q_pipeline_late": _with_fact(
         _DAILY.format(where="WHERE pickup_date >= DATE '2024-01-01'")
     ),
+    "q_pipeline_marts": _with_fact(
+        _MARTS, "kept AS (SELECT * FROM fact WHERE pickup_date >= DATE '2024-01-01')", _ZONES
+    ),
     "q_pipeline_dims": _with_fact(
         """
 SELECT d.year, d.month, d.is_weekend, d.time_bucket, p.payment_name, z.Borough AS pickup_borough, count(*) AS trips,
@@ -606,6 +687,30 @@ FROM linked GROUP BY 1, 2, 3 HAVING sum(CASE WHEN value < prev THEN value ELSE v
     "q_increase_alert": """
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, count(*) AS increase
 FROM events GROUP BY 1, 2 HAVING count(*) > 2""",
+    "q_sliding_increase": _SLIDING
+    + """
+SELECT range_end, event_type, increase, increase AS samples, round(increase / 300.0 + 1e-9, 6) AS rate FROM ranges""",
+    "q_sliding_alert": _SLIDING
+    + """, numbered AS (
+  SELECT *, range_end - to_minutes(row_number() OVER (PARTITION BY event_type ORDER BY range_end)) AS island
+  FROM ranges WHERE increase > 2
+)
+SELECT event_type, min(range_end) AS first_step, max(range_end) AS last_step, count(*) AS steps, max(increase) AS peak
+FROM numbered GROUP BY event_type, island""",
+    "q_sliding_counter": """
+WITH linked AS (
+  SELECT ts, user_id, event_type, value,
+    lag(value) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS prev FROM events
+), grown AS (SELECT *, coalesce(CASE WHEN value < prev THEN value ELSE value - prev END, 0) AS delta FROM linked
+), steps AS (
+  SELECT DISTINCT user_id, event_type, time_bucket(INTERVAL 10 MINUTE, ts) + to_minutes(10 * i) AS range_end
+  FROM events, (SELECT unnest(range(1, 7)) AS i)
+)
+SELECT s.range_end, s.user_id, s.event_type, round(sum(delta) + 1e-9, 6) AS increase, count(*) AS samples,
+  round(sum(delta) / 3600.0 + 1e-9, 6) AS rate
+FROM steps s JOIN grown g ON g.user_id = s.user_id AND g.event_type = s.event_type
+  AND g.ts >= s.range_end - INTERVAL 1 HOUR AND g.ts < s.range_end
+GROUP BY ALL""",
     "q_sustained": """
 WITH marked AS (
   SELECT user_id, ts, event_type, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END)
@@ -649,6 +754,12 @@ SELECT unit_start, coalesce(requests, 0) AS requests, coalesce(failures, 0) AS e
 FROM hours LEFT JOIN tally USING (unit_start)""",
     # streaming
     "q_stream_bronze": _raw(f" SELECT day AS ingestion_date, count(*) AS rows FROM {_LANDED} GROUP BY 1"),
+    "q_stream_silver": _with_fact(
+        """
+SELECT f.*, z.Borough AS pickup_borough, z.Zone AS pickup_zone FROM fact f LEFT JOIN zones z ON z.LocationID = f.pulocation_id
+WHERE f.pickup_date >= DATE '2024-01-01'""",
+        _ZONES,
+    ),
     "q_stream_state_breakdown": _BREAKDOWN,
     "q_stream_rate": _RATE,
     "q_stream_sessions": _SESSIONS.format(minutes=30, where=""),

@@ -12,14 +12,19 @@ from strata.config import DatasetSpec, DateRange, shared_dir
 from strata.operators import dims
 from strata.operators.audit import increment_checks
 from strata.operators.marts import daily_summary, fact_trips
+from strata.operators.partials import daily_partials
 from strata.operators.upsert import upsert
 from strata.plans.trips import silver_trips
-from strata.sources.files import remove_path
+from strata.sources.files import remove_path, restore_partitions
 from strata.sources.publish import PublishResult, publish
 from strata.sources.readers import in_partitions, read_parquet, read_range_or_none
 from strata.sources.writers import Ingested, append_new_days, stage, write_once
 
 
+#: Table of the daily partials of all marts.
+MART_TABLE = "agg_daily_partials"
+
+
 @dataclass(frozen=True)
 class Layout:
     """Table directories below one root."""
@@ -58,13 +63,16 @@ def run_pipeline(
     days: DateRange,
     run_id: str,
     zones_csv: str | None = None,
+    marts: bool = True,
 ) -> PipelineResult:
     """Ingest, clean, upsert and publish one range of days; repeating a range changes nothing.
 
     A row that landed in the range may belong to any day of the event time. So the increment is written
     first, silver is merged on the days the increment really touches, and gold is rebuilt for exactly
     those days. Dimensions are written once: payment types, the calendar of each year that occurs (a year
-    is added when its first day is published), and zones when ``zones_csv`` names their lookup.
+    is added when its first day is published), and zones when ``zones_csv`` names their lookup. Marts are
+    published as daily partials (``operators/partials.py``) of exactly those days, unless ``marts`` is off; other
+    days keep their files.
     """
     bronze_path, silver_path = layout.path("bronze"), layout.path("silver")
     ingested = append_new_days(spark, landing, bronze_path, days, spec.landing_day, spec.bronze_day)
@@ -77,6 +85,7 @@ def run_pipeline(
     stage(computed, increment_path, [spec.silver_day])
     increment = spark.read.schema(computed.schema).parquet(increment_path).select(*computed.columns)
     touched = increment.select(spec.silver_day).distinct()
+    restore_partitions(spark, silver_path)
     existing = read_parquet(spark, silver_path, missing_ok=True)
     merged = increment
     if existing is not None:
@@ -97,10 +106,13 @@ def run_pipeline(
 
     fact = fact_trips(in_partitions(spark.read.parquet(silver_path), spec.silver_day, touched))
     gold = {}
-    for name, table, checks in (
+    tables = [
         ("fact_trips", fact, increment_checks(spec.silver_day, spec.key_name)),
         ("agg_daily_summary", daily_summary(fact), increment_checks(spec.silver_day, spec.silver_day)),
-    ):
+    ]
+    if marts:
+        tables.append((MART_TABLE, daily_partials(fact), increment_checks(spec.silver_day)))
+    for name, table, checks in tables:
         gold[name] = publish(
             table,
             layout.path(name),

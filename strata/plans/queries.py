@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from strata.config import DateRange, shared_dir, stored
 from strata.functions import calendar, codes
 from strata.functions.keys import record_key, with_key
-from strata.operators import audit, clean, dedup, dims, marts, profile, telemetry
+from strata.operators import audit, clean, dedup, dims, marts, partials, profile, sketches, sliding, telemetry
 from strata.operators.upsert import upsert
 from strata.plans import trips as taxi
-from strata.plans.pipeline import Layout, run_pipeline
-from strata.sources import maintenance, publish, readers, writers
+from strata.plans.pipeline import MART_TABLE, Layout, run_pipeline
+from strata.sources import evolution, key_index, maintenance, publish, readers, writers
 from strata.sources.contracts import RAW_TRIP, contract
 from strata.streaming import ingest
+from strata.streaming import silver as silver_streams
 from strata.streaming import telemetry as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,9 +86,9 @@ def q_dedup(spark, sf_dir):
 
 
 def _old_and_new(spark, sf_dir):
-    silver = stored(taxi.silver_trips(raw(spark, sf_dir)), "silver")  # read as target and as source
-    old = silver.where(F.col("pickup_date") <= dt.date(2024, 1, 20))
-    new = silver.where(F.col("pickup_date") >= dt.date(2024, 1, 15)).withColumn("extra", F.col("extra") + 1)
+    trips = stored(taxi.silver_trips(raw(spark, sf_dir)), "silver")  # read as target and as source
+    old = trips.where(F.col("pickup_date") <= dt.date(2024, 1, 20))
+    new = trips.where(F.col("pickup_date") >= dt.date(2024, 1, 15)).withColumn("extra", F.col("extra") + 1)
     return old, new
 
 
@@ -205,6 +206,30 @@ def q_kpi_sliced(spark, sf_dir):
     return rounded(marts.kpi_tiles(chosen), total_revenue=2)
 
 
+@query
+def q_kpi_sliced_published(spark, sf_dir):
+    """The sliced tiles over the published fact: the filtered dimension prunes the days that are read."""
+    root = shared_dir(spark, "gold")
+    writers.replace_partitions(facts(spark, sf_dir), f"{root}/fact_trips", ["pickup_date"])
+    days = raw(spark, sf_dir).select(F.to_date(taxi.PICKUP).alias("pickup_date"))
+    writers.write_once(dims.dim_date_for(days), f"{root}/dim_date")
+    fact, dates = spark.read.parquet(f"{root}/fact_trips"), spark.read.parquet(f"{root}/dim_date")
+    return rounded(marts.kpi_tiles(marts.sliced(fact, dates, 1, 15, [1, 2], ["morning"])), total_revenue=2)
+
+
+@query
+def q_kpi_cube(spark, sf_dir):
+    """All slicer combinations and totals at once; payment type 3 is taken as unknown."""
+    known = F.when(F.col("payment_type") != 3, F.col("payment_type"))
+    slicers = {
+        "is_weekend": calendar.is_weekend(F.col("pickup_date")),
+        "time_bucket": calendar.time_bucket(F.col("pickup_hour")),
+        "payment_type": known,
+    }
+    fact = facts(spark, sf_dir).withColumns(slicers)
+    return rounded(marts.kpi_cube(fact, list(slicers)), total_revenue=2)
+
+
 @query
 def q_calendar_revenue(spark, sf_dir):
     """Fact joined to the date dimension on day and hour."""
@@ -310,6 +335,53 @@ def q_zone_traffic(spark, sf_dir):
     return marts.zone_traffic(facts(spark, sf_dir))
 
 
+def _sketched(spark, sf_dir):
+    """Trips with copies and their daily sketches, of origin and destination as one key."""
+    trips = taxi.clean_trips(raw(spark, sf_dir)).select(
+        "pickup_date", F.concat_ws("-", "pulocation_id", "dolocation_id", "vendor_id").alias("route"), "fare_amount"
+    )
+    return trips, stored(sketches.daily_sketches(trips, "pickup_date", "route", "fare_amount"), "daily-sketches")
+
+
+@query
+def q_distinct_sketches(spark, sf_dir):
+    """Distinct routes per week from daily sketches, held against the exact number."""
+    trips, daily = _sketched(spark, sf_dir)
+    week = F.trunc("pickup_date", "week").alias("week")
+    exact = trips.groupBy(week).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("route").alias("distinct_routes"))
+    estimated = sketches.merged_distinct(daily, week).select("week", "distinct_keys")
+    close = F.abs(F.col("distinct_keys") - F.col("distinct_routes")) <= F.col("distinct_routes") * sketches.DISTINCT_ERROR
+    return exact.join(estimated, "week").withColumn("within_error", close).drop("distinct_keys")
+
+
+@query
+def q_shared_routes(spark, sf_dir):
+    """Routes that both halves of the month know, from daily set sketches, held against the exact number."""
+    trips, daily = _sketched(spark, sf_dir)
+    halves = F.col("pickup_date") < dt.date(2024, 1, 16), F.col("pickup_date") >= dt.date(2024, 1, 16)
+    per_route = trips.groupBy("route").agg(*(F.max(h).alias(n) for h, n in zip(halves, ("a", "b"))))
+    exact = per_route.agg(
+        F.count_if("a").alias("first_routes"), F.count_if("b").alias("second_routes"), F.count_if(F.col("a") & F.col("b")).alias("shared_routes")
+    )
+    found = exact.crossJoin(F.broadcast(sketches.shared_keys(daily, *halves)))  # one row each
+    pairs = (("first_routes", "first_keys"), ("second_routes", "second_keys"), ("shared_routes", "shared_keys"))
+    limit = F.greatest("first_routes", "second_routes") * 2 * sketches.SET_ERROR
+    close = [F.abs(F.col(a) - F.col(b)) <= limit for a, b in pairs]
+    return found.select("first_routes", "second_routes", "shared_routes", (close[0] & close[1] & close[2]).alias("within_error"))
+
+
+@query
+def q_weekly_percentiles(spark, sf_dir):
+    """Fare quantiles per week from daily sketches, held against their true ranks."""
+    trips, daily = _sketched(spark, sf_dir)
+    wanted = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    estimates = sketches.merged_quantiles(daily, wanted, F.trunc("pickup_date", "week").alias("week"))
+    dated = trips.withColumn("week", F.trunc("pickup_date", "week"))
+    errors = sketches.rank_errors(dated, stored(estimates, "weekly-quantiles"), "fare_amount", wanted, ["week"])
+    close = F.greatest(*(F.col(n) for n in wanted)) <= sketches.RANK_ERROR
+    return errors.select("week", "rows", close.alias("within_error"))
+
+
 # --- landing, bronze, write path ---------------------------------------------------------
 
 
@@ -321,6 +393,16 @@ def _land(spark, sf_dir) -> str:
     return landing
 
 
+def _land_late(spark, sf_dir) -> str:
+    """Half of the trips land two days after their pickup day."""
+    landing = shared_dir(spark, "landing")
+    late = F.pmod(F.col("PULocationID"), F.lit(2)) == 1
+    landed_on = F.when(late, F.date_add(F.to_date(taxi.PICKUP), 2)).otherwise(F.to_date(taxi.PICKUP))
+    trips = raw(spark, sf_dir).where(F.col(taxi.PICKUP) >= F.lit(taxi.TAXI.landing_from)).withColumn("date", landed_on)
+    writers.replace_partitions(trips, landing, ["date"])
+    return landing
+
+
 @query
 def q_landing_split(spark, sf_dir):
     landed = spark.read.parquet(_land(spark, sf_dir))
@@ -407,13 +489,48 @@ def q_pipeline(spark, sf_dir):
     """Landing to gold for two overlapping ranges; the daily summary that readers see."""
     layout, landing = Layout(shared_dir(spark, "lake")), _land(spark, sf_dir)
     for run, days in enumerate((("2024-01-01", "2024-01-20"), ("2024-01-15", "2024-01-31"))):
-        result = run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of(*days), f"run-{run}")
+        result = run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of(*days), f"run-{run}", marts=False)
         if not result.published:
             raise RuntimeError(f"audit failed: {result}")
     daily = spark.read.parquet(layout.path("agg_daily_summary"))
     return rounded(daily, total_revenue=2, total_fare=2)
 
 
+@query
+def q_pipeline_marts(spark, sf_dir):
+    """All marts from the partials that three runs published, half of the trips landing two days late."""
+    layout, landing = Layout(shared_dir(spark, "lake")), _land_late(spark, sf_dir)
+    for run, days in enumerate((("2024-01-01", "2024-01-12"), ("2024-01-13", "2024-01-24"), ("2024-01-25", "2024-02-05"))):
+        run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of(*days), f"run-{run}")
+    published, zones = spark.read.parquet(layout.path(MART_TABLE)), taxi.zones(spark, sf_dir)
+    tables = {
+        "daily_summary": (partials.daily_summary(published), "pickup_date", "total_trips", "total_revenue", "avg_tip"),
+        "revenue_by_hour": (partials.revenue_by_hour(published), "pickup_hour", "trips", "revenue", "avg_revenue"),
+        "weekly_revenue": (partials.weekly_revenue(published), "week", "trips", "revenue", "revenue_deviation"),
+        "weekend_split": (partials.weekend_split(published), "is_weekend", "trips", "revenue", "avg_duration_min"),
+        "rush_hour_split": (partials.rush_hour_split(published), "is_rush_hour", "trips", "revenue", "avg_duration_min"),
+        "od_pairs": (partials.od_pairs(published, zones), F.concat_ws("-", "pickup_zone", "dropoff_zone", "pulocation_id", "dolocation_id"), "trips", "revenue", "avg_distance"),
+        "revenue_by_location": (partials.revenue_by_location(published, zones), "pulocation_id", "trips", "revenue", "avg_revenue"),
+        "zone_traffic": (partials.zone_traffic(published), "zone_id", "total", "pickups", "dropoffs"),
+        "tip_behavior": (partials.tip_behavior(published), "payment_type", "trips", "tipped_share", "avg_tip_ratio"),
+        "tip_by_band": (partials.tip_by_band(published), F.concat_ws("/", "distance_band", "time_bucket"), "trips", "avg_tip", "avg_tip_ratio"),
+        "efficiency": (partials.efficiency(published), "time_bucket", "trips", "avg_speed_mph", "avg_fare_per_mile"),
+        "fare_by_date": (partials.fare_by_date(published), "pickup_date", F.lit(0), "median_fare", "avg_fare"),
+    }
+    parts = [
+        table.select(
+            F.lit(name).alias("mart"), _column(key).cast("string").alias("key"), _column(n).cast("long").alias("trips"),
+            _column(a).cast("double").alias("first_value"), _column(b).cast("double").alias("second_value"),
+        )
+        for name, (table, key, n, a, b) in tables.items()
+    ]
+    return rounded(reduce(DataFrame.unionByName, parts), first_value=2)
+
+
+def _column(name):
+    return F.col(name) if isinstance(name, str) else name
+
+
 def _nulls_at(df, day, column="pickup_date"):
     return df.withColumn(column, F.when(F.col(column) != dt.date(2024, 1, day), F.col(column)))
 
@@ -440,6 +557,34 @@ def q_backfill_new_column(spark, sf_dir):
     return spark.read.parquet(path).select("trip_id", "pickup_date", "total_amount")
 
 
+@query
+def q_upsert_indexed(spark, sf_dir):
+    """Trips whose pickup day was corrected: their old partition is found by the key index."""
+    path = shared_dir(spark, "silver")
+    silver = taxi.silver_trips(raw(spark, sf_dir)).select("trip_id", "pickup_date", "pulocation_id", "total_amount")
+    writers.replace_partitions(silver, path, ["pickup_date"])
+    key_index.index_keys(spark, path, f"{path}_keys", ["trip_id"], "pickup_date")
+    corrected = silver.where((F.col("pickup_date") == dt.date(2024, 1, 9)) & (F.col("pulocation_id") <= 40))
+    corrected = corrected.withColumn("pickup_date", F.date_add("pickup_date", F.pmod("pulocation_id", F.lit(3))))
+    writers.upsert_into(spark, path, corrected, ["trip_id"], "pickup_date", key_fixes_partition=False, index_path=f"{path}_keys")
+    return spark.read.parquet(path).select(*silver.columns)
+
+
+@query
+def q_evolved_schema(spark, sf_dir):
+    """Older files lack the key and have a narrower payment type; all files are read under the newer schema."""
+    path = shared_dir(spark, "silver")
+    columns = [taxi.RENAMES.get(c, c) for c in taxi.KEY_COLUMNS]
+    newer = taxi.silver_trips(raw(spark, sf_dir)).select("trip_id", *columns, "pickup_date")
+    older = newer.drop("trip_id").withColumn("payment_type", F.col("payment_type").cast("int"))
+    first = F.col("pickup_date") <= dt.date(2024, 1, 15)
+    writers.replace_partitions(older.where(first), path, ["pickup_date"])
+    writers.replace_partitions(newer.where(~first), path, ["pickup_date"])
+    evolution.require_readable(spark, path, newer.schema)
+    table = evolution.read_under(spark, path, newer.schema, {"trip_id": lambda df: record_key(df, columns)})
+    return table.select("trip_id", "payment_type", "pickup_date", "total_amount")
+
+
 @query
 def q_rewrite_table(spark, sf_dir):
     """A whole table replaced by a computation on itself; the backup keeps the old amounts."""
@@ -466,13 +611,9 @@ def q_single_day(spark, sf_dir):
 @query
 def q_pipeline_late(spark, sf_dir):
     """Half of the trips land two days after their pickup day, so days that are published already grow."""
-    layout, landing = Layout(shared_dir(spark, "lake")), shared_dir(spark, "landing")
-    late = F.pmod(F.col("PULocationID"), F.lit(2)) == 1
-    landed_on = F.when(late, F.date_add(F.to_date(taxi.PICKUP), 2)).otherwise(F.to_date(taxi.PICKUP))
-    trips = raw(spark, sf_dir).where(F.col(taxi.PICKUP) >= F.lit(taxi.TAXI.landing_from)).withColumn("date", landed_on)
-    writers.replace_partitions(trips, landing, ["date"])
+    layout, landing = Layout(shared_dir(spark, "lake")), _land_late(spark, sf_dir)
     for run, days in enumerate((("2024-01-01", "2024-01-12"), ("2024-01-13", "2024-01-24"), ("2024-01-25", "2024-02-05"))):
-        run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of(*days), f"run-{run}")
+        run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of(*days), f"run-{run}", marts=False)
     daily = spark.read.parquet(layout.path("agg_daily_summary"))
     return rounded(daily, total_revenue=2, total_fare=2)
 
@@ -485,7 +626,7 @@ def q_pipeline_dims(spark, sf_dir):
     for run, days in enumerate((("2024-01-01", "2024-01-20"), ("2024-01-15", "2024-01-31"))):
         lookup = shared_dir(spark, "zones-csv")
         (zones.withColumn("Borough", renamed) if run else zones).write.option("header", "true").csv(lookup)
-        run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of(*days), f"run-{run}", lookup)
+        run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of(*days), f"run-{run}", lookup, marts=False)
     fact, dates, payments, zone = (
         spark.read.parquet(layout.path(t)) for t in ("fact_trips", "dim_date", "dim_payment", "dim_zone")
     )
@@ -643,6 +784,26 @@ def q_increase_alert(spark, sf_dir):
     return telemetry.increase_above(events(spark, sf_dir), "ts", ["event_type"], 2)
 
 
+@query
+def q_sliding_increase(spark, sf_dir):
+    """Events of the last five minutes at every minute, per event type."""
+    return rounded(sliding.sliding_increase(events(spark, sf_dir), "ts", ["event_type"]))
+
+
+@query
+def q_sliding_alert(spark, sf_dir):
+    """Stretches of minutes at which more than two events of a type lie in the last five."""
+    steps = sliding.sliding_increase(events(spark, sf_dir), "ts", ["event_type"])
+    return sliding.alert_episodes(steps, ["event_type"], 2)
+
+
+@query
+def q_sliding_counter(spark, sf_dir):
+    """``value`` read as a counter: its growth over the last hour at every ten minutes."""
+    series = ["user_id", "event_type"]
+    return rounded(sliding.sliding_counter_increase(events(spark, sf_dir), "ts", series, ORDER, "value", 3600, 600))
+
+
 @query
 def q_sustained(spark, sf_dir):
     is_error = F.col("event_type") == "error"
@@ -732,6 +893,16 @@ def q_stream_bronze(spark, sf_dir):
     return spark.read.parquet(f"{root}/bronze").groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def q_stream_silver(spark, sf_dir):
+    """Landed trips as a stream: rules, one row per key, and the zone of a static lookup."""
+    landing, root = _land(spark, sf_dir), shared_dir(spark, "stream")
+    stream = ingest.stream_landing(spark, landing, RAW_TRIP).drop("date")
+    facts_of = marts.fact_trips(silver_streams.silver_stream(stream, taxi.TAXI, "40 days"))
+    streams.run_to_table(silver_streams.with_pickup_zone(facts_of, taxi.zones(spark, sf_dir)), f"{root}/silver", f"{root}/checkpoint", "append")
+    return spark.read.parquet(f"{root}/silver")
+
+
 def _event_stream(spark, sf_dir):
     return streams.stream_samples(spark, sf_dir, files="events.parquet")
 

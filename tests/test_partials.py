@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.config import DateRange
+from strata.operators import marts, partials
+from strata.plans import trips as taxi
+from strata.plans.pipeline import MART_TABLE, Layout, run_pipeline
+from strata.sources import writers
+from tests.conftest import SMALL, final_plan, rows_of
+
+
+@pytest.fixture(scope="module")
+def fact(spark):
+    found = taxi.trip_facts(taxi.raw_trips(spark, SMALL)).persist()
+    yield found
+    found.unpersist()
+
+
+@pytest.fixture(scope="module")
+def published(spark, fact):
+    return partials.daily_partials(fact).persist()
+
+
+def close(found, expected):
+    """Equal rows; sums of doubles may differ in their last bits."""
+    columns = sorted(expected.columns)
+    assert sorted(found.columns) == columns
+    found, expected = (rows_of(df.select(*(F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.select(*columns).dtypes))) for df in (found, expected))
+    assert len(found) == len(expected) > 0
+    for a, b in zip(found, expected):
+        assert all(x == (pytest.approx(y, rel=1e-6, abs=1e-6) if isinstance(y, float) else y) for x, y in zip(a, b)), (a, b)
+
+
+@pytest.mark.parametrize("name", ["daily_summary", "revenue_by_hour", "weekend_split", "rush_hour_split", "zone_traffic", "tip_behavior", "tip_by_band", "fare_by_date"])
+def test_marts_of_partials_equal_marts_of_the_fact(fact, published, name):
+    close(getattr(partials, name)(published), getattr(marts, name)(fact))
+
+
+@pytest.mark.parametrize("name", ["od_pairs", "revenue_by_location"])
+def test_marts_with_zones(spark, fact, published, name):
+    zones = taxi.zones(spark, SMALL)
+    close(getattr(partials, name)(published, zones), getattr(marts, name)(fact, zones))
+
+
+def test_efficiency(spark, published):
+    close(partials.efficiency(published), marts.efficiency(taxi.timed_trips(taxi.raw_trips(spark, SMALL))))
+
+
+def test_deviations_come_from_squares(fact, published):
+    week = F.trunc("pickup_date", "week").alias("week")
+    expected = fact.groupBy(week).agg(F.stddev_samp("total_amount").alias("d"))
+    close(partials.weekly_revenue(published).select("week", F.col("revenue_deviation").alias("d")), expected)
+
+
+def test_null_keys_are_keys(spark, fact):
+    holes = fact.withColumn("payment_type", F.when(F.col("payment_type") != 3, F.col("payment_type")))
+    close(partials.tip_behavior(partials.daily_partials(holes)), marts.tip_behavior(holes))
+
+
+def test_one_pass_makes_all_partials(spark):
+    plan = final_plan(partials.daily_partials(taxi.trip_facts(taxi.raw_trips(spark, SMALL))))
+    assert plan.count("FileScan parquet") == 1 and plan.count("Expand") == 1
+
+
+def files_of(path):
+    root = path.removeprefix("file://")
+    return {f"{d}/{f}": os.stat(f"{d}/{f}").st_mtime_ns for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
+
+
+def test_late_days_change_and_others_keep_their_files(spark, folder):
+    layout, landing = Layout(folder("lake")), folder("landing")
+    raw = taxi.raw_trips(spark, SMALL).where("tpep_pickup_datetime >= '2024-01-02' AND tpep_pickup_datetime < '2024-01-06'")
+    day = F.to_date(taxi.PICKUP)
+    late = (day == dt.date(2024, 1, 3)) & (F.col("PULocationID") % 2 == 0)
+    writers.replace_partitions(raw.withColumn("date", F.when(late, F.lit(dt.date(2024, 1, 8))).otherwise(day)), landing, ["date"])
+    run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of("2024-01-02", "2024-01-06"), "a")
+    before = files_of(layout.path(MART_TABLE))
+    run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of("2024-01-08"), "b")
+    after = files_of(layout.path(MART_TABLE))
+    changed = {f for f in before.keys() ^ after.keys()} | {f for f in before.keys() & after.keys() if before[f] != after[f]}
+    assert changed and all("pickup_date=2024-01-03" in f for f in changed)
+    table = spark.read.parquet(layout.path(MART_TABLE))
+    close(partials.revenue_by_hour(table), marts.revenue_by_hour(taxi.trip_facts(raw)))
+
+
+def test_cube_tells_totals_from_unknown_keys(spark):
+    rows = [(1, "x", 2.0), (None, "x", 3.0), (None, None, 5.0)]
+    fact = spark.createDataFrame([(a, b, v, v) for a, b, v in rows], "a int, b string, total_amount double, trip_distance double")
+    cube = marts.kpi_cube(fact, ["a", "b"])
+    found = {(r.totals, r.a, r.b): r.total_trips for r in cube.collect()}
+    assert found == {
+        (0, 1, "x"): 1, (0, None, "x"): 1, (0, None, None): 1, (1, 1, None): 1, (1, None, None): 2, (2, None, "x"): 2, (2, None, None): 1, (3, None, None): 3,
+    }
+    assert final_plan(cube).count("Scan") == 1
+
+
+def test_slices_of_a_published_fact_read_only_their_days(spark, fact, folder):
+    from strata.operators import dims
+
+    root = folder("gold")
+    writers.replace_partitions(fact, f"{root}/fact", ["pickup_date"])
+    dims.dim_date_for(fact.select("pickup_date")).write.parquet(f"{root}/dates")
+    chosen = marts.sliced(spark.read.parquet(f"{root}/fact"), spark.read.parquet(f"{root}/dates"), 5, 7, [1, 2], ["morning"])
+    plan = final_plan(marts.kpi_tiles(chosen))
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "total_amount" in line)
+    assert "dynamicpruning" in scan
+    computed = marts.sliced(fact, spark.read.parquet(f"{root}/dates"), 5, 7, [1, 2], ["morning"])
+    close(marts.kpi_tiles(chosen), marts.kpi_tiles(computed))
+    days = chosen.select("pickup_date").distinct()
+    assert {r.pickup_date.day for r in days.collect()} <= {5, 6, 7}
