@@ -37,6 +37,8 @@ SAMPLE, COMMON = 50, 50_000
 #: Bits, at least, of the sketch that rules out most candidates before their sets are made again. Larger sets have
 #: larger sketches, of half their size or more: with fewer bits two unlike sets would differ in too few of them.
 SKETCH = 512
+#: Bytes of text whose shingles a task holds at once.
+PART = 2 << 20
 #: Pairs and texts a task remembers not to hand on again.
 REMEMBERED = 1 << 20
 
@@ -80,7 +82,7 @@ def differing_bits(a: bytes, b: bytes) -> int:
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in pieces(batch):
+        for part in pieces(batch, PART):
             texts = utf8(part.column("text"))
             prints = np.fromiter(map(fingerprint, texts), np.uint64, len(texts)).view(np.int64)
             rows = [(node_of(values), len(values), sketch(values)) for values in map(shingles, texts)]
@@ -97,7 +99,7 @@ DESCRIBED = "doc_id long, name binary, fp long, node long, size long, bits binar
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in pieces(batch):
+        for part in pieces(batch, PART):
             sets = [shingles(text) for text in utf8(part.column("text"))]
             nodes = np.array(list(map(node_of, sets)), np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -107,7 +109,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in pieces(batch):
+        for part in pieces(batch, PART):
             for text in utf8(part.column("text")):
                 yield pa.RecordBatch.from_arrays([pa.array(shingles(text).view(np.int64))], names=["shingle"])
 
@@ -136,7 +138,7 @@ def _prefixes(common: np.ndarray, counts: np.ndarray):
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, PART):
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 nodes, sizes, firsts = [], [], []
