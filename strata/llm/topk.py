@@ -6,7 +6,8 @@ most promising leaf and thereby finds, per query, a kth score that the result mu
 score is shared with all shards. The second pass visits a shard's nodes by falling bound and stops where
 the bound falls below the current kth score. Ties survive, because only smaller bounds are pruned.
 
-Queries travel in blocks to every shard, so a task holds one shard and one block at a time.
+Queries travel in blocks to every shard, so a task holds one shard and one block at a time. Bounds are doubles,
+widened by their rounding; scores are whole numbers and exact, also where doubles no longer are.
 """
 
 from __future__ import annotations
@@ -26,6 +27,33 @@ from strata.llm.common import stored
 #: Vectors in a shard and in a leaf of its tree, and queries in a block.
 SHARD, LEAF, BLOCK = 8192, 128, 512
 K = 5
+#: No score yet, and the largest one of a long; scores beyond stand as plus or minus this number.
+NOTHING, LARGEST = -(2**63), 2**63 - 1
+
+
+def wrapped(values: np.ndarray) -> np.ndarray:
+    """Whole doubles modulo 2**64, as signed integers."""
+    size = np.abs(np.fmod(values, 2.0**64)).astype(np.uint64).view(np.int64)
+    return np.where(values < 0, -size, size)
+
+
+def inner(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Exact inner products (queries, vectors) of whole doubles; those that a long cannot hold are cut to LARGEST.
+
+    Doubles are exact while the product of the lengths is below 2**53. Above, they only tell whether a long holds
+    the score, whose digits then follow modulo 2**64; pairs too near that limit to tell are summed as Python integers.
+    """
+    scores = queries @ vectors.T
+    lengths = np.sqrt((queries**2).sum(1))[:, None] * np.sqrt((vectors**2).sum(1))
+    if lengths.max(initial=0.0) < 2.0**52:
+        return scores.astype(np.int64)
+    error = 4.0 * queries.shape[1] * 2.0**-53 * lengths
+    exact = wrapped(queries) @ wrapped(vectors).T
+    exact = np.where(np.abs(scores) - error >= 2.0**63, np.where(scores > 0, LARGEST, -LARGEST), exact)
+    for i, j in zip(*np.nonzero(np.abs(np.abs(scores) - 2.0**63) <= error + 2.0**12)):
+        score = sum(int(a) * int(b) for a, b in zip(queries[i].tolist(), vectors[j].tolist()))
+        exact[i, j] = max(-LARGEST, min(score, LARGEST))
+    return exact
 
 
 class BallTree:
@@ -56,20 +84,21 @@ class BallTree:
             if below:
                 self.rows[node] = np.zeros(0, np.int64)
         self.centres, self.radii = np.array(centres), np.array(radii)
+        self.far = np.sqrt((self.centres**2).sum(1)) + self.radii
         self.leaves = np.array([k for k, c in enumerate(self.children) if c is None])
 
     def bounds(self, queries: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         """Upper bounds (queries, nodes) of inner products, widened by what rounding may hide."""
         lengths = np.sqrt((queries**2).sum(1))[:, None]
         reach = queries @ self.centres[nodes].T + lengths * self.radii[nodes]
-        return reach + 1e-9 * (np.abs(reach) + lengths * (self.radii[nodes] + 1)) + 1e-6
+        return reach + 1e-9 * (np.abs(reach) + lengths * (self.far[nodes] + 1)) + 1e-6
 
 
 class Best:
     """The k best (score, id) per query so far: larger scores first, then smaller ids."""
 
     def __init__(self, n: int, k: int, floor: np.ndarray) -> None:
-        self.scores = np.full((n, k), -np.inf)
+        self.scores = np.full((n, k), NOTHING, np.int64)
         self.ids = np.full((n, k), np.iinfo(np.int64).max)
         self.floor = floor
 
@@ -78,9 +107,9 @@ class Best:
 
     def add(self, which: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         k = self.scores.shape[1]
-        scores = np.concatenate([self.scores[which], scores], axis=1)
+        scores = np.concatenate([self.scores[which], np.asarray(scores).astype(np.int64)], axis=1)
         ids = np.concatenate([self.ids[which], np.broadcast_to(ids, (len(which), ids.shape[-1]))], axis=1)
-        order = np.lexsort((ids, -scores), axis=1)[:, :k]
+        order = np.lexsort((ids, ~scores), axis=1)[:, :k]  # ~ turns the order round and cannot overflow
         self.scores[which] = np.take_along_axis(scores, order, 1)
         self.ids[which] = np.take_along_axis(ids, order, 1)
 
@@ -91,8 +120,8 @@ def look_into(
 ) -> None:
     """Score one leaf for some of the queries; a query's own row takes no part."""
     rows = tree.rows[leaf]
-    scores = queries[which] @ vectors[rows].T
-    scores[ids[rows][None, :] == own[which][:, None]] = -np.inf
+    scores = inner(queries[which], vectors[rows])
+    scores[ids[rows][None, :] == own[which][:, None]] = NOTHING
     best.add(which, scores, ids[rows])
 
 
@@ -203,9 +232,9 @@ def _searched(k: int, first_leaf_only: bool):
                 vectors = np.frombuffer(vectors, np.float64).reshape(-1, size)
                 queries = np.frombuffer(queries, np.float64).reshape(-1, size)
                 best = search(
-                    pickle.loads(tree), vectors, ids, queries, own, np.frombuffer(floors, np.float64), k, first_leaf_only
+                    pickle.loads(tree), vectors, ids, queries, own, np.frombuffer(floors, np.int64), k, first_leaf_only
                 )
-                found = best.scores > -np.inf
+                found = best.scores > NOTHING
                 which = np.nonzero(found)[0]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own[which]), pa.array(best.ids[found]), pa.array(best.scores[found])],
@@ -224,7 +253,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [size],
                 [np.array([r[1] for r in block], np.int64).tobytes()],
                 [b"".join(r[2] for r in block)],
-                [np.array([r[3] for r in block], np.float64).tobytes()],
+                [np.array([r[3] for r in block], np.int64).tobytes()],
             ]
             kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -247,7 +276,8 @@ def quantised(vectors: DataFrame) -> DataFrame:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, vec_id and score of the k best other rows for each row (vec_id, embedding) of ``queries``.
 
-    Scores are exact inner products of floor(256 x), ties go to the smaller vec_id. Rows without an id,
+    Scores are exact inner products of floor(256 x), ties go to the smaller vec_id; one among the k best that a long
+    cannot hold is an error. Rows without an id,
     with a null or empty vector, or with null or non-finite components take no part on either side; vectors
     of different lengths never meet. Repeated rows of ``vectors`` are rows of their own, but none with the
     query's own id counts; of repeated query ids the smallest vector asks. Empty tables give an empty result.
@@ -270,13 +300,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         everywhere = blocks.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
         pairs = shards.join(everywhere, ["size", "bucket"])
         pairs = pairs.select("size", "ids", "vectors", "tree", "own", "queries", "floors")
-        scored = pairs.mapInArrow(_searched(k, first_leaf_only), "query_id long, vec_id long, score double")
+        scored = pairs.mapInArrow(_searched(k, first_leaf_only), "query_id long, vec_id long, score long")
         return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
-    nothing = F.lit(float("-inf"))
+    nothing = F.lit(NOTHING).cast("long")
     glimpse = found(asked.select("size", "vec_id", "vector", nothing.alias("floor")), True)
     kth = glimpse.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("kth"))
     shared = asked.join(kth, "vec_id", "left").select("size", "vec_id", "vector", F.coalesce("kth", nothing).alias("floor"))
+    too_large = F.abs("score") == LARGEST
+    refused = F.raise_error(F.concat(F.lit("a long cannot hold the score of vectors "), "query_id", F.lit(" and "), "vec_id"))
     return found(stored(shared, "queries-kth"), False).select(
-        "query_id", "rank", "vec_id", F.col("score").cast("long").alias("score")
+        "query_id", "rank", "vec_id", F.when(too_large, refused.cast("long")).otherwise(F.col("score")).alias("score")
     )

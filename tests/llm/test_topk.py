@@ -50,6 +50,41 @@ def test_result_equals_brute_force(spark, odd_vectors, monkeypatch, sizes):
     assert sorted(map(tuple, top_k(vectors, vectors.where("vec_id % 50 = 0")).collect())) == brute_force(odd_vectors, queries)
 
 
+@pytest.mark.parametrize("scale", [2.0**12, 2.0**19, 2.0**20])
+def test_scores_beyond_doubles_are_exact(spark, scale):
+    random = np.random.default_rng(1)
+    rows = [(i, random.normal(0, scale, 8).astype(np.float32).astype(float).tolist(), None, "", "") for i in range(400)]
+    rows += [(400 + i, [*rows[50][1][:7], rows[50][1][7] + i / 256], None, "", "") for i in range(20)]  # apart by little
+    vectors = spark.createDataFrame(rows, SCHEMA.replace("array<float>", "array<double>"))
+    queries = [r for r in rows if r[0] % 50 == 0]
+    floors = [(i, [math.floor(256 * x) for x in v]) for i, v, *_ in rows]
+    want = []
+    for q, v in floors:
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in floors if i != q)
+            want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:5], 1)]
+    assert len(want) == 5 * len(queries)
+    assert sorted(map(tuple, top_k(vectors, vectors.where("vec_id % 50 = 0")).collect())) == sorted(want)
+
+
+def test_large_products_that_cancel():
+    random = np.random.default_rng(3)
+    queries = np.floor(random.normal(0, 1, (7, 6)) * 2.0 ** random.integers(0, 60, (7, 6)))
+    vectors = np.floor(random.normal(0, 1, (9, 6)) * 2.0 ** random.integers(0, 60, (9, 6)))
+    queries, vectors = np.hstack([queries, queries]), np.hstack([vectors, -vectors])
+    vectors[:, 0] += np.arange(9)
+    want = [[sum(int(a) * int(b) for a, b in zip(q, v)) for v in vectors] for q in queries]
+    got = topk.inner(queries, vectors)
+    assert got.tolist() == [[max(-topk.LARGEST, min(s, topk.LARGEST)) for s in row] for row in want]
+
+
+def test_a_score_that_no_long_holds_is_refused(spark):
+    rows = [(0, [1e18, 0.0], None, "", ""), (50, [1e18, 1.0], None, "", ""), (51, [-1e18, 0.0], None, "", "")]
+    vectors = spark.createDataFrame(rows, SCHEMA)
+    with pytest.raises(Exception, match="a long cannot hold the score of vectors"):
+        top_k(vectors, vectors.where("vec_id = 0")).collect()
+
+
 def test_fewer_rows_than_asked_for(spark):
     rows = [(0, [1.0], None, "", ""), (50, [2.0], None, "", ""), (7, [3.0], None, "", "")]
     vectors = spark.createDataFrame(rows, SCHEMA)
