@@ -15,7 +15,7 @@ from __future__ import annotations
 import pickle
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -248,7 +248,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (size, vec_id, vector, floor) sorted by size become blocks of queries."""
     rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
     for size, same in groupby(rows, key=lambda row: row[0]):
-        while block := [row for row, _ in zip(same, range(BLOCK))]:
+        while block := list(islice(same, BLOCK)):
             columns = [
                 [size],
                 [np.array([r[1] for r in block], np.int64).tobytes()],

@@ -85,6 +85,12 @@ def test_a_score_that_no_long_holds_is_refused(spark):
         top_k(vectors, vectors.where("vec_id = 0")).collect()
 
 
+def test_no_query_is_lost_between_blocks(spark):
+    rows = [(50 * i, [float(i % 7), 1.0, i / 256], None, "", "") for i in range(2 * topk.BLOCK + 3)]
+    vectors = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    assert sorted(map(tuple, top_k(vectors, vectors).collect())) == brute_force(rows, rows)
+
+
 def test_fewer_rows_than_asked_for(spark):
     rows = [(0, [1.0], None, "", ""), (50, [2.0], None, "", ""), (7, [3.0], None, "", "")]
     vectors = spark.createDataFrame(rows, SCHEMA)
