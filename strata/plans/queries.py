@@ -687,10 +687,16 @@ def q_distinct_values(spark, sf_dir):
 # --- maintenance -------------------------------------------------------------------------
 
 
+def _in_eight_files(fact):
+    """Eight files a day, written by 64 tasks: each has one part of some days only."""
+    part = F.pmod(F.xxhash64("trip_id"), F.lit(8)) * 8 + F.pmod(F.dayofmonth("pickup_date"), F.lit(8))
+    return fact.repartitionById(64, part.cast("int"))
+
+
 @query
 def q_compact(spark, sf_dir):
     path = shared_dir(spark, "fact")
-    facts(spark, sf_dir).repartition(8).write.partitionBy("pickup_date").parquet(path)
+    _in_eight_files(facts(spark, sf_dir)).write.partitionBy("pickup_date").parquet(path)
     report = maintenance.compact(spark, path, ["pickup_date"])
     rows = spark.read.parquet(path).groupBy("pickup_date").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("total_amount").alias("revenue")
@@ -704,7 +710,7 @@ def q_maintain(spark, sf_dir):
     """All maintenance steps on a fact table of small files with one logged run per day."""
     root, path = shared_dir(spark, "lake"), shared_dir(spark, "fact")
     fact = facts(spark, sf_dir)
-    fact.repartition(8).write.partitionBy("pickup_date").parquet(path)
+    _in_eight_files(fact).write.partitionBy("pickup_date").parquet(path)
     log = fact.select("pickup_date").distinct().select(
         F.lit(path).alias("table_path"),
         F.col("pickup_date").cast("string").alias("run_id"),
@@ -715,9 +721,10 @@ def q_maintain(spark, sf_dir):
     publish.record_manifest(spark, path, "2024-01-31", f"{root}/manifest")
     table = maintenance.MaintainedTable(path, ("pickup_date",), f"{root}/log", f"{root}/manifest")
     compacted = maintenance.maintain(spark, [table], "weekly")
-    # A writer that died left a file that no run knows: too young to go at first, then removed.
-    stray = spark.read.parquet(path).drop("pickup_date").coalesce(1)
-    stray.write.mode("append").parquet(f"{path}/pickup_date=2024-01-10")
+    # A writer that died left a file that no run knows: too young to go at first, then removed. All tasks read the
+    # table for it, and the one that writes it gets a trip per hour and payment type, however large the table is.
+    stray = spark.read.parquet(path).drop("pickup_date").dropDuplicates(["pickup_hour", "payment_type"])
+    stray.coalesce(1).write.mode("append").parquet(f"{path}/pickup_date=2024-01-10")
     then, later = dt.datetime(2024, 2, 10, tzinfo=dt.timezone.utc), dt.datetime(2100, 1, 1, tzinfo=dt.timezone.utc)
     found = maintenance.maintain(spark, [table], "monthly", (), then, days_to_keep=20, retain_last=15, remove_after_days=3)
     removed = maintenance.maintain(spark, [table], "full", ("compact", "expire"), later, remove_after_days=3)
