@@ -163,8 +163,8 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _RAW_TABLES.get(known)
     if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
         path = shared_dir(spark, "raw-trips")
-        # Dealt by time, so that the files come out even; adaptive execution chooses how many.
-        derive_trips(spark, sf_dir).repartition("tpep_pickup_datetime").write.parquet(path)
+        # Written where it is derived: a shuffle of whole rows would cost more than all that most queries do.
+        derive_trips(spark, sf_dir).write.parquet(path)
         _RAW_TABLES[known] = path
     return read_contract(spark, path, RAW_TRIP)
 

@@ -92,3 +92,42 @@ def test_offsets_of_hot_keys_cost_no_further_shuffle_of_the_rows(spark):
     rows_side = rows_side[: rows_side.index("FileScan")]
     assert rows_side.count("Exchange hashpartitioning") == 1
     assert "_slice" in rows_side[rows_side.index("Exchange hashpartitioning") :].splitlines()[0]
+
+
+def test_raw_trips_are_written_without_a_shuffle(spark, folder, monkeypatch):
+    """The derivation is one stage: tasks write the trips of the line items they read."""
+    monkeypatch.setattr(taxi, "_RAW_TABLES", {})
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("derive", "derive")
+    try:
+        taxi.raw_trips(spark, SMALL)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("derive")]
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+    stages = [tracker.getStageInfo(s).name for j in jobs for s in j.stageIds]
+    assert max(len(j.stageIds) for j in jobs) == 1 and not any("repartition" in s for s in stages)
+    assert "Exchange" not in taxi.derive_trips(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert len(jobs) <= 3  # one schema each of line items and trips, and the write
+
+
+def test_a_stray_file_is_not_read_by_one_task(spark, monkeypatch):
+    """Whoever writes one file of a whole table must not read it in one task."""
+    plans = []
+    whole = writers_of(monkeypatch, plans)
+    QUERIES["q_maintain"](spark, SMALL)
+    stray = [p for p in whole if "Coalesce 1" in p]
+    assert stray and all("Exchange" in p[p.index("Coalesce 1") :] for p in stray)
+
+
+def writers_of(monkeypatch, plans):
+    """Physical plans of all DataFrames whose ``write`` was asked for."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    write = Classic.write.fget
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(Classic, "write", property(noted))
+    return plans
