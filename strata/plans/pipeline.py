@@ -81,16 +81,20 @@ def run_pipeline(
         return PipelineResult(ingested, None, {})
 
     increment_path = shared_dir(spark, "silver-increment")
-    computed = silver_trips(bronze, spec)
-    stage(computed, increment_path, [spec.silver_day])
+    computed = silver_trips(bronze, spec, gathered_by=spec.silver_day)
+    stage(computed, increment_path, [spec.silver_day], gathered=True)
     increment = spark.read.schema(computed.schema).parquet(increment_path).select(*computed.columns)
     touched = increment.select(spec.silver_day).distinct()
     restore_partitions(spark, silver_path)
     existing = read_parquet(spark, silver_path, missing_ok=True)
     merged = increment
     if existing is not None:
-        kept = in_partitions(existing, spec.silver_day, touched)
-        merged = upsert(kept, increment.select(*existing.columns), [spec.key_name])
+        # Only days that have rows already are merged; the others are gathered by day in the increment's files.
+        kept, source = in_partitions(existing, spec.silver_day, touched), increment.select(*existing.columns)
+        present = kept.select(spec.silver_day).distinct()
+        grown = in_partitions(source, spec.silver_day, present)
+        changed = upsert(kept, grown, [spec.key_name]).hint("rebalance", spec.silver_day)
+        merged = changed.unionByName(in_partitions(source, spec.silver_day, present, others=True))
     silver = publish(
         merged,
         silver_path,
@@ -99,6 +103,7 @@ def run_pipeline(
         f"{run_id}-silver",
         layout.log,
         layout.manifest,
+        gathered=True,
     )
     if not silver.published:
         remove_path(spark, increment_path)
@@ -121,6 +126,7 @@ def run_pipeline(
             f"{run_id}-{name}",
             layout.log,
             layout.manifest,
+            gathered=table is fact,
         )
     _dimensions(spark, layout, touched, spec.silver_day, zones_csv)
     remove_path(spark, increment_path)

@@ -85,8 +85,8 @@ def q_dedup(spark, sf_dir):
     return taxi.silver_trips(raw(spark, sf_dir))
 
 
-def _old_and_new(spark, sf_dir):
-    trips = stored(taxi.silver_trips(raw(spark, sf_dir)), "silver")  # read as target and as source
+def _old_and_new(spark, sf_dir, gathered_by=None):
+    trips = stored(taxi.silver_trips(raw(spark, sf_dir), gathered_by=gathered_by), "silver")  # read as target and as source
     old = trips.where(F.col("pickup_date") <= dt.date(2024, 1, 20))
     new = trips.where(F.col("pickup_date") >= dt.date(2024, 1, 15)).withColumn("extra", F.col("extra") + 1)
     return old, new
@@ -101,9 +101,9 @@ def q_upsert(spark, sf_dir):
 @query
 def q_upsert_table(spark, sf_dir):
     path = shared_dir(spark, "silver")
-    old, new = _old_and_new(spark, sf_dir)
-    writers.replace_partitions(old, path, ["pickup_date"])
-    writers.upsert_into(spark, path, new, ["trip_id"], "pickup_date")
+    old, new = _old_and_new(spark, sf_dir, "pickup_date")
+    writers.replace_partitions(old, path, ["pickup_date"], gathered=True)
+    writers.upsert_into(spark, path, new, ["trip_id"], "pickup_date", gathered=True)
     return spark.read.parquet(path).select(*old.columns)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.config import DatasetSpec, shared_dir
 from strata.functions.features import add_trip_features
@@ -178,9 +179,28 @@ def clean_trips(raw: DataFrame, spec: DatasetSpec = TAXI) -> DataFrame:
     return add_trip_features(_keyed(raw, spec))
 
 
-def silver_trips(raw: DataFrame, spec: DatasetSpec = TAXI) -> DataFrame:
-    """Clean trips, one row per key. Features come last, so they are neither shuffled nor sorted."""
-    return add_trip_features(dedup_latest(_keyed(raw, spec), [spec.key_name], spec.order, spec.tie_break))
+#: Types whose text tells any two values apart, so that rows equal in such columns are those with equal keys.
+_EXACT_TEXT = ("boolean", "byte", "short", "integer", "long", "double", "date", "timestamp_ntz")
+
+
+def silver_trips(raw: DataFrame, spec: DatasetSpec = TAXI, gathered_by: str | None = None) -> DataFrame:
+    """Clean trips, one row per key. Features come last, so they are neither shuffled nor sorted.
+
+    Nor is the key, where its columns tell the rows apart as it does. With ``gathered_by`` the rows are gathered by
+    that day of their event time, for a table with such partitions, before key and features are added.
+    """
+    accepted, names = apply_rules(raw, spec.rules), [spec.renames.get(c, c) for c in spec.key_columns]
+    late_key = all(raw.schema[c].dataType.typeName() in _EXACT_TEXT for c in spec.key_columns)
+    if late_key:
+        rows = dedup_latest(rename_columns(accepted, spec.renames), names, spec.order, spec.tie_break)
+    else:
+        rows = dedup_latest(_keyed(raw, spec), [spec.key_name], spec.order, spec.tie_break)
+    columns = [c for c in rows.columns if c != spec.key_name]
+    if gathered_by is not None:
+        rows = rows.withColumn(gathered_by, F.to_date(spec.event_time)).hint("rebalance", gathered_by)
+    if late_key:
+        rows = with_key(rows, names, spec.key_name)
+    return add_trip_features(rows.select(*columns, spec.key_name))
 
 
 def _keyed(raw: DataFrame, spec: DatasetSpec) -> DataFrame:

@@ -50,13 +50,15 @@ def publish(
     log_path: str | None = None,
     manifest_path: str | None = None,
     committed_at: dt.datetime | None = None,
+    gathered: bool = False,
 ) -> PublishResult:
+    """Stage, audit and, if that passes, move into the table; ``gathered`` as in ``replace_partitions``."""
     spark = df.sparkSession
     staged_path = f"{path.rstrip('/')}_staging/{run_id}"
     stamp = committed_at or dt.datetime.now(dt.timezone.utc)
     restore_partitions(spark, path)
     try:
-        stage(df, staged_path, partition_columns)
+        stage(df, staged_path, partition_columns, gathered)
         # The declared schema keeps an empty increment readable.
         staged = spark.read.schema(df.schema).parquet(staged_path).select(*df.columns)
         found = run_checks(staged, {**checks, "_rows": F.count(F.lit(1))}).first().asDict()

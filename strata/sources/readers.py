@@ -36,14 +36,16 @@ def read_contract(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return require_contract(spark.read.parquet(path), schema)
 
 
-def in_partitions(df: DataFrame, column: str, touched: DataFrame) -> DataFrame:
-    """Rows of the partitions that ``touched`` names in its only column, the NULL partition included.
+def in_partitions(df: DataFrame, column: str, touched: DataFrame, others: bool = False) -> DataFrame:
+    """Rows of the partitions that ``touched`` names in its only column, the NULL partition included, or of all others.
 
     At most one value per partition is collected; as a literal filter it reads only those directories.
     """
     values = [row[0] for row in touched.distinct().collect()]
     kind = df.schema[column].dataType
     wanted = F.col(column).isin([F.lit(v).cast(kind) for v in values if v is not None])
+    if others:
+        return df.where((~wanted & F.col(column).isNotNull()) if None in values else F.coalesce(~wanted, F.lit(True)))
     return df.where(wanted | F.col(column).isNull() if None in values else wanted)
 
 

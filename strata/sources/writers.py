@@ -15,18 +15,19 @@ from pyspark.sql import functions as F
 
 from strata.config import DateRange, beside, shared_dir, stored
 from strata.operators.upsert import repeated_keys, upsert
-from strata.sources.files import move_partitions, partition_directories, remove_path, restore_partitions
+from strata.sources.files import file_inventory, move_partitions, partition_directories, remove_path, restore_partitions
 from strata.sources.key_index import index_keys, may_hold
 from strata.sources.readers import in_partitions, listed_days, read_parquet
 
 
-def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+def replace_partitions(df: DataFrame, path: str, columns: Sequence[str], gathered: bool = False) -> None:
     """Overwrite exactly the partitions present in ``df``.
 
     The rebalance hint gathers a partition's rows to avoid small files, and lets adaptive
-    execution split a partition that is too large for one task.
+    execution split a partition that is too large for one task. Rows that are ``gathered`` already, as in the
+    files of a table with the same partitions, are written where they are read, without a shuffle.
     """
-    _overwrite_partitions(df.hint("rebalance", *columns), path, columns)
+    _overwrite_partitions(df if gathered else df.hint("rebalance", *columns), path, columns)
 
 
 class WriteCount(NamedTuple):
@@ -51,8 +52,9 @@ def promote(spark: SparkSession, staged_path: str, path: str) -> list[str]:
     return move_partitions(spark, staged_path, path)
 
 
-def stage(df: DataFrame, staged_path: str, columns: Sequence[str]) -> None:
-    df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns).parquet(staged_path)
+def stage(df: DataFrame, staged_path: str, columns: Sequence[str], gathered: bool = False) -> None:
+    df = df if gathered else df.hint("rebalance", *columns)
+    df.write.mode("overwrite").partitionBy(*columns).parquet(staged_path)
 
 
 def _overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -81,6 +83,11 @@ def split_by_day(df: DataFrame, path: str, timestamp: str, column: str = "date",
     replace_partitions(kept, path, [column])
 
 
+def _few_files(spark: SparkSession, path: str, column: str, days: Sequence, per_day: int = 16) -> bool:
+    """Whether the days' files are few enough to be copied as they are; many small ones should be gathered."""
+    return file_inventory(spark, path, [f"{column}={day.isoformat()}" for day in days]).count() <= per_day * len(days)
+
+
 class Ingested(NamedTuple):
     ingested_days: int
     skipped_days: int
@@ -111,7 +118,7 @@ def append_new_days(
         .withColumn(bronze_day, F.col(landing_day).cast("date"))
         .drop(*({landing_day} - {bronze_day}))
     )
-    replace_partitions(increment, bronze, [bronze_day])
+    replace_partitions(increment, bronze, [bronze_day], gathered=_few_files(spark, landing, landing_day, new_days))
     # Counted from the footers of the new files: a counter inside the job would run twice for
     # a task that is repeated after losing an executor.
     rows = spark.read.parquet(bronze).where(F.col(bronze_day).isin(new_days)).count()
@@ -126,6 +133,7 @@ def upsert_into(
     partition: str,
     key_fixes_partition: bool = True,
     index_path: str | None = None,
+    gathered: bool = False,
 ) -> None:
     """Upsert ``source`` into a Parquet table partitioned by one column.
 
@@ -134,14 +142,15 @@ def upsert_into(
     ``key_index``, which is then kept up) in those that may hold one, and
     those with a match are rewritten too, or removed if nothing remains. Either way the
     result is staged before it replaces anything. A source with two rows for one key is
-    refused, because either could win. NULL is a partition like any other.
+    refused, because either could win. NULL is a partition like any other. A source whose rows are ``gathered`` by
+    partition already is copied without a shuffle.
     """
     restore_partitions(spark, path)
     target = read_parquet(spark, path, missing_ok=True)
     like = source if target is None else target
     # The source is computed once; the directories of its copy name the partitions it touches.
     source_path = beside(path, "upsert-source")
-    stage(source.select(*like.columns), source_path, [partition])
+    stage(source.select(*like.columns), source_path, [partition], gathered)
     increment = spark.read.schema(like.schema).parquet(source_path).select(*like.columns)
     if not repeated_keys(increment, keys).isEmpty():
         remove_path(spark, source_path)

@@ -10,7 +10,7 @@ from strata.operators import marts, ordered
 from strata.plans import trips as taxi
 from strata.plans.queries import QUERIES
 from strata.sources import readers, writers
-from tests.conftest import SMALL, final_plan
+from tests.conftest import SMALL, final_plan, rows_of
 
 
 @pytest.fixture(scope="module")
@@ -131,3 +131,46 @@ def writers_of(monkeypatch, plans):
 
     monkeypatch.setattr(Classic, "write", property(noted))
     return plans
+
+
+def test_the_pipeline_shuffles_a_days_rows_once(spark, raw, folder, monkeypatch):
+    """Bronze, silver and fact are copied by day from files that are gathered already."""
+    from strata.plans.pipeline import Layout, run_pipeline
+
+    landing, plans, layout = folder("landing"), [], Layout(folder("lake"))
+    writers.split_by_day(raw, landing, taxi.PICKUP, "date", taxi.TAXI.landing_from)
+    writers_of(monkeypatch, plans)
+    run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of("2024-01-01", "2024-01-12"), "run-0", marts=False)
+    assert sum("REBALANCE" in p for p in plans) == 2  # the increment, and the small daily summary
+    run_pipeline(spark, taxi.TAXI, layout, landing, DateRange.of("2024-01-10", "2024-01-20"), "run-1", marts=False)
+    silver, fact = (spark.read.parquet(layout.path(t)) for t in ("silver", "fact_trips"))
+    expected = taxi.silver_trips(raw).where("pickup_date BETWEEN '2024-01-01' AND '2024-01-20'")
+    columns = sorted(expected.columns)
+    assert rows_of(silver.select(columns)) == rows_of(expected.select(columns))
+    assert fact.count() == silver.count()
+
+
+def test_keys_added_after_the_dedup_are_those_added_before(spark, raw):
+    """Text columns may be NULL or hold the separator, so only their key tells such rows apart."""
+    from dataclasses import replace
+
+    from strata.functions.features import add_trip_features
+    from strata.operators.dedup import dedup_latest
+
+    early = add_trip_features(dedup_latest(taxi._keyed(raw, taxi.TAXI), ["trip_id"], (), taxi.TIE_BREAK))
+    for found in (taxi.silver_trips(raw), taxi.silver_trips(raw, gathered_by="pickup_date").select(*early.columns)):
+        assert found.columns == early.columns and rows_of(found) == rows_of(early)
+    spec = replace(taxi.TAXI, key_columns=(*taxi.KEY_COLUMNS, "store_and_fwd_flag"))
+    holes = raw.withColumn("store_and_fwd_flag", F.expr("if(VendorID = 1, if(PULocationID % 2 = 0, NULL, ''), 'N')"))
+    both = holes.unionByName(holes.withColumn("store_and_fwd_flag", F.expr("coalesce(store_and_fwd_flag, '')")))
+    keys = taxi.silver_trips(both, spec).select("trip_id")
+    assert keys.count() == keys.distinct().count() == taxi._keyed(both, spec).select("trip_id").distinct().count()
+
+
+def test_rows_outside_of_partitions(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, day string")
+    for named in ([("a",)], [("a",), (None,)], []):
+        touched = spark.createDataFrame(named, "day string")
+        inside = rows_of(readers.in_partitions(rows, "day", touched))
+        outside = rows_of(readers.in_partitions(rows, "day", touched, others=True))
+        assert sorted(inside + outside, key=repr) == [(1, "a"), (2, "b"), (3, None)] and len(inside) == len(named)
