@@ -83,7 +83,7 @@ def split_by_day(df: DataFrame, path: str, timestamp: str, column: str = "date",
     replace_partitions(kept, path, [column])
 
 
-def _few_files(spark: SparkSession, path: str, column: str, days: Sequence, per_day: int = 16) -> bool:
+def few_files(spark: SparkSession, path: str, column: str, days: Sequence, per_day: int = 16) -> bool:
     """Whether the days' files are few enough to be copied as they are; many small ones should be gathered."""
     return file_inventory(spark, path, [f"{column}={day.isoformat()}" for day in days]).count() <= per_day * len(days)
 
@@ -118,7 +118,7 @@ def append_new_days(
         .withColumn(bronze_day, F.col(landing_day).cast("date"))
         .drop(*({landing_day} - {bronze_day}))
     )
-    replace_partitions(increment, bronze, [bronze_day], gathered=_few_files(spark, landing, landing_day, new_days))
+    replace_partitions(increment, bronze, [bronze_day], gathered=few_files(spark, landing, landing_day, new_days))
     # Counted from the footers of the new files: a counter inside the job would run twice for
     # a task that is repeated after losing an executor.
     rows = spark.read.parquet(bronze).where(F.col(bronze_day).isin(new_days)).count()

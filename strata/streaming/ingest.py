@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.sources.writers import replace_partitions
+from strata.sources.writers import few_files, replace_partitions
 
 
 def stream_landing(
@@ -39,9 +39,9 @@ def write_bronze(
     def replace_days(batch: DataFrame, _: int) -> None:
         days = [row[0] for row in batch.select(landing_day).distinct().collect()]  # directories of one batch
         landed = batch.sparkSession.read.schema(schema).parquet(landing).where(F.col(landing_day).isin(days))
-        replace_partitions(
-            landed.withColumn(bronze_day, F.col(landing_day)).drop(*({landing_day} - {bronze_day})), bronze, [bronze_day]
-        )
+        copied = landed.withColumn(bronze_day, F.col(landing_day)).drop(*({landing_day} - {bronze_day}))
+        gathered = None not in days and few_files(batch.sparkSession, landing, landing_day, days)
+        replace_partitions(copied, bronze, [bronze_day], gathered)
 
     return (
         stream.writeStream.foreachBatch(replace_days)

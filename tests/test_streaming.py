@@ -126,3 +126,17 @@ def test_bronze_stream_holds_each_day_once(spark, folder):
     assert run() == [(1, 5), (2, 30)]
     land(dt.date(2024, 1, 1), 2)  # more of a known day
     assert run() == [(1, 7), (2, 30)]
+
+
+def test_bronze_copies_days_of_few_files_without_a_shuffle(spark, folder, monkeypatch):
+    calls, schema = [], contract(n="long")
+    copied = ingest.replace_partitions
+    monkeypatch.setattr(ingest, "replace_partitions", lambda *args: (calls.append(args[3]), copied(*args)))
+    for files in (1, 20):
+        landing, root = folder("landing"), folder("stream")
+        rows = spark.range(0, 40, 1, files).select(F.col("id").alias("n"), F.lit("2024-01-05").cast("date").alias("date"))
+        rows.write.partitionBy("date").parquet(landing)
+        stream = ingest.stream_landing(spark, landing, schema)
+        ingest.write_bronze(stream, landing, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
+        assert rows_of(spark.read.parquet(f"{root}/bronze").select("n")) == sorted([(n,) for n in range(40)], key=repr)
+    assert calls == [True, False]  # many small files are gathered
