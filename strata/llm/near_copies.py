@@ -6,8 +6,10 @@ shingles of every text in one order, texts that similar share one of their first
 shingles rare in a sample first, so what many texts hold in common is seldom in a prefix; any order finds the
 same pairs. Candidates are verified by their whole sets.
 
-Texts that share a shingle are first linked along a chain, as their sizes follow each other. Then all
-pairs that are not yet connected are verified, so a group of near copies costs links in proportion to its size.
+Texts that share a shingle are first linked along a chain, as their sizes follow each other, and then, from one
+connected set to another, with a few that follow. Only then all pairs that are not yet connected are compared: by a
+brief sketch where they meet, and by their whole sets if that leaves them. So a group of near copies costs pairs in
+proportion to its size.
 
 Sets of shingles take more room than the texts, so they are never written as a whole: they are made again from
 the texts of candidates that a short sketch per text could not rule out.
@@ -37,6 +39,10 @@ SAMPLE, COMMON = 50, 50_000
 #: Bits, at least, of the sketch that rules out most candidates before their sets are made again. Larger sets have
 #: larger sketches, of half their size or more: with fewer bits two unlike sets would differ in too few of them.
 SKETCH = 512
+#: Following texts of a list that each text is tried with before all pairs are.
+SPAN = 8
+#: Pairs whose brief sketches are compared at once.
+COMPARED = 1 << 16
 #: Bytes of text whose shingles a task holds at once.
 PART = 2 << 20
 #: Pairs and texts a task remembers not to hand on again.
@@ -80,6 +86,17 @@ def differing_bits(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(left ^ right).sum(dtype=np.int64))
 
 
+def brief(bits: bytes) -> bytes:
+    """The sketch folded to ``SKETCH`` bits; it still differs in no more bits than sets in shingles."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint64).reshape(-1, SKETCH // 64)).tobytes()
+
+
+def _briefs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = [brief(bits.as_buffer()) for bits in batch.column("bits")]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(values, pa.binary())], names=["node", "brief"])
+
+
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in pieces(batch, PART):
@@ -163,11 +180,22 @@ def _prefixes(common: np.ndarray, counts: np.ndarray):
 #: A text in the list of a shingle: size of its set, node, place of the shingle in the prefix, component so far.
 MEMBER = ["shingle", "size", "node", "place", "root"]
 MEMBERS = ", ".join(f"{name} long" for name in MEMBER[:4])
+#: Numbers of a member, without and with its brief sketch.
+PLAIN, SKETCHED = len(MEMBER), len(MEMBER) + SKETCH // 64
+
 
+def _rows(batch: pa.RecordBatch) -> np.ndarray:
+    """Members as rows of numbers; a sixth column holds brief sketches."""
+    rows = np.column_stack([batch.column(k).to_numpy() for k in range(PLAIN)]).astype(np.int64)
+    if batch.num_columns == PLAIN:
+        return rows
+    sketches = np.frombuffer(b"".join(batch.column(PLAIN).to_pylist()), np.int64)
+    return np.column_stack([rows, sketches.reshape(len(rows), -1)])
 
-def _lists(size: int):
-    """Members sorted by shingle become tiles of ``size``; a shingle with one member is left out unless the next or
-    previous task may hold more of it."""
+
+def _lists(size: int, width: int):
+    """Members sorted by shingle become tiles of ``size``; a shingle whose members are of one component is left out
+    unless the next or previous task may hold more of it."""
 
     def tiles(groups: list[np.ndarray]) -> pa.RecordBatch:
         columns = [[g[0, 0] for g in groups], [g[0, 1] for g in groups], [g[-1, 1] for g in groups], [g[0, 2] for g in groups]]
@@ -175,17 +203,17 @@ def _lists(size: int):
         return pa.RecordBatch.from_arrays([*arrays, pa.array([g.tobytes() for g in groups], pa.binary())], names=LIST)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, cut = np.empty((0, len(MEMBER)), np.int64), True
+        held, cut = np.empty((0, width), np.int64), True
         for batch in batches:
-            rows = np.column_stack([batch.column(k).to_numpy() for k in range(len(MEMBER))]).astype(np.int64)
-            rows = np.concatenate([held, rows])
-            if not len(rows):
+            if not batch.num_rows:
                 continue
+            rows = np.concatenate([held, _rows(batch)])
             new = (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 2] != rows[:-1, 2])
             rows = rows[np.r_[True, new]]  # tasks may hand on the same text
             starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
             ends, out = np.r_[starts[1:], len(rows)], []
-            for k in np.flatnonzero((ends - starts > 1) | ((starts == 0) & cut)):
+            several = np.minimum.reduceat(rows[:, 4], starts) != np.maximum.reduceat(rows[:, 4], starts)
+            for k in np.flatnonzero(several | ((starts == 0) & cut)):
                 if k < len(starts) - 1:  # the last one may go on
                     out += [rows[at : min(at + size, ends[k])] for at in range(starts[k], ends[k], size)]
             held, cut = rows[starts[-1] :], cut and len(starts) == 1
@@ -204,21 +232,28 @@ LIST = ["shingle", "low", "high", "first", "members"]
 
 
 def lists_of(members: DataFrame, name: str) -> DataFrame:
-    order = ["shingle", "size", "node"]
+    order, width = ["shingle", "size", "node"], SKETCHED if "brief" in members.columns else PLAIN
     sorted_members = members.repartitionByRange(*order).sortWithinPartitions(*order)
     return stored(
-        sorted_members.mapInArrow(_lists(TILE), "shingle long, low long, high long, first long, members binary"), name
+        sorted_members.mapInArrow(_lists(TILE, width), "shingle long, low long, high long, first long, members binary"), name
     )
 
 
-def _members(value: bytes) -> np.ndarray:
-    return np.frombuffer(value, np.int64).reshape(-1, len(MEMBER))
+def _members(value: bytes, width: int = SKETCHED) -> np.ndarray:
+    return np.frombuffer(value, np.int64).reshape(-1, width)
 
 
-def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = np.concatenate([np.empty((0, len(MEMBER)), np.int64), *map(_members, batch.column(0).to_pylist())])
-        yield pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(4)], names=MEMBER[:4])
+def _exploded(width: int):
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                rows = _members(value, width)
+                columns = [pa.array(np.ascontiguousarray(rows[:, k])) for k in range(4)]
+                if width > PLAIN:
+                    columns.append(pa.array([row.tobytes() for row in rows[:, PLAIN:]], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*MEMBER[:4], "brief"][: len(columns)])
+
+    return exploded
 
 
 def _possible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -228,6 +263,14 @@ def _possible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[..., 4] != b[..., 4]) & ((top + bottom) * left >= top * (a[..., 1] + b[..., 1]))
 
 
+def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of members their brief sketches do not rule out."""
+    top, bottom = SIMILARITY
+    unlike = (a[:, PLAIN:] ^ b[:, PLAIN:]).astype(np.uint64)  # of signed numbers the bits of the absolute value would count
+    differ = np.bitwise_count(unlike).sum(axis=1, dtype=np.int64)
+    return (top + bottom) * differ <= (bottom - top) * (a[:, 1] + b[:, 1])
+
+
 def _handed_on(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Pairs of nodes, most of them once."""
     seen: set[tuple[int, int]] = set()
@@ -244,7 +287,7 @@ def _handed_on(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def found() -> Iterator[np.ndarray]:
         for batch in batches:
-            for rows in map(_members, batch.column(0).to_pylist()):
+            for rows in map(_members, batch.column(0).to_pylist(), repeat(PLAIN)):
                 a, b = rows[:-1], rows[1:]
                 may = _possible(a, b)
                 yield np.column_stack([a[may, 2], b[may, 2]])
@@ -252,6 +295,24 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _handed_on(found())
 
 
+def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of members up to ``SPAN`` places apart; per list and distance one for every two components."""
+
+    def found() -> Iterator[np.ndarray]:
+        for batch in batches:
+            for rows in map(_members, batch.column(0).to_pylist()):
+                for step in range(1, min(SPAN + 1, len(rows))):
+                    may = _possible(rows[:-step], rows[step:])
+                    a, b = rows[:-step][may], rows[step:][may]
+                    may = _alike(a, b)
+                    a, b = a[may], b[may]
+                    roots = np.sort(np.column_stack([a[:, 4], b[:, 4]]), axis=1)
+                    first = np.unique(roots, axis=0, return_index=True)[1]
+                    yield np.column_stack([a[first, 2], b[first, 2]])
+
+    return _handed_on(found())
+
+
 def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def found() -> Iterator[np.ndarray]:
         for batch in batches:
@@ -262,7 +323,10 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if same:
                         may &= np.arange(len(b))[None] > np.arange(at, at + len(may))[:, None]
                     i, j = np.nonzero(may)
-                    yield np.column_stack([a[at + i, 2], b[j, 2]])
+                    for part in range(0, len(i), COMPARED):
+                        x, y = a[at + i[part : part + COMPARED]], b[j[part : part + COMPARED]]
+                        may = _alike(x, y)
+                        yield np.column_stack([x[may, 2], y[may, 2]])
 
     return _handed_on(found())
 
@@ -292,7 +356,7 @@ def similar_links(texts: DataFrame, nodes: DataFrame, known: DataFrame) -> DataF
     """
     members = texts.mapInArrow(_prefixes(*common_shingles(texts)), MEMBERS).withColumn("root", F.col("node"))
     lists = lists_of(members, "prefix-lists")
-    shared = lists.select("members").mapInArrow(_exploded, MEMBERS)
+    shared = lists.select("members").mapInArrow(_exploded(PLAIN), MEMBERS)
     small = [nodes.select(F.col("node").alias(c), F.col("size").alias(f"n{c}"), F.col("bits").alias(f"b{c}")) for c in "ab"]
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
@@ -310,8 +374,15 @@ def similar_links(texts: DataFrame, nodes: DataFrame, known: DataFrame) -> DataF
 
     chained = verified(lists.select("members").mapInArrow(_chained, "a long, b long"), "chained")
     roots = stored(components(known.unionByName(chained)), "chained-roots")
-    rooted = shared.join(roots, "node", "left").select(*MEMBER[:4], F.coalesce("root", "node").alias("root"))
-    first, lists = lists, lists_of(rooted, "rooted-lists")
+    briefs = nodes.select("node", "bits").mapInArrow(_briefs, "node long, brief binary")
+    marks = briefs.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "brief")
+    first, lists = lists, lists_of(shared.join(marks, "node").select(*MEMBER, "brief"), "chained-lists")
+    forget(first)
+    followed = verified(lists.select("members").mapInArrow(_followed, "a long, b long"), "followed")
+    roots = stored(components(known.unionByName(chained).unionByName(followed)), "followed-roots")
+    shared = lists.select("members").mapInArrow(_exploded(SKETCHED), f"{MEMBERS}, brief binary")
+    rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first, lists = lists, lists_of(rooted.select(*MEMBER, "brief"), "rooted-lists")
     forget(first)
     others = lists.toDF("shingle", "low_b", "high_b", "first_b", "b")
     top, bottom = SIMILARITY
@@ -322,7 +393,7 @@ def similar_links(texts: DataFrame, nodes: DataFrame, known: DataFrame) -> DataF
     tiles = tiles.select(F.col("members").alias("a"), "b", F.expr("low = low_b AND first = first_b").alias("same"))
     paired = verified(tiles.mapInArrow(_paired, "a long, b long"), "paired")
     forget(lists)
-    return chained.unionByName(paired)
+    return chained.unionByName(followed).unionByName(paired)
 
 
 def _rooted(docs: DataFrame) -> DataFrame:
