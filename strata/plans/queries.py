@@ -363,7 +363,8 @@ def q_shared_routes(spark, sf_dir):
     exact = per_route.agg(
         F.count_if("a").alias("first_routes"), F.count_if("b").alias("second_routes"), F.count_if(F.col("a") & F.col("b")).alias("shared_routes")
     )
-    found = exact.crossJoin(F.broadcast(sketches.shared_keys(daily, *halves)))  # one row each
+    both = exact.unionByName(sketches.shared_keys(daily, *halves), allowMissingColumns=True)  # one row each
+    found = both.agg(*(F.max(c).alias(c) for c in both.columns))
     pairs = (("first_routes", "first_keys"), ("second_routes", "second_keys"), ("shared_routes", "shared_keys"))
     limit = F.greatest("first_routes", "second_routes") * 2 * sketches.SET_ERROR
     close = [F.abs(F.col(a) - F.col(b)) <= limit for a, b in pairs]
