@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.config import stored
+
 
 def dedup_latest(
     df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), tie_break: Sequence[str] = ()
@@ -35,13 +37,23 @@ def distinct_on_key(df: DataFrame, key_columns: Sequence[str]) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: total rows, distinct rows and surplus copies, comparing all columns."""
-    return (
-        df.groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .agg(
-            F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
-            F.count(F.lit(1)).alias("distinct_rows"),
-            F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
-        )
+    """One row: total rows, distinct rows and surplus copies, comparing all columns.
+
+    Rows are counted by a hash first, so a task holds one number per row instead of the row. A hash that occurs once
+    stands for a row without copies; only the rows of the other hashes are compared as a whole.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    per_hash = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_copies"))
+    # Written, so that a short list is broadcast and the rows it rules out are not shuffled.
+    repeated = stored(per_hash.where("_copies > 1"), "repeated-hashes")
+    several = hashed.join(repeated.select("_hash"), "_hash", "left_semi")
+    compared = several.groupBy("_hash", *df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    # All rows but those of repeated hashes are single.
+    rows, others = df.agg(F.count(F.lit(1)).alias("_rows")), repeated.agg((-F.coalesce(F.sum("_copies"), F.lit(0))).alias("_rows"))
+    single = rows.unionByName(others).select(F.lit(1).cast("long").alias("_copies"), "_rows")
+    counts = compared.select("_copies", F.lit(1).cast("long").alias("_rows")).unionByName(single)
+    return counts.agg(
+        F.sum(F.col("_copies") * F.col("_rows")).alias("total_rows"),
+        F.sum("_rows").alias("distinct_rows"),
+        F.sum((F.col("_copies") - 1) * F.col("_rows")).alias("duplicate_rows"),
     )
