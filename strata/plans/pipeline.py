@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.config import DatasetSpec, DateRange, shared_dir
+from strata.config import DatasetSpec, DateRange, beside, stored
 from strata.operators import dims
 from strata.operators.audit import increment_checks
 from strata.operators.marts import daily_summary, fact_trips
@@ -16,9 +16,9 @@ from strata.operators.partials import daily_partials
 from strata.operators.upsert import upsert
 from strata.plans.trips import silver_trips
 from strata.sources.files import remove_path, restore_partitions
-from strata.sources.publish import PublishResult, publish
+from strata.sources.publish import PublishResult, publish, staged_copy
 from strata.sources.readers import in_partitions, read_parquet, read_range_or_none
-from strata.sources.writers import Ingested, append_new_days, stage, write_once
+from strata.sources.writers import Ingested, append_new_days, promote, stage, write_once
 
 
 #: Table of the daily partials of all marts.
@@ -80,33 +80,36 @@ def run_pipeline(
     if bronze is None:
         return PipelineResult(ingested, None, {})
 
-    increment_path = shared_dir(spark, "silver-increment")
+    # Written where it is published from: days without rows yet move into the table as they are.
+    silver_run = f"{run_id}-silver"
+    increment_path = staged_copy(silver_path, silver_run)
+    restore_partitions(spark, silver_path)
+    existing = read_parquet(spark, silver_path, missing_ok=True)
     computed = silver_trips(bronze, spec, gathered_by=spec.silver_day)
+    if existing is not None:
+        computed = computed.select(*existing.columns)
     stage(computed, increment_path, [spec.silver_day], gathered=True)
     increment = spark.read.schema(computed.schema).parquet(increment_path).select(*computed.columns)
-    touched = increment.select(spec.silver_day).distinct()
-    restore_partitions(spark, silver_path)
-    existing = read_parquet(spark, silver_path, missing_ok=True)
-    merged = increment
+    touched = stored(increment.select(spec.silver_day).distinct(), "touched")
     if existing is not None:
-        # Only days that have rows already are merged; the others are gathered by day in the increment's files.
-        kept, source = in_partitions(existing, spec.silver_day, touched), increment.select(*existing.columns)
+        # Only days that have rows already are merged; they take the place of the increment's own.
+        kept = in_partitions(existing, spec.silver_day, touched)
         present = kept.select(spec.silver_day).distinct()
-        grown = in_partitions(source, spec.silver_day, present)
-        changed = upsert(kept, grown, [spec.key_name]).hint("rebalance", spec.silver_day)
-        merged = changed.unionByName(in_partitions(source, spec.silver_day, present, others=True))
+        changed, grown_path = upsert(kept, in_partitions(increment, spec.silver_day, present), [spec.key_name]), beside(silver_path, "grown")
+        stage(changed, grown_path, [spec.silver_day])
+        promote(spark, grown_path, increment_path)
+        remove_path(spark, grown_path)
     silver = publish(
-        merged,
+        increment,
         silver_path,
         [spec.silver_day],
         increment_checks(spec.event_time, spec.key_name),
-        f"{run_id}-silver",
+        silver_run,
         layout.log,
         layout.manifest,
-        gathered=True,
+        staged=True,
     )
     if not silver.published:
-        remove_path(spark, increment_path)
         return PipelineResult(ingested, silver, {})
 
     fact = fact_trips(in_partitions(spark.read.parquet(silver_path), spec.silver_day, touched))
@@ -129,7 +132,6 @@ def run_pipeline(
             gathered=table is fact,
         )
     _dimensions(spark, layout, touched, spec.silver_day, zones_csv)
-    remove_path(spark, increment_path)
     return PipelineResult(ingested, silver, gold)
 
 

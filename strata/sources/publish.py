@@ -41,6 +41,11 @@ class PublishResult(NamedTuple):
     staged_path: str
 
 
+def staged_copy(path: str, run_id: str) -> str:
+    """Where a run stages what it publishes into a table."""
+    return f"{path.rstrip('/')}_staging/{run_id}"
+
+
 def publish(
     df: DataFrame,
     path: str,
@@ -51,17 +56,22 @@ def publish(
     manifest_path: str | None = None,
     committed_at: dt.datetime | None = None,
     gathered: bool = False,
+    staged: bool = False,
 ) -> PublishResult:
-    """Stage, audit and, if that passes, move into the table; ``gathered`` as in ``replace_partitions``."""
+    """Stage, audit and, if that passes, move into the table; ``gathered`` as in ``replace_partitions``.
+
+    What is ``staged`` lies in the staged copy of the run already; ``df`` then only tells its columns.
+    """
     spark = df.sparkSession
-    staged_path = f"{path.rstrip('/')}_staging/{run_id}"
+    staged_path = staged_copy(path, run_id)
     stamp = committed_at or dt.datetime.now(dt.timezone.utc)
     restore_partitions(spark, path)
     try:
-        stage(df, staged_path, partition_columns, gathered)
+        if not staged:
+            stage(df, staged_path, partition_columns, gathered)
         # The declared schema keeps an empty increment readable.
-        staged = spark.read.schema(df.schema).parquet(staged_path).select(*df.columns)
-        found = run_checks(staged, {**checks, "_rows": F.count(F.lit(1))}).first().asDict()
+        rows_staged = spark.read.schema(df.schema).parquet(staged_path).select(*df.columns)
+        found = run_checks(rows_staged, {**checks, "_rows": F.count(F.lit(1))}).first().asDict()
         rows, files = found.pop("_rows"), sum(data_file_counts(spark, staged_path).values())
         audit = {name: bool(value) for name, value in found.items()}
         passed = all(audit.values())
