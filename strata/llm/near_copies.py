@@ -17,7 +17,6 @@ the texts of candidates that a short sketch per text could not rule out.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -25,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh64_digest, xxh64_intdigest
 
 from strata.llm.common import forget, pieces, stored, utf8, whole_text
 from strata.llm.components import components
@@ -45,17 +44,37 @@ SPAN = 8
 COMPARED = 1 << 16
 #: Bytes of text whose shingles a task holds at once.
 PART = 2 << 20
+#: Bytes of lists whose members a task holds at once.
+LISTED = 1 << 20
 #: Pairs and texts a task remembers not to hand on again.
 REMEMBERED = 1 << 20
+#: What the hashes of a shingle's words are multiplied by.
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
 
 
 def shingles(text: bytes, size: int = WORDS_PER_SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the shingles; fewer words than ``size`` are one shingle, no words none."""
+    """Sorted distinct hashes of the shingles; fewer words than ``size`` are one shingle, no words none.
+
+    A shingle's hash is made of those of its words in their order, so every word is hashed once.
+    """
     words = text.lower().split()  # on bytes both touch ASCII only
     if len(words) < size:
         return np.array([xxh64_intdigest(b" ".join(words), SEED)] if words else [], np.uint64)
-    joined = map(b" ".join, zip(*(itertools.islice(words, k, None) for k in range(size))))
-    return np.unique(np.fromiter(map(xxh64_intdigest, joined, repeat(SEED)), np.uint64, len(words) - size + 1))
+    hashes = np.frombuffer(b"".join(map(xxh64_digest, words, repeat(SEED))), np.uint64)
+    n = len(words) - size + 1
+    found = hashes[:n].copy()
+    for k in range(1, size):
+        found ^= found >> np.uint64(32)
+        found *= FACTOR
+        found += hashes[k : k + n]
+    # Every bit counts in the low ones, which a sketch takes, and in the high ones, which the order follows.
+    for _ in range(2):
+        found ^= found >> np.uint64(32)
+        found *= FACTOR
+    found ^= found >> np.uint64(32)
+    found.sort()
+    return found[np.r_[True, found[1:] != found[:-1]]]
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -243,15 +262,24 @@ def _members(value: bytes, width: int = SKETCHED) -> np.ndarray:
     return np.frombuffer(value, np.int64).reshape(-1, width)
 
 
+def _listed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Members of many lists together, and for each the number of its list: most lists are short."""
+    for batch in batches:
+        for part in pieces(batch, LISTED, batch.schema.names[0]):
+            values = part.column(0).to_pylist()
+            sizes = [len(value) // (8 * width) for value in values]
+            yield _members(b"".join(values), width), np.repeat(np.arange(len(sizes)), sizes)
+
+
 def _exploded(width: int):
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                rows = _members(value, width)
-                columns = [pa.array(np.ascontiguousarray(rows[:, k])) for k in range(4)]
-                if width > PLAIN:
-                    columns.append(pa.array([row.tobytes() for row in rows[:, PLAIN:]], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=[*MEMBER[:4], "brief"][: len(columns)])
+        for rows, _ in _listed(batches, width):
+            columns = [pa.array(np.ascontiguousarray(rows[:, k])) for k in range(4)]
+            if width > PLAIN:
+                sketches = rows[:, PLAIN:].tobytes()
+                ends = np.arange(len(rows) + 1, dtype=np.int32) * (SKETCH // 8)
+                columns.append(pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(sketches)]))
+            yield pa.RecordBatch.from_arrays(columns, names=[*MEMBER[:4], "brief"][: len(columns)])
 
     return exploded
 
@@ -286,11 +314,10 @@ def _handed_on(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def found() -> Iterator[np.ndarray]:
-        for batch in batches:
-            for rows in map(_members, batch.column(0).to_pylist(), repeat(PLAIN)):
-                a, b = rows[:-1], rows[1:]
-                may = _possible(a, b)
-                yield np.column_stack([a[may, 2], b[may, 2]])
+        for rows, lists in _listed(batches, PLAIN):
+            a, b = rows[:-1], rows[1:]
+            may = (lists[:-1] == lists[1:]) & _possible(a, b)
+            yield np.column_stack([a[may, 2], b[may, 2]])
 
     return _handed_on(found())
 
@@ -299,16 +326,14 @@ def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of members up to ``SPAN`` places apart; per list and distance one for every two components."""
 
     def found() -> Iterator[np.ndarray]:
-        for batch in batches:
-            for rows in map(_members, batch.column(0).to_pylist()):
-                for step in range(1, min(SPAN + 1, len(rows))):
-                    may = _possible(rows[:-step], rows[step:])
-                    a, b = rows[:-step][may], rows[step:][may]
-                    may = _alike(a, b)
-                    a, b = a[may], b[may]
-                    roots = np.sort(np.column_stack([a[:, 4], b[:, 4]]), axis=1)
-                    first = np.unique(roots, axis=0, return_index=True)[1]
-                    yield np.column_stack([a[first, 2], b[first, 2]])
+        for rows, lists in _listed(batches, SKETCHED):
+            for step in range(1, min(SPAN + 1, len(rows))):
+                may = np.flatnonzero((lists[:-step] == lists[step:]) & _possible(rows[:-step], rows[step:]))
+                may = may[_alike(rows[may], rows[may + step])]
+                a, b = rows[may], rows[may + step]
+                roots = np.sort(np.column_stack([a[:, 4], b[:, 4]]), axis=1)
+                first = np.unique(np.column_stack([lists[may], roots]), axis=0, return_index=True)[1]
+                yield np.column_stack([a[first, 2], b[first, 2]])
 
     return _handed_on(found())
 

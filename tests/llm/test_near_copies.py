@@ -93,6 +93,56 @@ def test_unlike_texts_of_a_list_are_ruled_out_where_they_meet():
     assert len(handed_on(near_copies._paired, alike, alike, True)) > 200 * 199 // 4
 
 
+def many_lists(count=300):
+    """Short lists of members of a few components, as a batch."""
+    draw, lists = random.Random(3), []
+    for shingle in range(count):
+        rows = one_list(0.004, 0, draw.randrange(1, 12))
+        rows[:, 0], rows[:, 2] = shingle, rows[:, 2] + 20 * (shingle % 7)
+        rows[:, 4] = [draw.randrange(4) for _ in rows]
+        lists.append(rows)
+    return lists
+
+
+def test_short_lists_are_taken_together():
+    lists = many_lists()
+    batch = pa.RecordBatch.from_arrays([pa.array([rows.tobytes() for rows in lists])], names=["members"])
+    found = list(near_copies._exploded(near_copies.SKETCHED)(iter([batch])))
+    assert len(found) < 10
+    rows = pa.Table.from_batches(found).to_pydict()
+    assert list(zip(*(rows[c] for c in near_copies.MEMBER[:4]))) == [tuple(r[:4]) for rows in lists for r in rows.tolist()]
+    assert rows["brief"] == [r[near_copies.PLAIN :].tobytes() for rows in lists for r in rows]
+
+
+def test_lists_taken_together_give_the_pairs_of_each_list():
+    lists = many_lists()
+    plain = [np.ascontiguousarray(rows[:, : near_copies.PLAIN]) for rows in lists]
+    for step, lists in ((near_copies._followed, lists), (near_copies._chained, plain)):
+        batch = pa.RecordBatch.from_arrays([pa.array([rows.tobytes() for rows in lists])], names=["members"])
+        together = {pair for out in step(iter([batch])) for pair in zip(*(c.to_pylist() for c in out.columns))}
+        assert together == {pair for rows in lists for pair in handed_on(step, rows.tobytes())}
+        assert len(together) > 50
+
+
+def test_every_word_is_hashed_once(monkeypatch):
+    hashed = []
+    for name in ("xxh64_digest", "xxh64_intdigest"):
+        plain = getattr(near_copies, name)
+        monkeypatch.setattr(near_copies, name, lambda value, seed, plain=plain: hashed.append(value) or plain(value, seed))
+    near_copies.shingles(b"One two three four five six seven")
+    assert hashed == b"one two three four five six seven".split()
+
+
+def test_shingles_tell_order_and_words_apart():
+    draw, words = random.Random(9), [b"a", b"b", b"aa", b"ab", b"\xc3\xa9"]
+    text = [draw.choice(words) for _ in range(3000)]
+    expected = len({tuple(text[k : k + 5]) for k in range(len(text) - 4)})
+    values = near_copies.shingles(b" \n".join(text))
+    assert len(values) == expected and (values[1:] > values[:-1]).all()
+    low, high = np.unique(values % np.uint64(512)), np.unique(values >> np.uint64(55))
+    assert min(len(low), len(high)) > 500  # as 512 places of random numbers
+
+
 def test_two_components_meet_once_per_distance():
     rows = one_list(0.002, 100)
     rows[100:, 4] = 100
