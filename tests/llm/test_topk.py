@@ -149,3 +149,58 @@ def test_ties_go_to_smaller_ids():
     best.add(np.array([0]), np.array([[5.0, 5.0, 4.0]]), np.array([9, 3, 1]))
     best.add(np.array([0]), np.array([[5.0]]), np.array([4]))
     assert best.ids.tolist() == [[3, 4]]
+
+
+def test_a_leaf_is_scored_once_for_all_queries(monkeypatch):
+    """Vectors without clusters: nothing can be pruned, and a leaf meets all queries in one product."""
+    monkeypatch.setattr(topk, "LEAF", 16)
+    random = np.random.default_rng(5)
+    vectors = np.floor(random.normal(0, 32, (600, 64)))
+    ids, own, tree = np.arange(600), np.arange(0, 600, 10), BallTree(vectors)
+    calls = []
+
+    def counted(*args):
+        calls.append(args[-2])
+        look_into(*args)
+
+    monkeypatch.setattr(topk, "look_into", counted)
+    scores = vectors[own] @ vectors.T
+    scores[np.arange(60), own] = -np.inf
+    want = -np.sort(-scores, axis=1)[:, :5]
+    floor = (want[:, -1] - 20_000).astype(np.int64)
+    for kind in (np.float64, np.float32):
+        calls.clear()
+        best = search(tree, vectors.astype(kind), ids, vectors[own].astype(kind), own, floor, 5)
+        assert (best.scores == want).all()
+        assert len(calls) <= len(tree.leaves)
+
+
+@pytest.mark.parametrize("held", [64 << 20, 4000])
+def test_many_cells_find_what_one_finds(spark, odd_vectors, monkeypatch, held):
+    """Rows of few queries, small shards and small cells: a grid of several rows and columns."""
+    for name, value in (("SHARD", 50), ("BLOCK", 3), ("TOGETHER", 1), ("HELD_BYTES", held)):
+        monkeypatch.setattr(topk, name, value)
+    huge = [(2000 + i, [3000.0 * x for x in odd_vectors[i][1]], None, "x", "y") for i in range(150)]
+    rows = odd_vectors + huge
+    vectors = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    queries = [r for r in rows if r[0] is not None and r[0] % 50 == 0]
+    assert sorted(map(tuple, top_k(vectors, vectors.where("vec_id % 50 = 0")).collect())) == brute_force(rows, queries)
+
+
+def test_the_grid_shuffles_little_and_has_no_large_cell():
+    assert topk.grid(2_000_000_000, 40_000_000, 600) == (52, 1)
+    assert topk.grid(0, 0, 1) == (1, 1)
+    for shards, blocks in ((10**9, 10**9), (10**7, 10**10), (10**11, 10**9), (1000, 1000)):
+        rows, columns = topk.grid(shards, blocks, 600)
+        assert shards <= rows * topk.HELD_BYTES and blocks <= columns * topk.HELD_BYTES
+
+
+def test_surplus_keeps_what_is_seldom():
+    random = np.random.default_rng(6)
+    vectors = random.integers(-3, 3, (400, 3)).astype(np.int16)
+    ids = random.permutation(400)
+    kept = without_surplus(ids, vectors, 5)
+    groups = {}
+    for i, v in zip(ids.tolist(), vectors.tolist()):
+        groups.setdefault(tuple(v), []).append(i)
+    assert sorted(ids[kept]) == sorted(i for same in groups.values() for i in sorted(same)[:6])
