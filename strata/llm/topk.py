@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from strata.llm.common import stored
 
 #: Vectors in a shard and in a leaf of its tree, and queries in a block.
-SHARD, LEAF, BLOCK = 32768, 512, 512
+SHARD, LEAF, BLOCK = 32768, 256, 512
 #: Blocks that travel as one row, and queries of them that meet a leaf at once.
-TOGETHER, CHUNK = 32, 2048
+TOGETHER, CHUNK = 32, 1024
 #: Bytes of a shard as doubles, and of the shards or the queries of a cell.
 SHARD_BYTES, HELD_BYTES = 16 << 20, 64 << 20
 #: Rows of a leaf whose largest score is looked at first.
